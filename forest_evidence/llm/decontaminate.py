@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_slices, mixed
+from .common import in_slices, mixed, size_checked, staged
 
 Q = 12
 WINDOW = 100
@@ -187,3 +187,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         part = docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, item_id {item_kind}, windows int, start long, end long, edits int")
         out = part if out is None else out.union(part)
     return out
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that share no passage with the benchmark."""
+    found = staged(leaks(docs, benchmark).select("doc_id").distinct())
+    return docs.join(size_checked(found, 16), "doc_id", "left_anti").select(docs.columns)

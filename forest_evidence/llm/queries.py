@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, edit_print, html_text, langid, packing, recompression, setsketch, toxicity
+from . import decontaminate, edit_print, html_text, langid, licences, packing, pii, recompression, setsketch, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.with_surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = langid.held_out(F.col("doc_id"))
@@ -49,6 +53,11 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.without_repeats(table(spark, sf_dir, "documents"))
 
 
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.scan(docs, licences.train(spark, docs))
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 

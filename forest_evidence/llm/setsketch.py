@@ -216,3 +216,12 @@ def near_duplicates(docs: DataFrame, threshold: int = 85) -> DataFrame:
     out = rows.join(nodes.select("digest", "id"), "digest", "left").join(classes, "id", "left")
     out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def one_of_each(docs: DataFrame, threshold: int = 85) -> DataFrame:
+    """The rows of ``docs``, all columns, that stand for their class; of rows that repeat a doc_id and its
+    text one stays."""
+    gone = staged(near_duplicates(docs, threshold).where("not kept").select("doc_id").distinct())
+    out = docs.join(size_checked(gone, 16), "doc_id", "left_anti").select(docs.columns)
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    return out if repeated.isEmpty() else out.dropDuplicates(["doc_id", "text"])
