@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, Words, by_group, in_slices, mixed, staged
+from .common import BROADCAST_BYTES, Words, in_slices, mixed, staged
 
 WINDOW = 20
 LEVELS = 2
@@ -143,62 +143,78 @@ def _inverse(at: np.ndarray, n: int) -> np.ndarray:
     return np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, inverse)]), dtype=np.uint64)[at]
 
 
-def occurrences(texts: list[str | None]) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
-    """(text number, first window, one past the last, key, window hashes) of every symbol that represents
-    consecutive windows."""
-    for a, b in in_slices(texts):
-        words = Words(texts[a:b])
-        h, starts = words.hashes(), words.starts
-        if not len(h):
-            continue
-        key, low, valid = anchors(h, starts)
-        whole = window_hashes(h).view(np.int64)
-        v = np.flatnonzero(valid)
-        if not len(v):
-            continue
-        doc = np.searchsorted(starts, v, "right") - 1
-        new = np.ones(len(v), bool)
-        new[1:] = (key[v][1:] != key[v][:-1]) | (low[v][1:] != low[v][:-1]) | (doc[1:] != doc[:-1])
-        cuts = np.append(np.flatnonzero(new), len(v))
-        keys = key.view(np.int64)
-        for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            s, d = int(v[x]), int(doc[x])
-            yield a + d, s - int(starts[d]), int(v[y - 1]) + 1 - int(starts[d]), int(keys[s]), whole[s : s + y - x]
+def occurrences(texts: list[str | None]) -> tuple[np.ndarray, ...]:
+    """(text, first window, key, number of windows, window hashes one after the other) of every symbol
+    that represents consecutive windows, as arrays."""
+    words = Words(texts)
+    h, starts = words.hashes(), words.starts
+    key, low, valid = anchors(h, starts)
+    v = np.flatnonzero(valid)
+    doc = np.searchsorted(starts, v, "right") - 1
+    new = np.ones(len(v), bool)
+    new[1:] = (key[v][1:] != key[v][:-1]) | (low[v][1:] != low[v][:-1]) | (doc[1:] != doc[:-1])
+    cut = np.flatnonzero(new)
+    whole = window_hashes(h)[v].view(np.int64) if len(v) else np.zeros(0, np.int64)
+    return doc[cut], v[cut] - starts[doc[cut]], key[v[cut]].view(np.int64), np.diff(np.append(cut, len(v))), whole
 
 
 def _symbols(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        ids = batch["doc_id"].to_numpy()
-        for a, b in in_slices(texts := batch["text"].tolist()):
-            rows = [(ids[a + d], s, key) for d, s, _, key, _ in occurrences(texts[a:b])]
-            yield pd.DataFrame(rows, columns=["doc_id", "pos", "key"])
+        ids, texts = batch["doc_id"].to_numpy(), batch["text"].tolist()
+        for a, b in in_slices(texts):
+            doc, first, key, _, _ = occurrences(texts[a:b])
+            yield pd.DataFrame({"doc_id": ids[a + doc], "pos": first, "key": key})
 
 
 def _repeated_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The windows of the symbols at the places listed in ``marks`` (twice the place, odd if hot)."""
     for batch in batches:
-        texts, ids = batch["text"].tolist(), batch["doc_id"].to_numpy()
-        marks = [dict(zip((m // 2).tolist(), (m % 2).tolist())) for m in batch["marks"].map(np.asarray)]
+        texts, ids, marks = batch["text"].tolist(), batch["doc_id"].to_numpy(), batch["marks"].tolist()
         for a, b in in_slices(texts):
-            rows = [(key, ids[a + d], s, marks[a + d][s] == 1, whole) for d, s, _, key, whole in occurrences(texts[a:b]) if s in marks[a + d]]
-            yield pd.DataFrame(rows, columns=["key", "doc_id", "pos", "hot", "windows"])
+            doc, first, key, n, whole = occurrences(texts[a:b])
+            size = [len(m) for m in marks[a:b]]
+            wanted = np.concatenate(marks[a:b]).astype(np.int64) + (np.repeat(np.arange(b - a), size) << 33)
+            place = (doc << 33) + 2 * first
+            hot = np.isin(place + 1, wanted)
+            keep = np.flatnonzero(hot | np.isin(place, wanted))
+            ends = np.cumsum(n)
+            windows = [whole[e - k : e] for e, k in zip(ends[keep].tolist(), n[keep].tolist())]
+            yield pd.DataFrame({"key": key[keep], "doc_id": ids[a + doc[keep]], "pos": first[keep], "hot": hot[keep], "windows": windows})
 
 
 def _not_first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Ranges [first, past) of window starts that repeat an earlier window; rows come by key in document order."""
-    for group in by_group(batches, ["key"]):
-        seen: dict[int, tuple] = {}
-        rows = []
-        for doc, pos, windows in zip(group["doc_id"], group["pos"], group["windows"]):
-            again = [seen.setdefault(w, (doc, pos + i)) != (doc, pos + i) for i, w in enumerate(windows.tolist())]
-            rows += [(doc, pos + x, pos + y) for x, y in ranges(again)]
-        if rows:
-            yield pd.DataFrame(rows, columns=["doc_id", "first", "past"])
+    """Ranges [first, past) of window starts that repeat an earlier window; rows come by key in document order.
 
-
-def ranges(flags: list[bool]) -> Iterator[tuple[int, int]]:
-    edge = np.diff(np.concatenate([[0], np.asarray(flags, np.int8), [0]]))
-    yield from zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())
+    Equal windows have one key, so the first of a batch is the first of all unless its key began in an
+    earlier batch; of that key alone the windows met are kept.
+    """
+    seen: dict[int, tuple] = {}
+    last = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        key, doc, pos = batch["key"].to_numpy(), batch["doc_id"].to_numpy(), batch["pos"].to_numpy().astype(np.int64)
+        size = batch["windows"].map(len).to_numpy()
+        w = np.concatenate(batch["windows"].tolist())
+        row = np.repeat(np.arange(len(batch)), size)
+        start = pos[row] + np.arange(len(w)) - np.repeat(np.cumsum(size) - size, size)
+        _, at, of = np.unique(w, return_index=True, return_inverse=True)
+        least = at[of]  # the place of the first equal window
+        again = (doc[row] != doc[row[least]]) | (start != start[least])
+        if key[0] == last:
+            for i in np.flatnonzero(key[row] == last).tolist():
+                own = (doc[row[i]], int(start[i]))
+                again[i] = seen.setdefault(int(w[i]), own) != own
+        if key[-1] != last:
+            last, seen = key[-1], {}
+            for i in np.flatnonzero(key[row] == last).tolist():
+                seen.setdefault(int(w[i]), (doc[row[i]], int(start[i])))
+        begin = again.copy()
+        begin[1:] &= ~again[:-1] | (row[1:] != row[:-1])
+        end = again.copy()
+        end[:-1] &= ~again[1:] | (row[1:] != row[:-1])
+        x, y = np.flatnonzero(begin), np.flatnonzero(end)
+        yield pd.DataFrame({"doc_id": doc[row[x]], "first": start[x], "past": start[y] + 1})
 
 
 def _kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -229,7 +245,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text")
-    symbols = docs.where("doc_id is not null").mapInPandas(_symbols, f"doc_id {kind}, pos int, key long")
+    symbols = staged(docs.where("doc_id is not null").mapInPandas(_symbols, f"doc_id {kind}, pos int, key long"))
     often = symbols.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", (F.col("n") > BLOCK).cast("int").alias("hot"))
     marks = symbols.join(often, "key").groupBy("doc_id").agg(F.collect_list(F.col("pos") * 2 + F.col("hot")).alias("marks"))
     marks = staged(marks)
