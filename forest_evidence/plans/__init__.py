@@ -1,9 +1,5 @@
-"""Registered queries and their SQL."""
+"""Registered queries and their SQL: each applies operators to views of the given tables."""
 
+from .registry import oracle_sql, queries
 
-def queries() -> dict:
-    return {}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
+__all__ = ["oracle_sql", "queries"]
