@@ -118,14 +118,20 @@ def edited_after(text: str, following: str) -> tuple[str, int]:
     return text[:kept] + following[:third], kept
 
 
-def _row_of(doc_id, text: str, following: str, following_print: str | None) -> tuple:
-    times = walk(text)
-    own = fingerprint(text, times)
-    edited, kept = edited_after(text, following)
-    again = times[: kept + 1] + walk(edited[kept:], times[kept])[1:]
-    edited_print = fingerprint(edited, again)
-    sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-    return doc_id, len(text), sha, own, edited_print, likeness(own, edited_print), likeness(own, following_print or fingerprint(following))
+class Read:
+    """A document with its walk and fingerprint, made once."""
+
+    def __init__(self, doc_id, text: str):
+        self.doc_id, self.text, self.times = doc_id, text, walk(text)
+        self.print = fingerprint(text, self.times)
+
+    def row(self, following: Read) -> tuple:
+        """The result for this document and the one that follows it."""
+        edited, kept = edited_after(self.text, following.text)
+        again = self.times[: kept + 1] + walk(edited[kept:], self.times[kept])[1:]
+        edited_print = fingerprint(edited, again)
+        sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
+        return self.doc_id, len(self.text), sha, self.print, edited_print, likeness(self.print, edited_print), likeness(self.print, following.print)
 
 
 _COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
@@ -148,14 +154,12 @@ def edited_prints(docs: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for doc_id, text, part in zip(batch["doc_id"].tolist(), batch["text"], batch["part"]):
-                if last is None:
-                    rows.append((None,) * 7 + (text, part, True))
-                else:
-                    rows.append((*_row_of(*last, text, None), None, part, None))
-                last = (doc_id, text)
+                own = Read(doc_id, text)
+                rows.append((None,) * 7 + (text, part, True) if last is None else (*last.row(own), None, part, None))
+                last = own
             yield pd.DataFrame(rows, columns=[*_COLUMNS, "text", "part", "first"])
         if last is not None:
-            yield pd.DataFrame([(last[0], *(None,) * 6, last[1], int(part), False)], columns=[*_COLUMNS, "text", "part", "first"])
+            yield pd.DataFrame([(last.doc_id, *(None,) * 6, last.text, int(part), False)], columns=[*_COLUMNS, "text", "part", "first"])
 
     digest = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     done = staged(ranged.mapInPandas(run, f"{digest}, text string, part int, first boolean"))
@@ -169,7 +173,7 @@ def edited_prints(docs: DataFrame) -> DataFrame:
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([_row_of(d, t, f, None) for d, t, f in zip(batch["doc_id"].tolist(), batch["text"], batch["following"])], columns=_COLUMNS)
+            yield pd.DataFrame([Read(d, t).row(Read(None, f)) for d, t, f in zip(batch["doc_id"].tolist(), batch["text"], batch["following"])], columns=_COLUMNS)
 
     return done.where("first is null").select(*_COLUMNS).union(waiting.mapInPandas(finish, digest))
 
