@@ -12,7 +12,6 @@ place from their rank within their length.
 from __future__ import annotations
 
 import functools
-import itertools
 import re
 import zlib
 from collections import Counter
@@ -53,7 +52,7 @@ class Encoder:
     as it is. Chunks and parts are kept, up to LIMIT of each.
     """
 
-    LIMIT = 500_000
+    LIMIT = 900_000
     AT_ONCE = 200
 
     def __init__(self, path: str):
@@ -70,7 +69,7 @@ class Encoder:
 
     def reset(self) -> None:
         self.chunk: dict[str, int] = {}
-        self.part: dict[str, list[int]] = {"": []}
+        self.part: dict[str, bytes] = {"": b""}
         self.flat, self.starts = np.zeros(0, "<u4"), np.zeros(1, np.int64)
 
     def learn_words(self, words: list[str]) -> None:
@@ -78,14 +77,14 @@ class Encoder:
         lists = [words[i : i + self.AT_ONCE] for i in range(0, len(words), self.AT_ONCE)]
         texts = [" ".join(x).encode().decode("latin-1").translate(self.letters) for x in lists]
         for own, e in zip(lists, self.plain.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = e.ids
+            ids = np.array(e.ids, "<u4")
             ends = np.flatnonzero(self.ends[ids]).tolist()
             if len(ends) != len(own):
                 raise ValueError("this tokenizer doesn't mark the ends of words")
-            at = 0
+            at, raw = 0, ids.tobytes()
             for w, end in zip(own, ends):
-                self.part[w] = ids[at : end + 1]
-                at = end + 1
+                self.part[w] = raw[at : 4 * end + 4]
+                at = 4 * end + 4
 
     def chunks(self, texts: list[str]) -> np.ndarray:
         """The place of each chunk in ``starts``; its ids are flat[starts[k]:starts[k + 1]]."""
@@ -105,11 +104,11 @@ class Encoder:
         self.learn_words(list(words.difference(self.part)))
         todo = list(other.difference(self.part))
         for t, e in zip(todo, self.encoder.encode_batch_fast(todo, add_special_tokens=False)):
-            self.part[t] = e.ids
-        lists = [self.part[a] + self.part[b] for a, b in split]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            self.part[t] = np.array(e.ids, "<u4").tobytes()
+        raw = [self.part[a] + self.part[b] for a, b in split]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
         first = len(self.starts) - 1
-        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(lists), "<u4", sizes.sum())])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(raw), "<u4")])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
         self.chunk.update(zip(new, range(first, first + len(new))))
         fresh = iter(range(first, first + len(new)))
