@@ -72,7 +72,7 @@ def grams(text: str) -> np.ndarray:
     """A hash for each character with those after it."""
     c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     h = np.zeros(len(c), np.uint64)
-    for k in range(GRAM):
+    for k in range(min(GRAM, len(c))):
         h[: len(c) - k] += (c[k:] + np.uint64(1)) * np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) % 2**64 | 1)
     return (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
 

@@ -199,46 +199,65 @@ def fractional(sizes: np.ndarray, counts: np.ndarray, capacity: int, rounds: int
     return [(Counter(dict(c)), k / low) for c, k in found.items()]
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[tuple[tuple[int, int], ...], int]]:
-    """[(((length, count), ...), sequences), ...] that holds every piece of the histogram once."""
+Plan = list[tuple[tuple[tuple[int, int], ...], int]]
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> Plan:
+    """[(((length, count), ...), sequences), ...] that holds every piece of the histogram once.
+
+    The program runs on length classes, rounded up so that a class's configuration fits. It is rounded
+    with and without filling gaps by pieces of other configurations; best-fit decreasing alone, which is
+    what is left of the program if nothing of it can be rounded, competes too. The fewest sequences win.
+    """
     left = {n: c for n, c in histogram.items() if c > 0}
-    out = [(((n, 1),), left.pop(n)) for n in [n for n in left if n >= capacity]]
-    if left:
-        # The program runs on length classes (rounded up, so that a class's configuration fits).
-        step = max(1, capacity // CLASSES)
-        groups: dict[int, list[int]] = {}
-        for n in sorted(left, reverse=True):
-            groups.setdefault(-(-n // step), []).append(n)
-        sizes = np.array(sorted(groups))
-        counts = np.array([float(sum(left[n] for n in groups[s])) for s in sizes])
-        total = sum(n * c for n, c in left.items())
-        for config, often in sorted(fractional(sizes, counts, capacity // step, rounds), key=lambda x: -x[1]):
-            room = int(min(often, total // capacity + 1))
-            while room > 0:  # real lengths for the classes, as many sequences alike as there are
-                pick: Counter = Counter()
-                for i, k in config.items():
-                    for n in groups[int(sizes[i])]:
-                        while k and left.get(n, 0) > pick[n]:
-                            pick[n] += 1
-                            k -= 1
-                fill = sum(n * k for n, k in pick.items())
-                gap = capacity - fill
-                while gap > 0 and (more := max((n for n in left if n <= gap and left[n] > pick[n]), default=0)):
-                    pick[more] += 1
-                    gap -= more
-                if gap > capacity // 32 or not pick:
-                    break
-                times = min([room, *(left[n] // k for n, k in pick.items() if k)])
-                for n, k in pick.items():
-                    left[n] -= times * k
-                    if not left[n]:
-                        del left[n]
-                out.append((tuple(sorted((n, k) for n, k in pick.items() if k)), times))
-                room -= times
+    whole = [(((n, 1),), left.pop(n)) for n in [n for n in left if n >= capacity]]
+    if not left:
+        return whole
+    step = max(1, capacity // CLASSES)
+    groups: dict[int, list[int]] = {}
+    for n in sorted(left, reverse=True):
+        groups.setdefault(-(-n // step), []).append(n)
+    sizes = np.array(sorted(groups))
+    counts = np.array([float(sum(left[n] for n in groups[s])) for s in sizes])
+    used = sorted(fractional(sizes, counts, capacity // step, rounds), key=lambda x: -x[1])
+    by_class = [({int(sizes[i]): k for i, k in config.items()}, often) for config, often in used]
+    tries = [rounded(left, groups, by_class, capacity, fill) for fill in (True, False)] + [best_fit(left, capacity)]
+    return whole + min(tries, key=lambda p: sum(times for _, times in p))
+
+
+def rounded(histogram: dict[int, int], groups: dict[int, list[int]], used: list[tuple[dict[int, int], float]], capacity: int, fill: bool) -> Plan:
+    """Whole sequences of the configurations, with real lengths for the classes; best fit for the rest."""
+    left, out = dict(histogram), []
+    most = sum(n * c for n, c in left.items()) // capacity + 1
+    for config, often in used:
+        room = int(min(often, most))
+        while room > 0:  # as many sequences alike as there are pieces for
+            pick: Counter = Counter()
+            short = False
+            for size, k in config.items():
+                for n in groups[size]:
+                    own = min(k, left.get(n, 0))
+                    if own:
+                        pick[n] += own
+                        k -= own
+                short |= k > 0
+            gap = capacity - sum(n * k for n, k in pick.items())
+            while fill and gap > 0 and (more := max((n for n in left if n <= gap and left[n] > pick[n]), default=0)):
+                pick[more] += 1
+                gap -= more
+            if not pick or (gap > capacity // 32 if fill else short):
+                break
+            times = min([room, *(left[n] // k for n, k in pick.items())])
+            for n, k in pick.items():
+                left[n] -= times * k
+                if not left[n]:
+                    del left[n]
+            out.append((tuple(sorted(pick.items())), times))
+            room -= times
     return out + best_fit(left, capacity)
 
 
-def best_fit(left: dict[int, int], capacity: int) -> list[tuple[tuple[tuple[int, int], ...], int]]:
+def best_fit(left: dict[int, int], capacity: int) -> Plan:
     """Best-fit decreasing on a histogram; sequences with equal contents are handled together."""
     left, out = dict(left), []
     while left:
@@ -256,7 +275,7 @@ def best_fit(left: dict[int, int], capacity: int) -> list[tuple[tuple[tuple[int,
     return out
 
 
-def placement(planned: list[tuple[tuple[tuple[int, int], ...], int]]) -> pd.DataFrame:
+def placement(planned: Plan) -> pd.DataFrame:
     """length, first_rank, rank_end, first_sequence, per_sequence, offset: where the pieces of each rank go."""
     rank: Counter = Counter()
     rows, base = [], 0

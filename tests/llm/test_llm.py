@@ -1,0 +1,293 @@
+"""The training-data operators against brute force, planted cases and edge cases."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from forest_evidence.llm import decontaminate, edit_print, html_text, langid, licences, packing, pii, queries, recompression, setsketch, toxicity
+
+SF = "/root/testdata/sf0.001"
+DOC = "doc_id long, text string, lang string, source string, n_chars long, id long, a string, b string, key string, pos int"
+EXTRA = (7, "x", "y", "k", 3)
+
+
+def documents(spark, rows):
+    """Rows (doc_id, text) with columns whose names clash with inner ones."""
+    return spark.createDataFrame([(i, t, "en", "s", len(t or ""), *EXTRA) for i, t in rows], DOC)
+
+
+def passage(rng, n):
+    return " ".join("".join(rng.choice("abcdefg") for _ in range(4)) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def mixed():
+    """Copies, near copies, shared passages, periodic text, empties, nulls."""
+    rng = random.Random(5)
+    base = [passage(rng, 120) for _ in range(6)]
+    shared = passage(rng, 40)
+    rows = [(i, t) for i, t in enumerate(base)]
+    rows += [(10 + i, base[0]) for i in range(12)]
+    for i in range(12):
+        words = base[1].split()
+        words[rng.randrange(120)] = "changed"
+        rows.append((30 + i, " ".join(words)))
+    rows += [(50 + i, f"{passage(rng, 30)} {shared}\n{passage(rng, 25)}") for i in range(6)]
+    rows += [(60, None), (61, ""), (62, " \t\n"), (63, "one two"), (64, "ONE two"), (65, "a " * 90), (66, "b c d " * 30), (67, "x" * 70_000), (68, "a " * 70 + "z")]
+    return rows
+
+
+def test_near_duplicates_equal_brute_force(spark, mixed):
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in setsketch.near_duplicates(documents(spark, mixed)).collect()}
+    sets = {}
+    for i, t in mixed:
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    label = {i: i for i in sets}
+    for _ in sets:
+        for i in sets:
+            for j in sets:
+                n = len(sets[i] & sets[j])
+                if n and 100 * n >= 85 * len(sets[i] | sets[j]):
+                    label[i] = label[j] = min(label[i], label[j])
+    assert got == {i: (len(sets[i]), label[i], label[i] == i) for i in sets}
+
+
+def test_sketches_merge_and_estimate():
+    rng = np.random.default_rng(1)
+    a, b, both = (rng.integers(0, 2**63, n, dtype=np.uint64) for n in (200, 300, 1500))
+    x, y = np.concatenate([a, both]), np.concatenate([b, both])
+    rx, ry = setsketch.registers(x), setsketch.registers(y)
+    assert (setsketch.merge(rx, ry) == setsketch.registers(np.concatenate([x, y]))).all()
+    e = setsketch.estimate(rx[None], ry[None], np.array([1700.0]), np.array([1800.0]))[0]
+    assert abs(e - 0.75) < 0.12
+
+
+def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(setsketch, "BLOCK", 7)
+    rng = random.Random(2)
+    words = passage(rng, 200).split()
+    rows = []
+    for i in range(40):
+        own = list(words)
+        own[rng.randrange(200)] = f"w{i}"
+        rows.append((i, " ".join(own)))
+    assert {r.component_id for r in setsketch.near_duplicates(documents(spark, rows)).collect()} == {0}
+    assert setsketch.one_of_each(documents(spark, rows + rows[:1])).count() == 1
+
+
+def test_components_of_a_chain(spark):
+    from forest_evidence.llm.common import components
+
+    edges = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 51)], "a long, b long")
+    got = {r.id: r.component for r in components(edges).collect()}
+    assert got == {**{i: 0 for i in range(31)}, 50: 50, 51: 50}
+
+
+def kept_by_brute_force(rows):
+    seen, out = {}, {}
+    for i, t in sorted(rows):
+        w = (t or "").encode().split()
+        gone = [False] * len(w)
+        for k in range(len(w) - 19):
+            if seen.setdefault(tuple(w[k : k + 20]), (i, k)) != (i, k):
+                gone[k : k + 20] = [True] * 20
+        left = [x for x, g in zip(w, gone) if not g]
+        out[i] = (len(w), sum(gone), hashlib.sha256(b" ".join(left)).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("block", [20_000, 3])
+def test_repeats_equal_brute_force(spark, mixed, monkeypatch, block):
+    monkeypatch.setattr(recompression, "BLOCK", block)  # 3: the way for frequent symbols
+    got = {r.doc_id: tuple(r)[1:] for r in recompression.without_repeats(documents(spark, mixed)).collect()}
+    assert got == kept_by_brute_force(mixed)
+
+
+def test_packing_round_trip(spark, mixed):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = Tokenizer.from_file(path)
+    rows = mixed + [(90, "Don't STOP!! naïve ÉCOLE 12ab 東京 a\x1cb <|endoftext|>"), (91, "long words " * 4000)]
+    got = packing.pack(documents(spark, rows), path).toPandas()
+    for i, t in rows:
+        ids = np.array([*encoder.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
+        own = got[got.doc_id == i].sort_values("piece")
+        assert own.length.sum() == len(ids) and (own.length.iloc[:-1] == 4096).all()
+        assert [zlib.crc32(ids[s : s + n].tobytes()) for s, n in zip(own.start, own.length)] == own.ids_crc32.tolist()
+    for _, own in got.sort_values("offset").groupby("sequence_id"):
+        assert own.length.sum() <= 4096 and (own.length.cumsum() - own.length == own.offset).all()
+    assert got.sequence_id.nunique() <= -(-got.length.sum() // 4096) + 1
+
+
+def test_plan_holds_every_piece_in_few_sequences():
+    rng = np.random.default_rng(3)
+    histogram = dict(Counter(rng.choice([1500, 1400, 1200, 700, 2600, 60, 4096], 5000).tolist()))
+    planned = packing.plan(histogram)
+    held = Counter()
+    for contents, times in planned:
+        assert sum(n * k for n, k in contents) <= 4096
+        for n, k in contents:
+            held[n] += k * times
+    assert held == histogram
+    assert sum(t for _, t in planned) <= sum(t for _, t in packing.best_fit(histogram, 4096)) * 1.01
+
+
+def test_fingerprints(spark, mixed):
+    got = {r.doc_id: r for r in edit_print.edited_prints(documents(spark, mixed)).collect()}
+    order = sorted(mixed, reverse=True)
+    for k, (i, t) in enumerate(order):
+        t, following = t or "", order[(k + 1) % len(order)][1] or ""
+        third = len(t) // 3
+        edited = t[: len(t) - third] + following[:third]
+        assert (got[i].n_chars, got[i].edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+        assert got[i].edited_fingerprint == edit_print.fingerprint(edited)
+        assert 0 <= got[i].near_edited <= 1 and 0 <= got[i].near_next <= 1
+    assert got[0].fingerprint == got[10].fingerprint
+    assert got[1].near_edited > 0.3 > got[1].near_next or got[1].near_next > 0.3
+    pairs = {(r.a, r.b) for r in edit_print.near_pairs(documents(spark, mixed)).collect()}
+    assert pairs and all(a < b for a, b in pairs)
+
+
+def test_leaks(spark):
+    rng = random.Random(9)
+    items = [(k, passage(rng, 30)) for k in range(5)]
+    bench = spark.createDataFrame([*items, (8, None), (9, "short")], "item_id long, text string")
+    w = items[2][1]
+    near = w[:40] + "Q" + w[41:90] + w[91:]
+    rows = [(0, passage(rng, 200)), (1, f"{passage(rng, 50)} {items[1][1].upper()}, {passage(rng, 9)}"), (2, f"{passage(rng, 30)} {near}"), (3, None), (4, "")]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(documents(spark, rows), bench).collect()}
+    assert got == {(1, 1), (2, 2)}
+    assert {r.doc_id for r in decontaminate.without_leaks(documents(spark, rows), bench).collect()} == {0, 3, 4}
+    assert decontaminate.leaks(documents(spark, rows), bench.limit(0)).count() == 0
+
+
+def test_banded_alignment_equals_full_edit_distance():
+    rng = random.Random(4)
+    for _ in range(60):
+        a = bytes(rng.choice(b"abc") for _ in range(30))
+        b = bytearray(a)
+        for _ in range(rng.randrange(4)):
+            b[rng.randrange(len(b))] = rng.choice(b"abc")
+        got = decontaminate.aligned(a, bytes(b), -3, 3, 5)
+        assert got and got[0] <= sum(x != y for x, y in zip(a, b))
+
+
+def test_toxicity(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    assert (np.diff(model.thresholds) >= 0).all()
+    got = toxicity.score(docs, model).join(labels.select("doc_id", F.col("toxic").alias("truth")), "doc_id").toPandas()
+    assert (got.toxic == (got.truth == 1)).mean() > 0.95
+    assert got.severity[got.truth == 1].mean() > 3 * got.severity[got.truth == 0].mean()
+    odd = documents(spark, [(1, None), (2, ""), (3, "")])
+    assert [r.toxic for r in toxicity.score(odd, model).collect()] == [False] * 3
+    assert toxicity.without_toxic(odd, model).columns == odd.columns
+
+
+def test_surrogates(spark):
+    rows = [
+        (1, "Mail jo.02@mail4.example.com or JO.02@MAIL4.EXAMPLE.COM, card 4994306639946210."), (2, "call +1 (559) 555-3817, 559 555-3817; 152.143.123.131"),
+        (3, "Mrs. Anna Smith and Mr. John Smith met г-жа Мария Иванова"), (4, None), (5, ""), (None, 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"'), (1, "again jo.02@mail4.example.com"), (7, "version 3.14, year 2024, 12 apples"),
+    ]
+    df = documents(spark, rows)
+    out = pii.with_surrogates(df)
+    assert out.columns == [*df.columns, "n_entities"]
+    got = [r.text for r in out.collect()]
+    text = " ".join(t or "" for t in got)
+    for gone in ("jo.02@", "4994306639946210", "555-3817", "152.143.123.131", "Smith", "Мария", "24be64439e3e"):
+        assert gone.lower() not in text.lower()
+    first = next(t for t in got if t and t.startswith("Mail"))
+    again = next(t for t in got if t and t.startswith("again"))
+    mail = again.split()[1]
+    assert mail in first and mail.upper() in first
+    names = next(t for t in got if t and t.startswith("Mrs"))
+    words = names.split()
+    assert words[2] == words[6] and words[1].endswith("a") and words[5].endswith("n") and words[-1] != "Иванова"
+    assert None in got and "" in got and rows[-1][1] in got
+    assert got == [r.text for r in pii.with_surrogates(df).collect()]
+    assert pii.with_surrogates(df.limit(0)).count() == 0
+
+
+def test_clashing_surrogates_are_drawn_again(spark, monkeypatch):
+    real = pii.surrogate
+    monkeypatch.setattr(pii, "surrogate", lambda key, kind, form, draw: F.concat(kind, F.lit("-"), F.least(F.length(form), F.lit(1)).cast("string"), draw.cast("string")))
+    found = spark.createDataFrame([("card", str(i)) for i in range(5)], "kind string, form string")
+    got = pii.assigned(found).collect()
+    assert len(got) == 5 == len({r.surrogate for r in got})
+    monkeypatch.setattr(pii, "surrogate", real)
+
+
+def test_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = langid.held_out(F.col("doc_id"))
+    model = langid.train(docs.where(~out), public_tokenizers.path("piece_bpe_32k.model"), sample=60, rounds=2)
+    got = langid.predict(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where(out).toPandas()
+    assert (got.lang_pred == got.lang).mean() > 0.97
+    odd = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(documents(spark, [(1, None), (2, "12 -"), (3, "ou" * 5000)]), model).collect()}
+    assert odd[1] == odd[2] == ("und", 0.0) and odd[3][0] in model.langs
+
+
+def test_forward_pass_sums_all_segmentations():
+    pieces = ["▁a", "▁", "a", "b", "ab", "▁ab"]
+    p = np.array([[0.1], [0.2], [0.3], [0.1], [0.2], [0.1]])
+    model = langid.Unigrams(pieces, ["x"], np.log(p), np.zeros(1))
+    ways = 0.1 + 0.1 * 0.1 + 0.2 * 0.2 + 0.2 * 0.3 * 0.1  # ▁ab; ▁a b; ▁ ab; ▁ a b
+    assert np.isclose(np.exp(model.of_words(["ab"])[0, 0]), ways)
+
+
+PAGE = """<html><head><title>t</title><script>var a="</p>";</script></head><body><header>Site</header><nav><a href=1>Home</a></nav>
+<div class="ad">Buy, now, please</div><div id=content><article><h1>Title</h1><p>One &amp; two, <b>three</b>,
+four.<br><p>Second   paragraph, with text.<ul><li>item</ul></article></div><div class="comments"><p>First, comment, of, a, reader</div>
+<aside>Side</aside><form><p>Name</p></form><footer>&copy; x</footer></body></html>"""
+
+
+def test_main_text(spark):
+    want = "Title\nOne & two, three, four.\nSecond paragraph, with text.\nitem"
+    assert html_text.main_text(PAGE) == want
+    assert html_text.main_text("<div>" * 5000 + "deep, text") == "deep, text"
+    pages = spark.createDataFrame([(1, "u", PAGE), (2, None, None), (3, "v", "")], "page_id long, url string, html string")
+    assert {r.page_id: (r.text, r.n_chars) for r in html_text.extract(pages).collect()} == {1: (want, len(want)), 2: ("", 0), 3: ("", 0)}
+
+
+def test_licences(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = licences.train(spark, docs)
+    lines = ["Licensed under the Apache License, Version 2.0.", "Released under the MIT License.", "LICENSED!! UNDER!! CC BY-NC 4.0.", "Licensed under the Foo Bar Agreement License.", "this line licenses nothing of note and goes on about trees", "plain"]
+    got = {r.paragraph: r.family for r in licences.scan(documents(spark, [(1, "\n".join(lines)), (2, None), (3, "")]), model).collect()}
+    assert (got[0], got[1], got[2], got[3]) == ("apache-2.0", "mit", "cc-by-nc", "unknown") and 5 not in got
+
+
+def test_empty_tables(spark, mixed):
+    none = documents(spark, mixed).limit(0)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    for out in (setsketch.near_duplicates(none), recompression.without_repeats(none), packing.pack(none, path), edit_print.edited_prints(none)):
+        assert out.count() == 0
+
+
+def test_null_ids_and_repeated_rows(spark, mixed):
+    rows = [(None, mixed[0][1]), mixed[0], mixed[0], (200, mixed[0][1])]
+    near = setsketch.near_duplicates(documents(spark, rows)).collect()
+    assert sorted((r.component_id, r.kept) for r in near if r.doc_id is not None) == [(0, False), (0, True), (0, True)]
+    assert [(r.component_id, r.kept) for r in near if r.doc_id is None] == [(None, True)]
+    left = recompression.without_repeats(documents(spark, rows)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_removed) for r in left) == [(False, 0, 0), (False, 0, 0), (False, 200, 120), (True, 0, 0)]
+
+
+def test_pipeline(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    ids = {r.doc_id for r in pipeline.run(spark, SF).select("doc_id").distinct().collect()}
+    model = toxicity.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    clean = toxicity.without_toxic(docs, model)
+    one = setsketch.one_of_each(clean)
+    want = {r.doc_id for r in decontaminate.without_leaks(one, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
+    assert ids == want and len(want) > 100
+    assert set(queries.queries()) == {f"op{n}" + k.removeprefix(f"op{n}") for n in range(1, 11) for k in queries.queries() if k.startswith(f"op{n}_")}
