@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import Words, in_slices
 
 #: Labelled documents to fit on, at most; those with the smallest hash of their id.
-SAMPLE = 6000
+SAMPLE = 4000
 #: Words must occur in so many documents of the sample.
 LEAST_DOCS = 5
 PENALTY = 0.002
@@ -62,25 +62,29 @@ class Model:
 
 def fit(texts: list[str], grades: np.ndarray) -> Model:
     """Fit on texts with grades 0, 1, ...; a grade never seen still has its threshold."""
-    counts = []
+    ids: dict[str, int] = {}
+    own, values = [], []
     for t in texts:
-        own: Counter[str] = Counter()
+        counts: Counter[int] = Counter()
         words = Counter(lettered(t).decode().split())
         for w, n in words.items():
             for f in features(w):
-                own[f] += n
-        root = np.sqrt(words.total() + MORE_WORDS)
-        counts.append({f: n / root for f, n in own.items()})
-    seen = Counter(f for c in counts for f in c)
-    words = sorted(w for w, n in seen.items() if n >= LEAST_DOCS)
-    place = {w: i for i, w in enumerate(words)}
-    flat = [(i, place[f], v) for i, c in enumerate(counts) for f, v in c.items() if f in place]
-    rows, cols = np.array([x[0] for x in flat], np.int64), np.array([x[1] for x in flat], np.int64)
+                counts[ids.setdefault(f, len(ids))] += n
+        own.append(np.fromiter(counts.keys(), np.int32, len(counts)))
+        values.append(np.fromiter(counts.values(), np.float32, len(counts)) / np.sqrt(words.total() + MORE_WORDS))
+    rows = np.repeat(np.arange(len(texts), dtype=np.int32), list(map(len, own)))
+    cols = np.concatenate(own) if own else np.zeros(0, np.int32)
+    value = np.concatenate(values) if own else np.zeros(0)
+    often = np.bincount(cols, minlength=len(ids)) >= LEAST_DOCS
+    keep = often[cols]
+    place = np.cumsum(often) - 1
+    words = [f for f, k in ids.items() if often[k]]
+    rows, cols, value = rows[keep], place[cols[keep]], value[keep].astype(float)
+    del ids, own, values, often, keep, place
     # values are scaled to a like spread for all features, so that the penalty treats rare and common ones alike
-    value = np.array([x[2] for x in flat])
-    spread = np.sqrt(np.bincount(cols, value**2, len(words)) / max(1, len(counts))) + 1e-3 if len(flat) else np.ones(0)
-    value = value / spread[cols] if len(flat) else value
-    sets = counts
+    spread = np.sqrt(np.bincount(cols, value**2, len(words)) / max(1, len(texts))) + 1e-3
+    value = value / spread[cols]
+    sets = texts
     levels = np.arange(1, max(2, int(grades.max(initial=0)) + 1))
     n = max(1, len(sets))
     y = (grades[:, None] >= levels[None, :]).astype(float)
