@@ -52,7 +52,7 @@ class Encoder:
     as it is. Chunks and parts are kept, up to LIMIT of each.
     """
 
-    LIMIT = 900_000
+    LIMIT = 400_000
     AT_ONCE = 200
 
     def __init__(self, path: str):
@@ -122,7 +122,7 @@ def _encoder(path: str) -> Encoder:
 
 def token_ids(texts: list[str | None], path: str) -> Iterator[np.ndarray]:
     """Each text's token ids, without the end id."""
-    for a, b in in_slices(texts, 8_000_000):
+    for a, b in in_slices(texts, 4_000_000):
         words = Words(texts[a:b])
         known = _encoder(path)
         place = known.chunks(words.distinct.to_pylist())
