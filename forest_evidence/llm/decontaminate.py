@@ -42,6 +42,12 @@ def grams(buf: bytes) -> np.ndarray:
     return mixed(a * np.uint64(0x9E3779B97F4A7C15) + b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
+def budget(item: bytes) -> int:
+    """Edits allowed in a window of the item: fewer in a short one, so that its bound stays positive."""
+    n = min(WINDOW, len(item))
+    return max(0, min(int(EDIT_RATE * n), (n - Q) // Q))
+
+
 class Index:
     """q-gram positions of benchmark items."""
 
@@ -49,7 +55,7 @@ class Index:
 
     def __init__(self, items: list[tuple[int, bytes]]):
         self.items = items
-        self.budget = [int(EDIT_RATE * min(WINDOW, len(t))) for _, t in items]
+        self.budget = [budget(t) for _, t in items]
         own = [grams(t) for _, t in items]
         item = np.repeat(np.arange(len(items)), [len(g) for g in own])
         pos = np.concatenate([np.arange(len(g)) for g in own]) if own else np.zeros(0, np.int64)
@@ -160,7 +166,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, windows, start, end, edits: a row for each document and item with a shared passage.
 
     start and end are places in the cleaned text. Null texts and items, and items of fewer than ``Q``
-    cleaned characters or with no positive bound, match nothing. Repeated rows give repeated results; an
+    cleaned characters, match nothing. Repeated rows give repeated results; an
     empty table gives none. The benchmark is read in order of its characters in groups of INDEX_CHARS, one
     broadcast index each, so a task's memory doesn't grow with it.
     """
@@ -174,7 +180,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for k in range(parts):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k) if parts > 1 else items
         rows = [(r["item_id"], c) for r in own.collect() if len(c := cleaned(r["text"])) >= Q]
-        index = Index([x for x in rows if min(WINDOW, len(x[1])) - Q + 1 - int(EDIT_RATE * min(WINDOW, len(x[1]))) * Q > 0])
+        index = Index(rows)
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:

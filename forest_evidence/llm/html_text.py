@@ -29,6 +29,8 @@ _OUT_WORDS = frozenset(
     "sponsor sponsored share sharing social related recommended menu breadcrumb breadcrumbs navigation navbar nav footer header newsletter subscribe "
     "subscription popup modal pagination pager toolbar widget contentinfo complementary search login signup".split()
 )
+#: A word after one of these tells what an element has beside it, not what it is: "with-sidebar", "no-comments".
+_HAS = frozenset("has with without no is show hide".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html "
@@ -56,8 +58,12 @@ def excluded(tag: str, attributes: str) -> bool:
         return False
     if _HIDDEN.search(attributes):
         return True
-    words = (w for _, v in _ATTRIBUTE.findall(attributes) for w in re.split(r"[^a-z0-9]+", v.lower()))
-    return any(w in _OUT_WORDS for w in words)
+    for _, value in _ATTRIBUTE.findall(attributes):
+        for name in value.strip("\"'").lower().split():
+            words = re.split(r"[^a-z0-9]+", name)
+            if words[0] not in _HAS and any(w in _OUT_WORDS for w in words):
+                return True
+    return False
 
 
 def tree(page: str) -> Node:
@@ -119,7 +125,8 @@ def blocks(root: Node) -> list[tuple[Node, str, int]]:
                     found[-1][2].append(len(x))
                 continue
             if x.out:
-                found.append((holder, [], []))
+                if x.tag in _BLOCK:  # what is left out inside a line doesn't end it
+                    found.append((holder, [], []))
                 continue
             inner = x if x.tag in _BLOCK else holder
             if inner is x:
