@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import evidence as E
 from ..operators import parcels as P
+from ..operators import regions as R
 from ..operators import spatial as S
 from ..operators import zonal as Z
+from . import jobs
 from .views import sql, view, with_views
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -716,3 +718,85 @@ def _(get):
 def _(get):
     df = get("parcels").withColumn("report_id", F.col("parcel_id"))
     return E.contract_errors(df, ["mets"], {"aoi_id": ["A0", "A1", "A2"]}, [], {"pindala": 200000.0})
+
+
+# --- regions and regridding -----------------------------------------------------------------------
+
+_MASK = f"SELECT tile_id, prow, pcol, cast(prow AS bigint) * {R.WIDTH} + pcol AS id FROM pixels WHERE {OK} AND {FOREST} AND lossyear > 12"
+_BESIDE = "a.tile_id = b.tile_id AND ((a.prow = b.prow AND abs(a.pcol - b.pcol) = 1) OR (a.pcol = b.pcol AND abs(a.prow - b.prow) = 1))"
+
+
+@query("g10_mask_regions", f"WITH RECURSIVE m AS ({_MASK}), e AS (SELECT a.tile_id, a.id AS x, b.id AS y FROM m a JOIN m b ON a.tile_id = b.tile_id AND a.prow = b.prow AND b.pcol = a.pcol + 1 UNION ALL SELECT a.tile_id, a.id, b.id FROM m a JOIN m b ON a.tile_id = b.tile_id AND a.pcol = b.pcol AND b.prow = a.prow + 1), l AS (SELECT * FROM e UNION ALL SELECT tile_id, y, x FROM e), t AS (SELECT tile_id, id, id AS other FROM m UNION SELECT t.tile_id, t.id, l.y FROM t JOIN l ON t.tile_id = l.tile_id AND t.other = l.x), k AS (SELECT tile_id, id, min(other) AS region FROM t GROUP BY 1, 2), d AS (SELECT tile_id, x, count(*) AS n FROM l GROUP BY 1, 2) SELECT k.tile_id, k.region, cast(count(*) AS double) AS n_pixels, cast(sum(4 - coalesce(d.n, 0)) AS double) AS outline FROM k LEFT JOIN d ON k.tile_id = d.tile_id AND k.id = d.x GROUP BY 1, 2")
+def _(get):
+    mask = get("pixels").where(C.valid() & C.loss_after(T, CUTOFF))
+    return R.mask_regions(mask).select("tile_id", "region", R.polygon_area(F.col("polygons")).alias("n_pixels"), R.polygon_outline(F.col("polygons")).alias("outline"))
+
+
+_K0 = f"(cos(radians(30)) / sqrt(1 - {C.WGS84_E2} * 0.25))"
+_SIZE = f"({C.WGS84_A} * {_K0} * radians({STEP}))"
+_YOF = f"({C.WGS84_A} * {_Q} / (2 * {_K0}))"
+_TOPY, _LOWY = _YOF % ((f"{Y0}",) * 4), _YOF % ((f"({Y0} - 200 * {STEP})",) * 4)
+
+
+def _latitude(b: str) -> str:
+    e = C.WGS84_E2
+    return f"degrees({b} + {e / 3 + 31 * e**2 / 180 + 517 * e**3 / 5040:.18f}::double * sin(2 * {b}) + {23 * e**2 / 360 + 251 * e**3 / 3780:.18f}::double * sin(4 * {b}) + {761 * e**3 / 45360:.18f}::double * sin(6 * {b}))"
+
+
+@query("g9_regrid", f"WITH b AS (SELECT i, asin(({_TOPY} - (i + 0.5) * {_SIZE}) * 2 * {_K0} / ({C.WGS84_A}e0 * {C.Q_POLE!r}e0)) AS beta FROM (SELECT unnest(range(cast(ceil(({_TOPY} - {_LOWY}) / {_SIZE}) AS bigint))) AS i) t), r AS (SELECT cast(i AS int) AS drow, cast(floor(({Y0} - {_latitude('beta')}) / {STEP}) AS int) AS prow FROM b) SELECT tile_id, drow, count(*) AS n, cast(sum(treecover) AS bigint) AS cover FROM pixels JOIN r USING (prow) GROUP BY 1, 2")
+def _(get):
+    return R.regrid(get("pixels"), 30.0, Y0, STEP, 200, 200).groupBy("tile_id", "drow").agg(F.count("*").alias("n"), F.sum("treecover").alias("cover"))
+
+
+# --- jobs that chain the operators ----------------------------------------------------------------
+
+_ZONED = f"SELECT b.box_id AS zone_id, {', '.join(f'count(p.prow) FILTER (WHERE {OK} AND {w}) * {PIXEL_HA} AS {k}_ha' for k, w in _CASES.items())}, (b.c1 - b.c0) * (b.r1 - b.r0) * {PIXEL_HA} AS aoi_ha FROM boxes b LEFT JOIN pixels p ON {_IN} GROUP BY b.box_id, b.c0, b.c1, b.r0, b.r1"
+
+
+@query("q1_aoi_evidence", f"SELECT zone_id, round(aoi_ha, 4) AS aoi_ha, {', '.join(f'round({k}_ha, 4) AS {k}_ha' for k in _CASES)}, round(loss_after_ha / aoi_ha * 100, 4) AS loss_pct_of_aoi, CASE WHEN loss_after_ha <= 0 THEN 'pass' ELSE 'fail' END AS status FROM ({_ZONED}) z")
+def _(get):
+    zones = _zones(get)
+    areas = zones.select("zone_id", (R.polygon_area(F.col("polygons")) * PIXEL_HA).alias("aoi_ha"))
+    out = jobs.aoi_evidence(zones, get("pixels").drop("zone_id"), areas, T, CUTOFF, END, F.lit(PIXEL_HA * 10000))
+    return out.select("zone_id", *[r4(c) for c in out.columns if c not in ("zone_id", "status")], "status")
+
+
+@query("q2_parcels", f"SELECT aoi_id, parcel_id, {_LABEL} AS designation, round(land_ha, 4) AS land_ha, round(forest_ha, 4) AS forest_ha, key_used, method, coalesce(row_number() OVER (PARTITION BY aoi_id ORDER BY forest_ha DESC NULLS LAST, coalesce(pindala, geodesic_area_ha * 10000) DESC NULLS LAST, parcel_id) <= 10, false) AS top FROM {_F} f")
+def _(get):
+    out = jobs.parcels(get("parcels"), _label())
+    return out.select("aoi_id", "parcel_id", "designation", r4("land_ha"), r4("forest_ha"), "key_used", "method", "top")
+
+
+@query("q3_crosscheck", f"SELECT p.aoi_id, p.parcel_id, round(p.forest_ha, 4) AS forest_ha, round(t.computed, 4) AS computed_ha, CASE WHEN p.forest_ha IS NULL OR p.forest_ha = 0 THEN 'not_comparable' WHEN abs(t.computed - p.forest_ha) / p.forest_ha <= 0.05 THEN 'pass' ELSE 'fail' END AS outcome, CASE WHEN t.r IS NULL OR t.computed IS NULL THEN 'not_comparable' WHEN abs(t.computed - t.r) / t.r <= 0.05 THEN 'pass' ELSE 'fail' END AS total_outcome, t.source FROM {_F} p JOIN (SELECT aoi_id, sum(CASE WHEN forest_ha > 0 THEN forest_ha END) AS r, sum(land_ha) * 0.5 AS computed, CASE WHEN min(key_used) = max(key_used) THEN min(key_used) ELSE 'mixed' END AS source FROM {_F} g GROUP BY 1) t ON p.aoi_id = t.aoi_id")
+def _(get):
+    own = _forest(get)
+    computed = own.groupBy("aoi_id").agg((F.sum("land_ha") * 0.5).alias("computed_ha"))
+    return jobs.crosscheck(own, computed).select("aoi_id", "parcel_id", r4("forest_ha"), r4("computed_ha"), "outcome", "total_outcome", "source")
+
+
+@query("q4_reports", f"SELECT zone_id AS aoi_id, 'report::' || zone_id AS report_id, {len(_CASES) + 1} AS n_metrics, round(loss_after_ha, 4) AS loss_after_ha, CASE WHEN loss_after_ha <= 60 THEN 'pass' ELSE 'fail' END AS outcome FROM ({_METRICS}) m")
+def _(get):
+    out = jobs.reports(P.loss_status(_metrics(get), F.lit(10000.0), F.col("loss_after_ha"), 60.0).withColumnRenamed("zone_id", "aoi_id"), "report")
+    return out.select("aoi_id", "report_id", F.size("metrics").alias("n_metrics"), F.round(F.col("metrics")["loss_after_ha"]["value"], 4).alias("loss_after_ha"), F.col("results")[0]["outcome"].alias("outcome"))
+
+
+@query("q5_plot_reports", "SELECT concat('run::', box_id) AS report_id, box_id AS plot_id, round((c0 + c1) / 200.0, 8) AS lon, round((r0 + r1) / 200.0, 8) AS lat, 1 AS n_polygons FROM boxes")
+def _(get):
+    return jobs.plot_reports(_zones(get, 0.01), "run").select("report_id", "plot_id", "lon", "lat", "n_polygons")
+
+
+@query("q6_publish", "SELECT site_id, run_name, cast(rank AS int) AS rank, has_report = 1 AS ok FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY bundle_date DESC, run_name DESC) AS rank FROM runs) t WHERE rank <= 2")
+def _(get):
+    return jobs.publish(get("runs"), 2).select("site_id", "run_name", "rank", "ok")
+
+
+@query("q7_catalogue", "SELECT c.dataset_id, c.name, f.family, f.family IS NOT NULL AS has_family FROM catalogue c LEFT JOIN families f ON c.dataset_id = f.dataset_id")
+def _(get):
+    return jobs.catalogue(get("catalogue"), get("families"))
+
+
+@query("q8_link_review", f"SELECT family, dependency_id, url, round(cast(score AS double), 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY family ORDER BY score DESC, probe) AS k FROM (SELECT *, split_part(dependency_id, '/', 1) AS family, {_SCORE} AS score FROM links) s WHERE score > 1.0) t WHERE k = 1 AND dependency_id NOT LIKE 'fam1/%'")
+def _(get):
+    links = get("links")
+    known = links.where("dependency_id like 'fam1/%'").select("dependency_id", "url", F.lit("tool").alias("discovered_by"), F.lit("probe").alias("discovery_method"))
+    return jobs.link_review(links, known, 1.0).select("family", "dependency_id", "url", r4("score"))

@@ -78,4 +78,6 @@ def with_views(text: str) -> str:
     ctes = ", ".join(f"{v} AS ({VIEWS[v]})" for v in used)
     if not used:
         return text
+    if text.lstrip().lower().startswith("with recursive "):
+        return f"WITH RECURSIVE {ctes}, {text.lstrip()[15:]}"
     return f"WITH {ctes}, {text[5:]}" if text.lstrip().lower().startswith("with ") else f"WITH {ctes} {text}"

@@ -1,6 +1,7 @@
 """Known answers and invariants."""
 
 import math
+import random
 
 from pyspark.sql import functions as F
 
@@ -8,6 +9,7 @@ from forest_evidence import sources
 from forest_evidence.functions import columns as C
 from forest_evidence.operators import evidence as E
 from forest_evidence.operators import parcels as P
+from forest_evidence.operators import regions as R
 from forest_evidence.operators import spatial as S
 from forest_evidence.operators import zonal as Z
 
@@ -102,3 +104,35 @@ def test_evidence_overwrites_just_its_bundles(spark, tmp_path):
         sources.write_evidence(rows(b, v), str(tmp_path / "e"))
     got = sources.read_evidence(spark, str(tmp_path / "e"), "2024-01-01", "2024-01-02")
     assert [(r.bundle_id, r.v) for r in got.collect()] == [("a", 2), ("b", 1)]
+
+
+def test_regions_equal_flood_fill(spark):
+    rng = random.Random(3)
+    cells = {(t, r, c) for t in "ab" for r in range(12) for c in range(12) if rng.random() < 0.6}
+    df = spark.createDataFrame(sorted(cells) + sorted(cells)[:5], "tile_id string, prow int, pcol int")
+    polygons = F.col("polygons")
+    got = {(x.tile_id, x.region): (x.a, x.o) for x in R.mask_regions(df).select("tile_id", "region", R.polygon_area(polygons).alias("a"), R.polygon_outline(polygons).alias("o")).collect()}
+    beside = lambda t, r, c: ((t, r + 1, c), (t, r - 1, c), (t, r, c + 1), (t, r, c - 1))
+    want, todo = {}, set(cells)
+    while todo:
+        stack, own = [todo.pop()], set()
+        while stack:
+            own.add(cell := stack.pop())
+            stack += [n for n in beside(*cell) if n in todo]
+            todo.difference_update(stack)
+        t, r, c = min(own)
+        want[t, r * R.WIDTH + c] = (float(len(own)), float(sum(n not in own for cell in own for n in beside(*cell))))
+    assert got == want
+
+
+def test_no_pixels_make_no_regions(spark):
+    assert R.mask_regions(spark.createDataFrame([], "tile_id string, prow int, pcol int")).count() == 0
+
+
+def test_regridding_keeps_area(spark):
+    # each cell of the new grid has the same area, so their number follows the ground's area
+    rows, columns = R.equal_area_maps(spark.range(1), 20.0, 60.0, 0.01, 100, 100)
+    cells = rows.count() * columns.count()
+    truth = spark.range(100).select(F.sum(C.cell_area_m2(60 - F.col("id") * 0.01, 60 - (F.col("id") + 1) * 0.01, F.lit(0.01))) * 100).first()[0]
+    size = C.WGS84_A * math.cos(math.radians(30)) / math.sqrt(1 - C.WGS84_E2 * 0.25) * math.radians(0.01)
+    assert abs(cells * size**2 / truth - 1) < 0.02
