@@ -57,39 +57,39 @@ def _row(c: str) -> list[int]:
     return got
 
 
-def walk(text: str, time: int = 0) -> list[int]:
+def walk(text: str, time: int = 0) -> np.ndarray:
     """The time at which the walk reaches each character, and the end."""
+    mask, rows = PERIOD - 1, {c: _row(c) for c in set(text)}
     times = [time]
-    add, mask = times.append, PERIOD - 1
-    rows = {c: _row(c) for c in set(text)}
-    for row in map(rows.__getitem__, text):
-        time += row[time & mask]
-        add(time)
-    return times
-
-
-def grams(text: str) -> np.ndarray:
-    """A hash for each character with those after it."""
-    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    h = np.zeros(len(c), np.uint64)
-    for k in range(min(GRAM, len(c))):
-        h[: len(c) - k] += (c[k:] + np.uint64(1)) * np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) % 2**64 | 1)
+    times += [time := time + row[time & mask] for row in map(rows.__getitem__, text)]
+    return np.array(times, np.int64)
+
+
+def grams(text: str, at: np.ndarray) -> np.ndarray:
+    """A hash for the character at each place with those after it; 0 past the end."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    c = np.append(c, np.zeros(GRAM, "<u4"))
+    h = np.zeros(len(at), np.uint64)
+    for k in range(GRAM):
+        there = (at + k < len(text)).astype(np.uint64)
+        h += (c[np.minimum(at + k, len(text))] + np.uint64(1)) * there * np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) % 2**64 | 1)
     return (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
 
 
+#: Characters of a fingerprint; the last stands for a place past the end.
+_DIGITS = np.frombuffer(b"0123456789abcdef-", np.uint8)
+
+
 def fingerprint(text: str, times: np.ndarray | None = None) -> str:
     """Scale (two digits), then SAMPLES digits at half the scale, at it and at twice it."""
-    times = np.asarray(walk(text) if times is None else times)
+    times = walk(text) if times is None else times
     scale = max(1, int(times[-1]) - 1).bit_length()
-    h = np.append(grams(text), np.uint64(0))
-    out = [f"{scale:02x}"]
-    for s in (scale - 1, scale, scale + 1):
-        place = (_PLACE * 2.0**s).astype(np.int64)
-        at = np.minimum(np.searchsorted(times, place, "right") - 1, len(text))
-        digit = ((h[at] * _SALT) >> np.uint64(60)).astype(np.uint8)
-        # past the end there is nothing to agree on: an empty place, told apart from any digit
-        out.append("".join("-" if e else f"{d:x}" for d, e in zip(digit.tolist(), (at >= len(text)).tolist())))
-    return "".join(out)
+    place = np.concatenate([(_PLACE * 2.0**s).astype(np.int64) for s in (scale - 1, scale, scale + 1)])
+    at = np.minimum(np.searchsorted(times, place, "right") - 1, len(text))
+    digit = (grams(text, at) * np.tile(_SALT, 3)) >> np.uint64(60)
+    # past the end there is nothing to agree on: an empty place, told apart from any digit
+    digit[at >= len(text)] = 16
+    return f"{scale:02x}" + _DIGITS[digit.astype(np.intp)].tobytes().decode()
 
 
 def likeness(a: str, b: str) -> float:
@@ -128,7 +128,7 @@ class Read:
     def row(self, following: Read) -> tuple:
         """The result for this document and the one that follows it."""
         edited, kept = edited_after(self.text, following.text)
-        again = self.times[: kept + 1] + walk(edited[kept:], self.times[kept])[1:]
+        again = np.concatenate([self.times[:kept], walk(edited[kept:], int(self.times[kept]))])
         edited_print = fingerprint(edited, again)
         sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
         return self.doc_id, len(self.text), sha, self.print, edited_print, likeness(self.print, edited_print), likeness(self.print, following.print)
