@@ -124,6 +124,44 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return ids.union(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
+def in_blocks(df: DataFrame, key: str, block: int) -> DataFrame:
+    """Rows (``id``, ``n_key`` of them to a key) of each key dealt into blocks of about ``block`` and repeated
+    once for each pair of blocks (p, q), so that a hot key is compared in many tasks."""
+    n = F.greatest(F.lit(1), F.ceil(F.col("n_key") / block)).cast("int")
+    df = df.withColumn("n_blocks", n).withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("n_blocks")).cast("int"))
+    df = df.withColumn("other", F.explode(F.expr("sequence(0, n_blocks - 1)")))
+    df = df.withColumn("p", F.least("block", "other")).withColumn("q", F.greatest("block", "other"))
+    return df.drop("other", "n_blocks", "n_key").repartition(key, "p", "q").sortWithinPartitions(key, "p", "q")
+
+
+def block_pairs(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs that a pair of blocks is to compare."""
+    p, q = group["p"].iat[0], group["q"].iat[0]
+    if p == q:
+        return np.triu_indices(len(group), 1)
+    block = group["block"].to_numpy()
+    left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
+    return np.repeat(left, len(right)), np.tile(right, len(left))
+
+
+class DisjointSets:
+    """Disjoint sets over 0..n-1."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def find(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.find(a), self.find(b)
+        self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
 def in_slices(texts: list, limit: int = 3_000_000) -> Iterator[tuple[int, int]]:
     """(from, to) of consecutive texts of about ``limit`` characters, to bound a task's arrays."""
     a, n = 0, 0

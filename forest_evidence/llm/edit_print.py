@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_group, staged
+from .common import DisjointSets, block_pairs, by_group, components, in_blocks, mixed, staged
 
 #: Places sampled at each scale; each is a hexadecimal digit of the fingerprint.
 SAMPLES = 128
@@ -27,6 +27,8 @@ GRAM = 4
 PERIOD, CLASSES = 4096, 64
 BAND = 8
 LEAST_LIKENESS = 0.6
+#: Rows of a band that one task compares at once.
+BLOCK = 512
 
 _RNG = np.random.default_rng(11)
 _BITS = _RNG.integers(0, 2, (CLASSES, PERIOD), dtype=np.int8)
@@ -178,11 +180,51 @@ def edited_prints(docs: DataFrame) -> DataFrame:
     return done.where("first is null").select(*_COLUMNS).union(waiting.mapInPandas(finish, digest))
 
 
-def near_pairs(docs: DataFrame, least: float = LEAST_LIKENESS) -> DataFrame:
-    """a, b, likeness: pairs of different texts that share a band of sampled places and are verified.
+def likenesses(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``likeness`` of the rows of two matrices of fingerprints' characters, row by row."""
+    digits = np.array([int(chr(c), 16) if chr(c) in "0123456789abcdef" else 0 for c in range(128)])
+    sa, sb = (digits[m[:, 0]] * 16 + digits[m[:, 1]] for m in (a, b))
+    s, places = np.maximum(sa, sb), np.arange(SAMPLES)
+    reach = np.abs(sa - sb) <= 1
 
-    Equal texts count once, by their smallest doc_id. Rows of a band are compared with its first and the
-    one before them in the order of fingerprints, never all with all.
+    def section(m, own):
+        first = 2 + np.where(reach, s - own + 1, 1) * SAMPLES
+        return np.take_along_axis(m, first[:, None] + places, 1)
+
+    x, y = section(a, sa), section(b, sb)
+    seen = (x != 45) | (y != 45)
+    share = ((x == y) & seen).sum(1) / np.maximum(1, seen.sum(1))
+    out = np.where(reach & seen.any(1), np.maximum(0.0, (share - 1 / 16) / (15 / 16)), 0.0)
+    return np.where((a == b).all(1), 1.0, out)
+
+
+#: Samples in the order of their places; a band takes neighbouring ones.
+_ORDER = np.argsort(_PLACE, kind="stable")
+
+
+def bands(prints: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, key) of each band without a place past the end, at a text's own scale and the next longer one,
+    where it meets texts of that scale."""
+    m = np.frombuffer("".join(prints).encode(), np.uint8).reshape(len(prints), -1)
+    scale = np.array([int(p[:2], 16) for p in prints], np.uint64)
+    rows, keys = [], []
+    for up in (0, 1):
+        own = m[:, 2 + (1 + up) * SAMPLES :][:, :SAMPLES][:, _ORDER].reshape(len(m), -1, BAND)
+        packed = np.ascontiguousarray(own).view("<u8")[:, :, 0]
+        row, band = np.nonzero((own != 45).all(2))
+        label = (scale[row] + np.uint64(up)) * np.uint64(256) + band.astype(np.uint64)
+        rows.append(row)
+        keys.append(mixed(packed[row, band] ^ mixed(label + np.uint64(1))).view(np.int64))
+    return np.concatenate(rows), np.concatenate(keys)
+
+
+def near_classes(docs: DataFrame, least: float = LEAST_LIKENESS) -> DataFrame:
+    """doc_id, class_id for every row of ``docs``: the smallest doc_id reachable by links.
+
+    Two texts are linked if they share a band of sampled places and their whole fingerprints have a
+    likeness of ``least`` or more. Equal fingerprints are one class before any pair is formed. All rows of a
+    band are compared, in blocks of ``BLOCK``; a pair of blocks yields a spanning forest of its links. Null
+    texts are empty; a null doc_id is linked with nothing and has a null class. Other columns are ignored.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -190,16 +232,28 @@ def near_pairs(docs: DataFrame, least: float = LEAST_LIKENESS) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "print": [fingerprint(t or "") for t in batch["text"]]})
 
-    prints = docs.where("doc_id is not null").select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, print string")
-    prints = staged(prints.groupBy("print").agg(F.min("doc_id").alias("doc_id")))
-    bands = F.array(*[F.concat_ws(":", F.lit(k), F.substring("print", 1, 2), F.substring("print", 3 + SAMPLES + k * BAND, BAND)) for k in range(SAMPLES // BAND)])
-    rows = prints.select("doc_id", "print", F.explode(bands).alias("band")).repartition("band").sortWithinPartitions("band", "print")
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                row, key = bands(batch["print"].tolist())
+                yield pd.DataFrame({"id": batch["id"].to_numpy()[row], "band": key})
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in by_group(batches, ["band"]):
-            ids, prints = group["doc_id"].tolist(), group["print"].tolist()
-            pairs = {(0, i) for i in range(1, len(ids))} | {(i - 1, i) for i in range(1, len(ids))}
-            found = [(min(ids[i], ids[j]), max(ids[i], ids[j]), n) for i, j in pairs if (n := likeness(prints[i], prints[j])) >= least]
-            yield pd.DataFrame(found, columns=["a", "b", "likeness"])
-
-    return rows.mapInPandas(compare, f"a {kind}, b {kind}, likeness double").distinct()
+        for group in by_group(batches, ["band", "p", "q"]):
+            ids, m = group["id"].to_numpy(), np.frombuffer("".join(group["print"]).encode(), np.uint8).reshape(len(group), -1)
+            (i, j), sets, keep = block_pairs(group), DisjointSets(len(group)), []
+            for a in range(0, len(i), 20_000):
+                x, y = i[a : a + 20_000], j[a : a + 20_000]
+                near = likenesses(m[x], m[y]) >= least
+                keep += [(u, v) for u, v in zip(x[near].tolist(), y[near].tolist()) if sets.join(u, v)]
+            if keep:
+                yield pd.DataFrame({"a": ids[[u for u, _ in keep]], "b": ids[[v for _, v in keep]]})
+
+    rows = staged(docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, print string"))
+    nodes = staged(rows.where("doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("id")))
+    keys = staged(nodes.mapInPandas(keyed, f"id {kind}, band long"))
+    shared = keys.groupBy("band").agg(F.count("*").alias("n_key")).where("n_key > 1")
+    members = keys.join(shared, "band").join(nodes, "id")
+    classes = components(in_blocks(members, "band", BLOCK).mapInPandas(compare, f"a {kind}, b {kind}"))
+    out = rows.join(nodes, "print", "left").join(classes, "id", "left")
+    return out.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id")).alias("class_id"))

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, by_group, components, in_slices, mixed, size_checked, staged
+from .common import DisjointSets, Words, block_pairs, by_group, components, in_blocks, in_slices, mixed, size_checked, staged
 
 SHINGLE = 5
 BANDS, ROWS = 21, 6
@@ -92,43 +92,6 @@ def sketch(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n_shingles long, digest binary, registers binary")
 
 
-def _in_blocks(df: DataFrame, key: str) -> DataFrame:
-    """Rows of each key dealt into blocks of about BLOCK and repeated once for each pair of blocks (p, q)."""
-    n = F.greatest(F.lit(1), F.ceil(F.col("n_key") / BLOCK)).cast("int")
-    df = df.withColumn("n_blocks", n).withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("n_blocks")).cast("int"))
-    df = df.withColumn("other", F.explode(F.expr("sequence(0, n_blocks - 1)")))
-    df = df.withColumn("p", F.least("block", "other")).withColumn("q", F.greatest("block", "other"))
-    return df.drop("other", "n_blocks", "n_key").repartition(key, "p", "q").sortWithinPartitions(key, "p", "q")
-
-
-def _pairs(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs that this pair of blocks is to compare."""
-    p, q = group["p"].iat[0], group["q"].iat[0]
-    if p == q:
-        return np.triu_indices(len(group), 1)
-    block = group["block"].to_numpy()
-    left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
-    return np.repeat(left, len(right)), np.tile(right, len(left))
-
-
-class _Sets:
-    """Disjoint sets over 0..n-1."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def find(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
-        self.up[max(a, b)] = min(a, b)
-        return a != b
-
-
 def _likely(regs: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The pairs whose estimated similarity reaches ESTIMATE, and the estimates; compared in slices."""
     out = []
@@ -150,8 +113,8 @@ def _sketch_links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             continue
         ids, size = group["id"].to_numpy(), group["n_shingles"].to_numpy().astype(float)
         regs = np.frombuffer(b"".join(group["registers"]), np.uint8).reshape(len(group), REGISTERS)
-        x, y, _ = _likely(regs, size, *_pairs(group))
-        sets = _Sets(len(group))
+        x, y, _ = _likely(regs, size, *block_pairs(group))
+        sets = DisjointSets(len(group))
         keep = [(a, b) for a, b in zip(x.tolist(), y.tolist()) if sets.join(a, b)]
         if keep:
             yield pd.DataFrame({"a": ids[[a for a, _ in keep]], "b": ids[[b for _, b in keep]]})
@@ -165,13 +128,13 @@ def _confirmed(threshold: int):
             ids = group["id"].to_numpy()
             own = list(shingle_sets(group["text"].tolist()))
             size = np.array([len(s) for s in own], float)
-            x, y = _pairs(group)
+            x, y = block_pairs(group)
             if len(group) > 8:  # estimates choose the order, so that few pairs of one class are compared
                 regs = np.stack([registers(s) for s in own])
                 x, y, e = _likely(regs, size, x, y)
                 order = np.argsort(-e, kind="stable")
                 x, y = x[order], y[order]
-            sets, keep = _Sets(len(group)), []
+            sets, keep = DisjointSets(len(group)), []
             for a, b in zip(x.tolist(), y.tolist()):
                 if sets.find(a) == sets.find(b):
                     continue
@@ -206,12 +169,12 @@ def near_duplicates(docs: DataFrame, threshold: int = 85) -> DataFrame:
     bands = nodes.select("id", key.alias("band"))
     shared = bands.groupBy("band").agg(F.count("*").alias("n_key")).where("n_key > 1")
     members = bands.join(shared, "band").join(nodes.select("id", "n_shingles", "registers"), "id")
-    pairs = staged(_in_blocks(members, "band").mapInPandas(_sketch_links, f"a {kind}, b {kind}").distinct())
+    pairs = staged(in_blocks(members, "band", BLOCK).mapInPandas(_sketch_links, f"a {kind}, b {kind}").distinct())
 
     family = staged(components(pairs).select("id", F.col("component").alias("family")))
     sized = family.join(family.groupBy("family").agg(F.count("*").alias("n_key")), "family")
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(size_checked(staged(sized), 40), "id")
-    links = _in_blocks(texts, "family").mapInPandas(_confirmed(threshold), f"a {kind}, b {kind}")
+    links = in_blocks(texts, "family", BLOCK).mapInPandas(_confirmed(threshold), f"a {kind}, b {kind}")
     classes = components(links)
     out = rows.join(nodes.select("digest", "id"), "digest", "left").join(classes, "id", "left")
     out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id")).alias("component_id"))

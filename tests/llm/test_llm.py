@@ -152,8 +152,30 @@ def test_fingerprints(spark, mixed):
         assert 0 <= got[i].near_edited <= 1 and 0 <= got[i].near_next <= 1
     assert got[0].fingerprint == got[10].fingerprint
     assert got[1].near_edited > 0.3 > got[1].near_next or got[1].near_next > 0.3
-    pairs = {(r.a, r.b) for r in edit_print.near_pairs(documents(spark, mixed)).collect()}
-    assert pairs and all(a < b for a, b in pairs)
+
+
+@pytest.mark.parametrize("block", [512, 3])
+def test_edit_classes_equal_brute_force(spark, mixed, monkeypatch, block):
+    monkeypatch.setattr(edit_print, "BLOCK", block)
+    got = {r.doc_id: r.class_id for r in edit_print.near_classes(documents(spark, [*mixed, (None, mixed[0][1])])).collect()}
+    assert got.pop(None) is None
+    prints = {i: edit_print.fingerprint(t or "") for i, t in mixed}
+    keys = {i: set(edit_print.bands([p])[1].tolist()) for i, p in prints.items()}
+    label = {i: i for i in prints}
+    for _ in prints:
+        for i in prints:
+            for j in prints:
+                if prints[i] == prints[j] or keys[i] & keys[j] and edit_print.likeness(prints[i], prints[j]) >= edit_print.LEAST_LIKENESS:
+                    label[i] = label[j] = min(label[i], label[j])
+    assert got == label
+    assert {got[i] for i in (1, *range(30, 42))} == {1} and got[10] == 0 and got[2] == 2
+
+
+def test_likenesses_equal_likeness(mixed):
+    prints = [edit_print.fingerprint(t or "") for _, t in mixed]
+    m = np.frombuffer("".join(prints).encode(), np.uint8).reshape(len(prints), -1)
+    for p, row in zip(prints, m):
+        assert np.allclose(edit_print.likenesses(np.repeat(row[None], len(m), 0), m), [edit_print.likeness(p, q) for q in prints])
 
 
 def test_leaks(spark):
