@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, Words, in_slices, mixed, staged
+from .common import Words, in_slices, mixed, staged
 
 WINDOW = 20
 LEVELS = 2
@@ -248,9 +248,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     symbols = staged(docs.where("doc_id is not null").mapInPandas(_symbols, f"doc_id {kind}, pos int, key long"))
     often = symbols.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", (F.col("n") > BLOCK).cast("int").alias("hot"))
     marks = symbols.join(often, "key").groupBy("doc_id").agg(F.collect_list(F.col("pos") * 2 + F.col("hot")).alias("marks"))
-    marks = staged(marks)
-    size = marks.agg(F.sum(F.size("marks") * 4 + 48)).first()[0] or 0
-    marks = F.broadcast(marks) if size <= BROADCAST_BYTES else marks
+    # grouped by doc_id as the join needs them: not written, not dealt again
     windows = docs.join(marks, "doc_id").mapInPandas(_repeated_windows, f"key long, doc_id {kind}, pos int, hot boolean, windows array<long>")
     windows = staged(windows)
     cold = windows.where("not hot").select("key", "doc_id", "pos", "windows").repartition("key").sortWithinPartitions("key", "doc_id", "pos")
@@ -258,7 +256,5 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     each = windows.where("hot").select("doc_id", "pos", F.posexplode("windows").alias("i", "w")).select("doc_id", (F.col("pos") + F.col("i")).alias("first"), "w")
     first = each.groupBy("w").agg(F.min(F.struct("doc_id", "first")).alias("earliest"))
     late = each.join(first, "w").where(F.struct("doc_id", "first") > F.col("earliest")).select("doc_id", "first", (F.col("first") + 1).alias("past"))
-    again = staged(again.union(late).groupBy("doc_id").agg(F.collect_list(F.struct("first", "past")).alias("again")))
-    size = again.agg(F.sum(F.size("again") * 24 + 48)).first()[0] or 0
-    again = F.broadcast(again) if size <= BROADCAST_BYTES else again
+    again = again.union(late).groupBy("doc_id").agg(F.collect_list(F.struct("first", "past")).alias("again"))
     return docs.join(again, "doc_id", "left").mapInPandas(_kept, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
