@@ -85,63 +85,76 @@ class Index:
         return np.repeat(at, n), self.item[place], self.pos[place]
 
 
-def aligned(pattern: bytes, text: bytes, low: int, high: int, most: int) -> tuple[int, int, int] | None:
-    """Fewest edits, and where in ``text``, for ``pattern`` at any place whose diagonals stay in [low, high].
+def windows_aligned(body: bytes, width: int, starts: np.ndarray, text: bytes, low: int, high: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fewest edits, and from and to where in ``text``, for ``body[s : s + width]`` of each start s, at any place
+    whose diagonals stay in [low, high]; a window that takes more than ``most`` edits has ``most + 1``.
 
-    Rows are characters of the pattern, cells are diagonals; None if it takes more than ``most`` edits.
+    All windows advance together: for a number of edits and a diagonal, the farthest place of the body
+    reached. Past either end of ``text`` no character matches.
     """
-    far = most + 1
-    width = high - low + 1
-    cost = [0 if 0 <= d <= len(text) else far for d in range(low, high + 1)]
-    start = list(range(low, high + 1))
-    for i, c in enumerate(pattern, 1):
-        new, begin = [far] * width, start[:]
-        for x in range(width):
-            j = i + low + x  # text characters used
-            best, s = far, start[x]
-            if 1 <= j <= len(text):
-                best = cost[x] + (text[j - 1] != c)
-            if 0 <= j <= len(text) and x + 1 < width and cost[x + 1] + 1 < best:
-                best, s = cost[x + 1] + 1, start[x + 1]
-            if 1 <= j <= len(text) and x and new[x - 1] + 1 < best:
-                best, s = new[x - 1] + 1, begin[x - 1]
-            new[x], begin[x] = min(best, far), s
-        cost, start = new, begin
-        if min(cost) > most:
-            return None
-    x = min(range(width), key=cost.__getitem__)
-    return cost[x], start[x], len(pattern) + low + x
-
-
-def leaks_of(text: bytes, item: int, index: Index, at: np.ndarray, pos: np.ndarray) -> list[tuple[int, int, int]]:
-    """Verified (start, end, edits) in ``text`` of windows of the item, from its shared q-grams."""
+    n, wide = len(body), high - low + 1
+    over = np.zeros(n + wide - 1, np.uint8)  # text from low on; no cleaned text has a zero
+    a, b = max(0, low), min(len(text), n + high)
+    if a < b:
+        over[a - low : b - low] = np.frombuffer(text, np.uint8, b - a, a)
+    same = np.lib.stride_tricks.sliding_window_view(over, n) == np.frombuffer(body, np.uint8)
+    ends = np.full((wide, n + 1), n)  # where the run of equal characters from a place ends
+    ends[:, :-1] = np.minimum.accumulate(np.where(same, n, np.arange(n))[:, ::-1], 1)[:, ::-1]
+    own, goal = np.arange(wide), (starts + width)[:, None]
+    far = np.minimum(ends[:, starts].T, goal)
+    begin = np.broadcast_to(own, far.shape)
+    edits, first, last = np.full(len(starts), most + 1), np.zeros(len(starts), int), np.zeros(len(starts), int)
+    for e in range(most + 1):
+        if e:
+            ways = np.stack([far + 1, np.full_like(far, -1), np.full_like(far, -1)])
+            ways[1, :, 1:], ways[2, :, :-1] = far[:, :-1], far[:, 1:] + 1  # a character more in the text, or less
+            origin = np.stack([begin, np.roll(begin, 1, 1), np.roll(begin, -1, 1)])
+            best = ways.argmax(0)[None]
+            far, begin = np.take_along_axis(ways, best, 0)[0], np.take_along_axis(origin, best, 0)[0]
+            far = np.minimum(ends[own, np.minimum(far, goal)], goal)
+        done = (far == goal).any(1) & (edits > most)
+        d = (far == goal).argmax(1)[done]
+        edits[done], last[done], first[done] = e, starts[done] + width + low + d, starts[done] + low + begin[done, d]
+        if (edits <= most).all():
+            break
+    return edits, np.clip(first, 0, len(text)), np.clip(last, 0, len(text))
+
+
+def aligned(pattern: bytes, text: bytes, low: int, high: int, most: int) -> tuple[int, int, int] | None:
+    """``windows_aligned`` for one whole pattern; None if it takes more than ``most`` edits."""
+    edits, first, last = (int(x[0]) for x in windows_aligned(pattern, len(pattern), np.zeros(1, int), text, low, high, most))
+    return (edits, first, last) if edits <= most else None
+
+
+def leaks_of(text: bytes, item: int, index: Index, at: np.ndarray, pos: np.ndarray) -> tuple[int, int, int, int] | None:
+    """(windows found, first start, last end, fewest edits) in ``text`` of all windows of the item, from its
+    shared q-grams; a window found at several places counts once."""
     body, k, bound = index.items[item][1], index.budget[item], index.bound(item)
     width = min(WINDOW, len(body))
     diagonal = at - pos
-    found = []
     reach = k + 1
     band = diagonal // reach
+    every = np.arange(len(body) - width + 1)
+    hit, begins, ends, fewest = np.zeros(len(every), bool), [], [], []
     for b in np.unique(np.concatenate([band, band - 1])):  # bands of two reaches overlap by one
         own = (band == b) | (band == b + 1)
         if own.sum() < bound:
             continue
         have = np.unique(pos[own])
-        starts = sorted({*range(0, len(body) - width + 1, width // 4), len(body) - width})
-        count = np.searchsorted(have, np.array(starts) + width - Q + 1) - np.searchsorted(have, starts)
-        low, high = int(b) * reach, int(b + 2) * reach - 1
-        for s in np.array(starts)[count >= bound].tolist():
-            piece = body[s : s + width]
-            from_ = max(0, low + s)
-            part = text[from_ : max(0, high + s + width)]
-            if (x := part.find(piece)) >= 0:
-                found.append((from_ + x, from_ + x + width, 0))
-            elif got := aligned(piece, part, low + s - from_, high + s - from_, k):
-                found.append((from_ + got[1], from_ + got[2], got[0]))
-    return found
+        starts = every[np.searchsorted(have, every + width - Q + 1) - np.searchsorted(have, every) >= bound]
+        if not len(starts):
+            continue
+        edits, first, last = windows_aligned(body, width, starts, text, int(b) * reach, int(b + 2) * reach - 1, k)
+        if (good := edits <= k).any():
+            hit[starts[good]] = True
+            begins.append(int(first[good].min()))
+            ends.append(int(last[good].max()))
+            fewest.append(int(edits[good].min()))
+    return (int(hit.sum()), min(begins), max(ends), min(fewest)) if begins else None
 
 
 def search(texts: list[str | None], index: Index) -> Iterator[tuple[int, int, int, int, int, int]]:
-    """(text number, item, windows found, first start, last end, fewest edits in a window)."""
+    """(text number, item, windows of the item found, first start, last end, fewest edits in a window)."""
     least = min((index.bound(k) for k in range(len(index.items))), default=0)
     for a, b in in_slices(texts):
         clean = [cleaned(t) for t in texts[a:b]]
@@ -159,13 +172,14 @@ def search(texts: list[str | None], index: Index) -> Iterator[tuple[int, int, in
                 continue
             d, k = divmod(int(key[x]), len(index.items))
             if found := leaks_of(clean[d], k, index, at[x:y] - starts[d], pos[x:y]):
-                yield a + d, index.items[k][0], len(found), min(f[0] for f in found), max(f[1] for f in found), min(f[2] for f in found)
+                yield a + d, index.items[k][0], *found
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, windows, start, end, edits: a row for each document and item with a shared passage.
 
-    start and end are places in the cleaned text. Null texts and items, and items of fewer than ``Q``
+    Every window of the item is tried, at each of its characters; windows is how many of them the document
+    holds. start and end are places in the cleaned text. Null texts and items, and items of fewer than ``Q``
     cleaned characters, match nothing. Repeated rows give repeated results; an
     empty table gives none. The benchmark is read in order of its characters in groups of INDEX_CHARS, one
     broadcast index each, so a task's memory doesn't grow with it.

@@ -202,6 +202,49 @@ def test_banded_alignment_equals_full_edit_distance():
         assert got and got[0] <= sum(x != y for x, y in zip(a, b))
 
 
+def edit_distance(pattern, text):
+    """Fewest edits of the pattern against any part of the text."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(pattern, 1):
+        new = [i]
+        for j, t in enumerate(text, 1):
+            new.append(min(row[j - 1] + (t != c), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def test_all_windows_equal_full_edit_distance():
+    rng = random.Random(11)
+    for _ in range(30):
+        body = bytes(rng.choice(b"abcd") for _ in range(45))
+        text = bytearray(body[rng.randrange(12) : 45 - rng.randrange(12)])
+        for _ in range(rng.randrange(5)):
+            k = rng.randrange(len(text))
+            text[k : k + rng.randrange(2)] = bytes(rng.choice(b"abcd") for _ in range(rng.randrange(2)))
+        text = bytes(text)
+        edits, first, last = decontaminate.windows_aligned(body, 20, np.arange(26), text, -50, 50, 6)
+        for s in range(26):
+            want = edit_distance(body[s : s + 20], text)
+            assert edits[s] == min(want, 7)
+            assert want > 6 or edit_distance(body[s : s + 20], text[first[s] : last[s]]) == want
+
+
+@pytest.mark.parametrize("size,edits", [(100, 0), (105, 0), (110, 0), (123, 0), (100, 5), (110, 5), (120, 5)])
+def test_leaks_at_any_place_of_an_item(size, edits):
+    rng = random.Random(size + edits)
+    item = decontaminate.cleaned(passage(rng, 60))
+    index = decontaminate.Index([(7, item)])
+    for s in range(0, len(item) - size + 1, 3):
+        part = bytearray(item[s : s + size])
+        for k in range(edits):
+            part[8 + k * (size - 16) // 4 - (k == 4)] = ord("z")
+        text = f"{passage(rng, 20)} qqq".encode() + bytes(part) + f"qqq {passage(rng, 20)}".encode()
+        got = list(decontaminate.search([text.decode()], index))
+        assert len(got) == 1 and got[0][1] == 7 and got[0][5] <= edits, (s, got)
+        if not edits:
+            assert got[0][2] >= size - 99 and got[0][5] == 0
+
+
 def test_toxicity(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.train(docs, labels)
