@@ -4,18 +4,20 @@ Patterns detect entities. An entity's identity is its type and canonical form (d
 case of an address, one word of a name), so that all its spellings get one surrogate. A keyed hash draws
 the surrogate: each digit becomes a digit, each letter a letter, a name one of the same gender and script.
 All surrogates of the corpus are checked: none may equal another's or a real entity of its type; those
-that do are drawn again. Each mention is then written in the form it had.
+that do are drawn again, names and addresses with a syllable more. Each mention is then written in the form it had.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_BYTES, staged
 
 KEY = "surrogates"
-#: Draws for a surrogate before giving up.
+#: Draws after which what is left is looked through for forms that can't have a surrogate.
 DRAWS = 12
 
 # Forms of address by gender, and given names that mark a name without one.
@@ -93,38 +95,55 @@ def _like(form: Column, stream: Column, kept: Column) -> Column:
     return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(1), n), one), "")).otherwise(form)
 
 
+def _kept(kind: Column, n: Column) -> Column:
+    """How many of the first of ``n`` characters a surrogate keeps."""
+    return F.when(kind == "card", 1).when(kind == "phone", F.greatest(F.lit(0), n - 10)).when(kind == "iban", 2).otherwise(0)
+
+
 def surrogate(key: str, kind: Column, form: Column, draw: Column) -> Column:
-    """The surrogate of an identity at a draw, in canonical form."""
+    """The surrogate of an identity at a draw, in canonical form. Each draw has a syllable more in names and
+    addresses, so that there are more spellings than identities from some draw on."""
     stream = _draws(key, kind, form, draw)
     octets = F.array_join(F.array(*[(_number(stream, F.lit(i)) % 254 + 1).cast("string") for i in range(4)]), ".")
     n = F.length(form)
     hexes = F.substr(F.concat(*[stream] * 4), F.lit(1), n)
     cyrillic = form.rlike(r"\p{IsCyrillic}")
 
-    def syllables(table: list[str], count: int) -> Column:
+    def syllables(table: list[str], least: int) -> Column:
         names = F.array(*map(F.lit, table))
-        return F.concat(*[F.element_at(names, _number(stream, F.lit(i)) % len(table) + 1) for i in range(count)])
+        return F.array_join(F.transform(F.sequence(F.lit(0), draw + (least - 1)), lambda i: F.element_at(names, _number(stream, i) % len(table) + 1)), "")
 
     woman, man = F.when(cyrillic, "на").otherwise("na"), F.when(cyrillic, "н").otherwise("n")
     name = F.when(cyrillic, syllables(CYRILLIC_SYLLABLES, 4)).otherwise(syllables(LATIN_SYLLABLES, 4))
     name = F.concat(name, F.when(kind == "given female", woman).when(kind == "given male", man).otherwise(""))
     mail = F.concat(_like(F.substring_index(form, "@", 1), stream, F.lit(0)), F.lit("@"), syllables(LATIN_SYLLABLES, 3), F.lit(".example."), F.substring_index(form, ".", -1))
-    kept = F.when(kind == "card", 1).when(kind == "phone", F.greatest(F.lit(0), n - 10)).when(kind == "iban", 2).otherwise(0)
     return (
         F.when(kind == "title", form).when(kind == "email", mail).when(kind == "ip", octets).when(kind == "secret", hexes)
-        .when(kind.isin("family", "given", "given male", "given female"), name).otherwise(_like(form, stream, kept))
+        .when(kind.isin("family", "given", "given male", "given female"), name).otherwise(_like(form, stream, _kept(kind, n)))
     )
 
 
-def assigned(found: DataFrame, key: str = KEY, draws: int = DRAWS) -> DataFrame:
+def _crowded(real: DataFrame) -> DataFrame:
+    """Kinds and kept digits of forms of digits, of which the corpus has more than half of all that there are:
+    as many others don't exist."""
+    n = F.length("form")
+    digits = real.where(F.col("kind").isin("card", "phone", "ssn")).select("kind", n.alias("n"), _kept(F.col("kind"), n).alias("kept"), "form")
+    sized = digits.groupBy("kind", "n", F.substring("form", F.lit(1), F.col("kept")).alias("begin"), "kept").count()
+    return sized.where(2 * F.col("count") > F.pow(F.lit(10.0), F.col("n") - F.col("kept")))
+
+
+def assigned(found: DataFrame, key: str = KEY) -> DataFrame:
     """kind, form, surrogate for the distinct identities in ``found(kind, form)``.
 
     No two identities of a kind share a surrogate and none is a real form of its kind. In a clash the
-    smallest form keeps the surrogate and the others draw again; raises if some clash after ``draws``.
+    smallest form keeps the surrogate and the others draw again, until all have one. Raises only if none
+    is possible: when more than half of all numbers of a length (and of the digits kept) are real ones.
     """
     real = staged(found.where("kind <> 'title'").select("kind", "form").distinct())
     left, taken = real, None
-    for draw in range(draws):
+    for draw in count():
+        if draw == DRAWS and (full := _crowded(real).first()):
+            raise ValueError(f"more than half of all {full['kind']} numbers of {full['n']} digits from {full['begin']!r} on are real: no distinct surrogates exist")
         drawn = left.withColumn("surrogate", surrogate(key, F.col("kind"), F.col("form"), F.lit(draw)))
         used = real.select("kind", F.col("form").alias("surrogate"))
         if taken is not None:
@@ -136,7 +155,6 @@ def assigned(found: DataFrame, key: str = KEY, draws: int = DRAWS) -> DataFrame:
         if rest.isEmpty():
             return taken
         left = staged(rest)
-    raise ValueError(f"no distinct surrogate in {draws} draws")
 
 
 def _as_written(m: Column, get) -> Column:

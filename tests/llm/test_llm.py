@@ -290,6 +290,22 @@ def test_clashing_surrogates_are_drawn_again(spark, monkeypatch):
     monkeypatch.setattr(pii, "surrogate", real)
 
 
+def test_more_identities_than_spellings_of_a_draw(spark, monkeypatch):
+    monkeypatch.setattr(pii, "LATIN_SYLLABLES", ["ba", "be"])
+    monkeypatch.setattr(pii, "CYRILLIC_SYLLABLES", ["ба", "бе"])
+    rows = [("family", f"n{i}") for i in range(70)] + [("given female", f"н{i}") for i in range(40)] + [("email", f"a@x{i}.org") for i in range(300)]
+    rows += [("ssn", f"{i:02d}") for i in range(25)]
+    got = pii.assigned(spark.createDataFrame(rows, "kind string, form string")).collect()
+    assert sorted((r.kind, r.form) for r in got) == sorted(rows)
+    made = {(r.kind, r.surrogate) for r in got}
+    assert len(made) == len(rows) and not made & set(rows)
+
+
+def test_numbers_without_enough_others_are_named(spark):
+    with pytest.raises(ValueError, match="ssn numbers of 1 digits"):
+        pii.assigned(spark.createDataFrame([("ssn", str(i)) for i in range(6)], "kind string, form string"))
+
+
 def test_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = langid.held_out(F.col("doc_id"))
