@@ -149,42 +149,72 @@ def _confirmed(threshold: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, threshold: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``.
+def _digested(docs: DataFrame) -> DataFrame:
+    """doc_id, text, digest (as ``sketch`` has it)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(digest=[xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in shingle_sets(batch["text"].tolist())])
 
-    Two documents are linked if 100 * |intersection| >= threshold * |union| of their shingle sets.
-    Null or empty texts have no shingle and stand alone. Rows with equal sets are one class before any
-    pair is formed. doc_id is taken as a key; rows that repeat it
-    are classed each by its own text. A null doc_id is linked with nothing, its
-    component is null and it is kept. Other columns are ignored. A class is confirmed in blocks of
-    BLOCK rows and yields a spanning forest, never all its pairs.
-    """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, text string, digest binary")
+
+
+def _judged(docs: DataFrame, threshold: int) -> DataFrame:
+    """``near_duplicates`` with the digest of each row's set. Sets are named by digest until classes are known."""
     rows = staged(sketch(docs))
     nodes = staged(
         rows.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "registers")).alias("s"))
-        .select("digest", F.col("s.doc_id").alias("id"), F.col("s.n_shingles"), F.col("s.registers"))
+        .select(F.col("digest").alias("id"), F.col("s.doc_id"), F.col("s.n_shingles"), F.col("s.registers"))
     )
     key = F.explode(F.array(*[F.xxhash64(F.lit(k), F.expr(f"substring(registers, {k * ROWS + 1}, {ROWS})")) for k in range(BANDS)]))
     bands = nodes.select("id", key.alias("band"))
     shared = bands.groupBy("band").agg(F.count("*").alias("n_key")).where("n_key > 1")
     members = bands.join(shared, "band").join(nodes.select("id", "n_shingles", "registers"), "id")
-    pairs = staged(in_blocks(members, "band", BLOCK).mapInPandas(_sketch_links, f"a {kind}, b {kind}").distinct())
+    pairs = staged(in_blocks(members, "band", BLOCK).mapInPandas(_sketch_links, "a binary, b binary").distinct())
 
     family = staged(components(pairs).select("id", F.col("component").alias("family")))
     sized = family.join(family.groupBy("family").agg(F.count("*").alias("n_key")), "family")
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(size_checked(staged(sized), 40), "id")
-    links = in_blocks(texts, "family", BLOCK).mapInPandas(_confirmed(threshold), f"a {kind}, b {kind}")
-    classes = components(links)
-    out = rows.join(nodes.select("digest", "id"), "digest", "left").join(classes, "id", "left")
-    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id")).alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    sized = staged(sized.join(nodes.select("id", "doc_id"), "id"))
+    near = size_checked(staged(sized.select("doc_id").distinct()), 16)
+    texts = _digested(docs.join(near, "doc_id", "left_semi")).withColumnRenamed("digest", "id")
+    texts = texts.join(size_checked(sized, 96), ["doc_id", "id"]).drop("doc_id")
+    links = in_blocks(texts, "family", BLOCK).mapInPandas(_confirmed(threshold), "a binary, b binary")
+    classes = staged(components(links).join(nodes.select("id", "doc_id"), "id"))
+    first = classes.groupBy("component").agg(F.min(F.struct("doc_id", "id")).alias("first"))
+    classes = classes.join(first, "component").select(F.col("id").alias("digest"), "first")
+    out = rows.join(nodes.select(F.col("id").alias("digest"), F.col("doc_id").alias("own")), "digest", "left").join(classes, "digest", "left")
+    out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("first.doc_id", "own", "doc_id")))
+    kept = (F.col("doc_id") == F.col("component_id")) & F.coalesce(F.col("digest") == F.col("first.id"), F.lit(True))
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(kept, F.lit(True)).alias("kept"), "digest")
+
+
+def near_duplicates(docs: DataFrame, threshold: int = 85) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs``.
+
+    Two documents are linked if 100 * |intersection| >= threshold * |union| of their shingle sets.
+    Null or empty texts have no shingle and stand alone. Rows with equal sets are one class before any
+    pair is formed. A class is named by its smallest doc_id; rows that repeat a doc_id
+    are classed each by its own text, and of several sets under a class's doc_id the one with the smallest
+    digest is kept. A null doc_id is linked with nothing, its
+    component is null and it is kept. Other columns are ignored. A class is confirmed in blocks of
+    BLOCK rows and yields a spanning forest, never all its pairs.
+    """
+    return _judged(docs, threshold).drop("digest")
 
 
 def one_of_each(docs: DataFrame, threshold: int = 85) -> DataFrame:
     """The rows of ``docs``, all columns, that stand for their class; of rows that repeat a doc_id and its
-    text one stays."""
-    gone = staged(near_duplicates(docs, threshold).where("not kept").select("doc_id").distinct())
-    out = docs.join(size_checked(gone, 16), "doc_id", "left_anti").select(docs.columns)
+    text one stays, rows with a null doc_id all stay."""
+    judged = _judged(docs, threshold).where("doc_id is not null").select("doc_id", "digest", "kept")
+    judged = staged(judged.groupBy("doc_id", "digest").agg(F.min("kept").alias("kept")))
+    ids = staged(judged.groupBy("doc_id").agg(F.min("kept").alias("all"), F.max("kept").alias("some")).where("not all"))
+    out = docs.join(size_checked(staged(ids.where("not some").select("doc_id")), 16), "doc_id", "left_anti")
+    parted = staged(ids.where("some").select("doc_id"))
+    if not parted.isEmpty():  # ids with texts that stay and texts that go
+        lost = _digested(docs.join(size_checked(parted, 16), "doc_id", "left_semi"))
+        lost = staged(lost.join(judged.where("not kept").select("doc_id", "digest"), ["doc_id", "digest"], "left_semi").select("doc_id", "text").distinct())
+        out = out.join(lost, ["doc_id", "text"], "left_anti")
+    out = out.select(docs.columns)
     repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    return out if repeated.isEmpty() else out.dropDuplicates(["doc_id", "text"])
+    return out if repeated.isEmpty() else out.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).union(out.where("doc_id is null"))

@@ -59,6 +59,19 @@ def test_near_duplicates_equal_brute_force(spark, mixed):
     assert got == {i: (len(sets[i]), label[i], label[i] == i) for i in sets}
 
 
+def test_near_duplicates_of_repeated_ids(spark, mixed):
+    a, b, c, d = (mixed[k][1] for k in (0, 2, 3, 4))
+    near = "new " + b
+    rows = [(3, a), (5, c), (5, a), (5, c), (7, b), (7, near), (8, d), (8, near), (None, c), (None, c)]
+    df = documents(spark, rows)
+    got = sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in setsketch.near_duplicates(df).collect())
+    assert got == sorted([(3, 3, True), (5, 5, True), (5, 3, False), (5, 5, True), (7, 7, True), (7, 7, False), (8, 8, True), (8, 7, False), (0, 0, True), (0, 0, True)])
+    left = Counter((r.doc_id, r.text) for r in setsketch.one_of_each(df).collect())
+    one = [(i, t) for i, t in left if i == 7]
+    assert len(one) == 1 and one[0][1] in (b, near)
+    assert left == Counter([(3, a), (5, c), one[0], (8, d), (None, c), (None, c)])
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(1)
     a, b, both = (rng.integers(0, 2**63, n, dtype=np.uint64) for n in (200, 300, 1500))
