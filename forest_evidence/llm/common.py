@@ -13,26 +13,63 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: A side of at most this many bytes is broadcast; beyond it the join shuffles.
 BROADCAST_BYTES = 24 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where the session names none."""
+    """The folder all executors share. Only a local session, which has one machine, gets a temporary one."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors."""
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` written once to the shared folder and read back, and where it is."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors."""
+    return written(df)[0]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def in_frames(df: DataFrame, f: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """``f`` over a partition's rows as pandas frames, in which integers stay whole beside nulls (such a
+    column holds Python integers and None), with rows of ``schema`` out."""
+    kind = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in f(b.to_pandas(integer_object_nulls=True) for b in batches):
+            arrays = [pa.array(out[x.name], x.type, from_pandas=True) for x in kind]
+            yield from pa.Table.from_arrays(arrays, schema=kind).to_batches()
+
+    return df.mapInArrow(run, schema)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first of its continuations that is no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def size_checked(df: DataFrame, row_bytes: int) -> DataFrame:
@@ -92,29 +129,49 @@ def by_group(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.Da
         yield pd.concat(rest, ignore_index=True)
 
 
+def hub_join(rows: DataFrame, counted: DataFrame, on: list[str], total: int) -> DataFrame:
+    """``rows`` joined with ``counted``, a staged table with one row for each key and the number ``n`` of its
+    rows, of which there are ``total``. Keys with more than a thousandth of them, which can't be more than a
+    thousand, are broadcast, so that no task gets a hub's rows; the others are dealt by key."""
+    most = total // 1000 + 1
+    hubs = counted.where(F.col("n") > most)
+    if hubs.isEmpty():
+        return rows.join(counted, on)
+    few = rows.join(F.broadcast(hubs.select(*on)), on, "left_anti").join(counted.where(F.col("n") <= most), on)
+    return few.unionByName(rows.join(F.broadcast(hubs), on))
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(id, component) for every id in ``edges(a, b)``; component is the smallest id reachable.
 
-    Alternating large-star and small-star rounds; each round is a few shuffles on the edges and is
-    written to the shared folder. Ends when a round changes nothing.
+    Alternating large-star and small-star rounds; each is a few shuffles on the edges and is written to the
+    shared folder in place of the one before. Hubs are joined by broadcast. Ends when a round changes nothing.
     """
-    now = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    spark = edges.sparkSession
+    now, path = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
 
     def mark(df: DataFrame):
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
+    def with_least(rows: DataFrame, total: int) -> tuple[DataFrame, str]:
+        """Rows with the least neighbour of their ``a``."""
+        least, where = written(rows.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
+        return hub_join(rows, least, ["a"], total).drop("n"), where
+
     before = mark(now)
     if not before[0]:
         return now.select(F.col("a").alias("id"), F.col("b").alias("component"))
     for _ in range(max_rounds):
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = staged(small.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
-        after = mark(now)
+        met, old = with_least(both, 2 * before[0])
+        large, own = written(met.where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct())
+        met, more = with_least(large, 2 * before[0])
+        small = met.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = small.union(met.where("b = m").select("a", "b"))
+        later, place = written(small.where("a <> b").distinct())
+        for gone in (path, own, old, more):
+            remove(spark, gone)
+        now, path, after = later, place, mark(later)
         if after == before:
             break
         before = after
@@ -172,13 +229,3 @@ def in_slices(texts: list, limit: int = 3_000_000) -> Iterator[tuple[int, int]]:
             a, n = i + 1, 0
     if a < len(texts):
         yield a, len(texts)
-
-
-def per_batch(f: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable:
-    """A mapInPandas function from one on a frame."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield f(batch)
-
-    return run

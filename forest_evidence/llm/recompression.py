@@ -5,7 +5,7 @@ left and right symbol fall in different halves of the alphabet. A name is a hash
 so that equal passages get equal symbols everywhere but near their ends, without a table of names. With
 each symbol goes the stretch of words that decides it. A window of ``WINDOW`` words is represented by one
 symbol of the highest level decided inside it; equal windows choose the same one. Spark counts the
-symbols over the corpus; windows whose symbol occurs once are unique, the others are verified.
+symbols over the corpus; windows whose symbol occurs once are unique, the words of the others are compared.
 """
 
 from __future__ import annotations
@@ -18,12 +18,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, in_slices, mixed, staged
+from .common import Words, hub_join, in_frames, in_slices, mixed, staged
 
 WINDOW = 20
 LEVELS = 2
 #: Occurrences of a symbol that one task verifies at once.
 BLOCK = 20_000
+#: Consecutive windows of one symbol in a row, at most.
+STRETCH = 256
+#: Characters handled at once, so that a pass's arrays stay in the processor's cache.
+SLICE = 600_000
 
 _FAR = np.int64(1) << 40
 _NONE = np.iinfo(np.uint64).max
@@ -95,39 +99,59 @@ def window_hashes(h: np.ndarray) -> np.ndarray:
     return joined(out, moved)
 
 
-def anchors(h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each place of the concatenated texts: the key of the symbol that represents the window from
-    there, where that symbol's deciding words begin, and whether a window begins there at all."""
+def anchors(h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place of the concatenated texts at which a window begins: the window's place, and the place
+    (in the second array's pairs) of the symbol that represents it.
+
+    Of the symbols of the highest level that are decided inside a window, the least key represents it. Where
+    a key comes twice, either stands for it.
+    """
     n, size = len(h), np.diff(starts)
-    text = np.repeat(np.arange(len(size)), size)
     place = np.arange(n, dtype=np.int64)
-    valid = place + WINDOW <= starts[1:][text]
+    text = np.repeat(np.arange(len(size)), size)
+    todo = place[place + WINDOW <= starts[1:][text]]
     levels = [Level(h, place, place + 1, place, place + 1, text)]
     for k in range(1, LEVELS + 1):
         levels.append(levels[-1].runs().pairs(k))
     total = np.concatenate([[np.uint64(0)], np.cumsum(mixed(h) * _powers(n), dtype=np.uint64)])
-    key, low_of = np.full(n, _NONE), np.zeros(n, np.int64)
+    key = np.zeros(n, np.uint64)
+    at = np.full(n, -1, np.int64)
     for k in range(LEVELS, -1, -1):
-        level, todo, own = levels[k], np.full(n, _NONE), np.zeros(n, np.int64)
-        ok = (level.high - level.low <= WINDOW) & (level.low >= 0)
+        level = levels[k]
+        ok = np.flatnonzero((level.high - level.low <= WINDOW) & (level.low >= 0))
         low, high = level.low[ok], level.high[ok]
         # the key is the symbol with all words that decide it, and its place among them
         name = joined(level.name[ok], (total[high] - total[low]) * _inverse(low, n))
         name = joined(name, (level.at[ok] - low + 32 * k).astype(np.uint64))
-        while len(low):  # symbols that share their low end come one after the other
-            again = np.zeros(len(low), bool)
-            again[1:] = low[1:] == low[:-1]
-            x, y, v = low[~again], high[~again], name[~again]
-            for d in range(WINDOW):  # it is inside the windows from high - WINDOW to low
-                s = x - d
-                less = (y - s <= WINDOW) & (s >= 0)
-                less[less] = v[less] < todo[s[less]]
-                todo[s[less]] = v[less]
-                own[s[less]] = x[less]
-            low, high, name = low[again], high[again], name[again]
-        fill = (key == _NONE) & (todo != _NONE) & valid
-        key[fill], low_of[fill] = todo[fill], own[fill]
-    return key, low_of, valid
+        best = least_inside(name & ~_PLACE | np.arange(len(name), dtype=np.uint64) & _PLACE, low, high - low, n)
+        done = best[todo] != _NONE
+        own = todo[done]
+        # the rank among the level's symbols, from its low bits: the one near the window
+        rank = np.searchsorted(low, own)
+        rank += (((best[own] & _PLACE).astype(np.int64) - rank) & int(_PLACE))
+        key[own], at[own] = name[rank], (low[rank] << 2) + k
+        todo = todo[~done]
+        if not len(todo):
+            break
+    return key, at
+
+
+#: The low bits of a value that tell a symbol's place; the others are its key's.
+_PLACE = np.uint64((1 << 20) - 1)
+
+
+def least_inside(value: np.ndarray, low: np.ndarray, size: np.ndarray, n: int) -> np.ndarray:
+    """For each window start the least value of the symbols [low, low + size) inside the window."""
+    out, own = np.full(n, _NONE), np.full(n + WINDOW, _NONE)
+    order = np.argsort(size, kind="stable")
+    cuts = np.searchsorted(size[order], np.arange(1, WINDOW + 2))
+    for k in range(1, WINDOW + 1):  # symbols of up to k words fit from the place WINDOW - k words on
+        new = order[cuts[k - 1] : cuts[k]]
+        if len(new):
+            x, v = low[new], value[new]
+            np.minimum.at(own, x, v) if len(x) > 1 and (x[1:] == x[:-1]).any() else own.__setitem__(x, np.minimum(own[x], v))
+        np.minimum(out, own[WINDOW - k : WINDOW - k + n], out=out)
+    return out
 
 
 _P = np.uint64(0xD1342543DE82EF95)
@@ -143,43 +167,63 @@ def _inverse(at: np.ndarray, n: int) -> np.ndarray:
     return np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, inverse)]), dtype=np.uint64)[at]
 
 
-def occurrences(texts: list[str | None]) -> tuple[np.ndarray, ...]:
-    """(text, first window, key, number of windows, window hashes one after the other) of every symbol
-    that represents consecutive windows, as arrays."""
+def occurrences(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Words]:
+    """(text, first window, key, number of windows) of every symbol that represents consecutive windows, at
+    most ``STRETCH`` of them to a row, as arrays; and the words."""
     words = Words(texts)
     h, starts = words.hashes(), words.starts
-    key, low, valid = anchors(h, starts)
-    v = np.flatnonzero(valid)
+    key, at = anchors(h, starts)
+    v = np.flatnonzero(at >= 0)
     doc = np.searchsorted(starts, v, "right") - 1
     new = np.ones(len(v), bool)
-    new[1:] = (key[v][1:] != key[v][:-1]) | (low[v][1:] != low[v][:-1]) | (doc[1:] != doc[:-1])
-    cut = np.flatnonzero(new)
-    whole = window_hashes(h)[v].view(np.int64) if len(v) else np.zeros(0, np.int64)
-    return doc[cut], v[cut] - starts[doc[cut]], key[v[cut]].view(np.int64), np.diff(np.append(cut, len(v))), whole
+    new[1:] = (at[v][1:] != at[v][:-1]) | (doc[1:] != doc[:-1])
+    since = np.arange(len(v)) - np.maximum.accumulate(np.where(new, np.arange(len(v)), 0))
+    cut = np.flatnonzero(since % STRETCH == 0)
+    return doc[cut], v[cut] - starts[doc[cut]], key[v[cut]].view(np.int64), np.diff(np.append(cut, len(v))), words
 
 
 def _symbols(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         ids, texts = batch["doc_id"].to_numpy(), batch["text"].tolist()
-        for a, b in in_slices(texts):
+        for a, b in in_slices(texts, SLICE):
             doc, first, key, _, _ = occurrences(texts[a:b])
             yield pd.DataFrame({"doc_id": ids[a + doc], "pos": first, "key": key})
 
 
 def _repeated_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The windows of the symbols at the places listed in ``marks`` (twice the place, odd if hot)."""
+    """The words of the windows of the symbols at the places listed in ``marks`` (twice the place, odd if hot)."""
     for batch in batches:
         texts, ids, marks = batch["text"].tolist(), batch["doc_id"].to_numpy(), batch["marks"].tolist()
-        for a, b in in_slices(texts):
-            doc, first, key, n, whole = occurrences(texts[a:b])
+        for a, b in in_slices(texts, SLICE):
+            doc, first, key, n, words = occurrences(texts[a:b])
             size = [len(m) for m in marks[a:b]]
             wanted = np.concatenate(marks[a:b]).astype(np.int64) + (np.repeat(np.arange(b - a), size) << 33)
             place = (doc << 33) + 2 * first
             hot = np.isin(place + 1, wanted)
             keep = np.flatnonzero(hot | np.isin(place, wanted))
-            ends = np.cumsum(n)
-            windows = [whole[e - k : e] for e, k in zip(ends[keep].tolist(), n[keep].tolist())]
-            yield pd.DataFrame({"key": key[keep], "doc_id": ids[a + doc[keep]], "pos": first[keep], "hot": hot[keep], "windows": windows})
+            begin = words.starts[doc[keep]] + first[keep]
+            plain = words.distinct.to_pylist()
+            spelled = [" ".join([plain[c] for c in words.codes[x : x + k + WINDOW - 1].tolist()]) for x, k in zip(begin.tolist(), n[keep].tolist())]
+            yield pd.DataFrame({"key": key[keep], "doc_id": ids[a + doc[keep]], "pos": first[keep], "hot": hot[keep], "words": spelled})
+
+
+def first_equal(words: Words, starts: np.ndarray) -> np.ndarray:
+    """For the window of words from each start, the number of the first start with the same words.
+
+    Hashes find it and the words confirm it; should hashes of different words be equal, words alone decide.
+    """
+    h = window_hashes(words.hashes())[starts]
+    _, at, of = np.unique(h, return_index=True, return_inverse=True)
+    least = at[of]
+    late = np.flatnonzero(least != np.arange(len(starts)))
+    same = np.ones(len(late), bool)
+    for j in range(WINDOW):
+        same &= words.codes[starts[late] + j] == words.codes[starts[least[late]] + j]
+    if not same.all():
+        whole = words.codes[starts[:, None] + np.arange(WINDOW)]
+        _, at, of = np.unique(whole, axis=0, return_index=True, return_inverse=True)
+        least = at[of.reshape(-1)]
+    return least
 
 
 def _not_first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -188,27 +232,32 @@ def _not_first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     Equal windows have one key, so the first of a batch is the first of all unless its key began in an
     earlier batch; of that key alone the windows met are kept.
     """
-    seen: dict[int, tuple] = {}
+    seen: dict[bytes, tuple] = {}
     last = None
     for batch in batches:
         if not len(batch):
             continue
         key, doc, pos = batch["key"].to_numpy(), batch["doc_id"].to_numpy(), batch["pos"].to_numpy().astype(np.int64)
-        size = batch["windows"].map(len).to_numpy()
-        w = np.concatenate(batch["windows"].tolist())
+        words = Words(batch["words"].tolist())
+        size = np.diff(words.starts) - (WINDOW - 1)
         row = np.repeat(np.arange(len(batch)), size)
-        start = pos[row] + np.arange(len(w)) - np.repeat(np.cumsum(size) - size, size)
-        _, at, of = np.unique(w, return_index=True, return_inverse=True)
-        least = at[of]  # the place of the first equal window
+        step = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        at, start = words.starts[row] + step, pos[row] + step
+        least = first_equal(words, at)
         again = (doc[row] != doc[row[least]]) | (start != start[least])
+        spelled = words.distinct.to_pylist() if key[0] == last or key[-1] != last else []
+
+        def window(i: int, at=at, words=words, spelled=spelled) -> bytes:
+            return b" ".join([spelled[c].encode() for c in words.codes[at[i] : at[i] + WINDOW].tolist()])
+
         if key[0] == last:
             for i in np.flatnonzero(key[row] == last).tolist():
                 own = (doc[row[i]], int(start[i]))
-                again[i] = seen.setdefault(int(w[i]), own) != own
+                again[i] = seen.setdefault(window(i), own) != own
         if key[-1] != last:
             last, seen = key[-1], {}
             for i in np.flatnonzero(key[row] == last).tolist():
-                seen.setdefault(int(w[i]), (doc[row[i]], int(start[i])))
+                seen.setdefault(window(i), (doc[row[i]], int(start[i])))
         begin = again.copy()
         begin[1:] &= ~again[:-1] | (row[1:] != row[:-1])
         end = again.copy()
@@ -220,7 +269,7 @@ def _not_first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for doc, text, again in zip(batch["doc_id"], batch["text"], batch["again"]):
+        for doc, text, again in zip(batch["doc_id"].tolist(), batch["text"], batch["again"]):
             words = (text or "").encode().split()
             n = len(words)
             if again is not None:
@@ -231,7 +280,8 @@ def _kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 stay = np.cumsum(gone)[:n] == 0
                 words = [w for w, k in zip(words, stay.tolist()) if k]
             rows.append((doc, n, n - len(words), hashlib.sha256(b" ".join(words)).hexdigest()))
-        yield pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "kept_sha256"])
+        out = pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "kept_sha256"], dtype=object)
+        yield out
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -240,21 +290,32 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     A window of ``WINDOW`` words goes if the same words also start earlier, in a smaller doc_id or
     earlier in the document. Null and empty texts have no word. doc_id is a key: rows that repeat it with
     the same text are judged as one document. A row with a null doc_id is left whole. Other columns are
-    ignored. Symbols that occur more than BLOCK times are counted window by window, with partial sums
-    before the shuffle; for the others one task sees all their windows.
+    ignored, an empty table gives no rows. Symbols find candidates, the words themselves decide.
+
+    Spark's rounds: the symbols of all documents are counted; documents meet the places of those that occur
+    more than once, and their words are dealt by symbol and compared. A symbol with more than BLOCK places
+    is compared window by window, with partial minima before the shuffle. What a thousandth of all rows
+    shares is joined by broadcast, as there can't be more than a thousand such symbols or windows.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text")
-    symbols = staged(docs.where("doc_id is not null").mapInPandas(_symbols, f"doc_id {kind}, pos int, key long"))
-    often = symbols.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", (F.col("n") > BLOCK).cast("int").alias("hot"))
-    marks = symbols.join(often, "key").groupBy("doc_id").agg(F.collect_list(F.col("pos") * 2 + F.col("hot")).alias("marks"))
+    symbols = staged(in_frames(docs.where("doc_id is not null"), _symbols, f"doc_id {kind}, pos int, key long"))
+    often = staged(symbols.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    places = hub_join(symbols, often, ["key"], symbols.count()).withColumn("hot", (F.col("n") > BLOCK).cast("int"))
+    marks = places.groupBy("doc_id").agg(F.collect_list(F.col("pos") * 2 + F.col("hot")).alias("marks"))
     # grouped by doc_id as the join needs them: not written, not dealt again
-    windows = docs.join(marks, "doc_id").mapInPandas(_repeated_windows, f"key long, doc_id {kind}, pos int, hot boolean, windows array<long>")
+    windows = in_frames(docs.join(marks, "doc_id"), _repeated_windows, f"key long, doc_id {kind}, pos int, hot boolean, words string")
     windows = staged(windows)
-    cold = windows.where("not hot").select("key", "doc_id", "pos", "windows").repartition("key").sortWithinPartitions("key", "doc_id", "pos")
-    again = cold.mapInPandas(_not_first, f"doc_id {kind}, first int, past int")
-    each = windows.where("hot").select("doc_id", "pos", F.posexplode("windows").alias("i", "w")).select("doc_id", (F.col("pos") + F.col("i")).alias("first"), "w")
-    first = each.groupBy("w").agg(F.min(F.struct("doc_id", "first")).alias("earliest"))
-    late = each.join(first, "w").where(F.struct("doc_id", "first") > F.col("earliest")).select("doc_id", "first", (F.col("first") + 1).alias("past"))
-    again = again.union(late).groupBy("doc_id").agg(F.collect_list(F.struct("first", "past")).alias("again"))
-    return docs.join(again, "doc_id", "left").mapInPandas(_kept, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
+    cold = windows.where("not hot").select("key", "doc_id", "pos", "words").repartition("key").sortWithinPartitions("key", "doc_id", "pos")
+    again = in_frames(cold, _not_first, f"doc_id {kind}, first int, past int")
+    hot = windows.where("hot")
+    if not hot.isEmpty():
+        word = F.split("words", " ")
+        each = F.transform(F.sequence(F.lit(1), F.size(word) - WINDOW + 1), lambda i: F.array_join(F.slice(word, i, WINDOW), " "))
+        each = hot.select("key", "doc_id", "pos", F.posexplode(each).alias("i", "w")).select("key", "doc_id", (F.col("pos") + F.col("i")).alias("first"), "w")
+        first = staged(each.groupBy("key", "w").agg(F.min(F.struct("doc_id", "first")).alias("earliest"), F.count("*").alias("n")).where("n > 1"))
+        total = first.agg(F.sum("n")).first()[0] or 0
+        late = hub_join(each, first, ["key", "w"], total).where(F.struct("doc_id", "first") > F.col("earliest"))
+        again = again.union(late.select("doc_id", "first", (F.col("first") + 1).alias("past")))
+    again = again.groupBy("doc_id").agg(F.collect_list(F.struct("first", "past")).alias("again"))
+    return in_frames(docs.join(again, "doc_id", "left"), _kept, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
