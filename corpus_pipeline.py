@@ -30,7 +30,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by surrogates; n_chars follows the text."""
-    out = pii.with_surrogates(docs)
+    out = pii.with_surrogates(docs, pii.session_key(spark))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("n_entities") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))

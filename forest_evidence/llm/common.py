@@ -181,24 +181,81 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return ids.union(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
-def in_blocks(df: DataFrame, key: str, block: int) -> DataFrame:
-    """Rows (``id``, ``n_key`` of them to a key) of each key dealt into blocks of about ``block`` and repeated
-    once for each pair of blocks (p, q), so that a hot key is compared in many tasks."""
-    n = F.greatest(F.lit(1), F.ceil(F.col("n_key") / block)).cast("int")
-    df = df.withColumn("n_blocks", n).withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("n_blocks")).cast("int"))
-    df = df.withColumn("other", F.explode(F.expr("sequence(0, n_blocks - 1)")))
-    df = df.withColumn("p", F.least("block", "other")).withColumn("q", F.greatest("block", "other"))
-    return df.drop("other", "n_blocks", "n_key").repartition(key, "p", "q").sortWithinPartitions(key, "p", "q")
-
-
-def block_pairs(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs that a pair of blocks is to compare."""
-    p, q = group["p"].iat[0], group["q"].iat[0]
-    if p == q:
-        return np.triu_indices(len(group), 1)
-    block = group["block"].to_numpy()
-    left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
-    return np.repeat(left, len(right)), np.tile(right, len(left))
+#: What tells how two of a group's rows compare: makes, from a group's frame, a function that takes index pairs and
+#: gives those that are linked; if it may, only some that link the same rows.
+Comparer = Callable[[pd.DataFrame], Callable[[np.ndarray, np.ndarray, bool], tuple[np.ndarray, np.ndarray]]]
+
+#: Rows of a large group that all others are compared with first.
+LEADS = 8
+
+
+def group_links(members: DataFrame, key: str, block: int, comparer: Comparer) -> DataFrame:
+    """Links (a, b) between rows (``id``, ``n_key`` of them to a ``key``) of one key, so many that they reach what
+    all links of the key reach.
+
+    A key of up to ``block`` rows is one group. In a larger one every row is compared with the same few leads,
+    block by block, and the lead with the most links is taken: its rows are linked through it, so that
+    comparisons are left only for the others, each with all rows of the key. These are done in pairs of
+    blocks. No group holds more than two blocks; a row is copied once for each block of others.
+    """
+    kind = members.schema["id"].dataType.simpleString()
+    links = f"a {kind}, b {kind}"
+
+    def forest(group: pd.DataFrame, x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
+        ids, sets = group["id"].to_numpy(), DisjointSets(len(group))
+        x, y = comparer(group)(x, y, True)
+        keep = [(a, b) for a, b in zip(x.tolist(), y.tolist()) if sets.join(a, b)]
+        return pd.DataFrame({"a": ids[[a for a, _ in keep]], "b": ids[[b for _, b in keep]]})
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in by_group(batches, [key]):
+            if len(group) > 1:
+                yield forest(group, *np.triu_indices(len(group), 1))
+
+    def with_leads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in by_group(batches, [key, "q"]):
+            lead = group["lead"].to_numpy()
+            leads, rows = np.flatnonzero(lead >= 0), np.flatnonzero(lead < 0)
+            x, y = comparer(group)(np.repeat(leads, len(rows)), np.tile(rows, len(leads)), False)
+            met = np.zeros((len(group), LEADS), bool)
+            met[y, lead[x]] = True
+            yield pd.DataFrame({key: group[key].to_numpy()[rows], "id": group["id"].to_numpy()[rows], "met": met[rows].tolist()})
+
+    def others(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in by_group(batches, [key, "p", "q"]):
+            lone = group["lone"].to_numpy()
+            x, y = np.flatnonzero(lone), np.flatnonzero(~lone)
+            yield forest(group, np.repeat(x, len(y)), np.tile(y, len(x)))
+
+    def dealt(df: DataFrame, *by: str) -> DataFrame:
+        return df.repartition(key, *by).sortWithinPartitions(key, *by)
+
+    out = in_frames(dealt(members.where(F.col("n_key") <= block).drop("n_key")), whole, links)
+    large = members.where(F.col("n_key") > block)
+    if large.isEmpty():
+        return out
+    blocks = F.ceil(F.col("n_key") / block).cast("int")
+    own_block = lambda n: F.pmod(F.xxhash64("id", F.lit(3)), n).cast("int")
+    columns = [F.col(c) for c in large.columns]
+    number = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(LEADS)).cast("int").alias("lead")
+    leads = staged(large.groupBy(key, number).agg(F.min(F.struct(*columns)).alias("s")).select("lead", "s.*"))
+    first = large.withColumn("lead", F.lit(-1)).withColumn("q", own_block(blocks))
+    first = first.unionByName(leads.withColumn("q", F.explode(F.sequence(F.lit(0), blocks - 1))))
+    met = staged(in_frames(dealt(first.drop("n_key"), "q"), with_leads, f"{key} {large.schema[key].dataType.simpleString()}, id {kind}, met array<boolean>"))
+    counts = F.array(*[F.count_if(F.col("met")[k]) for k in range(LEADS)])
+    best = met.groupBy(key).agg(counts.alias("c"), F.count("*").alias("n")).select(key, "n", F.expr("int(array_position(c, array_max(c)) - 1)").alias("best"), F.array_max("c").alias("n_met"))
+    best = staged(best)
+    known = hub_join(met, best, [key], met.count())
+    lead_ids = leads.select(key, F.col("lead").alias("best"), F.col("id").alias("b"))
+    near = known.where(F.col("met")[F.col("best")]).join(best.join(lead_ids, [key, "best"]).select(key, "b"), key).select(F.col("id").alias("a"), "b")
+    lone = staged(known.where(~F.col("met")[F.col("best")]).select(key, "id", F.col("n").alias("n_all"), (F.col("n") - F.col("n_met")).alias("n_lone")))
+    sides = F.ceil(F.col("n_lone") / block).cast("int")
+    ours = large.join(lone, [key, "id"]).withColumn("p", own_block(sides)).withColumn("q", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("lone", F.lit(True))
+    sized = staged(lone.groupBy(key).agg(F.max("n_lone").alias("n_lone"), F.max("n_all").alias("n")))
+    all_ = hub_join(large, sized, [key], met.count()).withColumn("q", own_block(blocks)).withColumn("p", F.explode(F.sequence(F.lit(0), sides - 1))).withColumn("lone", F.lit(False))
+    picked = [*[c for c in large.columns if c != "n_key"], "p", "q", "lone"]
+    rest = dealt(ours.select(*picked).unionByName(all_.select(*picked)), "p", "q")
+    return out.union(near.where("a <> b")).union(in_frames(rest, others, links).where("a <> b"))
 
 
 class DisjointSets:
@@ -229,3 +286,13 @@ def in_slices(texts: list, limit: int = 3_000_000) -> Iterator[tuple[int, int]]:
             a, n = i + 1, 0
     if a < len(texts):
         yield a, len(texts)
+
+
+def in_batches(df: DataFrame, keep: Callable[[list[str | None]], np.ndarray], column: str) -> DataFrame:
+    """The rows of ``df``, all columns as they are, for whose texts in ``column`` ``keep`` is true."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(keep(batch.column(batch.schema.get_field_index(column)).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

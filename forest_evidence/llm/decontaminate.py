@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_slices, mixed, size_checked, staged
+from .common import in_frames, in_slices, mixed, size_checked, staged
 
 Q = 12
 WINDOW = 100
@@ -25,38 +25,53 @@ EDIT_RATE = 0.05
 INDEX_CHARS = 4_000_000
 
 _CLEAN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+_PLAIN = {b: " " for b in range(128) if not chr(b).isalnum()}
 
 
-def cleaned(text: str | None) -> bytes:
-    """Lower case, with runs of ASCII white space and punctuation as one space."""
-    return b" ".join((text or "").lower().encode().translate(_CLEAN).split())
+def cleaned(text: str | None) -> str:
+    """Lower case, with runs of white space and ASCII punctuation as one space."""
+    text = text or ""
+    if text.isascii():
+        return b" ".join(text.encode().translate(_CLEAN).split()).decode()
+    return " ".join(text.lower().translate(_PLAIN).split())
 
 
-def grams(buf: bytes) -> np.ndarray:
-    """A 64-bit hash for each q-gram of bytes."""
-    n = len(buf) - Q + 1
+def points(text: str) -> np.ndarray:
+    """The code points of a text."""
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def grams(c: np.ndarray) -> np.ndarray:
+    """A 64-bit hash for each q-gram of code points, by doubling: 1, 2, 4, 8, then 8 and 4 after it."""
+    n = len(c) - Q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    a = np.ndarray(n, "<u8", buf, 0, (1,))
-    b = np.ndarray(n, "<u4", buf, 8, (1,))
-    return mixed(a * np.uint64(0x9E3779B97F4A7C15) + b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    two = (c[:-1].astype(np.uint64) << np.uint64(32)) | c[1:]
+    four = mixed(two[:-2] + mixed(two[2:]))
+    eight = four[:-4] + four[4:] * np.uint64(0x9E3779B97F4A7C15)
+    return mixed(eight[:n] + four[8 : 8 + n] * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
-def budget(item: bytes) -> int:
+def budget(item: str) -> int:
     """Edits allowed in a window of the item: fewer in a short one, so that its bound stays positive."""
     n = min(WINDOW, len(item))
     return max(0, min(int(EDIT_RATE * n), (n - Q) // Q))
 
 
 class Index:
-    """q-gram positions of benchmark items."""
+    """q-gram positions of benchmark items. Items shorter than a q-gram are looked up whole."""
 
     BITS = 22
 
-    def __init__(self, items: list[tuple[int, bytes]]):
-        self.items = items
+    def __init__(self, items: list[tuple[int, str]]):
+        self.short: dict[str, list[int]] = {}
+        for i, t in items:
+            if 0 < len(t) < Q:
+                self.short.setdefault(t, []).append(i)
+        self.items = items = [(i, t) for i, t in items if len(t) >= Q]
+        self.bodies = [points(t) for _, t in items]
         self.budget = [budget(t) for _, t in items]
-        own = [grams(t) for _, t in items]
+        own = [grams(c) for c in self.bodies]
         item = np.repeat(np.arange(len(items)), [len(g) for g in own])
         pos = np.concatenate([np.arange(len(g)) for g in own]) if own else np.zeros(0, np.int64)
         h = np.concatenate(own) if own else np.zeros(0, np.uint64)
@@ -71,9 +86,9 @@ class Index:
         n = len(self.items[k][1])
         return min(WINDOW, n) - Q + 1 - self.budget[k] * Q
 
-    def hits(self, buf: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(position in buf, item, position in item) of all shared q-grams."""
-        h = grams(buf)
+    def hits(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position in the text, item, position in item) of all shared q-grams."""
+        h = grams(c)
         at = np.flatnonzero(self.bitmap[(h >> np.uint64(64 - self.BITS)).astype(np.int64)])
         h = h[at]
         k = np.searchsorted(self.keys, h)
@@ -85,7 +100,7 @@ class Index:
         return np.repeat(at, n), self.item[place], self.pos[place]
 
 
-def windows_aligned(body: bytes, width: int, starts: np.ndarray, text: bytes, low: int, high: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows_aligned(body: np.ndarray, width: int, starts: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Fewest edits, and from and to where in ``text``, for ``body[s : s + width]`` of each start s, at any place
     whose diagonals stay in [low, high]; a window that takes more than ``most`` edits has ``most + 1``.
 
@@ -93,11 +108,11 @@ def windows_aligned(body: bytes, width: int, starts: np.ndarray, text: bytes, lo
     reached. Past either end of ``text`` no character matches.
     """
     n, wide = len(body), high - low + 1
-    over = np.zeros(n + wide - 1, np.uint8)  # text from low on; no cleaned text has a zero
+    over = np.zeros(n + wide - 1, "<u4")  # text from low on; no cleaned text has a zero
     a, b = max(0, low), min(len(text), n + high)
     if a < b:
-        over[a - low : b - low] = np.frombuffer(text, np.uint8, b - a, a)
-    same = np.lib.stride_tricks.sliding_window_view(over, n) == np.frombuffer(body, np.uint8)
+        over[a - low : b - low] = text[a:b]
+    same = np.lib.stride_tricks.sliding_window_view(over, n) == body
     ends = np.full((wide, n + 1), n)  # where the run of equal characters from a place ends
     ends[:, :-1] = np.minimum.accumulate(np.where(same, n, np.arange(n))[:, ::-1], 1)[:, ::-1]
     own, goal = np.arange(wide), (starts + width)[:, None]
@@ -120,16 +135,10 @@ def windows_aligned(body: bytes, width: int, starts: np.ndarray, text: bytes, lo
     return edits, np.clip(first, 0, len(text)), np.clip(last, 0, len(text))
 
 
-def aligned(pattern: bytes, text: bytes, low: int, high: int, most: int) -> tuple[int, int, int] | None:
-    """``windows_aligned`` for one whole pattern; None if it takes more than ``most`` edits."""
-    edits, first, last = (int(x[0]) for x in windows_aligned(pattern, len(pattern), np.zeros(1, int), text, low, high, most))
-    return (edits, first, last) if edits <= most else None
-
-
-def leaks_of(text: bytes, item: int, index: Index, at: np.ndarray, pos: np.ndarray) -> tuple[int, int, int, int] | None:
+def leaks_of(text: np.ndarray, item: int, index: Index, at: np.ndarray, pos: np.ndarray) -> tuple[int, int, int, int] | None:
     """(windows found, first start, last end, fewest edits) in ``text`` of all windows of the item, from its
     shared q-grams; a window found at several places counts once."""
-    body, k, bound = index.items[item][1], index.budget[item], index.bound(item)
+    body, k, bound = index.bodies[item], index.budget[item], index.bound(item)
     width = min(WINDOW, len(body))
     diagonal = at - pos
     reach = k + 1
@@ -156,10 +165,15 @@ def leaks_of(text: bytes, item: int, index: Index, at: np.ndarray, pos: np.ndarr
 def search(texts: list[str | None], index: Index) -> Iterator[tuple[int, int, int, int, int, int]]:
     """(text number, item, windows of the item found, first start, last end, fewest edits in a window)."""
     least = min((index.bound(k) for k in range(len(index.items))), default=0)
+    gap = np.zeros(Q, "<u4")  # no cleaned text has a zero
     for a, b in in_slices(texts):
         clean = [cleaned(t) for t in texts[a:b]]
+        for d, t in enumerate(clean):
+            for item in index.short.get(t, ()):
+                yield a + d, item, 1, 0, len(t), 0
+        clean = [points(t) for t in clean]
         starts = np.cumsum([0] + [len(t) + Q for t in clean])
-        at, item, pos = index.hits((b"\0" * Q).join(clean))
+        at, item, pos = index.hits(np.concatenate([x for t in clean for x in (t, gap)]))
         if not len(at):
             continue
         doc = np.searchsorted(starts, at, "right") - 1
@@ -179,9 +193,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, windows, start, end, edits: a row for each document and item with a shared passage.
 
     Every window of the item is tried, at each of its characters; windows is how many of them the document
-    holds. start and end are places in the cleaned text. Null texts and items, and items of fewer than ``Q``
-    cleaned characters, match nothing. Repeated rows give repeated results; an
-    empty table gives none. The benchmark is read in order of its characters in groups of INDEX_CHARS, one
+    holds. start and end are places in the cleaned text. Null and empty texts and items match nothing; an item
+    of fewer than ``Q`` cleaned characters, which has no q-gram, is found where it is the whole document.
+    Repeated rows give repeated results, items with equal texts one each; an empty table gives none. The benchmark is read in order of its characters in groups of INDEX_CHARS, one
     broadcast index each, so a task's memory doesn't grow with it.
     """
     spark = docs.sparkSession
@@ -193,7 +207,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     out = None
     for k in range(parts):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k) if parts > 1 else items
-        rows = [(r["item_id"], c) for r in own.collect() if len(c := cleaned(r["text"])) >= Q]
+        rows = [(r["item_id"], cleaned(r["text"])) for r in own.collect()]
         index = Index(rows)
         shared = spark.sparkContext.broadcast(index)
 
@@ -204,7 +218,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 found = pd.DataFrame(rows, columns=["doc_id", "item_id", "windows", "start", "end", "edits"])
                 yield found.assign(doc_id=ids[found["doc_id"].to_numpy(int)])
 
-        part = docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, item_id {item_kind}, windows int, start long, end long, edits int")
+        part = in_frames(docs.select("doc_id", "text"), run, f"doc_id {kind}, item_id {item_kind}, windows int, start long, end long, edits int")
         out = part if out is None else out.union(part)
     return out
 

@@ -18,15 +18,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import DisjointSets, block_pairs, by_group, components, in_blocks, mixed, staged
+from .common import components, group_links, in_frames, mixed, staged
 
 #: Places sampled at each scale; each is a hexadecimal digit of the fingerprint.
 SAMPLES = 128
 #: Characters that a sample looks at from its place on.
 GRAM = 4
 PERIOD, CLASSES = 4096, 64
-BAND = 8
-LEAST_LIKENESS = 0.6
+#: Samples in a band, and bands: pairs at LEAST_LIKENESS share one in 99 of 100 cases.
+BAND, N_BANDS = 6, 32
+LEAST_LIKENESS = 0.7
 #: Rows of a band that one task compares at once.
 BLOCK = 512
 
@@ -160,12 +161,12 @@ def edited_prints(docs: DataFrame) -> DataFrame:
                 own = Read(doc_id, text)
                 rows.append((None,) * 7 + (text, part, True) if last is None else (*last.row(own), None, part, None))
                 last = own
-            yield pd.DataFrame(rows, columns=[*_COLUMNS, "text", "part", "first"])
+            yield pd.DataFrame(rows, columns=[*_COLUMNS, "text", "part", "first"], dtype=object)
         if last is not None:
-            yield pd.DataFrame([(last.doc_id, *(None,) * 6, last.text, int(part), False)], columns=[*_COLUMNS, "text", "part", "first"])
+            yield pd.DataFrame([(last.doc_id, *(None,) * 6, last.text, int(part), False)], columns=[*_COLUMNS, "text", "part", "first"], dtype=object)
 
     digest = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    done = staged(ranged.mapInPandas(run, f"{digest}, text string, part int, first boolean"))
+    done = staged(in_frames(ranged, run, f"{digest}, text string, part int, first boolean"))
     # two rows for each range: its first text, and its last row, which waits for the next range's first
     edges = done.where("first is not null").select("doc_id", "text", "part", "first")
     parts = [r["part"] for r in edges.where("first").select("part").orderBy("part").collect()]
@@ -176,9 +177,9 @@ def edited_prints(docs: DataFrame) -> DataFrame:
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([Read(d, t).row(Read(None, f)) for d, t, f in zip(batch["doc_id"].tolist(), batch["text"], batch["following"])], columns=_COLUMNS)
+            yield pd.DataFrame([Read(d, t).row(Read(None, f)) for d, t, f in zip(batch["doc_id"].tolist(), batch["text"], batch["following"])], columns=_COLUMNS, dtype=object)
 
-    return done.where("first is null").select(*_COLUMNS).union(waiting.mapInPandas(finish, digest))
+    return done.where("first is null").select(*_COLUMNS).union(in_frames(waiting, finish, digest))
 
 
 def likenesses(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -199,19 +200,21 @@ def likenesses(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where((a == b).all(1), 1.0, out)
 
 
-#: Samples in the order of their places; a band takes neighbouring ones.
-_ORDER = np.argsort(_PLACE, kind="stable")
+#: The samples of each band: places drawn at random.
+_BANDS = np.stack([np.random.default_rng(100 + k).choice(SAMPLES, BAND, replace=False) for k in range(N_BANDS)])
 
 
 def bands(prints: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(text, key) of each band without a place past the end, at a text's own scale and the next longer one,
-    where it meets texts of that scale."""
+    """(text, key) of each band without a place past the end, at the scale below a text's own, which it fills,
+    and at its own, where it meets texts of the next longer one."""
     m = np.frombuffer("".join(prints).encode(), np.uint8).reshape(len(prints), -1)
     scale = np.array([int(p[:2], 16) for p in prints], np.uint64)
     rows, keys = [], []
-    for up in (0, 1):
-        own = m[:, 2 + (1 + up) * SAMPLES :][:, :SAMPLES][:, _ORDER].reshape(len(m), -1, BAND)
-        packed = np.ascontiguousarray(own).view("<u8")[:, :, 0]
+    for up in (0, 1):  # sections of the scale below, and of the own one
+        own = m[:, 2 + up * SAMPLES :][:, :SAMPLES][:, _BANDS]
+        packed = np.zeros(own.shape[:2], np.uint64)
+        for k in range(BAND):
+            packed = packed << np.uint64(8) | own[:, :, k]
         row, band = np.nonzero((own != 45).all(2))
         label = (scale[row] + np.uint64(up)) * np.uint64(256) + band.astype(np.uint64)
         rows.append(row)
@@ -239,22 +242,21 @@ def near_classes(docs: DataFrame, least: float = LEAST_LIKENESS) -> DataFrame:
                 row, key = bands(batch["print"].tolist())
                 yield pd.DataFrame({"id": batch["id"].to_numpy()[row], "band": key})
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in by_group(batches, ["band", "p", "q"]):
-            ids, m = group["id"].to_numpy(), np.frombuffer("".join(group["print"]).encode(), np.uint8).reshape(len(group), -1)
-            (i, j), sets, keep = block_pairs(group), DisjointSets(len(group)), []
-            for a in range(0, len(i), 20_000):
-                x, y = i[a : a + 20_000], j[a : a + 20_000]
-                near = likenesses(m[x], m[y]) >= least
-                keep += [(u, v) for u, v in zip(x[near].tolist(), y[near].tolist()) if sets.join(u, v)]
-            if keep:
-                yield pd.DataFrame({"a": ids[[u for u, _ in keep]], "b": ids[[v for _, v in keep]]})
-
-    rows = staged(docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, print string"))
+    def comparer(group: pd.DataFrame):
+        m = np.frombuffer("".join(group["print"]).encode(), np.uint8).reshape(len(group), -1)
+
+        def linked(x: np.ndarray, y: np.ndarray, some: bool) -> tuple[np.ndarray, np.ndarray]:
+            near = [likenesses(m[x[a : a + 20_000]], m[y[a : a + 20_000]]) >= least for a in range(0, len(x), 20_000)]
+            near = np.concatenate(near) if near else np.zeros(0, bool)
+            return x[near], y[near]
+
+        return linked
+
+    rows = staged(in_frames(docs.select("doc_id", "text"), run, f"doc_id {kind}, print string"))
     nodes = staged(rows.where("doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("id")))
-    keys = staged(nodes.mapInPandas(keyed, f"id {kind}, band long"))
+    keys = staged(in_frames(nodes, keyed, f"id {kind}, band long"))
     shared = keys.groupBy("band").agg(F.count("*").alias("n_key")).where("n_key > 1")
     members = keys.join(shared, "band").join(nodes, "id")
-    classes = components(in_blocks(members, "band", BLOCK).mapInPandas(compare, f"a {kind}, b {kind}"))
+    classes = components(group_links(members, "band", BLOCK, comparer))
     out = rows.join(nodes, "print", "left").join(classes, "id", "left")
     return out.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id")).alias("class_id"))

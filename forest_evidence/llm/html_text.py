@@ -10,26 +10,34 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .common import in_frames
+
+#: After a tag's name: values in quotes may hold "<" and ">", others can't; a lone quote is a character.
+_REST = r"""((?>=\s*(?>"[^"]*"|'[^']*'|[^\s<>"'][^\s<>]*)|[^<>])*+)"""
 _TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<(script|style|noscript|template|textarea|iframe|svg|title)\b[^>]*>.*?(?:</\1\s*>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"<!--.*?(?:-->|$)|<(script|style|noscript|template|textarea|iframe|svg|title)\b" + _REST + r">.*?(?:</\1\s*>|$)|<[!?][^<>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)" + _REST + ">",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""\s(?:hidden(?=[\s=/>]|$)|aria-hidden\s*=\s*["']?true)|display\s*:\s*none""", re.I)
 #: Elements that are no part of an article.
 _OUT = frozenset("nav header footer aside form button select input dialog menu head object embed canvas audio video".split())
-#: Words in class, id or role that say the same of any element.
-_OUT_WORDS = frozenset(
+#: Names in class, id or role that say the same of any element, alone or as the last part of a name
+#: ("site-footer"); those that do so as the first part too ("comment-list"), unless the last part is another thing.
+_OUT_NAMES = frozenset(
     "ad ads advert adverts advertisement banner sidebar comment comments comentarios disqus cookie cookies consent notice notices alert promo promoted "
     "sponsor sponsored share sharing social related recommended menu breadcrumb breadcrumbs navigation navbar nav footer header newsletter subscribe "
     "subscription popup modal pagination pager toolbar widget contentinfo complementary search login signup".split()
 )
-#: A word after one of these tells what an element has beside it, not what it is: "with-sidebar", "no-comments".
+_OUT_FIRST = frozenset("ad ads advert cookie comment comments share social sidebar related newsletter nav menu footer breadcrumb".split())
+_PARTS = frozenset("area bar block box button buttons container content form group inner item items left links list main menu outer post posts right section slot thread top unit wrap wrapper".split())
+#: A name that begins so tells what an element has beside it, not what it is: "with-sidebar", "no-comments".
 _HAS = frozenset("has with without no is show hide".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
@@ -44,15 +52,19 @@ SIBLING_SHARE = 0.2
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "out")
+    __slots__ = ("tag", "parent", "items", "out", "article", "length", "linked", "points", "kept")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool):
-        self.tag, self.parent, self.out = tag, parent, out
+    def __init__(self, tag: str, parent: Node | None, out: bool, article: bool):
+        self.tag, self.parent, self.out, self.article = tag, parent, out, article
         self.items: list[Node | str] = []
+        self.length = self.linked = 0
+        self.points: float | None = None
+        self.kept = False
 
 
-def excluded(tag: str, attributes: str) -> bool:
-    if tag in _OUT:
+def excluded(tag: str, attributes: str, article: bool) -> bool:
+    """Whether an element is no part of an article; a header inside one is its own."""
+    if tag in _OUT and not (article and tag == "header"):
         return True
     if tag in ("body", "html", "article", "main") or not attributes:
         return False
@@ -60,56 +72,74 @@ def excluded(tag: str, attributes: str) -> bool:
         return True
     for _, value in _ATTRIBUTE.findall(attributes):
         for name in value.strip("\"'").lower().split():
-            words = re.split(r"[^a-z0-9]+", name)
-            if words[0] not in _HAS and any(w in _OUT_WORDS for w in words):
+            words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
+            if not words or words[0] in _HAS:
+                continue
+            own = words[-1] if words[-1] in _OUT_NAMES else words[0] if words[0] in _OUT_FIRST and len(words) > 1 and words[-1] in _PARTS else None
+            if own and not (article and own == "header"):
                 return True
     return False
 
 
-def tree(page: str) -> Node:
-    """Elements and texts of a page; raw text elements and comments are left out, loose ends are closed."""
-    root = node = Node("html", None, False)
-    at = 0
+def tree(page: str) -> list[Node]:
+    """Elements with their texts, parents before children; raw text elements and comments are left out, loose
+    ends are closed."""
+    root = node = Node("html", None, False, False)
+    nodes, at = [root], 0
+    is_open: Counter[str] = Counter(["html"])  # elements around the current place, by tag
+
+    def close(up: Node) -> None:
+        """Leave all elements up to this one."""
+        nonlocal node
+        while node is not up:
+            is_open[node.tag] -= 1
+            node = node.parent
+        is_open[up.tag] -= 1
+        node = up.parent
+
     for m in _TAG.finditer(page):
         if m.start() > at:
             node.items.append(page[at : m.start()])
         at = m.end()
-        tag = (m[3] or "").lower()
+        tag = (m[4] or "").lower()
         if not tag:
             continue
-        if m[2]:
-            up = node
-            while up is not None and up.tag != tag:
-                up = up.parent
-            if up is not None and up.parent is not None:
-                node = up.parent
+        if m[3]:
+            if is_open[tag] and tag != "html":
+                up = node
+                while up.tag != tag:
+                    up = up.parent
+                close(up)
             elif tag == "br":
                 node.items.append(" ")
             continue
         if tag in ("html", "body") and node.parent is None:
             continue
-        if tag in _BLOCK:  # a block ends an open paragraph, with what is open inside it
+        if tag in _BLOCK and is_open["p"]:  # a block ends an open paragraph, with what is open inside it
             up = node
             while up.tag not in _CONTAINER and up.tag != "p":
                 up = up.parent
             if up.tag == "p":
-                node = up.parent
-        if tag in _CLOSES:
+                close(up)
+        if tag in _CLOSES and any(is_open[t] for t in _CLOSES[tag]):
             up = node
             while up.parent is not None and up.tag not in _CLOSES[tag] and (up.tag not in _CONTAINER or up.tag in ("td", "th")):
                 up = up.parent
             if up.tag in _CLOSES[tag]:
-                node = up.parent
+                close(up)
         if tag in _VOID:
             node.items.append("\n" if tag == "hr" else " ")
             continue
-        new = Node(tag, node, node.out or excluded(tag, m[4] or ""))
+        rest = m[5] or ""
+        new = Node(tag, node, node.out or excluded(tag, rest, node.article), node.article or tag in ("article", "main"))
         node.items.append(new)
-        if not (m[4] or "").endswith("/"):
+        nodes.append(new)
+        if not rest.endswith("/"):
             node = new
+            is_open[tag] += 1
     if at < len(page):
         node.items.append(page[at:])
-    return root
+    return nodes
 
 
 def blocks(root: Node) -> list[tuple[Node, str, int]]:
@@ -145,50 +175,50 @@ def blocks(root: Node) -> list[tuple[Node, str, int]]:
     return out
 
 
-def within(node: Node | None) -> Iterator[Node]:
-    """The element and all around it."""
-    while node is not None:
-        yield node
-        node = node.parent
-
-
 def main_text(page: str | None) -> str:
     """The blocks of the best container and its like siblings, one to a line."""
     if not page:
         return ""
-    found = blocks(tree(page))
+    nodes = tree(page)
+    found = blocks(nodes[0])
     if not found:
         return ""
-    length: dict[Node, int] = {}
-    linked: dict[Node, int] = {}
-    points: dict[Node, float] = {}
     for holder, text, links in found:
+        holder.length += len(text)
+        holder.linked += links
         own = holder if holder.tag in _CONTAINER else holder.parent or holder
-        for n in within(holder):
-            length[n] = length.get(n, 0) + len(text)
-            linked[n] = linked.get(n, 0) + links
         worth = 1 + text.count(",") + text.count("，") + min(len(text) / 100, 3)
-        points[own] = points.get(own, 0) + worth
+        own.points = (own.points or 0) + worth
         if own.parent is not None:
-            points[own.parent] = points.get(own.parent, 0) + worth / 2
-    score = {n: v * (1 - min(1.0, linked[n] / length[n])) + (5 if n.tag in ("article", "main") else 0) for n, v in points.items()}
-    best = max(score, key=score.get)
-    keep = {best}
+            own.parent.points = (own.parent.points or 0) + worth / 2
+    for n in reversed(nodes[1:]):
+        n.parent.length += n.length
+        n.parent.linked += n.linked
+
+    def score(n: Node) -> float:
+        return n.points * (1 - min(1.0, n.linked / n.length)) + (5 if n.tag in ("article", "main") else 0)
+
+    scored = [n for n in nodes if n.points is not None and n.length]
+    best = max(scored, key=score)
+    best.kept = True
     if best.parent is not None:
-        least = max(10.0, SIBLING_SHARE * score[best])
+        least = max(10.0, SIBLING_SHARE * score(best))
         for x in best.parent.items:
-            if isinstance(x, Node) and x is not best and x in length:
-                density = linked[x] / length[x]
-                if score.get(x, 0) >= least or x.tag == "p" and density < 0.25 and length[x] > 80:
-                    keep.add(x)
-    return "\n".join(t for holder, t, _ in found if any(n in keep for n in within(holder)))
+            if isinstance(x, Node) and x is not best and x.length:
+                if x.points is not None and score(x) >= least or x.tag == "p" and x.linked < 0.25 * x.length and x.length > 80:
+                    x.kept = True
+    for n in nodes[1:]:
+        n.kept |= n.parent.kept
+    return "\n".join(t for holder, t, _ in found if holder.kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for every row of ``pages``.
 
     Null, empty or textless html gives an empty text. Repeated rows are extracted each; ties between
-    containers go to the one met first; other columns are ignored.
+    containers go to the one met first; other columns are ignored; an empty table gives no rows. A tag
+    that never ends is text, and an element that never ends goes on to its parent's end. Time grows with
+    the page, not with its depth.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -197,4 +227,4 @@ def extract(pages: DataFrame) -> DataFrame:
             yield batch[["page_id", "url"]].assign(text=text, n_chars=[len(t) for t in text])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.select("page_id", "url", "html").mapInPandas(run, f"page_id {kind}, url string, text string, n_chars long")
+    return in_frames(pages.select("page_id", "url", "html"), run, f"page_id {kind}, url string, text string, n_chars long")

@@ -9,6 +9,7 @@ vocabulary, reach the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -17,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, in_slices, staged
+from .common import Words, in_frames, in_slices, staged
 from .toxicity import lettered
 
 #: Documents of each language to fit on, about and on average at most; taken by the hash of their id.
@@ -27,8 +28,6 @@ ROUNDS = 3
 SMOOTH = 0.05
 #: Probability of a character that no piece has; the same for all languages.
 UNKNOWN = 1e-8
-#: Characters of a word that are scored in one pass; a longer word is scored in parts of so many.
-LONGEST = 48
 #: Kept words in a task.
 KEPT = 400_000
 
@@ -63,38 +62,36 @@ class Unigrams:
         self.kept: dict[str, int] = {}
         self.scores = np.zeros((0, len(self.langs)))
 
-    def lattice(self, word: str) -> list[tuple[int, int, int]]:
-        """(from, to, piece) of all pieces in the word; -1 where a character has none."""
-        get, n, out = self.place.get, len(word), []
-        for j in range(1, n + 1):
-            for i in range(max(0, j - self.longest), j):
-                k = get(word[i:j], -1)
-                if k >= 0 or i == j - 1:
-                    out.append((i, j, k))
-        return out
-
     def of_words(self, words: list[str]) -> np.ndarray:
-        """Log-probability of each word in each language, by forward passes of words of one length."""
+        """Log-probability of each word in each language, by forward passes of words of one length.
+
+        The sums of the last places alone are held, as multiples of one of the newest, whose logarithm is
+        kept apart: a word may be as long as a text.
+        """
         out = np.zeros((len(words), len(self.langs)))
-        parts = [(n, spelled(w[a : a + LONGEST]) if a == 0 else w[a : a + LONGEST]) for n, w in enumerate(words) for a in range(0, len(w), LONGEST)]
         by_length: dict[int, list[int]] = {}
-        for n, (_, w) in enumerate(parts):
-            by_length.setdefault(len(w), []).append(n)
+        for i, w in enumerate(words):
+            by_length.setdefault(len(w) + 1, []).append(i)
         p = np.vstack([self.p, np.full(len(self.langs), UNKNOWN), np.zeros(len(self.langs))])
+        get = self.place.get
         for n, own in by_length.items():
             for a in range(0, len(own), 4096):
                 some = own[a : a + 4096]
-                texts = [parts[x][1] for x in some]
-                alpha = np.zeros((n + 1, len(some), len(self.langs)))
-                alpha[0] = 1
-                get = self.place.get
+                texts = [spelled(words[x]) for x in some]
+                scale = np.zeros((len(some), len(self.langs)))
+                behind = [np.ones((len(some), len(self.langs)))]  # the sums up to the places before
                 for j in range(1, n + 1):
-                    for i in range(max(0, j - self.longest), j):
-                        none = -2 if i == j - 1 else -1
-                        k = np.array([get(t[i:j], none) for t in texts])
+                    total = np.zeros((len(some), len(self.langs)))
+                    for back in range(1, len(behind) + 1):
+                        none = -2 if back == 1 else -1
+                        k = np.array([get(t[j - back : j], none) for t in texts])
                         if (k != -1).any():
-                            alpha[j] += alpha[i] * p[k]
-                np.add.at(out, [parts[x][0] for x in some], np.log(np.maximum(alpha[n], 1e-300)))
+                            total += behind[-back] * p[k]
+                    behind = [*behind[-self.longest + 1 :], total] if self.longest > 1 else [total]
+                    if j % 16 == 0 or j == n:
+                        scale += np.log(total)
+                        behind = [x / total for x in behind]
+                out[some] = scale
         return out
 
     def of_texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -118,23 +115,44 @@ class Unigrams:
         return (np.vstack(totals), np.concatenate(letters)) if totals else (np.zeros((0, len(self.langs))), np.zeros(0, bool))
 
 
+def word_counts(model: Unigrams, k: int, word: str) -> dict[int, float]:
+    """Expected uses of each piece over all segmentations of a word in language ``k``.
+
+    Forward and backward sums are kept as multiples of a running scale, one for each place, so that words of
+    any length can be counted.
+    """
+    p, get, n = model.p[:, k], model.place.get, len(word)
+    into: list[list[tuple[int, int, float]]] = [[] for _ in range(n + 1)]  # (from, piece, probability)
+    for j in range(1, n + 1):
+        for i in range(max(0, j - model.longest), j):
+            x = get(word[i:j], -1)
+            if x >= 0 or i == j - 1:
+                into[j].append((i, x, float(p[x]) if x >= 0 else UNKNOWN))
+    ahead, log = [1.0] + [0.0] * n, [0.0] * (n + 1)  # the true sum is ahead * exp(log)
+    for j in range(1, n + 1):
+        base = log[j - 1]
+        total = sum(ahead[i] * math.exp(log[i] - base) * v for i, _, v in into[j])
+        ahead[j], log[j] = 1.0, base + math.log(total)
+    # share[j]: the probability that a segmentation has a cut at j
+    share, out = [0.0] * n + [1.0], {}
+    for j in range(n, 0, -1):
+        if share[j] == 0:
+            continue
+        for i, x, v in into[j]:
+            use = share[j] * math.exp(log[i] - log[j]) * ahead[i] * v
+            share[i] += use
+            if x >= 0:
+                out[x] = out.get(x, 0.0) + use
+    return out
+
+
 def expected_counts(model: Unigrams, words: pd.DataFrame) -> pd.DataFrame:
     """lang, piece, n: expected uses of each piece over all segmentations of (lang, word, n)."""
     total = {k: np.zeros(len(model.pieces)) for k in range(len(model.langs))}
     column = {v: k for k, v in enumerate(model.langs)}
     for lang, word, n in zip(words["lang"], words["word"], words["n"]):
-        k, w = column[lang], spelled(word[:LONGEST])
-        p, arcs = model.p[:, k], model.lattice(w)
-        worth = [p[x] if x >= 0 else UNKNOWN for _, _, x in arcs]
-        ahead, behind = [1.0] + [0.0] * len(w), [0.0] * len(w) + [1.0]
-        for (i, j, _), v in zip(arcs, worth):
-            ahead[j] += ahead[i] * v
-        for (i, j, _), v in sorted(zip(arcs, worth), key=lambda x: -x[0][1]):
-            behind[i] += behind[j] * v
-        if ahead[-1] > 0:
-            for (i, j, x), v in zip(arcs, worth):
-                if x >= 0:
-                    total[k][x] += n * ahead[i] * v * behind[j] / ahead[-1]
+        for x, use in word_counts(model, column[lang], spelled(word)).items():
+            total[column[lang]][x] += n * use
     rows = [(model.langs[k], int(x), t[x]) for k, t in total.items() for x in np.flatnonzero(t > 0)]
     return pd.DataFrame(rows, columns=["lang", "piece", "n"])
 
@@ -156,7 +174,7 @@ def train(docs: DataFrame, vocabulary_path: str, sample: int = SAMPLE, rounds: i
                 n = np.bincount(words.codes, minlength=len(words.distinct))
                 yield pd.DataFrame({"lang": lang, "word": words.distinct.to_pylist(), "n": n})
 
-    counted = chosen.select("lang", "text").mapInPandas(count, "lang string, word string, n long")
+    counted = in_frames(chosen.select("lang", "text"), count, "lang string, word string, n long")
     counted = staged(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")))
     pieces = vocabulary(vocabulary_path)
     rows = sizes.orderBy("lang").collect()
@@ -172,7 +190,7 @@ def train(docs: DataFrame, vocabulary_path: str, sample: int = SAMPLE, rounds: i
             for batch in batches:
                 yield expected_counts(shared.value, batch)
 
-        found = counted.mapInPandas(expect, "lang string, piece int, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n")).toPandas()
+        found = in_frames(counted, expect, "lang string, piece int, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n")).toPandas()
         total = np.full((len(pieces), len(langs)), SMOOTH)
         np.add.at(total, (found["piece"].to_numpy(int), found["lang"].map(place).to_numpy(int)), found["n"].to_numpy(float))
         model = Unigrams(pieces, langs, np.log(total / total.sum(0)), model.prior)
@@ -183,7 +201,8 @@ def predict(docs: DataFrame, model: Unigrams) -> DataFrame:
     """doc_id, lang_pred, score for every row: the likeliest language of the whole text and its posterior.
 
     ``und`` with score 0 if the text is null or has no letter, or if no language was learned. Repeated
-    rows are predicted each; ties go to the first language by name; other columns are not read.
+    rows are predicted each; ties go to the first language by name; other columns are not read; an empty table
+    gives no rows. A word may be as long as a text: all its segmentations are summed.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -201,7 +220,7 @@ def predict(docs: DataFrame, model: Unigrams) -> DataFrame:
                 lang, score = np.full(len(batch), "und", object), np.zeros(len(batch))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "lang_pred": lang, "score": np.where(letters, score, 0.0)})
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, lang_pred string, score double")
+    return in_frames(docs.select("doc_id", "text"), run, f"doc_id {kind}, lang_pred string, score double")
 
 
 def held_out(doc_id):

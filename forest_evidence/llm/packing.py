@@ -4,8 +4,8 @@ Documents become pieces of at most ``capacity`` tokens. The histogram of piece l
 configuration linear program: a configuration is a multiset of lengths that fits one sequence, and the
 fewest configurations that cover all pieces are sought. Multiplicative weights over the lengths price
 the pieces, a knapsack dynamic program finds the best configuration at these prices, and the average of
-the configurations found is a fractional cover. It is rounded down to whole sequences; what is left is
-placed best-fit decreasing. Only the histogram (``capacity`` bins) reaches the driver; pieces find their
+the configurations found is a fractional cover. It is rounded down to whole sequences; for what is left
+the same program prices more configurations. Only the histogram (``capacity`` bins) reaches the driver; pieces find their
 place from their rank within their length.
 """
 
@@ -14,6 +14,7 @@ from __future__ import annotations
 import functools
 import re
 import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,16 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Words, in_slices, staged
+from .common import Words, in_frames, in_slices, size_checked, staged
 
 CAPACITY = 4096
 END_ID = 1
-#: Ranks within a length are dealt into so many groups, so that a common length is no single group.
-GROUPS = 64
-#: Rounds of multiplicative weights.
-ROUNDS = 200
+#: Ranks within a length are dealt into groups of about so many pieces, so that a common length is no single group.
+GROUP = 200_000
+#: Rounds of multiplicative weights, and how strongly a round that covers a class once lowers its weight.
+ROUNDS, EAGERNESS = 400, 0.3
 #: Length classes that the knapsack program tells apart.
-CLASSES = 512
+CLASSES = 256
 
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
@@ -142,61 +143,80 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc, ids in zip(batch["doc_id"], token_ids(batch["text"].tolist(), tokenizer)):
+            for doc, ids in zip(batch["doc_id"].tolist(), token_ids(batch["text"].tolist(), tokenizer)):
                 b = ids.tobytes() + end
                 n = len(b) // 4
                 for k, s in enumerate(range(0, n, capacity)):
                     e = min(n, s + capacity)
                     rows.append((doc, k, s, e - s, zlib.crc32(b[4 * s : 4 * e])))
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"], dtype=object)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return in_frames(docs.select("doc_id", "text"), run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
-def best_configuration(sizes: np.ndarray, prices: np.ndarray, most: np.ndarray, capacity: int) -> list[int]:
-    """Indices (with repeats) of the dearest multiset of sizes within capacity: bounded knapsack by
-    dynamic programming over capacity, each size in powers of two of its bound."""
+def best_configuration(sizes: np.ndarray, prices: np.ndarray, most: np.ndarray, capacity: int) -> dict[int, int]:
+    """Index -> count of the dearest multiset of sizes within capacity: bounded knapsack by dynamic
+    programming over capacity, each size in powers of two of its bound."""
     worth = np.zeros(capacity + 1)
     taken = []
-    for i in np.flatnonzero(prices > 0):
-        left, k = int(min(most[i], capacity // sizes[i])), 1
+    for i in np.flatnonzero((prices > 0) & (most > 0) & (sizes <= capacity)).tolist():
+        size, price = int(sizes[i]), float(prices[i])
+        left, k = int(min(most[i], capacity // size)), 1
         while left > 0:
             k = min(k, left)
-            w = int(sizes[i]) * k
-            more = worth[: capacity + 1 - w] + prices[i] * k
-            better = more > worth[w:] + 1e-15
+            w = size * k
+            more = worth[: capacity + 1 - w] + price * k
+            better = more > worth[w:] + 1e-12
             taken.append((i, k, w, better))
-            worth[w:] = np.where(better, more, worth[w:])
+            np.copyto(worth[w:], more, where=better)
             left -= k
             k *= 2
-    out, at = [], int(worth.argmax())
+    out: dict[int, int] = {}
+    at = int(worth.argmax())
     for i, k, w, better in reversed(taken):
         if at >= w and better[at - w]:
-            out += [int(i)] * k
+            out[i] = out.get(i, 0) + k
             at -= w
     return out
 
 
-def fractional(sizes: np.ndarray, counts: np.ndarray, capacity: int, rounds: int) -> list[tuple[Counter, float]]:
-    """Configurations and how often each is used, by multiplicative weights on the covering program."""
-    weight = np.ones(len(sizes))
+Cover = dict[tuple[tuple[int, int], ...], float]
+
+
+def fractional(sizes: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> tuple[Cover, float, np.ndarray]:
+    """A fractional cover of all classes, a lower bound on any, and each class's price.
+
+    Multiplicative weights on the covering program: each round prices every class by its weight, takes the
+    dearest configuration as often as its scarcest class allows, and lowers the weights of what it covers.
+    Weights begin at the classes' sizes, so that the first configurations are full. Rounds go on after
+    ``rounds`` until every class is covered. Prices at which no configuration is worth more than 1 bound the
+    cover from below; the best of the rounds is returned.
+    """
+    weight = sizes * counts / (sizes * counts).sum()
     cover, found = np.zeros(len(sizes)), Counter()
-    for _ in range(rounds):
-        prices = weight / counts
-        config = Counter(best_configuration(sizes, prices / prices.max(), counts, capacity))
-        if not config:
+    best, price = 0.0, sizes / capacity
+    limit = rounds + 4 * len(sizes)
+    for r in range(limit):
+        if r >= rounds and cover.min() > 0:
             break
-        found[tuple(sorted(config.items()))] += 1
-        use = np.zeros(len(sizes))
+        # a class that is still bare when the rounds are over is all that counts
+        own = weight / counts if r < rounds else np.where(cover == 0, sizes.astype(float), sizes * 1e-6)
+        config = best_configuration(sizes, own / own.max(), counts, capacity)
+        if r < rounds:
+            worth = sum(own[i] * k for i, k in config.items())
+            if worth > 0 and (bound := weight.sum() / worth) > best:
+                best, price = bound, own / worth
+        often = min(counts[i] / k for i, k in config.items())
+        found[tuple(sorted(config.items()))] += often
         for i, k in config.items():
-            use[i] = k / counts[i]
-        width = use.max()
-        cover += use
-        weight *= np.exp(-0.5 * use / width)
-        weight = np.maximum(weight / weight.max(), 1e-12)
-    low = max(cover.min(), 1e-9)
-    return [(Counter(dict(c)), k / low) for c, k in found.items()]
+            use = k * often / counts[i]
+            cover[i] += use
+            weight[i] *= np.exp(-EAGERNESS * use)
+        weight /= weight.max()
+        weight = np.maximum(weight, 1e-9)
+    low = cover.min()
+    return {c: k / low for c, k in found.items()}, max(best, float((sizes * counts).sum()) / capacity), price
 
 
 Plan = list[tuple[tuple[tuple[int, int], ...], int]]
@@ -205,9 +225,10 @@ Plan = list[tuple[tuple[tuple[int, int], ...], int]]
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> Plan:
     """[(((length, count), ...), sequences), ...] that holds every piece of the histogram once.
 
-    The program runs on length classes, rounded up so that a class's configuration fits. It is rounded
-    with and without filling gaps by pieces of other configurations; best-fit decreasing alone, which is
-    what is left of the program if nothing of it can be rounded, competes too. The fewest sequences win.
+    The program runs on length classes, rounded up so that a class's configuration fits. Every sequence is
+    a configuration of the program: those of the fractional cover as often as its whole part says, then
+    configurations that the knapsack program prices for what is left. Gaps left by the classes' rounding are
+    closed by longer pieces in place of a configuration's own, or by one more.
     """
     left = {n: c for n, c in histogram.items() if c > 0}
     whole = [(((n, 1),), left.pop(n)) for n in [n for n in left if n >= capacity]]
@@ -218,61 +239,67 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUN
     for n in sorted(left, reverse=True):
         groups.setdefault(-(-n // step), []).append(n)
     sizes = np.array(sorted(groups))
-    counts = np.array([float(sum(left[n] for n in groups[s])) for s in sizes])
-    used = sorted(fractional(sizes, counts, capacity // step, rounds), key=lambda x: -x[1])
-    by_class = [({int(sizes[i]): k for i, k in config.items()}, often) for config, often in used]
-    tries = [rounded(left, groups, by_class, capacity, fill) for fill in (True, False)] + [best_fit(left, capacity)]
-    return whole + min(tries, key=lambda p: sum(times for _, times in p))
-
-
-def rounded(histogram: dict[int, int], groups: dict[int, list[int]], used: list[tuple[dict[int, int], float]], capacity: int, fill: bool) -> Plan:
-    """Whole sequences of the configurations, with real lengths for the classes; best fit for the rest."""
-    left, out = dict(histogram), []
-    most = sum(n * c for n, c in left.items()) // capacity + 1
-    for config, often in used:
-        room = int(min(often, most))
-        while room > 0:  # as many sequences alike as there are pieces for
-            pick: Counter = Counter()
-            short = False
-            for size, k in config.items():
-                for n in groups[size]:
-                    own = min(k, left.get(n, 0))
-                    if own:
-                        pick[n] += own
-                        k -= own
-                short |= k > 0
-            gap = capacity - sum(n * k for n, k in pick.items())
-            while fill and gap > 0 and (more := max((n for n in left if n <= gap and left[n] > pick[n]), default=0)):
-                pick[more] += 1
-                gap -= more
-            if not pick or (gap > capacity // 32 if fill else short):
-                break
-            times = min([room, *(left[n] // k for n, k in pick.items())])
-            for n, k in pick.items():
-                left[n] -= times * k
-                if not left[n]:
-                    del left[n]
-            out.append((tuple(sorted(pick.items())), times))
-            room -= times
-    return out + best_fit(left, capacity)
-
-
-def best_fit(left: dict[int, int], capacity: int) -> Plan:
-    """Best-fit decreasing on a histogram; sequences with equal contents are handled together."""
-    left, out = dict(left), []
+    room = capacity // step
+
+    def counts() -> np.ndarray:
+        return np.array([float(sum(left.get(n, 0) for n in groups[s])) for s in sizes.tolist()])
+
+    out: Plan = []
+    order, n = sorted(left), counts()
+    cover, _, _ = fractional(sizes, n, room, rounds)
+    used = np.zeros(len(sizes))
+    for config, often in cover.items():
+        for i, k in config:
+            used[i] += k * often
+    scale = (used / n).max()  # so many times the cover holds the class that it holds most often
+    for config, often in sorted(cover.items(), key=lambda x: (-x[1], x[0])):
+        take(left, order, groups, {int(sizes[i]): k for i, k in config}, int(often / scale), capacity, out)
+    # what is left: long pieces are dearer than their share, as they are harder to place later
+    price = sizes / room * (1 + sizes / room)
     while left:
-        pick, gap = Counter(), capacity
-        while gap > 0 and (n := max((n for n in left if n <= gap and left[n] > pick[n]), default=0)):
-            k = min(gap // n, left[n] - pick[n])
-            pick[n] += k
-            gap -= n * k
-        times = min(left[n] // k for n, k in pick.items())
+        config = best_configuration(sizes, price / price.max(), counts(), room)
+        take(left, order, groups, {int(sizes[i]): k for i, k in config.items()}, sum(left.values()), capacity, out)
+    return whole + out
+
+
+def take(left: dict[int, int], order: list[int], groups: dict[int, list[int]], config: dict[int, int], often: int, capacity: int, out: Plan) -> None:
+    """Fill up to ``often`` sequences by a configuration of classes, as long as there are pieces for it; ``order``
+    has the lengths left, sorted."""
+    while often > 0:
+        pick: Counter = Counter()
+        for size, k in config.items():
+            for n in groups[size]:
+                own = min(k, left.get(n, 0) - pick[n])
+                if own > 0:
+                    pick[n] += own
+                    k -= own
+            if k:
+                return
+        gap = capacity - sum(n * k for n, k in pick.items())
+        while gap > 0:
+            # a piece more (in place of none), or a longer one in place of one that the configuration has
+            better = (0, 0, 0)
+            for n in (0, *(+pick)):
+                at = bisect_right(order, n + gap)
+                while at and left[order[at - 1]] <= pick[order[at - 1]]:
+                    at -= 1
+                if at:
+                    better = max(better, (order[at - 1] - n, n, order[at - 1]))
+            if not better[0]:
+                break
+            pick[better[2]] += 1
+            pick[better[1]] -= 1
+            gap -= better[0]
+        del pick[0]
+        pick = +pick
+        times = min([often, *(left[n] // k for n, k in pick.items())])
         for n, k in pick.items():
             left[n] -= times * k
             if not left[n]:
                 del left[n]
+                order.remove(n)
         out.append((tuple(sorted(pick.items())), times))
-    return out
+        often -= times
 
 
 def placement(planned: Plan) -> pd.DataFrame:
@@ -299,17 +326,19 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     """
     spark = docs.sparkSession
     rows = staged(pieces(docs, tokenizer, capacity, end_id))
-    rows = rows.withColumn("deal", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(GROUPS)).cast("int"))
+    histogram = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    # one row for each length, of which there are ``capacity`` at most
+    groups = spark.createDataFrame([(int(n), 1 + c // GROUP) for n, c in histogram.items()], "length long, groups int")
+    rows = rows.join(F.broadcast(groups), "length").withColumn("deal", F.pmod(F.xxhash64("doc_id", "piece"), F.col("groups")).cast("int"))
     sizes = staged(rows.groupBy("length", "deal").agg(F.count("*").alias("n")))
     before = F.sum("n").over(W.partitionBy("length").orderBy("deal").rowsBetween(W.unboundedPreceding, -1))
     starts = sizes.select("length", "deal", F.coalesce(before, F.lit(0)).alias("ahead"))
-    histogram = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     places = placement(plan(histogram, capacity))
     table = {n: g.to_numpy()[:, 1:] for n, g in places.groupby("length")}
     shared = spark.sparkContext.broadcast(table)
     own = F.row_number().over(W.partitionBy("length", "deal").orderBy("doc_id", "piece", "start")) - 1
-    # at most capacity * GROUPS rows
-    ranked = rows.withColumn("own", own).join(F.broadcast(starts), ["length", "deal"]).withColumn("rank", F.col("own") + F.col("ahead"))
+    # a row for each GROUP pieces, and one for each length more
+    ranked = rows.withColumn("own", own).join(size_checked(starts, 24), ["length", "deal"]).withColumn("rank", F.col("own") + F.col("ahead"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -325,4 +354,4 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "rank"]
-    return ranked.select(*columns).mapInPandas(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return in_frames(ranked.select(*columns), run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

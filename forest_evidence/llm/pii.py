@@ -1,22 +1,25 @@
 """Surrogates for personal data (operator 2); DataFrame and SQL functions only.
 
-Patterns detect entities. An entity's identity is its type and canonical form (digits of a phone, lower
-case of an address, one word of a name), so that all its spellings get one surrogate. A keyed hash draws
-the surrogate: each digit becomes a digit, each letter a letter, a name one of the same gender and script.
+Patterns detect entities. An entity's identity is its type and canonical form (national digits of a phone,
+lower case of an address, one word of a name), so that all its spellings get one surrogate. A keyed hash
+draws the surrogate: each digit becomes a digit, each letter a letter of its script, a name one of the same
+gender and script; card numbers keep their check digit valid, account numbers theirs.
 All surrogates of the corpus are checked: none may equal another's or a real entity of its type; those
-that do are drawn again, names and addresses with a syllable more. Each mention is then written in the form it had.
+that do are drawn again, names and addresses with a syllable more. Each mention is then written in the form
+it had; a family name that a document mentions is replaced where it stands alone too.
 """
 
 from __future__ import annotations
 
 from itertools import count
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, staged
+from .common import BROADCAST_BYTES, free_name, staged
 
-KEY = "surrogates"
+#: Session setting with the secret key of the surrogates, and what stands for it in tests.
+KEY_SETTING, TEST_KEY = "spark.forest_evidence.surrogateKey", "not a secret"
 #: Draws after which what is left is looked through for forms that can't have a surrogate.
 DRAWS = 12
 
@@ -29,13 +32,17 @@ FEMALE_NAMES = "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Sarah Anna
 LATIN_SYLLABLES = "ba be bo da de do fa fe fi ga ge ka ke ko la le li lo ma me mi mo na ne no pa pe ra re ri ro ta".split()
 CYRILLIC_SYLLABLES = "ба бе бо да де до фа фе фи га ге ка ке ко ла ле ли ло ма ме ми мо на не но па пе ра ре ри ро та".split()
 
-_WORD = r"\p{Lu}[\p{L}'’-]+"
+#: A capitalised word; an apostrophe belongs to it before a letter, but for a last "'s".
+_WORD = r"\p{Lu}(?:[\p{L}-]|['’](?=\p{L})(?!s(?![\p{L}\p{N}])))+"
+_ALONE = rf"(?<![\p{{L}}\p{{N}}]){_WORD}"
 _TITLES = "|".join([*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES])
 #: type -> pattern; the first that matches at a place counts.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "secret": r"(?<![\p{L}\p{N}])(?=[0-9A-Fa-f]*[0-9])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,1024}(?![\p{L}\p{N}])",
+    "token": r"(?<![\p{L}\p{N}])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|sk-[0-9A-Za-z_-]{20,}|gh[opsu]_[0-9A-Za-z]{30,})(?![\p{L}\p{N}])",
+    "secret": r"(?<![\p{L}\p{N}])(?=[A-Fa-f]*[0-9])(?=[0-9]*[A-Fa-f])[0-9A-Fa-f]{32,}+(?![\p{L}\p{N}])",
+    "ip6": r"(?<![\p{L}\p{N}:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\p{L}\p{N}:])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
     "card": r"(?<![\p{L}\p{N}+.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\p{L}\p{N}]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -44,7 +51,7 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Texts without a match of this can't hold an entity.
-HINT = rf"[@\d]|{_TITLES}|{'|'.join([*MALE_NAMES, *FEMALE_NAMES])}"
+HINT = rf"[@\d:]|{_TITLES}|{'|'.join([*MALE_NAMES, *FEMALE_NAMES])}"
 
 
 def _type(m: Column) -> Column:
@@ -55,17 +62,28 @@ def _type(m: Column) -> Column:
 
 
 def _parts(m: Column) -> Column:
-    """The identities in a mention: array of struct(kind, form). A name has one for each word but its title."""
+    """The identities in a mention: array of struct(kind, form, gender). A name has one for each word but its
+    title; a given name's gender is that of the listed name, else its title's."""
     kind = _type(m)
     words = F.split(m, " ")
     first = F.regexp_replace(words[0], r"\.$", "")
-    given = F.when(first.isin(*MALE_TITLES, *MALE_NAMES), "given male").when(first.isin(*FEMALE_TITLES, *FEMALE_NAMES), "given female").otherwise("given")
+    of_title = F.when(first.isin(*MALE_TITLES), "male").when(first.isin(*FEMALE_TITLES), "female")
     title = first.isin(*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES)
     size = F.size(words)
-    names = F.transform(words, lambda w, i: F.struct(F.when((i == 0) & title, "title").when(i == size - 1, "family").otherwise(given).alias("kind"), F.lower(w).alias("form")))
-    bare = F.when(kind.isin("card", "ssn", "phone"), F.regexp_replace(m, r"\D", "")).when(kind == "iban", F.replace(m, F.lit(" "), F.lit(""))).otherwise(F.lower(m))
-    one = F.array(F.struct(kind.alias("kind"), bare.alias("form")))
-    return F.when(kind == "name", names).otherwise(one)
+
+    def one(w: Column, i: Column) -> Column:
+        role = F.when((i == 0) & title, "title").when(i == size - 1, "family").otherwise("given")
+        gender = F.when(w.isin(*MALE_NAMES), "male").when(w.isin(*FEMALE_NAMES), "female").otherwise(of_title)
+        return F.struct(role.alias("kind"), F.lower(w).alias("form"), F.when(role == "given", gender).alias("gender"))
+
+    digits = F.regexp_replace(m, r"\D", "")
+    phone = F.when(m.startswith("+1") & (F.length(digits) == 11), F.substr(digits, F.lit(2))).otherwise(digits)
+    bare = (
+        F.when(kind == "phone", phone).when(kind.isin("card", "ssn"), digits)
+        .when(kind == "iban", F.replace(m, F.lit(" "), F.lit(""))).when(kind == "token", m).otherwise(F.lower(m))
+    )
+    alone = F.array(F.struct(kind.alias("kind"), bare.alias("form"), F.lit(None).cast("string").alias("gender")))
+    return F.when(kind == "name", F.transform(words, one)).otherwise(alone)
 
 
 def _draws(key: str, kind: Column, form: Column, draw: Column) -> Column:
@@ -80,33 +98,55 @@ def _number(stream: Column, i: Column) -> Column:
 
 
 def _like(form: Column, stream: Column, kept: Column) -> Column:
-    """Every digit a digit, every letter a letter; the first ``kept`` characters stay."""
-    letters, capitals = F.lit("abcdefghijklmnopqrstuvwxyz"), F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    """Every digit a digit, every letter a letter of its case and script; the first ``kept`` characters stay."""
+    tables = [(r"[0-9]", "0123456789"), (r"[A-Z]", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), (r"\p{IsCyrillic}", "абвгдежзиклмнопрстуфхцчшыэюя"), (r"\p{L}", "abcdefghijklmnopqrstuvwxyz")]
     n = F.length(form)
 
     def one(i: Column) -> Column:
         c = F.substr(form, i, F.lit(1))
         v = _number(stream, i)
-        return (
-            F.when(i <= kept, c).when(c.rlike("[0-9]"), (v % 10).cast("string"))
-            .when(c.rlike("[A-Z]"), F.substr(capitals, v % 26 + 1, F.lit(1))).when(c.rlike(r"\p{L}"), F.substr(letters, v % 26 + 1, F.lit(1))).otherwise(c)
-        )
+        new = F.when(i <= kept, c)
+        for pattern, table in tables:
+            new = new.when(c.rlike(pattern), F.substr(F.lit(table), v % len(table) + 1, F.lit(1)))
+        return new.otherwise(c)
 
     return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(1), n), one), "")).otherwise(form)
 
 
-def _kept(kind: Column, n: Column) -> Column:
-    """How many of the first of ``n`` characters a surrogate keeps."""
-    return F.when(kind == "card", 1).when(kind == "phone", F.greatest(F.lit(0), n - 10)).when(kind == "iban", 2).otherwise(0)
+def _characters(c: Column) -> Column:
+    return F.filter(F.split(c, ""), lambda x: x != "")
+
+
+def luhn_digit(body: Column) -> Column:
+    """The check digit that follows the digits of a card number."""
+    digits = F.transform(F.reverse(_characters(body)), lambda c, i: F.when(i % 2 == 1, c.cast("int")).otherwise(c.cast("int") * 2))
+    total = F.aggregate(digits, F.lit(0), lambda s, d: s + F.when(d > 9, d - 9).otherwise(d))
+    return F.pmod(-total, F.lit(10)).cast("string")
+
+
+def iban_check(country: Column, account: Column) -> Column:
+    """The two check digits of an account number."""
+    step = lambda s, c: F.when(c.rlike("[0-9]"), (s * 10 + c.cast("int")) % 97).otherwise((s * 100 + F.ascii(c) - 55) % 97)
+    rest = F.aggregate(_characters(F.concat(account, country, F.lit("00"))), F.lit(0), lambda s, c: F.coalesce(step(s, c), F.lit(0)).cast("int"))
+    return F.lpad((98 - rest).cast("string"), 2, "0")
+
+
+def _kept(kind: Column, form: Column) -> Column:
+    """How many of its first characters a surrogate keeps."""
+    n = F.length(form)
+    mark = F.when(form.startswith("sk-"), 3).otherwise(4)
+    return F.when(kind == "card", 1).when(kind == "phone", F.greatest(F.lit(0), n - 10)).when(kind == "iban", 2).when(kind == "token", mark).otherwise(0)
 
 
-def surrogate(key: str, kind: Column, form: Column, draw: Column) -> Column:
+def surrogate(key: str, kind: Column, form: Column, gender: Column, draw: Column) -> Column:
     """The surrogate of an identity at a draw, in canonical form. Each draw has a syllable more in names and
     addresses, so that there are more spellings than identities from some draw on."""
     stream = _draws(key, kind, form, draw)
     octets = F.array_join(F.array(*[(_number(stream, F.lit(i)) % 254 + 1).cast("string") for i in range(4)]), ".")
     n = F.length(form)
-    hexes = F.substr(F.concat(*[stream] * 4), F.lit(1), n)
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / 128).cast("int")), lambda i: F.sha2(F.concat_ws("\x1f", stream, i.cast("string")), 512))
+    hexes = F.when(n > 0, F.substr(F.array_join(blocks, ""), F.lit(1), n))
+    ip6 = F.array_join(F.transform(_characters(form), lambda c, i: F.when(c == ":", c).otherwise(F.substr(stream, F.pmod(i, F.lit(256)) + 1, F.lit(1)))), "")
     cyrillic = form.rlike(r"\p{IsCyrillic}")
 
     def syllables(table: list[str], least: int) -> Column:
@@ -115,11 +155,16 @@ def surrogate(key: str, kind: Column, form: Column, draw: Column) -> Column:
 
     woman, man = F.when(cyrillic, "на").otherwise("na"), F.when(cyrillic, "н").otherwise("n")
     name = F.when(cyrillic, syllables(CYRILLIC_SYLLABLES, 4)).otherwise(syllables(LATIN_SYLLABLES, 4))
-    name = F.concat(name, F.when(kind == "given female", woman).when(kind == "given male", man).otherwise(""))
+    name = F.concat(name, F.when(gender == "female", woman).when(gender == "male", man).otherwise(""))
     mail = F.concat(_like(F.substring_index(form, "@", 1), stream, F.lit(0)), F.lit("@"), syllables(LATIN_SYLLABLES, 3), F.lit(".example."), F.substring_index(form, ".", -1))
+    like = _like(form, stream, _kept(kind, form))
+    body = F.substr(like, F.lit(1), n - 1)
+    account = F.substr(like, F.lit(5))
+    country = F.substr(form, F.lit(1), F.lit(2))
     return (
-        F.when(kind == "title", form).when(kind == "email", mail).when(kind == "ip", octets).when(kind == "secret", hexes)
-        .when(kind.isin("family", "given", "given male", "given female"), name).otherwise(_like(form, stream, _kept(kind, n)))
+        F.when(kind == "title", form).when(kind == "email", mail).when(kind == "ip", octets).when(kind == "ip6", ip6).when(kind == "secret", hexes)
+        .when(kind.isin("family", "given"), name).when((kind == "card") & (n > 1), F.concat(body, luhn_digit(body)))
+        .when(kind == "iban", F.concat(country, iban_check(country, account), account)).otherwise(like)
     )
 
 
@@ -127,24 +172,26 @@ def _crowded(real: DataFrame) -> DataFrame:
     """Kinds and kept digits of forms of digits, of which the corpus has more than half of all that there are:
     as many others don't exist."""
     n = F.length("form")
-    digits = real.where(F.col("kind").isin("card", "phone", "ssn")).select("kind", n.alias("n"), _kept(F.col("kind"), n).alias("kept"), "form")
-    sized = digits.groupBy("kind", "n", F.substring("form", F.lit(1), F.col("kept")).alias("begin"), "kept").count()
-    return sized.where(2 * F.col("count") > F.pow(F.lit(10.0), F.col("n") - F.col("kept")))
+    given = _kept(F.col("kind"), F.col("form")) + (F.col("kind") == "card").cast("int")  # a card's last digit follows from the others
+    digits = real.where(F.col("kind").isin("card", "phone", "ssn")).select("kind", n.alias("n"), _kept(F.col("kind"), F.col("form")).alias("kept"), given.alias("given"), "form")
+    sized = digits.groupBy("kind", "n", F.substring("form", F.lit(1), F.col("kept")).alias("begin"), "given").count()
+    return sized.where(2 * F.col("count") > F.pow(F.lit(10.0), F.greatest(F.lit(0), F.col("n") - F.col("given"))))
 
 
-def assigned(found: DataFrame, key: str = KEY) -> DataFrame:
-    """kind, form, surrogate for the distinct identities in ``found(kind, form)``.
+def assigned(found: DataFrame, key: str) -> DataFrame:
+    """kind, form, surrogate for the distinct identities in ``found(kind, form, gender)``. A name that is given
+    two genders has the first by name.
 
     No two identities of a kind share a surrogate and none is a real form of its kind. In a clash the
     smallest form keeps the surrogate and the others draw again, until all have one. Raises only if none
     is possible: when more than half of all numbers of a length (and of the digits kept) are real ones.
     """
-    real = staged(found.where("kind <> 'title'").select("kind", "form").distinct())
+    real = staged(found.where("kind <> 'title'").groupBy("kind", "form").agg(F.min("gender").alias("gender")))
     left, taken = real, None
     for draw in count():
         if draw == DRAWS and (full := _crowded(real).first()):
             raise ValueError(f"more than half of all {full['kind']} numbers of {full['n']} digits from {full['begin']!r} on are real: no distinct surrogates exist")
-        drawn = left.withColumn("surrogate", surrogate(key, F.col("kind"), F.col("form"), F.lit(draw)))
+        drawn = left.withColumn("surrogate", surrogate(key, F.col("kind"), F.col("form"), F.col("gender"), F.lit(draw)))
         used = real.select("kind", F.col("form").alias("surrogate"))
         if taken is not None:
             used = used.union(taken.select("kind", "surrogate"))
@@ -157,47 +204,70 @@ def assigned(found: DataFrame, key: str = KEY) -> DataFrame:
         left = staged(rest)
 
 
+def _written_name(word: Column, new: Column) -> Column:
+    """A name in the case of the word that it replaces."""
+    return F.when((F.upper(word) == word) & (F.length(word) > 1), F.upper(new)).otherwise(F.initcap(new))
+
+
 def _as_written(m: Column, get) -> Column:
     """A mention rewritten with the surrogates of its identities, in its own format and case."""
     kind = _type(m)
     parts = _parts(m)
     new = get(parts[0])
+    signs = F.regexp_replace(m, "[^A-Z0-9]", "")
+    padded = F.concat(F.substr(signs, F.lit(1), F.length(signs) - F.length(new)), new)  # a country code stays
     digits = F.array_join(
         F.transform(
             F.sequence(F.lit(1), F.length(m)),
-            lambda i: F.when(F.substr(m, i, F.lit(1)).rlike("[A-Z0-9]"), F.substr(new, F.length(F.regexp_replace(F.substr(m, F.lit(1), i), "[^A-Z0-9]", "")), F.lit(1))).otherwise(F.substr(m, i, F.lit(1))),
+            lambda i: F.when(F.substr(m, i, F.lit(1)).rlike("[A-Z0-9]"), F.substr(padded, F.length(F.regexp_replace(F.substr(m, F.lit(1), i), "[^A-Z0-9]", "")), F.lit(1))).otherwise(F.substr(m, i, F.lit(1))),
         ),
         "",
     )
     words = F.split(m, " ")
-    names = F.array_join(F.zip_with(words, parts, lambda w, p: F.when(p["kind"] == "title", w).when((F.upper(w) == w) & (F.length(w) > 1), F.upper(get(p))).otherwise(F.initcap(get(p)))), " ")
+    names = F.array_join(F.zip_with(words, parts, lambda w, p: F.when(p["kind"] == "title", w).otherwise(_written_name(w, get(p)))), " ")
     cased = F.when((F.upper(m) == m) & m.rlike(r"\p{L}"), F.upper(new)).otherwise(new)
-    return F.when(kind.isin("card", "ssn", "phone", "iban"), digits).when(kind == "name", names).otherwise(cased)
+    return F.when(kind.isin("card", "ssn", "phone", "iban"), digits).when(kind == "name", names).when(kind == "token", new).otherwise(cased)
 
 
-def with_surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
+def session_key(spark: SparkSession) -> str:
+    """The session's key; one for tests, which keeps nothing secret, where none is set."""
+    return spark.conf.get(KEY_SETTING, TEST_KEY)
+
+
+def with_surrogates(docs: DataFrame, key: str) -> DataFrame:
     """All rows and columns of ``docs`` with personal data in ``text`` replaced, and n_entities (mentions).
 
     Null and empty texts stay. doc_id may be null or repeat: what is found under one doc_id is looked up
-    together. A column n_entities of ``docs`` is replaced. Texts move only to meet the surrogates of their
-    own mentions, and not even then while these are small enough to broadcast.
+    together. A column n_entities of ``docs`` is replaced, any other keeps its name and values. Texts are
+    searched whole, whatever their length. Texts move only to meet the surrogates of their
+    own mentions, and not even then while these are small enough to broadcast. An empty table gives no rows.
     """
+    mine, id_, hits_ = (free_name(docs, n) for n in ("own_surrogates", "surrogates_id", "surrogates_hits"))
     hits = F.when(F.col("text").rlike(HINT), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
     found = docs.select("doc_id", hits.alias("hits")).where(F.size("hits") > 0)
     found = found.select("doc_id", F.explode(F.array_distinct(F.flatten(F.transform("hits", _parts)))).alias("part"))
-    found = staged(found.select("doc_id", "part.kind", "part.form").distinct())
+    found = staged(found.select("doc_id", "part.kind", "part.form", "part.gender").distinct())
     table = assigned(found, key)
     place = F.concat_ws(":", "kind", "form")
-    own = found.join(table, ["kind", "form"]).groupBy("doc_id").agg(F.map_from_entries(F.collect_set(F.struct(place, "surrogate"))).alias("__own"))
-    own = staged(own.withColumnRenamed("doc_id", "__id"))
-    size = own.agg(F.sum(F.length(F.array_join(F.map_keys("__own"), "")) * 3 + F.size("__own") * 48 + 64)).first()[0] or 0
+    own = found.join(table, ["kind", "form"]).groupBy("doc_id").agg(F.map_from_entries(F.collect_set(F.struct(place, "surrogate"))).alias(mine))
+    own = staged(own.withColumnRenamed("doc_id", id_))
+    size = own.agg(F.sum(F.length(F.array_join(F.map_keys(mine), "")) * 3 + F.size(mine) * 48 + 64)).first()[0] or 0
     own = F.broadcast(own) if size <= BROADCAST_BYTES else own
-    both = docs.drop("n_entities").join(own, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
-    get = lambda p: F.element_at(F.col("__own"), F.concat_ws(":", p["kind"], p["form"]))
+    both = docs.drop("n_entities").join(own, F.col("doc_id").eqNullSafe(F.col(id_)), "left")
+    look = lambda kind, form: F.element_at(F.col(mine), F.concat_ws(":", kind, form))
     mentions = F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
+    family = F.exists(F.map_keys(mine), lambda k: k.startswith("family:"))
+
+    def alone(piece: Column) -> Column:
+        """Family names of the document's own people where they stand alone."""
+        words = F.regexp_extract_all(piece, F.lit(_ALONE), F.lit(0))
+        new = F.transform(words, lambda w: F.coalesce(_written_name(w, look(F.lit("family"), F.lower(w))), w))
+        return F.array_join(F.zip_with(F.split(piece, _ALONE, -1), new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+
     between = F.split("text", ANY, -1)
-    text = F.array_join(F.zip_with(between, F.transform(F.col("__hits"), lambda m: _as_written(m, get)), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    both = both.withColumn("__hits", F.when(F.col("__own").isNotNull(), mentions))
-    changed = F.coalesce(F.size("__hits"), F.lit(0)) > 0
-    out = both.withColumn("n_entities", F.when(changed, F.size("__hits")).otherwise(0)).withColumn("text", F.when(changed, text).otherwise(F.col("text")))
+    between = F.when(family, F.transform(between, alone)).otherwise(between)
+    text = F.array_join(F.zip_with(between, F.transform(F.col(hits_), lambda m: _as_written(m, lambda p: look(p["kind"], p["form"]))), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    both = both.withColumn(hits_, F.when(F.col(mine).isNotNull(), mentions))
+    changed = F.coalesce(F.size(hits_), F.lit(0)) > 0
+    out = both.withColumn("n_entities", F.when(changed, F.size(hits_)).otherwise(0)).withColumn("text", F.when(changed, text).otherwise(F.col("text")))
     return out.select(*[c for c in docs.columns if c != "n_entities"], "n_entities")

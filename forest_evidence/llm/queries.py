@@ -19,7 +19,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.with_surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pii.with_surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.session_key(spark))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import DisjointSets, Words, block_pairs, by_group, components, in_blocks, in_slices, mixed, size_checked, staged
+from .common import DisjointSets, Words, components, group_links, in_frames, in_slices, mixed, size_checked, staged
 
 SHINGLE = 5
 BANDS, ROWS = 21, 6
@@ -89,7 +89,7 @@ def sketch(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["n_shingles", "digest", "registers"]).assign(doc_id=batch["doc_id"].to_numpy())[["doc_id", "n_shingles", "digest", "registers"]]
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n_shingles long, digest binary, registers binary")
+    return in_frames(docs.select("doc_id", "text"), run, f"doc_id {kind}, n_shingles long, digest binary, registers binary")
 
 
 def _likely(regs: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -106,47 +106,40 @@ def _likely(regs: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray) ->
     return tuple(np.concatenate(c) for c in zip(*out)) if out else (i, j, np.zeros(0))
 
 
-def _sketch_links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A spanning forest of the likely pairs in each pair of blocks of a bucket."""
-    for group in by_group(batches, ["band", "p", "q"]):
-        if len(group) < 2:
-            continue
-        ids, size = group["id"].to_numpy(), group["n_shingles"].to_numpy().astype(float)
-        regs = np.frombuffer(b"".join(group["registers"]), np.uint8).reshape(len(group), REGISTERS)
-        x, y, _ = _likely(regs, size, *block_pairs(group))
-        sets = DisjointSets(len(group))
-        keep = [(a, b) for a, b in zip(x.tolist(), y.tolist()) if sets.join(a, b)]
-        if keep:
-            yield pd.DataFrame({"a": ids[[a for a, _ in keep]], "b": ids[[b for _, b in keep]]})
+def _by_sketch(group: pd.DataFrame):
+    """Likely pairs by registers."""
+    size = group["n_shingles"].to_numpy().astype(float)
+    regs = np.frombuffer(b"".join(group["registers"]), np.uint8).reshape(len(group), REGISTERS)
+    return lambda x, y, some: _likely(regs, size, x, y)[:2]
 
 
-def _confirmed(threshold: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in by_group(batches, ["family", "p", "q"]):
-            if len(group) < 2:
-                continue
-            ids = group["id"].to_numpy()
-            own = list(shingle_sets(group["text"].tolist()))
-            size = np.array([len(s) for s in own], float)
-            x, y = block_pairs(group)
-            if len(group) > 8:  # estimates choose the order, so that few pairs of one class are compared
-                regs = np.stack([registers(s) for s in own])
+def _by_sets(threshold: int):
+    """Pairs confirmed on full sets; estimates choose the order, so that few pairs of one class are compared."""
+
+    def comparer(group: pd.DataFrame):
+        own = list(shingle_sets(group["text"].tolist()))
+        size = np.array([len(s) for s in own], float)
+        regs = np.stack([registers(s) for s in own]) if len(group) > 8 else None
+
+        def linked(x: np.ndarray, y: np.ndarray, some: bool) -> tuple[np.ndarray, np.ndarray]:
+            if regs is not None:
                 x, y, e = _likely(regs, size, x, y)
                 order = np.argsort(-e, kind="stable")
                 x, y = x[order], y[order]
-            sets, keep = DisjointSets(len(group)), []
-            for a, b in zip(x.tolist(), y.tolist()):
-                if sets.find(a) == sets.find(b):
+            sets, keep = DisjointSets(len(own)), []
+            for k, (a, b) in enumerate(zip(x.tolist(), y.tolist())):
+                if some and sets.find(a) == sets.find(b):
                     continue
                 n = len(own[a]) + len(own[b])
                 both = len(np.intersect1d(own[a], own[b], assume_unique=True))
                 if 100 * both >= threshold * (n - both):
                     sets.join(a, b)
-                    keep.append((a, b))
-            if keep:
-                yield pd.DataFrame({"a": ids[[a for a, _ in keep]], "b": ids[[b for _, b in keep]]})
+                    keep.append(k)
+            return x[keep], y[keep]
+
+        return linked
 
-    return run
+    return comparer
 
 
 def _digested(docs: DataFrame) -> DataFrame:
@@ -157,7 +150,7 @@ def _digested(docs: DataFrame) -> DataFrame:
             yield batch.assign(digest=[xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in shingle_sets(batch["text"].tolist())])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, text string, digest binary")
+    return in_frames(docs.select("doc_id", "text"), run, f"doc_id {kind}, text string, digest binary")
 
 
 def _judged(docs: DataFrame, threshold: int) -> DataFrame:
@@ -171,7 +164,7 @@ def _judged(docs: DataFrame, threshold: int) -> DataFrame:
     bands = nodes.select("id", key.alias("band"))
     shared = bands.groupBy("band").agg(F.count("*").alias("n_key")).where("n_key > 1")
     members = bands.join(shared, "band").join(nodes.select("id", "n_shingles", "registers"), "id")
-    pairs = staged(in_blocks(members, "band", BLOCK).mapInPandas(_sketch_links, "a binary, b binary").distinct())
+    pairs = staged(group_links(members, "band", BLOCK, _by_sketch).distinct())
 
     family = staged(components(pairs).select("id", F.col("component").alias("family")))
     sized = family.join(family.groupBy("family").agg(F.count("*").alias("n_key")), "family")
@@ -179,7 +172,7 @@ def _judged(docs: DataFrame, threshold: int) -> DataFrame:
     near = size_checked(staged(sized.select("doc_id").distinct()), 16)
     texts = _digested(docs.join(near, "doc_id", "left_semi")).withColumnRenamed("digest", "id")
     texts = texts.join(size_checked(sized, 96), ["doc_id", "id"]).drop("doc_id")
-    links = in_blocks(texts, "family", BLOCK).mapInPandas(_confirmed(threshold), "a binary, b binary")
+    links = group_links(texts, "family", BLOCK, _by_sets(threshold))
     classes = staged(components(links).join(nodes.select("id", "doc_id"), "id"))
     first = classes.groupBy("component").agg(F.min(F.struct("doc_id", "id")).alias("first"))
     classes = classes.join(first, "component").select(F.col("id").alias("digest"), "first")
@@ -197,8 +190,9 @@ def near_duplicates(docs: DataFrame, threshold: int = 85) -> DataFrame:
     pair is formed. A class is named by its smallest doc_id; rows that repeat a doc_id
     are classed each by its own text, and of several sets under a class's doc_id the one with the smallest
     digest is kept. A null doc_id is linked with nothing, its
-    component is null and it is kept. Other columns are ignored. A class is confirmed in blocks of
-    BLOCK rows and yields a spanning forest, never all its pairs.
+    component is null and it is kept. Other columns are ignored. Large groups are compared with a few leads and
+    only what these leave with all others; a group yields a spanning forest, never all its pairs. Texts of any
+    length are read whole; an empty table gives no rows.
     """
     return _judged(docs, threshold).drop("digest")
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, in_slices
+from .common import Words, in_batches, in_frames, in_slices
 
 #: Labelled documents to fit on, at most; those with the smallest hash of their id.
 SAMPLE = 4000
@@ -144,15 +144,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "severity": p.sum(1), "p_toxic": p[:, 0], "grade": (p >= 0.5).sum(1), "toxic": p[:, 0] >= 0.5})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, severity double, p_toxic double, grade int, toxic boolean")
+    return in_frames(docs.select("doc_id", "text"), run, f"doc_id {kind}, severity double, p_toxic double, grade int, toxic boolean")
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs``, all columns, that aren't toxic."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch[shared.value.at_least(batch["text"].tolist())[:, 0] < 0.5]
-
-    return docs.mapInPandas(run, docs.schema)
+    return in_batches(docs, lambda texts: shared.value.at_least(texts)[:, 0] < 0.5, "text")
