@@ -58,6 +58,8 @@ def in_frames(df: DataFrame, f: Callable[[Iterator[pd.DataFrame]], Iterator[pd.D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for out in f(b.to_pandas(integer_object_nulls=True) for b in batches):
+            if not len(out):
+                continue
             arrays = [pa.array(out[x.name], x.type, from_pandas=True) for x in kind]
             yield from pa.Table.from_arrays(arrays, schema=kind).to_batches()
 

@@ -33,7 +33,7 @@ LATIN_SYLLABLES = "ba be bo da de do fa fe fi ga ge ka ke ko la le li lo ma me m
 CYRILLIC_SYLLABLES = "ба бе бо да де до фа фе фи га ге ка ке ко ла ле ли ло ма ме ми мо на не но па пе ра ре ри ро та".split()
 
 #: A capitalised word; an apostrophe belongs to it before a letter, but for a last "'s".
-_WORD = r"\p{Lu}(?:[\p{L}-]|['’](?=\p{L})(?!s(?![\p{L}\p{N}])))+"
+_WORD = r"\p{Lu}(?:[\p{L}-]|['’](?=\p{L})(?![sS](?![\p{L}\p{N}])))+"
 _ALONE = rf"(?<![\p{{L}}\p{{N}}]){_WORD}"
 _TITLES = "|".join([*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES])
 #: type -> pattern; the first that matches at a place counts.
