@@ -58,9 +58,41 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(docs, licences.train(spark, docs))
 
 
+def edit_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near texts by banded edit fingerprints, beside operator 7's query, whose contract has no pairs."""
+    return edit_print.near_classes(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
+    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)} | {"edit_classes": edit_classes}
+
+
+_WORDS = "regexp_extract_all(coalesce({}, ''), '[^ \\t-\\r]+')"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Near-duplicate classes: all pairs that share a shingle, and what can be reached over links.
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS sh FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0) t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+r AS (SELECT x AS id, x AS other FROM l UNION SELECT r.id, l.y FROM r JOIN l ON r.other = l.x),
+k AS (SELECT id, min(other) AS least FROM r GROUP BY 1)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(k.least, w.doc_id) AS component_id, w.doc_id = coalesce(k.least, w.doc_id) AS kept
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN k ON w.doc_id = k.id"""
+
+#: Words left when windows of 20 words that also start earlier are removed.
+WITHOUT_REPEATS = f"""
+WITH w AS (SELECT doc_id, {_WORDS.format('text')} AS ws FROM documents),
+v AS (SELECT doc_id, i, array_to_string(ws[i : i + 19], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w WHERE len(ws) > 19) t),
+f AS (SELECT k, min((doc_id, i)) AS earliest, count(*) AS n FROM v GROUP BY 1 HAVING count(*) > 1),
+g AS (SELECT DISTINCT doc_id, i + j AS i FROM (SELECT v.doc_id, v.i, unnest(range(20)) AS j FROM v JOIN f ON v.k = f.k WHERE (v.doc_id, v.i) <> f.earliest) t),
+e AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+q AS (SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.i) AS kept, count(*) AS n FROM e LEFT JOIN g ON e.doc_id = g.doc_id AND e.i = g.i WHERE g.i IS NULL GROUP BY 1)
+SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(q.n, 0) AS n_removed, sha256(coalesce(q.kept, '')) AS kept_sha256 FROM w LEFT JOIN q ON w.doc_id = q.doc_id"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The queries whose rows are determined by their contract; the others learn, sketch or choose."""
+    return {"op5_near_duplicates": NEAR_DUPLICATES, "op9_substring_dedup": WITHOUT_REPEATS}
