@@ -92,12 +92,17 @@ def number(c: Column) -> Column:
     return F.when(c.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"), F.trim(c).cast("double"))
 
 
+#: Field names that count as forest related whatever they hold.
+FOREST_FIELDS = ["mets", "mets_ha", "pindala", "haritav", "rohumaa", "metsatyyp", "siht1"]
+
+
 def is_forest_field(name: Column) -> Column:
-    return F.lower(name).rlike("mets|forest")
+    return F.lower(name).isin(FOREST_FIELDS) | F.lower(name).rlike("mets|forest")
 
 
 def is_forest_ha_field(name: Column) -> Column:
-    return is_forest_field(name) & F.lower(name).rlike("_ha$|ha$")
+    """A forest field in hectares: its name ends in ha or has ha as a part of its own."""
+    return F.lower(name).rlike("mets|forest") & F.lower(name).rlike("ha$|(^|[_-])ha($|[_-])")
 
 
 def land_area(pindala: Column, geodesic: Column) -> Column:
@@ -105,14 +110,14 @@ def land_area(pindala: Column, geodesic: Column) -> Column:
     return F.coalesce(pindala / 10000, geodesic)
 
 
-def normalised_area(value: Column, square_metres: bool, land: Column) -> Column:
-    """struct(area_ha, method): square metres by name, or inferred where hectares exceed the land but
+def normalised_area(value: Column, key: Column, land: Column) -> Column:
+    """struct(area_ha, method): square metres by the field's name, or inferred where hectares exceed the land but
     square metres fit, else hectares."""
     converted = value / 10000
-    if square_metres:
-        return F.struct(converted.alias("area_ha"), F.lit("m2").alias("method"))
-    inferred = land.isNotNull() & (value > land) & (converted <= land)
-    return F.struct(F.when(inferred, converted).otherwise(value).alias("area_ha"), F.when(inferred, "m2_inferred").otherwise("ha").alias("method"))
+    named = F.lower(key).rlike("m2|_m$")
+    inferred = F.coalesce((value > land) & (converted <= land), F.lit(False))
+    method = F.when(named, "reported_m2").when(inferred, "reported_m2_inferred").otherwise("reported_ha")
+    return F.struct(F.when(named | inferred, converted).otherwise(value).alias("area_ha"), method.alias("method"))
 
 
 def safe_id(c: Column) -> Column:
@@ -132,8 +137,9 @@ def metric_parts(raw: Column) -> dict[str, Column]:
 
 
 def content_type(path: Column) -> Column:
-    out = F.lit("application/octet-stream")
-    kinds = {".json": "application/json", ".geojson": "application/geo+json", ".csv": "text/csv", ".html": "text/html", ".txt": "text/plain", ".md": "text/markdown", ".pdf": "application/pdf"}
+    """By suffix; null if it is none of these."""
+    out = F.lit(None).cast("string")
+    kinds = {".json": "application/json", ".geojson": "application/geo+json", ".csv": "text/csv", ".html": "text/html", ".wkt": "text/plain"}
     for suffix, kind in kinds.items():
         out = F.when(F.lower(path).endswith(suffix), kind).otherwise(out)
     return out
@@ -145,6 +151,11 @@ def end_year(version: Column, path: Column) -> Column:
     return F.coalesce(y(version, r"^(20\d\d)"), y(path, r"(20\d\d)"))
 
 
+def latest_year(folder: Column) -> Column:
+    """Aggregate: the largest year that a data set's folder name has, for where ``end_year`` finds none."""
+    return F.max(F.nullif(F.regexp_extract(folder, r"(20\d\d)", 1), F.lit("")).cast("int"))
+
+
 def tile_of_path(path: Column) -> Column:
     """A parent directory that is a tile id, else the first in the file's name; upper case."""
     up = F.upper(path)
@@ -171,20 +182,32 @@ def link_score(status: Column, content_type: Column, expected: Column) -> Column
     return ok.cast("double") + 0.5 * kind.cast("double") + 0.2 * two.cast("double")
 
 
-def link_candidates(url: Column) -> Column:
-    """The url with its first year one later, and with its first version's minor number one higher."""
-    year = F.regexp_extract(url, r"(20\d\d)", 1)
-    minor = F.regexp_extract(url, r"v\d+\.(\d+)", 1)
-    next_year = F.when(year != "", F.regexp_replace(url, F.concat(F.lit("^(.*?)"), year), F.concat(F.lit("$1"), (year.try_cast("int") + 1).cast("string"))))
-    major = F.regexp_extract(url, r"v(\d+)\.\d+", 1)
-    next_minor = F.when(minor != "", F.replace(url, F.concat(F.lit("v"), major, F.lit("."), minor), F.concat(F.lit("v"), major, F.lit("."), (minor.try_cast("int") + 1).cast("string"))))
-    return F.array_compact(F.array_distinct(F.array(next_year, next_minor)))
+def _first_replaced(text: Column, old: Column, new: Column) -> Column:
+    """The text with the first ``old`` replaced; null where it has none."""
+    at = F.locate(old, text) if isinstance(old, str) else F.position(old, text)
+    return F.when(at > 0, F.concat(F.substr(text, F.lit(1), at - 1), new, F.substr(text, at + F.length(old))))
 
 
-def run_timestamp(name: Column) -> Column:
-    """The time a run's name holds, by several patterns in order; null if none."""
+def link_candidates(url: Column) -> Column:
+    """array of struct(url, method): the first year one later, the first version's minor number (0 if it has none)
+    one higher, where the url holds them so written; distinct."""
+    year = F.nullif(F.regexp_extract(url, r"(20\d\d)", 1), F.lit(""))
+    major = F.nullif(F.regexp_extract(url, r"v(\d+)(?:\.\d+)?", 1), F.lit("")).try_cast("bigint")
+    minor = F.coalesce(F.nullif(F.regexp_extract(url, r"v\d+(?:\.(\d+))?", 1), F.lit("")).try_cast("bigint"), F.lit(0))
+    version = lambda n: F.concat(F.lit("v"), major.cast("string"), F.lit("."), n.cast("string"))
+    later = _first_replaced(url, year, (year.try_cast("int") + 1).cast("string"))
+    higher = _first_replaced(url, version(minor), version(minor + 1))
+    one = lambda u, method: F.when(u.isNotNull(), F.struct(u.alias("url"), F.lit(method).alias("method")))
+    return F.array_compact(F.array(one(later, "year_bump_probe"), F.when(later.isNull() | (later != higher), one(higher, "version_probe"))))
+
+
+def run_timestamp(name: Column, modified: Column | None = None, reported: Column | None = None) -> Column:
+    """The time a run's name holds, by several patterns in order; else the time its folder was modified, what its
+    report says, or the epoch. A pattern whose text is no time is passed over."""
     tries = [
-        (r"(\d{8}T\d{6})Z?", "yyyyMMdd'T'HHmmss"), (r"(\d{8}_\d{6})", "yyyyMMdd_HHmmss"), (r"(\d{4}-\d\d-\d\dT\d\d-\d\d-\d\d)", "yyyy-MM-dd'T'HH-mm-ss"),
-        (r"(\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d)", "yyyy-MM-dd'T'HH:mm:ss"), (r"(\d{4}-\d\d-\d\d)", "yyyy-MM-dd"), (r"(\d{8})", "yyyyMMdd"),
+        (r"(\d{8}T\d{6}Z)", "yyyyMMdd'T'HHmmss'Z'"), (r"(\d{8}_\d{6})", "yyyyMMdd_HHmmss"), (r"(\d{8}-\d{6})", "yyyyMMdd-HHmmss"),
+        (r"(\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ)", "yyyy-MM-dd'T'HH:mm:ss'Z'"), (r"(\d{4}-\d\d-\d\d)", "yyyy-MM-dd"), (r"(\d{8})", "yyyyMMdd"),
     ]
-    return F.coalesce(*[F.try_to_timestamp(F.nullif(F.regexp_extract(name, p, 1), F.lit("")), F.lit(f)) for p, f in tries])
+    found = [F.try_to_timestamp(F.nullif(F.regexp_extract(name, p, 1), F.lit("")), F.lit(f)) for p, f in tries]
+    rest = [c for c in (modified, reported if reported is None else F.try_to_timestamp(reported)) if c is not None]
+    return F.coalesce(*found, *rest, F.timestamp_seconds(F.lit(0)))

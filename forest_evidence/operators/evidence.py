@@ -10,11 +10,30 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 
-EXCLUDED_PARTS = [".git", "__pycache__", "node_modules", ".venv"]
+# What inventories leave out, and the roles of a report's artifacts, in order.
+EXCLUDED_PARTS = [".git", "audit", "outputs", ".venv", "__pycache__"]
+EXCLUDED_NAMES = ["keys.yml"]
+EXCLUDED_SUFFIXES = [".pyc"]
 HISTORY_KEY = ["dependency_id", "url", "discovered_by", "discovery_method"]
 ORDERS = {"metrics": ["variable"], "tiles": ["tile_id", "layer", "local_path"], "artifacts": ["relpath"], "history": [*HISTORY_KEY, "status"], "bundles": ["bundle_date", "bundle_id", "relpath"]}
 #: suffix -> role, in order
-ROLES = {"crosscheck.json": "crosscheck_summary", "crosscheck.csv": "crosscheck_table", "manifest.json": "tile_manifest", "metrics.csv": "metrics", ".geojson": "geometry", ".html": "report_page", ".json": "report", ".csv": "table"}
+ROLES = {
+    "/metrics.csv": "metrics_csv",
+    "forest_loss_post_2020_mask.geojson": "forest_loss_mask",
+    "forest_current_tree_cover_mask.geojson": "forest_current_mask",
+    "forest_2000_tree_cover_mask.geojson": "forest_2000_mask",
+    "forest_end_year_tree_cover_mask.geojson": "forest_end_year_mask",
+    "forest_loss_post_2020_tiles.json": "hansen_tiles_manifest",
+    "forest_loss_post_2020_summary.json": "forest_loss_summary",
+    "forest_mask_debug.json": "forest_mask_debug",
+    "map/map_config.json": "report_map_config",
+    "maaamet_forest_area_crosscheck.csv": "maaamet_crosscheck_csv",
+    "maaamet_forest_area_crosscheck_summary.json": "maaamet_crosscheck_summary",
+    "maaamet_top10_parcels.geojson": "maaamet_top10_geojson",
+    "maaamet_top10_parcels.csv": "maaamet_top10_csv",
+    "maaamet_fields_inventory.json": "maaamet_fields_inventory",
+    "maaamet_parcels_metadata.json": "maaamet_parcels_metadata",
+}
 
 
 def diff_artifacts(published: DataFrame, local: DataFrame, keys: list[str]) -> DataFrame:
@@ -32,23 +51,32 @@ def diff_signatures(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return diff_artifacts(known(a), known(b), keys).where("state <> 'same'")
 
 
-def exclude_paths(df: DataFrame, suffixes: tuple[str, ...] = (".pyc", ".log")) -> DataFrame:
+def exclude_paths(df: DataFrame) -> DataFrame:
+    """Rows whose path no rule of inventories leaves out."""
     parts = F.split("relpath", "/")
-    bad = F.arrays_overlap(parts, F.array(*map(F.lit, EXCLUDED_PARTS))) | F.element_at(parts, -1).startswith(".env")
-    return df.where(~reduce(lambda x, s: x | F.col("relpath").endswith(s), suffixes, bad))
+    name = F.element_at(parts, -1)
+    bad = F.arrays_overlap(parts, F.array(*map(F.lit, EXCLUDED_PARTS))) | (name == ".env") | name.startswith(".env.") | name.isin(EXCLUDED_NAMES)
+    return df.where(~reduce(lambda x, s: x | F.lower(name).endswith(s), EXCLUDED_SUFFIXES, bad))
 
 
-def artifact_role(path: Column) -> Column:
-    out = F.lit("other")
-    for suffix, role in reversed(ROLES.items()):
-        out = F.when(path.endswith(suffix), role).otherwise(out)
+def artifact_role(path: Column, aoi_id: Column, geometry: Column) -> Column:
+    """Role of a report's artifact: its geometry, its own JSON and page, then by suffix; null if none."""
+    out = F.when(path == geometry, "aoi_geometry").when(F.endswith(path, F.concat(F.lit("/"), aoi_id, F.lit(".json"))), "report_json")
+    out = out.when(F.endswith(path, F.concat(F.lit("/"), aoi_id, F.lit(".html"))), "report_html")
+    for suffix, role in ROLES.items():
+        out = out.when(path.endswith(suffix), role)
     return out
 
 
 def relative_path(path: Column, base: Column) -> Column:
-    """Path of an artifact seen from a page in ``base``: below it, or up to the root and down."""
-    up = F.repeat(F.lit("../"), F.when(base == "", 0).otherwise(F.size(F.split(base, "/"))))
-    return F.when((base != "") & path.startswith(F.concat(base, F.lit("/"))), F.substr(path, F.length(base) + 2)).otherwise(F.concat(up, path))
+    """Path of an artifact seen from a page in the folder ``base``: up to what both share, and down."""
+    parts = lambda c: F.filter(F.split(c, "/"), lambda x: x != "")
+    to, at = parts(path), parts(base)
+    pairs = F.zip_with(to, at, lambda a, b: F.coalesce(a == b, F.lit(False)))
+    shared = F.coalesce(F.nullif(F.array_position(pairs, False), F.lit(0)) - 1, F.size(pairs)).cast("int")
+    shared = F.least(shared, F.size(to) - 1)  # a folder of the artifact's own name isn't the artifact
+    up = F.array_repeat(F.lit(".."), F.size(at) - shared)
+    return F.array_join(F.concat(up, F.slice(to, shared + 1, F.size(to))), "/")
 
 
 def row_hash(*columns: str) -> Column:
@@ -171,10 +199,15 @@ def unflagged_results(results: DataFrame, assumptions: DataFrame) -> DataFrame:
     return touched.where("not flagged").select("report_id", F.lit("unflagged_result").alias("rule"), F.col("result_id").cast("string").alias("detail"))
 
 
-def missing_blocks(reports: DataFrame, blocks: list[str]) -> DataFrame:
-    """Blocks that a report with loss must have."""
+def missing_blocks(reports: DataFrame, blocks: list[str], placeholder: Column | None = None) -> DataFrame:
+    """Blocks that a report with loss (by its metrics or its results' evidence) must have; where ``placeholder`` is
+    given, it must be false."""
+    rows = reports.where("has_loss")
+    if placeholder is not None:
+        mock = rows.where(F.coalesce(placeholder, F.lit(True))).select("report_id", F.lit("placeholder_methodology").alias("rule"), F.lit("is_placeholder").alias("detail"))
+        return missing_blocks(reports, blocks).union(mock)
     each = F.array_compact(F.array(*[F.when(F.col(b).isNull() | (F.trim(F.col(b).cast("string")) == ""), b) for b in blocks]))
-    return reports.where("has_loss").select("report_id", F.lit("missing_block").alias("rule"), F.explode(each).alias("detail"))
+    return rows.select("report_id", F.lit("missing_block").alias("rule"), F.explode(each).alias("detail"))
 
 
 def assessable_but_missing(reports: DataFrame) -> DataFrame:
@@ -187,6 +220,13 @@ def tiles_without_source(tiles: DataFrame) -> DataFrame:
     return tiles.where(bad).select("report_id", F.lit("tile_without_source").alias("rule"), F.col("tile_id").alias("detail"))
 
 
+def reports_without_dependency(reports: DataFrame, dependencies: DataFrame, wanted: str = "hansen_gfc_2024_v1_12") -> DataFrame:
+    """Reports with loss that name no raster data set: none at all, or not the wanted one."""
+    named = dependencies.groupBy("report_id").agg(F.max((F.col("dependency_id") == wanted).cast("int")).alias("has"))
+    got = reports.where("has_loss").join(named, "report_id", "left").where("coalesce(has, 0) = 0")
+    return got.select("report_id", F.lit("missing_dependency").alias("rule"), F.when(F.col("has").isNull(), "none").otherwise(F.lit(wanted)).alias("detail"))
+
+
 def class_status(classes: DataFrame, artifacts: DataFrame) -> DataFrame:
     """Evidence class status from the artifacts there are."""
     n = artifacts.groupBy("report_id", "class_id").agg(F.count("*").alias("n"))
@@ -194,18 +234,97 @@ def class_status(classes: DataFrame, artifacts: DataFrame) -> DataFrame:
     return got.select("report_id", "class_id", F.when(F.col("n") > 0, "present").otherwise("missing").alias("status"))
 
 
-def publishable(runs: DataFrame, expected: int, by: str = "site_id") -> DataFrame:
-    got = runs.groupBy(by).agg(F.count("*").alias("n_runs"), F.count_if(F.col("has_report") == 0).alias("n_without"))
-    return got.withColumn("ok", (F.col("n_runs") == expected) & (F.col("n_without") == 0))
-
-
-REPORT_KEYS = ["report_id", "run_id", "aoi_id", "generated_utc", "metrics", "artifacts", "results"]
+#: Files that each published run must have.
+RUN_FILES = ["report.html", "aoi_report.json"]
+
+
+def publishable(runs: DataFrame, files: DataFrame, links: DataFrame, expected: int = 2, by: str = "site_id") -> DataFrame:
+    """For each site its runs, how many lack a file of RUN_FILES (``files``: site, run_name, file) or a link from the
+    index (``links``: site, href), and whether it can be published: just the expected runs, all whole."""
+    keys = [by, "run_name"]
+    has = files.where(F.col("file").isin(RUN_FILES)).groupBy(*keys).agg(F.countDistinct("file").alias("n_files"))
+    linked = links.select(by, F.regexp_extract("href", r"(?:^|/)runs/([^/]+)/report\.html$", 1).alias("run_name")).distinct().withColumn("linked", F.lit(1))
+    got = runs.select(*keys).distinct().join(has, keys, "left").join(linked, keys, "left")
+    bad = F.coalesce(F.col("n_files"), F.lit(0)) < len(RUN_FILES)
+    out = got.groupBy(by).agg(F.count("*").alias("n_runs"), F.count_if(bad).alias("n_without"), F.count_if(F.col("linked").isNull()).alias("n_unlinked"))
+    return out.withColumn("ok", (F.col("n_runs") == expected) & (F.col("n_without") == 0) & (F.col("n_unlinked") == 0))
+
+
+# The report contract's keys, enumerations, lengths and bounds, by path; [] enters a list's entries.
+REPORT_KEYS = [
+    "report_version", "generated_at_utc", "bundle_id", "report_metadata", "aoi_id", "aoi_geometry_ref", "inputs", "metrics", "evidence_artifacts", "evidence_registry",
+    "acceptance_criteria", "regulatory_traceability", "assumptions", "policy_mapping_refs", "parameters", "datasets", "policy_mapping", "results_summary",
+]
+REPORT_REQUIRED = [
+    "report_metadata.report_type", "report_metadata.regulatory_context", "report_metadata.assessment_capability", "aoi_geometry_ref.kind", "aoi_geometry_ref.value", "inputs.sources",
+    "inputs.sources[].source_id", "evidence_artifacts[].relpath", "evidence_artifacts[].sha256", "evidence_registry.evidence_classes", "evidence_registry.evidence_classes[].class_id",
+    "evidence_registry.evidence_classes[].mandatory", "evidence_registry.evidence_classes[].status", "acceptance_criteria[].criteria_id", "acceptance_criteria[].description",
+    "acceptance_criteria[].evidence_classes", "acceptance_criteria[].decision_type", "results[].result_id", "results[].criteria_ids", "assumptions[].assumption_id", "assumptions[].testable",
+    "regulatory_traceability[].regulation", "datasets[].dataset_id", "datasets[].retrieved_at_utc", "datasets[].license", "policy_mapping[].article_ref", "policy_mapping[].requirement",
+    "policy_mapping[].evidence_fields", "policy_mapping[].artifact_relpaths", "policy_mapping[].status", "results_summary.aoi_area.area_ha", "results_summary.aoi_area.method",
+]
+REPORT_ENUMS = {
+    "report_version": ["aoi_report_v2"], "report_metadata.report_type": ["example", "production", "test"], "report_metadata.assessment_capability": ["inspectable_only", "assessable"],
+    "aoi_geometry_ref.kind": ["uri", "wkt", "geojson", "dataset_feature"], "evidence_registry.evidence_classes[].status": ["missing", "partial", "present"], "policy_mapping[].status": ["pass", "fail", "na"],
+    "results_summary.deforestation_free_post_2020.status": ["pass", "fail", "na"],
+}
+REPORT_SHA = ["aoi_geometry_ref.sha256", "inputs.sources[].sha256", "evidence_artifacts[].sha256"]
+REPORT_FILLED = ["bundle_id", "aoi_id", "aoi_geometry_ref.value", "inputs.sources[].source_id", "evidence_artifacts[].relpath", "datasets[].dataset_id", "datasets[].license", "policy_mapping[].article_ref", "policy_mapping[].requirement"]
+REPORT_ITEMS = ["inputs.sources", "evidence_registry.evidence_classes", "acceptance_criteria", "acceptance_criteria[].evidence_classes", "results[].criteria_ids", "datasets", "policy_mapping", "policy_mapping[].evidence_fields", "policy_mapping[].artifact_relpaths"]
+REPORT_MINIMUMS = {"evidence_artifacts[].size_bytes": 0, "map_assets.latest_year": 2000}
+
+
+def _type_at(kind, path: str):
+    """The type at a path of a schema; None if it isn't there."""
+    for name in path.replace("[]", ".[]").split("."):
+        if kind is None:
+            return None
+        if name == "[]":
+            kind = kind.elementType if hasattr(kind, "elementType") else None
+        else:
+            kind = next((f.dataType for f in getattr(kind, "fields", []) if f.name == name), None)
+    return kind
+
+
+def _any_at(value: Column, names: list[str], bad) -> Column:
+    """Whether ``bad`` holds of a value at a path: of any entry of the lists on the way."""
+    for i, name in enumerate(names):
+        if name == "[]":
+            return F.coalesce(F.exists(value, lambda x: _any_at(x, names[i + 1 :], bad)), F.lit(False))
+        value = value[name]
+    return F.coalesce(bad(value), F.lit(False))
+
+
+def contract_errors(reports: DataFrame, required: list[str], enums: dict[str, list[str]], sha: list[str], minimums: dict[str, float], filled: list[str] = (), items: list[str] = ()) -> DataFrame:
+    """report_id, rule, detail: missing values, values outside enumerations, hashes that aren't SHA-256 hex, numbers
+    under a minimum, empty texts and empty lists, by path. A field that the schema of ``reports`` lacks is missing
+    in all of them if required, and right otherwise; what hangs on an absent optional block isn't missing."""
+    found = []
+
+    def add(rule: str, path: str, bad) -> None:
+        first, *names = path.replace("[]", ".[]").split(".")
+        detail = F.struct(F.lit(rule).alias("rule"), F.lit(path).alias("detail"))
+        if _type_at(reports.schema, path) is None:
+            if rule == "required" and "." not in path and "[]" not in path:
+                found.append(detail)
+            return
+        found.append(F.when(_any_at(F.col(first), names, bad), detail))
+
+    for p in required:
+        add("required", p, lambda v: v.isNull())
+    for p, values in enums.items():
+        add("enum", p, lambda v, values=values: ~v.isin(values))
+    for p in sha:
+        add("sha256", p, lambda v: ~v.rlike("^[0-9a-f]{64}$"))
+    for p, least in minimums.items():
+        add("minimum", p, lambda v, least=least: v < least)
+    for p in filled:
+        add("min_length", p, lambda v: v == "")
+    for p in items:
+        add("min_items", p, lambda v: F.size(v) == 0)
+    return reports.select("report_id", F.explode(F.array_compact(F.array(*found))).alias("e")).select("report_id", "e.*")
 
 
-def contract_errors(reports: DataFrame, required: list[str], enums: dict[str, list[str]], sha_columns: list[str], minimums: dict[str, float]) -> DataFrame:
-    """Missing keys, values outside enumerations, hashes that aren't SHA-256 hex, numbers under a minimum."""
-    found = [F.when(F.col(c).isNull(), F.struct(F.lit("required").alias("rule"), F.lit(c).alias("detail"))) for c in required]
-    found += [F.when(~F.col(c).isin(v), F.struct(F.lit("enum").alias("rule"), F.lit(c).alias("detail"))) for c, v in enums.items()]
-    found += [F.when(~F.col(c).rlike("^[0-9a-f]{64}$"), F.struct(F.lit("sha256").alias("rule"), F.lit(c).alias("detail"))) for c in sha_columns]
-    found += [F.when(F.col(c) < v, F.struct(F.lit("minimum").alias("rule"), F.lit(c).alias("detail"))) for c, v in minimums.items()]
-    return reports.select("report_id", F.explode(F.array_compact(F.array(*found))).alias("e")).select("report_id", "e.*")
+def report_errors(reports: DataFrame) -> DataFrame:
+    """``contract_errors`` of the report contract; reports as ``read_reports`` gives them, with a report_id."""
+    return contract_errors(reports, [*REPORT_KEYS, *REPORT_REQUIRED], REPORT_ENUMS, REPORT_SHA, REPORT_MINIMUMS, REPORT_FILLED, REPORT_ITEMS)

@@ -24,7 +24,10 @@ def _cut(df: DataFrame) -> DataFrame:
     """Checkpoint to the shared folder of the session; a temporary one only where none is set."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not where and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()
 
 

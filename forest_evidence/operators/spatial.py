@@ -97,10 +97,43 @@ def touched_spans(zones: DataFrame) -> DataFrame:
     return zone_spans(zones).union(edge)
 
 
-def zone_pixels(zones: DataFrame, pixels: DataFrame, rule: str = "center") -> DataFrame:
-    """Pixels of each zone: equi-join on the row, range on the column; the row deals the work, not the zone."""
-    spans = zone_spans(zones) if rule == "center" else touched_spans(zones)
-    joined = pixels.join(spans, "prow").where(F.col("pcol").between(F.col("c0"), F.col("c1"))).drop("c0", "c1")
+#: Spans of at most so many bytes are broadcast to the pixels.
+BROADCAST_BYTES = 24 << 20
+
+
+def tile_spans(zones: DataFrame, tiles: DataFrame, rule: str = "center") -> DataFrame:
+    """zone_id, tile_id, prow, c0, c1: the pixels of each zone in each tile that it reaches.
+
+    ``zones`` are in the tiles' coordinates; a tile (tile_id, x0, y0, step, width, height) has its upper left
+    corner at (x0, y0) and rows that run down. Tiles are some hundreds to a globe, so their boxes are broadcast.
+    """
+    box = bounding_box(zones)
+    reach = (F.col("min_x") <= F.col("x0") + F.col("width") * F.col("step")) & (F.col("max_x") >= F.col("x0"))
+    reach &= (F.col("min_y") <= F.col("y0")) & (F.col("max_y") >= F.col("y0") - F.col("height") * F.col("step"))
+    met = zones.join(box, "zone_id").join(F.broadcast(tiles), reach)
+    own = lambda v: F.struct(((v["x"] - F.col("x0")) / F.col("step")).alias("x"), ((F.col("y0") - v["y"]) / F.col("step")).alias("y"))
+    moved = F.transform("polygons", lambda p: F.transform(p, lambda r: F.transform(r, own)))
+    inner = met.select(F.struct("zone_id", "tile_id", "width", "height").alias("zone_id"), moved.alias("polygons"))
+    spans = zone_spans(inner) if rule == "center" else touched_spans(inner)
+    out = spans.where((F.col("prow") >= 0) & (F.col("prow") < F.col("zone_id.height")))
+    out = out.select("zone_id.zone_id", "zone_id.tile_id", "prow", F.greatest("c0", F.lit(0)).alias("c0"), F.least("c1", F.col("zone_id.width") - 1).cast("int").alias("c1"))
+    return out.where("c0 <= c1")
+
+
+def zone_pixels(zones: DataFrame, pixels: DataFrame, tiles: DataFrame, rule: str = "center") -> DataFrame:
+    """Pixels of each zone: equi-join on tile and row, range on the column; tiles and rows deal the work, not zones.
+
+    Only the partitions of tiles that a zone reaches are read, and of these only rows between the first and the
+    last reached one: the tile ids, bounded by the tiles, and two numbers come from the spans first. Spans of a
+    checked size are broadcast, others meet the pixels in a shuffle.
+    """
+    spans = tile_spans(zones, tiles, rule)
+    found = spans.groupBy("tile_id").agg(F.min("prow").alias("low"), F.max("prow").alias("high"), F.count("*").alias("n")).collect()
+    if not found:
+        return pixels.where(F.lit(False)).withColumn("zone_id", F.lit(None).cast(zones.schema["zone_id"].dataType))
+    needed = F.col("tile_id").isin([r["tile_id"] for r in found]) & F.col("prow").between(min(r["low"] for r in found), max(r["high"] for r in found))
+    side = F.broadcast(spans) if sum(r["n"] for r in found) * 64 <= BROADCAST_BYTES else spans
+    joined = pixels.where(needed).join(side, ["tile_id", "prow"]).where(F.col("pcol").between(F.col("c0"), F.col("c1"))).drop("c0", "c1")
     return joined if rule == "center" else joined.dropDuplicates(["zone_id", "tile_id", "prow", "pcol"])
 
 
@@ -176,11 +209,15 @@ def equal_area_xy(lon: Column, lat: Column) -> tuple[Column, Column]:
 
 
 def pair_tiles(cover: DataFrame, loss: DataFrame) -> DataFrame:
-    """Cover with loss tiles by file name where names are unique, else by parent directory; fails on a lone one."""
+    """Each cover tile with its loss tile: a sole pair whatever its names, else by file name where names are unique
+    on both sides, else by parent directory; fails if a cover tile has no partner or a side is empty."""
     name, folder = F.substring_index("path", "/", -1), F.regexp_extract("path", r"([^/]+)/[^/]*$", 1)
-    unique = cover.select(name.alias("n")).distinct().count() == cover.count()
-    key = name if unique else folder
-    a, b = cover.select(key.alias("k"), F.col("path").alias("cover_path")), loss.select(key.alias("k"), F.col("path").alias("loss_path"))
-    lone = F.raise_error(F.lit("a tile has no partner")).cast("boolean")
-    both = a.join(b, "k", "full_outer")
-    return both.where(F.when(F.col("cover_path").isNull() | F.col("loss_path").isNull(), lone).otherwise(True)).select("cover_path", "loss_path")
+    size = lambda df: df.agg(F.count("*").alias("n"), F.countDistinct(name).alias("names")).first()
+    a, b = size(cover), size(loss)
+    if not a["n"] or not b["n"]:
+        raise ValueError("no cover or no loss tiles")
+    key = F.lit(1) if a["n"] == b["n"] == 1 else name if a["n"] == a["names"] and b["n"] == b["names"] else folder
+    left, right = cover.select(key.alias("k"), F.col("path").alias("cover_path")), loss.groupBy(key.alias("k")).agg(F.max("path").alias("loss_path"))
+    lone = F.raise_error(F.concat(F.lit("no loss tile for "), F.col("cover_path"))).cast("boolean")
+    both = left.join(right, "k", "left")
+    return both.where(F.when(F.col("loss_path").isNull(), lone).otherwise(True)).select("cover_path", "loss_path")

@@ -11,48 +11,81 @@ from ..operators import spatial as S
 from ..operators import zonal as Z
 
 
-def aoi_evidence(zones: DataFrame, pixels: DataFrame, areas: DataFrame, threshold: int, cutoff: int, end_year: int, area_m2: Column, rule: str = "center") -> DataFrame:
-    """Forest metrics of each zone with its area (zone_id, aoi_ha) and loss status; zones without a valid
-    pixel have zeros."""
-    metrics = Z.forest_metrics(S.zone_pixels(zones, pixels, rule), threshold, cutoff, end_year, area_m2).drop("loss_pct")
-    out = areas.join(metrics, "zone_id", "left").fillna(0.0, [c for c in metrics.columns if c != "zone_id"])
+def aoi_evidence(zones: DataFrame, pixels: DataFrame, tiles: DataFrame, areas: DataFrame, threshold: int, cutoff: int, end_year: int, area_m2: Column, rule: str = "center") -> DataFrame:
+    """Forest metrics, cover summary and pixel diagnostics of each zone with its area (zone_id, aoi_ha), the tiles it
+    reaches and its loss status; zones without a valid pixel have zeros."""
+    zoned = S.zone_pixels(zones, pixels, tiles, rule)
+    metrics = Z.forest_metrics(zoned, threshold, cutoff, end_year, area_m2).drop("loss_pct")
+    counts = Z.pixel_diagnostics(zoned, threshold, area_m2).select("zone_id", "n_reference", "n_loss", "n_never_lost", "n_tree_missing", "n_loss_missing")
+    reached = S.tile_spans(zones, tiles, rule).groupBy("zone_id").agg(F.array_join(F.array_sort(F.collect_set("tile_id")), "|").alias("tile_ids"))
+    out = areas.join(metrics, "zone_id", "left").join(counts, "zone_id", "left").join(reached, "zone_id", "left")
+    out = out.fillna(0.0, [c for c in metrics.columns if c != "zone_id"]).fillna(0, [c for c in counts.columns if c != "zone_id"])
     return P.loss_status(out, F.col("aoi_ha"), F.col("loss_after_ha")).withColumnRenamed("loss_pct", "loss_pct_of_aoi")
 
 
-def parcels(features: DataFrame, label: Column, n: int = 10) -> DataFrame:
-    """Parcels with land and forest area, the designation, and whether they are among an area's top n."""
-    own = P.with_forest_area(features).withColumn("designation", label)
-    top = P.top_parcels(own, n).select("aoi_id", "parcel_id", F.lit(True).alias("top"))
+def parcels(features: DataFrame, label: Column, stats: DataFrame, n: int = 10) -> DataFrame:
+    """Parcels with land and forest area, the designation, raster statistics where there are any (parcel_id,
+    raster_land_ha, raster_forest_ha, raster_loss_ha), and whether they are among an area's top n, by raster first."""
+    own = P.attach_stats(P.with_forest_area(features).withColumn("designation", label), stats, ["parcel_id"])
+    top = P.top_parcels(own, n, prefer_raster=True).select("aoi_id", "parcel_id", F.lit(True).alias("top"))
     return own.join(top, ["aoi_id", "parcel_id"], "left").fillna(False, ["top"])
 
 
-def crosscheck(parcels: DataFrame, computed: DataFrame, tolerance: float = 0.05) -> DataFrame:
+def parcel_summary(parcels: DataFrame, by: str = "aoi_id") -> DataFrame:
+    """For each area the parcels' count, designations, fields used, and land totals of raster and register."""
+    totals = P.land_area_totals(parcels, F.col("raster_land_ha"), F.col("land_ha"), by)
+    return P.parcel_metadata(parcels, F.col("designation"), by).join(P.fields_used(parcels, by), by, "left").join(totals, by, "left")
+
+
+def crosscheck(parcels: DataFrame, computed: DataFrame, tolerance_percent: float = 5.0) -> DataFrame:
     """Each parcel and each area's total against the area's computed forest (aoi_id, computed_ha), with
-    the one source of the reference areas or ``mixed``."""
+    the one source and method of the reference areas or ``mixed``."""
     both = parcels.join(computed, "aoi_id")
-    total = P.crosscheck_total(both, F.max("computed_ha"), tolerance).select("aoi_id", F.col("diff_pct").alias("total_diff_pct"), F.col("outcome").alias("total_outcome"))
-    source = parcels.groupBy("aoi_id").agg(P.single_or_mixed(F.col("key_used")).alias("source"))
-    return P.crosscheck_rows(both, F.col("computed_ha"), tolerance).join(total, "aoi_id").join(source, "aoi_id")
+    total = P.crosscheck_total(both, F.max("computed_ha"), tolerance_percent)
+    total = total.select("aoi_id", F.col("diff_pct").alias("total_diff_pct"), F.col("outcome").alias("total_outcome"), F.col("reason").alias("total_reason"))
+    one = [P.single_or_mixed(F.col(c)).alias(f"total_{c}") for c in ("reference_source", "method")]
+    return P.crosscheck_rows(both, F.col("computed_ha")).join(total, "aoi_id").join(parcels.groupBy("aoi_id").agg(*one), "aoi_id")
 
 
-def reports(metrics: DataFrame, run_id: str, key: str = "aoi_id") -> DataFrame:
-    """A nested report for each row of ``metrics``: a map of its numbers, its result and what that rests on."""
+def reports(metrics: DataFrame, artifacts: DataFrame, refs: DataFrame, run_id: str, key: str = "aoi_id") -> DataFrame:
+    """A nested report for each row of ``metrics``: a map of its numbers, evidence classes by its artifacts (key,
+    class_id, relpath), acceptance criteria, its result, what that rests on, and the policy mapping.
+
+    ``refs`` (ref) are the policy references of the run, a short list that is broadcast."""
     names = [c for c, kind in metrics.dtypes if kind == "double"]
-    unit = lambda c: F.lit("percent" if c.endswith("_pct") else "ha")
+    unit = lambda c: F.lit("percent" if "_pct" in c else "ha")
     entries = F.array(*[F.struct(F.lit(c).alias("key"), F.struct(F.col(c).alias("value"), unit(c).alias("unit"), F.lit("").alias("notes")).alias("value")) for c in names])
-    result = F.struct(F.lit("loss_after_cutoff").alias("result_id"), F.col("status").alias("outcome"), F.array().cast("array<string>").alias("assumptions"))
-    trace = F.struct(F.lit("loss_after_cutoff").alias("result_id"), F.lit("loss_after_ha").alias("metric"))
-    return metrics.select(key, F.concat_ws("::", F.lit(run_id), key).alias("report_id"), F.map_from_entries(entries).alias("metrics"), F.array(result).alias("results"), F.array(trace).alias("traceability"))
-
-
-def plot_reports(zones: DataFrame, run_id: str) -> DataFrame:
-    """Report id, plot id, centroid, geodesic area and polygon count of each plot."""
-    return S.plots(zones).select(F.concat_ws("::", F.lit(run_id), "zone_id").alias("report_id"), F.col("zone_id").alias("plot_id"), "lon", "lat", "area_ha", "n_polygons")
-
-
-def publish(runs: DataFrame, keep: int = 2) -> DataFrame:
-    """The latest runs of each site, and whether each can be published: it has its report."""
-    return E.latest_runs(runs, keep).withColumn("ok", F.col("has_report") == 1)
+    ids = metrics.select(F.col(key).alias("report_id")).crossJoin(F.broadcast(artifacts.select("class_id").distinct()))
+    status = E.class_status(ids, artifacts.withColumnRenamed(key, "report_id"))
+    classes = status.groupBy(F.col("report_id").alias(key)).agg(F.array_sort(F.collect_list(F.struct("class_id", F.lit(True).alias("mandatory"), "status"))).alias("evidence_classes"))
+    paths = artifacts.groupBy(key).agg(F.array_sort(F.collect_set("relpath")).alias("artifact_relpaths"))
+    result = F.struct(F.lit("loss_after_cutoff").alias("result_id"), F.array(F.lit("no_loss_after_cutoff")).alias("criteria_ids"), F.col("status").alias("outcome"), F.array().cast("array<string>").alias("assumptions"))
+    trace = F.struct(F.lit("loss_after_cutoff").alias("result_id"), F.lit("no_loss_after_cutoff").alias("acceptance_criteria"), F.lit("loss_after_ha").alias("metric"))
+    criterion = F.struct(F.lit("no_loss_after_cutoff").alias("criteria_id"), F.lit("no loss of forest after the cutoff").alias("description"), F.transform("evidence_classes", lambda c: c["class_id"]).alias("evidence_classes"), F.lit("threshold").alias("decision_type"))
+    listed = refs.agg(F.array_sort(F.collect_set("ref")).alias("policy_mapping_refs"))
+    both = metrics.join(classes, key, "left").join(paths, key, "left").crossJoin(F.broadcast(listed))
+    mapping = F.transform("policy_mapping_refs", lambda r: F.struct(r.alias("article_ref"), F.col("artifact_relpaths"), F.col("status").alias("status")))
+    assessable = F.when(F.exists("evidence_classes", lambda c: c["status"] == "missing"), "inspectable_only").otherwise("assessable")
+    return both.select(
+        key, F.concat_ws("::", F.lit(run_id), key).alias("report_id"), F.map_from_entries(entries).alias("metrics"), assessable.alias("assessment_capability"), "evidence_classes",
+        F.array(criterion).alias("acceptance_criteria"), F.array(result).alias("results"), F.array(trace).alias("traceability"), "policy_mapping_refs", mapping.alias("policy_mapping"),
+    )
+
+
+def plot_reports(zones: DataFrame, facts: DataFrame, run_id: str) -> DataFrame:
+    """Report id, plot id, centroid, geodesic area, polygon count and the answers of each plot (``facts`` as
+    ``plot_report_blocks`` takes them; plots without have N/A)."""
+    plots = S.plots(zones).select(F.concat_ws("::", F.lit(run_id), "zone_id").alias("report_id"), F.col("zone_id").alias("plot_id"), "lon", "lat", "area_ha", "n_polygons")
+    named = plots.select("plot_id").join(facts, "plot_id", "left")
+    return plots.join(P.plot_report_blocks(named), "plot_id")
+
+
+def publish(runs: DataFrame, files: DataFrame, links: DataFrame, keep: int = 2) -> DataFrame:
+    """The latest runs of each site, how many files each has, and whether the site can be published."""
+    latest = E.latest_runs(runs, keep)
+    ok = E.publishable(latest, files, links, keep).select("site_id", "ok")
+    inventory = files.groupBy("site_id", "run_name").agg(F.count("*").alias("n_files"))
+    return latest.join(inventory, ["site_id", "run_name"], "left").fillna(0, ["n_files"]).join(ok, "site_id")
 
 
 def catalogue(datasets: DataFrame, families: DataFrame) -> DataFrame:
@@ -61,8 +94,12 @@ def catalogue(datasets: DataFrame, families: DataFrame) -> DataFrame:
     return out.withColumn("has_family", F.col("family").isNotNull() if "family" in out.columns else F.lit(False))
 
 
-def link_review(links: DataFrame, history: DataFrame, current: float) -> DataFrame:
-    """The best link of each family that scores above the current one, unless the history has it."""
-    best = E.best_candidate(E.scored_links(E.normalised_links(links)), "family", F.lit(current))
+def link_review(links: DataFrame, history: DataFrame, current: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The registry with the best link of each family that scores above the current one, the history with these
+    links if it lacks them, and the check's summary."""
+    known = E.normalised_links(links)
+    scored = E.scored_links(known)
+    best = E.best_candidate(scored, "family", F.lit(current))
     best = best.withColumn("discovered_by", F.lit("tool")).withColumn("discovery_method", F.lit("probe"))
-    return best.join(history, E.HISTORY_KEY, "left_anti")
+    kept = E.append_history(history, best.select(*E.HISTORY_KEY, "family", "score"))
+    return E.promote(known.select("dependency_id", "url"), best), kept, E.link_summary(scored)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import sources
 from ..functions import columns as C
 from ..operators import evidence as E
 from ..operators import parcels as P
@@ -131,7 +132,10 @@ def _(get):
 
 @query("s3_read_pixels", "SELECT tile_id, prow, pcol, treecover FROM pixels WHERE tile_id IN ('T1', 'T3') AND prow BETWEEN 20 AND 40")
 def _(get):
-    return get("pixels").where(F.col("tile_id").isin("T1", "T3") & F.col("prow").between(20, 40)).select("tile_id", "prow", "pcol", "treecover")
+    pixels = get("pixels")
+    path = sources.scratch(pixels.sparkSession)
+    pixels.repartition("tile_id").sortWithinPartitions("tile_id", "prow").write.partitionBy("tile_id").parquet(path)
+    return sources.read_pixels(pixels.sparkSession, path, ["T1", "T3"], (20, 40)).select("tile_id", "prow", "pcol", "treecover")
 
 
 @query("j2_align_layers", "SELECT tile_id, count(*) AS n, cast(sum(treecover * lossyear) AS bigint) AS s FROM pixels GROUP BY tile_id")
@@ -153,19 +157,34 @@ def _zones(get, step: float = 1.0) -> DataFrame:
     return S.boxes_to_zones(get("boxes"), "box_id", F.col("c0") * step, F.col("r0") * step, F.col("c1") * step, F.col("r1") * step)
 
 
-_IN = "p.prow >= b.r0 AND p.prow < b.r1 AND p.pcol >= b.c0 AND p.pcol < b.c1"
+_PLACED = "(SELECT p.*, t.x0 + p.pcol + 0.5 AS x, t.y0 - p.prow - 0.5 AS y, t.y0 AS top, t.x0 AS side FROM pixels p JOIN tiles t ON p.tile_id = t.tile_id)"
+_IN = "p.x > b.c0 AND p.x < b.c1 AND p.y > b.r0 AND p.y < b.r1"
 
 
-@query("j3_zone_pixels", f"SELECT b.box_id AS zone_id, count(*) AS n, cast(sum(p.treecover) AS bigint) AS cover FROM boxes b JOIN pixels p ON {_IN} GROUP BY 1")
+@query("j3_zone_pixels", f"SELECT b.box_id AS zone_id, p.tile_id, count(*) AS n, cast(sum(p.treecover) AS bigint) AS cover FROM boxes b JOIN {_PLACED} p ON {_IN} GROUP BY 1, 2")
 def _(get):
-    return S.zone_pixels(_zones(get), get("pixels").drop("zone_id")).groupBy("zone_id").agg(F.count("*").alias("n"), F.sum("treecover").alias("cover"))
+    return S.zone_pixels(_zones(get), get("pixels").drop("zone_id"), get("tiles")).groupBy("zone_id", "tile_id").agg(F.count("*").alias("n"), F.sum("treecover").alias("cover"))
 
 
-@query("j4_zone_pixels_touched", "SELECT b.box_id AS zone_id, count(*) AS n FROM boxes b JOIN pixels p ON p.prow >= b.r0 AND p.prow <= b.r1 AND p.pcol >= b.c0 AND p.pcol <= b.c1 GROUP BY 1")
+@query("j3_sloped_zones", f"SELECT b.box_id AS zone_id, p.tile_id, count(*) AS n, cast(sum(p.pcol) AS bigint) AS s FROM boxes b JOIN {_PLACED} p ON p.x > b.c0 AND p.y > b.r0 AND (p.x - b.c0) / (b.c1 - b.c0) + (p.y - b.r0) / (b.r1 + 0.3 - b.r0) < 1 GROUP BY 1, 2")
+def _(get):
+    corner = lambda x, y: F.struct(F.col(x).cast("double").alias("x"), (F.col(y) + F.lit(0.3 if y == "r1" else 0.0)).cast("double").alias("y"))
+    ring = F.array(corner("c0", "r0"), corner("c1", "r0"), corner("c0", "r1"))
+    zones = get("boxes").select(F.col("box_id").alias("zone_id"), F.array(F.array(ring)).alias("polygons"))
+    return S.zone_pixels(zones, get("pixels").drop("zone_id"), get("tiles")).groupBy("zone_id", "tile_id").agg(F.count("*").alias("n"), F.sum("pcol").alias("s"))
+
+
+@query("j4_zone_pixels_touched", f"SELECT b.box_id AS zone_id, p.tile_id, count(*) AS n FROM boxes b JOIN {_PLACED} p ON p.prow BETWEEN p.top - b.r1 - 1 AND p.top - b.r0 - 1 AND p.pcol BETWEEN b.c0 - p.side AND b.c1 - p.side GROUP BY 1, 2")
 def _(get):
     half = lambda c, d: F.col(c) + F.lit(d)
     zones = S.boxes_to_zones(get("boxes"), "box_id", half("c0", 0.75), half("r0", 0.75), half("c1", 0.25), half("r1", 0.25))
-    return S.zone_pixels(zones, get("pixels").drop("zone_id"), "touched").groupBy("zone_id").agg(F.count("*").alias("n"))
+    return S.zone_pixels(zones, get("pixels").drop("zone_id"), get("tiles"), "touched").groupBy("zone_id", "tile_id").agg(F.count("*").alias("n"))
+
+
+@query("j1_pair_tiles", "SELECT concat('/cover/', tile_id, '/', tile_id, '.tif') AS cover_path, concat('/loss/', tile_id, '.tif') AS loss_path FROM (SELECT DISTINCT tile_id FROM pixels) t")
+def _(get):
+    ids = get("pixels").select("tile_id").distinct()
+    return S.pair_tiles(ids.select(F.format_string("/cover/%s/%s.tif", "tile_id", "tile_id").alias("path")), ids.select(F.format_string("/loss/%s.tif", "tile_id").alias("path")))
 
 
 @query("j5_zone_sets", "SELECT (SELECT count(*) FROM (SELECT DISTINCT tile_id, prow, pcol FROM pixels WHERE treecover >= 40 OR lossyear > 0) x) AS n_union, (SELECT count(*) FROM pixels WHERE treecover >= 40 AND lossyear > 0) AS n_both")
@@ -210,9 +229,9 @@ def _(get):
     return S.in_scope(_bbox(get, "true"), 40, 30, 90, 80).select("id")
 
 
-@query("a5_parcel_stats", f"SELECT b.box_id AS zone_id, round(coalesce(count(p.prow) FILTER (WHERE {OK}), 0) * {PIXEL_HA}, 4) AS land_ha, round(coalesce(count(p.prow) FILTER (WHERE {OK} AND {FOREST} AND (lossyear = 0 OR lossyear > 18)), 0) * {PIXEL_HA}, 4) AS forest_ha, round(coalesce(count(p.prow) FILTER (WHERE {OK} AND {FOREST} AND lossyear > 12), 0) * {PIXEL_HA}, 4) AS loss_ha FROM boxes b LEFT JOIN pixels p ON {_IN} GROUP BY 1")
+@query("a5_parcel_stats", f"SELECT b.box_id AS zone_id, round(coalesce(count(p.prow) FILTER (WHERE {OK}), 0) * {PIXEL_HA}, 4) AS land_ha, round(coalesce(count(p.prow) FILTER (WHERE {OK} AND {FOREST} AND (lossyear = 0 OR lossyear > 18)), 0) * {PIXEL_HA}, 4) AS forest_ha, round(coalesce(count(p.prow) FILTER (WHERE {OK} AND {FOREST} AND lossyear > 12), 0) * {PIXEL_HA}, 4) AS loss_ha FROM boxes b LEFT JOIN {_PLACED} p ON {_IN} GROUP BY 1")
 def _(get):
-    zoned = S.zone_pixels(_zones(get), get("pixels").drop("zone_id"))
+    zoned = S.zone_pixels(_zones(get), get("pixels").drop("zone_id"), get("tiles"))
     out = Z.parcel_stats(zoned, _zones(get).select("zone_id"), T, CUTOFF, END, F.lit(PIXEL_HA * 10000), ["zone_id"])
     return out.select("zone_id", r4("land_ha"), r4("forest_ha"), r4("loss_ha"))
 
@@ -243,23 +262,30 @@ def _(get):
     return S.approx_area_ha(_zones(get, 0.01)).select("zone_id", F.round("area_ha", 2).alias("area_ha"))
 
 
-@query("g5_geodesic_area")
+_BETA = f"asin(least(1.0, ({_Q}) / {C.Q_POLE!r}e0)) / 2"
+_ARC = lambda lat: f"2 * atan2(tan(radians((c1 - c0) * 0.01) / 2) * 2 * tan({_BETA % ((lat,) * 4)}), 1 + pow(tan({_BETA % ((lat,) * 4)}), 2))"
+_GEODESIC = f"abs({_ARC('(r1 * 0.01)')} - {_ARC('(r0 * 0.01)')}) * {C.WGS84_A}e0 * {C.WGS84_A}e0 * {C.Q_POLE!r}e0 / 2 / 10000"
+
+
+@query("g5_geodesic_area", f"SELECT box_id AS zone_id, round({_GEODESIC}, 2) AS area_ha FROM boxes")
 def _(get):
     return S.geodesic_area_ha(_zones(get, 0.01)).select("zone_id", F.round("area_ha", 2).alias("area_ha"))
 
 
-@query("g6_plots")
+@query("g6_plots", f"SELECT box_id AS zone_id, round((c0 + c1) / 200.0, 8) AS lon, round((r0 + r1) / 200.0, 8) AS lat, round({_GEODESIC}, 2) AS area_ha, 1 AS n_polygons FROM boxes")
 def _(get):
-    return S.plots(_zones(get, 0.01))
+    return S.plots(_zones(get, 0.01)).withColumn("area_ha", F.round("area_ha", 2))
 
 
 # --- parcels --------------------------------------------------------------------------------------
 
 _LAND = "coalesce(pindala / 10000, geodesic_area_ha)"
-_AREA = f"CASE WHEN mets IS NOT NULL THEN mets / 10000 WHEN mets_ha IS NOT NULL THEN CASE WHEN mets_ha > {_LAND} AND mets_ha / 10000 <= {_LAND} THEN mets_ha / 10000 ELSE mets_ha END WHEN forest_area_ha IS NOT NULL THEN CASE WHEN forest_area_ha > {_LAND} AND forest_area_ha / 10000 <= {_LAND} THEN forest_area_ha / 10000 ELSE forest_area_ha END ELSE geodesic_area_ha END"
-_KEY = "CASE WHEN mets IS NOT NULL THEN 'mets' WHEN mets_ha IS NOT NULL THEN 'mets_ha' WHEN forest_area_ha IS NOT NULL THEN 'forest_area_ha' ELSE 'geometry' END"
-_METHOD = f"CASE WHEN mets IS NOT NULL THEN 'm2' WHEN mets_ha IS NOT NULL THEN CASE WHEN mets_ha > {_LAND} AND mets_ha / 10000 <= {_LAND} THEN 'm2_inferred' ELSE 'ha' END WHEN forest_area_ha IS NOT NULL THEN CASE WHEN forest_area_ha > {_LAND} AND forest_area_ha / 10000 <= {_LAND} THEN 'm2_inferred' ELSE 'ha' END ELSE 'geodesic' END"
-_F = f"(SELECT *, {_LAND} AS land_ha, least({_AREA}, {_LAND}) AS forest_ha, {_KEY} AS key_used, concat({_METHOD}, CASE WHEN {_AREA} > {_LAND} THEN '_capped' ELSE '' END) AS method FROM parcels)"
+_KEY = "CASE WHEN mets IS NOT NULL THEN 'mets' WHEN mets_ha IS NOT NULL THEN 'mets_ha' WHEN forest_area_ha IS NOT NULL THEN 'forest_area_ha' WHEN geodesic_area_ha >= 100 THEN 'eramets-ha-2020' END"
+_RAW = "CASE WHEN mets IS NOT NULL THEN mets WHEN mets_ha IS NOT NULL THEN mets_ha WHEN forest_area_ha IS NOT NULL THEN forest_area_ha WHEN geodesic_area_ha >= 100 THEN geodesic_area_ha - 50 END"
+_BIG = f"({_RAW} > {_LAND} AND {_RAW} / 10000 <= {_LAND})"
+_AREA = f"CASE WHEN {_RAW} IS NULL THEN geodesic_area_ha WHEN mets IS NOT NULL OR {_BIG} THEN {_RAW} / 10000 ELSE {_RAW} END"
+_METHOD = f"CASE WHEN {_AREA} > {_LAND} THEN 'capped_to_land_area' WHEN {_RAW} IS NULL THEN 'geodesic_wgs84_pyproj' WHEN mets IS NOT NULL THEN 'reported_m2' WHEN {_BIG} THEN 'reported_m2_inferred' ELSE 'reported_ha' END"
+_F = f"(SELECT *, {_LAND} AS land_ha, round(least({_AREA}, {_LAND}), 6) AS forest_ha, {_KEY} AS key_used, coalesce('attribute:' || {_KEY}, 'geometry') AS reference_source, {_METHOD} AS method FROM parcels)"
 _LABEL = "coalesce(nullif(trim(siht1), ''), nullif(trim(land_use), ''))"
 
 
@@ -268,12 +294,14 @@ def _label() -> Column:
 
 
 def _forest(get) -> DataFrame:
-    return P.with_forest_area(get("parcels"))
+    other = F.when(F.col("geodesic_area_ha") >= 100, (F.col("geodesic_area_ha") - 50).cast("string")).otherwise("none")
+    props = F.create_map(F.lit("eramets-ha-2020"), other, F.lit("mets_note"), F.lit("7"), F.lit("a_ha"), F.lit("9"))
+    return P.with_forest_area(get("parcels").withColumn("properties", props))
 
 
-@query("p9_filter_parcels", "SELECT parcel_id FROM parcels WHERE trim(siht1) = 'PROMO BRUSHED STEEL'")
+@query("p9_filter_parcels", "SELECT parcel_id FROM parcels WHERE trim(siht1) = 'MEDIUM' AND geodesic_area_ha IS NOT NULL")
 def _(get):
-    return P.filter_parcels(get("parcels"), F.col("siht1"), "PROMO BRUSHED STEEL", F.col("geodesic_area_ha").isNotNull()).select("parcel_id")
+    return P.filter_parcels(get("parcels").withColumn("siht1", F.concat(F.lit(" "), F.col("siht1"))), F.col("siht1"), "MEDIUM ", F.col("geodesic_area_ha").isNotNull()).select("parcel_id")
 
 
 @query("p11_designation", f"SELECT parcel_id, {_LABEL} AS designation FROM parcels")
@@ -282,21 +310,23 @@ def _(get):
     return get("parcels").select("parcel_id", P.designation(props).alias("designation"))
 
 
-@query("p12_municipality", "SELECT parcel_id, land_use AS municipality FROM parcels")
+@query("p12_municipality", "SELECT parcel_id, CASE WHEN trim(siht1) = '' THEN siht1 ELSE land_use END AS municipality FROM parcels")
 def _(get):
-    return get("parcels").select("parcel_id", P.municipality(F.create_map(F.lit("omavalitsus"), "land_use")).alias("municipality"))
+    return get("parcels").select("parcel_id", P.municipality(F.create_map(F.lit("omavalitsus"), "land_use", F.lit("ov_nimi"), F.lit(""), F.lit("ay_nimi"), F.when(F.trim("siht1") == "", F.col("siht1")))).alias("municipality"))
 
 
-@query("p13_parcel_id", "SELECT pos, CASE WHEN pos % 3 = 0 THEN concat('parcel-', cast(pos AS string)) ELSE parcel_id END AS parcel_id FROM parcels")
+@query("p13_parcel_id", "SELECT pos, CASE WHEN pos % 6 = 0 THEN '0' WHEN pos % 3 = 0 THEN concat('parcel-', cast(pos AS string)) ELSE parcel_id END AS parcel_id FROM parcels")
 def _(get):
-    props = F.create_map(F.lit("parcel_id"), F.when(F.col("pos") % 3 == 0, F.lit(" ")), F.lit("tunnus"), F.when(F.col("pos") % 3 != 0, F.col("parcel_id")))
+    props = F.create_map(F.lit("parcel_id"), F.when(F.col("pos") % 3 == 0, F.lit("")), F.lit("tunnus"), F.when(F.col("pos") % 3 != 0, F.col("parcel_id")), F.lit("id"), F.when(F.col("pos") % 6 == 0, "0"))
     return get("parcels").select("pos", P.parcel_id(props, F.col("pos")).alias("parcel_id"))
 
 
-@query("p14_forest_fields", "SELECT x AS field, regexp_matches(x, 'mets|forest') AS forest, regexp_matches(x, 'mets|forest') AND regexp_matches(x, 'ha$') AS ha, (SELECT count(*) FROM parcels) AS n FROM (SELECT unnest(['mets', 'mets_ha', 'forest_area_ha', 'pindala', 'siht1']) AS x) t")
+_FIELDS = ["mets", "METS_HA", "forest_area_ha", "pindala", "siht1", "haritav", "rohumaa", "metsatyyp", "omanik", "forest_ha_total", "eramets-ha-2020", "forest_share", "a_ha", "metsa_osa"]
+
+
+@query("p14_forest_fields", f"SELECT x AS field, list_contains(['mets', 'mets_ha', 'pindala', 'haritav', 'rohumaa', 'metsatyyp', 'siht1'], lower(x)) OR contains(lower(x), 'mets') OR contains(lower(x), 'forest') AS forest, (contains(lower(x), 'mets') OR contains(lower(x), 'forest')) AND (ends_with(lower(x), 'ha') OR regexp_matches(lower(x), '(^|[_-])ha($|[_-])')) AS ha, (SELECT count(*) FROM parcels) AS n FROM (SELECT unnest({_FIELDS}) AS x) t")
 def _(get):
-    names = F.explode(F.array(*map(F.lit, ["mets", "mets_ha", "forest_area_ha", "pindala", "siht1"]))).alias("field")
-    each = get("parcels").select(names).groupBy("field").agg(F.count("*").alias("n"))
+    each = get("parcels").select(F.explode(F.array(*map(F.lit, _FIELDS))).alias("field")).groupBy("field").agg(F.count("*").alias("n"))
     return each.select("field", C.is_forest_field(F.col("field")).alias("forest"), C.is_forest_ha_field(F.col("field")).alias("ha"), "n")
 
 
@@ -308,17 +338,17 @@ def _(get):
 @query("p16_normalise_area", f"SELECT parcel_id, round(CASE WHEN forest_area_ha > {_LAND} AND forest_area_ha / 10000 <= {_LAND} THEN forest_area_ha / 10000 ELSE forest_area_ha END, 4) AS area_ha FROM parcels WHERE forest_area_ha IS NOT NULL")
 def _(get):
     land = C.land_area(F.col("pindala"), F.col("geodesic_area_ha"))
-    return get("parcels").where("forest_area_ha is not null").select("parcel_id", F.round(C.normalised_area(F.col("forest_area_ha"), False, land)["area_ha"], 4).alias("area_ha"))
+    return get("parcels").where("forest_area_ha is not null").select("parcel_id", F.round(C.normalised_area(F.col("forest_area_ha"), F.lit("forest_area_ha"), land)["area_ha"], 4).alias("area_ha"))
 
 
-@query("p17_forest_area", f"SELECT parcel_id, round(forest_ha, 4) AS forest_ha, key_used, method FROM {_F} f")
+@query("p17_forest_area", f"SELECT parcel_id, round(forest_ha, 4) AS forest_ha, key_used, reference_source, method FROM {_F} f")
 def _(get):
-    return _forest(get).select("parcel_id", r4("forest_ha"), "key_used", "method")
+    return _forest(get).select("parcel_id", r4("forest_ha"), "key_used", "reference_source", "method")
 
 
-@query("p18_cap_to_land", f"SELECT parcel_id, round(land_ha, 4) AS land_ha, round(forest_ha, 4) AS forest_ha FROM {_F} f WHERE method LIKE '%capped'")
+@query("p18_cap_to_land", f"SELECT parcel_id, round(land_ha, 4) AS land_ha, round(forest_ha, 4) AS forest_ha FROM {_F} f WHERE method LIKE 'capped%'")
 def _(get):
-    return _forest(get).where("method like '%capped'").select("parcel_id", r4("land_ha"), r4("forest_ha"))
+    return _forest(get).where("method like 'capped%'").select("parcel_id", r4("land_ha"), r4("forest_ha"))
 
 
 @query("p24_limit_parcels", "SELECT aoi_id, parcel_id FROM (SELECT *, row_number() OVER (PARTITION BY aoi_id ORDER BY pos) AS k FROM parcels) t WHERE k <= 7")
@@ -326,14 +356,23 @@ def _(get):
     return P.limit_parcels(get("parcels"), 7).select("aoi_id", "parcel_id")
 
 
-@query("w1_top_parcels", f"SELECT aoi_id, parcel_id, cast(k AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY aoi_id ORDER BY forest_ha DESC NULLS LAST, coalesce(pindala, geodesic_area_ha * 10000) DESC NULLS LAST, parcel_id) AS k FROM {_F} f) t WHERE k <= 10")
+_ORDER = "coalesce(forest_ha, 0) DESC, CASE WHEN pindala > 0 THEN pindala ELSE coalesce(geodesic_area_ha, 0) * 10000 END DESC, parcel_id"
+
+
+@query("w1_top_parcels", f"SELECT aoi_id, parcel_id, cast(k AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY aoi_id ORDER BY {_ORDER}) AS k FROM {_F} f) t WHERE k <= 10")
 def _(get):
     return P.top_parcels(_forest(get)).select("aoi_id", "parcel_id", "rank")
 
 
-@query("w2_preselect_parcels", "SELECT aoi_id, parcel_id, cast(k AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY aoi_id ORDER BY pindala / 10000 DESC, parcel_id) AS k FROM parcels WHERE pindala / 10000 >= 3) t WHERE k <= 5")
+@query("w1_top_by_raster", f"SELECT aoi_id, parcel_id, cast(k AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY aoi_id ORDER BY {_ORDER}) AS k FROM (SELECT f.* REPLACE (CASE WHEN pos % 2 = 0 THEN land_ha * 0.5 ELSE forest_ha END AS forest_ha) FROM {_F} f) g WHERE forest_ha >= 2) t WHERE k <= 10")
+def _(get):
+    own = _forest(get).withColumn("raster_forest_ha", F.when(F.col("pos") % 2 == 0, F.col("land_ha") * 0.5))
+    return P.top_parcels(own, min_ha=2.0, prefer_raster=True).select("aoi_id", "parcel_id", "rank")
+
+
+@query("w2_preselect_parcels", f"SELECT aoi_id, parcel_id, cast(k AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY aoi_id ORDER BY {_ORDER}) AS k FROM {_F} f WHERE forest_ha >= 3) t WHERE k <= 5")
 def _(get):
-    return P.preselect_parcels(get("parcels"), 5).select("aoi_id", "parcel_id", "rank")
+    return P.preselect_parcels(_forest(get), 5).select("aoi_id", "parcel_id", "rank")
 
 
 @query("a7_designation_counts", f"SELECT {_LABEL} AS designation, count(*) AS n FROM parcels GROUP BY 1 ORDER BY n DESC, designation")
@@ -341,12 +380,12 @@ def _(get):
     return P.designation_counts(get("parcels"), _label())
 
 
-@query("a8_field_inventory", f"WITH f AS (SELECT * FROM {_F} f), c AS (SELECT 'mets' AS field, count(mets) AS n FROM f UNION ALL SELECT 'mets_ha', count(mets_ha) FROM f UNION ALL SELECT 'forest_area_ha', count(forest_area_ha) FROM f), u AS (SELECT key_used AS field, count(*) AS n FROM f GROUP BY 1) SELECT coalesce(c.field, u.field) AS field, coalesce(c.n, 0) AS n_considered, coalesce(u.n, 0) AS n_used FROM c FULL JOIN u ON c.field = u.field")
+@query("a8_field_inventory", f"WITH f AS (SELECT * FROM {_F} f), c AS (SELECT 'mets' AS field, count(mets) AS n FROM f UNION ALL SELECT 'mets_ha', count(mets_ha) FROM f UNION ALL SELECT 'forest_area_ha', count(forest_area_ha) FROM f), u AS (SELECT coalesce(key_used, 'geometry') AS field, count(*) AS n FROM f GROUP BY 1) SELECT coalesce(c.field, u.field) AS field, coalesce(c.n, 0) AS n_considered, coalesce(u.n, 0) AS n_used FROM c FULL JOIN u ON c.field = u.field")
 def _(get):
     return P.field_inventory(_forest(get), ["mets", "mets_ha", "forest_area_ha"])
 
 
-@query("a9_fields_used", f"SELECT aoi_id, concat('forest_area_key_used:', string_agg(key_used, '|' ORDER BY key_used)) AS summary FROM (SELECT DISTINCT aoi_id, key_used FROM {_F} f) t GROUP BY 1")
+@query("a9_fields_used", f"SELECT aoi_id, concat('forest_area_key_used:', string_agg(key_used, '|' ORDER BY key_used)) AS summary FROM (SELECT DISTINCT aoi_id, coalesce(key_used, 'geometry') AS key_used FROM {_F} f) t GROUP BY 1")
 def _(get):
     return P.fields_used(_forest(get))
 
@@ -357,18 +396,23 @@ def _(get):
     return out.select("aoi_id", *[F.round(c, 2).alias(c) for c in out.columns if c != "aoi_id"])
 
 
-_PCT = "abs(land_ha * 0.5 - forest_ha) / forest_ha * 100"
+_NONE = "pos % 7 = 0"
+_PCT = f"CASE WHEN NOT ({_NONE}) AND forest_ha > 0 THEN (land_ha * 0.5 - forest_ha) / forest_ha * 100 END"
+
+
+def _computed() -> Column:
+    return F.when(F.col("pos") % 7 != 0, F.col("land_ha") * 0.5)
 
 
-@query("a11_crosscheck_rows", f"SELECT parcel_id, CASE WHEN forest_ha IS NULL OR forest_ha = 0 THEN 'not_comparable' WHEN {_PCT} <= 5 THEN 'pass' ELSE 'fail' END AS outcome, CASE WHEN forest_ha IS NULL OR forest_ha = 0 THEN 'missing_reference_area' WHEN {_PCT} <= 5 THEN 'within_tolerance' ELSE 'outside_tolerance' END AS reason FROM {_F} f")
+@query("a11_crosscheck_rows", f"SELECT parcel_id, round({_PCT}, 2) AS diff_pct, CASE WHEN {_PCT} IS NULL THEN 'not_comparable' ELSE 'comparable' END AS outcome, CASE WHEN forest_ha IS NULL THEN 'missing_reference_forest_area' WHEN {_NONE} THEN 'missing_computed_forest_area' END AS reason FROM {_F} f")
 def _(get):
-    return P.crosscheck_rows(_forest(get), F.col("land_ha") * 0.5).select("parcel_id", "outcome", "reason")
+    return P.crosscheck_rows(_forest(get), _computed()).select("parcel_id", F.round("diff_pct", 2).alias("diff_pct"), "outcome", "reason")
 
 
-@query("a12_crosscheck_total", f"SELECT aoi_id, round(r, 2) AS reference_ha, round((c - r) / r * 100, 3) AS diff_pct, CASE WHEN r IS NULL OR c IS NULL THEN 'not_comparable' WHEN abs((c - r) / r * 100) <= 5 THEN 'pass' ELSE 'fail' END AS outcome FROM (SELECT aoi_id, sum(CASE WHEN forest_ha > 0 THEN forest_ha END) AS r, sum(land_ha) * 0.5 AS c FROM {_F} f GROUP BY 1) t")
+@query("a12_crosscheck_total", f"SELECT aoi_id, round(r, 2) AS reference_ha, round((c - r) / r * 100, 3) AS diff_pct, CASE WHEN c IS NULL OR r <= 0 THEN 'not_comparable' WHEN abs((c - r) / r * 100) <= 5 THEN 'pass' ELSE 'fail' END AS outcome, CASE WHEN c IS NULL THEN 'missing_computed_forest_area' WHEN r <= 0 THEN 'missing_reference_forest_area' END AS reason FROM (SELECT aoi_id, sum(forest_ha) AS r, CASE WHEN aoi_id <> 'A3' THEN sum(land_ha) * 0.5 END AS c FROM {_F} f GROUP BY 1) t")
 def _(get):
-    out = P.crosscheck_total(_forest(get), F.sum("land_ha") * 0.5)
-    return out.select("aoi_id", F.round("reference_ha", 2).alias("reference_ha"), F.round("diff_pct", 3).alias("diff_pct"), "outcome")
+    out = P.crosscheck_total(_forest(get), F.sum(F.when(F.col("aoi_id") != "A3", F.col("land_ha"))) * 0.5)
+    return out.select("aoi_id", F.round("reference_ha", 2).alias("reference_ha"), F.round("diff_pct", 3).alias("diff_pct"), "outcome", "reason")
 
 
 @query("a13_single_or_mixed", f"SELECT aoi_id, CASE WHEN count(key_used) = 0 THEN 'missing' WHEN min(key_used) = max(key_used) THEN min(key_used) ELSE 'mixed' END AS source FROM {_F} f GROUP BY 1")
@@ -381,9 +425,11 @@ def _(get):
     return _forest(get).groupBy("aoi_id").agg(F.round(F.sum("forest_ha"), 2).alias("forest_ha"))
 
 
-@query("a18_parcel_metadata", f"SELECT aoi_id, count(*) AS n_parcels, count(DISTINCT {_LABEL}) AS n_designations, min(parcel_id) AS first_parcel FROM parcels GROUP BY 1")
+@query("a18_parcel_metadata", f"WITH f AS (SELECT *, {_LABEL} AS designation FROM {_F} g), c AS (SELECT aoi_id, string_agg(concat(designation, ':', cast(n AS string)), '|' ORDER BY n DESC, designation) AS counts FROM (SELECT aoi_id, designation, count(*) AS n FROM f WHERE designation IS NOT NULL GROUP BY 1, 2) d GROUP BY 1) SELECT f.aoi_id, count(*) AS parcel_count, max(c.counts) AS counts, string_agg(f.parcel_id, ',' ORDER BY f.parcel_id) AS parcels FROM f LEFT JOIN c ON f.aoi_id = c.aoi_id GROUP BY 1")
 def _(get):
-    return P.parcel_metadata(get("parcels"), _label())
+    out = P.parcel_metadata(_forest(get), _label())
+    counts = F.array_join(F.transform("designation_counts", lambda c: F.concat(c["designation"], F.lit(":"), c["n"].cast("string"))), "|")
+    return out.select("aoi_id", "parcel_count", counts.alias("counts"), F.array_join(F.transform("parcels", lambda p: p["parcel_id"]), ",").alias("parcels"))
 
 
 @query("j9_attach_stats", f"SELECT p.parcel_id, round(b.n * {PIXEL_HA}, 4) AS raster_ha FROM parcels p LEFT JOIN (SELECT concat('P', substr(box_id, 2)) AS parcel_id, (r1 - r0) * (c1 - c0) AS n FROM boxes) b ON p.parcel_id = b.parcel_id")
@@ -415,11 +461,14 @@ def _(get):
     return get("events").groupBy("user_id", C.yes_no_na(said).alias("answer")).agg(F.count("*").alias("n"))
 
 
-@query("p21_plot_blocks", "SELECT parcel_id AS plot_id, coalesce(nullif(trim(siht1), ''), land_use, 'N/A') AS company, coalesce(land_use, 'N/A') AS commodity, CASE WHEN mets > 0 THEN 'Yes' WHEN mets = 0 THEN 'No' ELSE 'N/A' END AS deforestation FROM parcels")
+_FACTS = "SELECT parcel_id AS plot_id, siht1 AS kyc_operator_name, land_use AS prop_operator, land_use AS kyc_type, CASE WHEN pos % 4 = 0 THEN 'EE' END AS kyc_country, 'LV' AS prop_country, CASE WHEN pos % 5 = 0 THEN 'no' END AS detected, CASE WHEN pos % 2 = 0 THEN mets END AS summary_loss_ha, mets_ha AS metric_loss_ha, land_use AS map FROM parcels"
+
+
+@query("p21_plot_blocks", f"SELECT plot_id, coalesce(nullif(trim(kyc_operator_name), ''), prop_operator, 'N/A') AS operator, 'N/A' AS address, coalesce(kyc_type, 'N/A') AS commodity_type, coalesce(kyc_country, prop_country) AS country_of_production, '2020-12-31' AS cutoff_date, CASE WHEN detected IS NOT NULL THEN 'No' WHEN coalesce(summary_loss_ha, metric_loss_ha) > 0 THEN 'Yes' WHEN coalesce(summary_loss_ha, metric_loss_ha) IS NOT NULL THEN 'No' ELSE 'N/A' END AS deforestation_detected, map AS evidence FROM ({_FACTS}) f")
 def _(get):
-    none = F.lit(None).cast("string")
-    df = get("parcels").select(F.col("parcel_id").alias("plot_id"), F.col("siht1").alias("kyc_company"), F.col("land_use").alias("prop_company"), none.alias("kyc_commodity"), F.col("land_use").alias("prop_commodity"), none.alias("detected"), F.col("mets").alias("loss_ha"))
-    return P.plot_report_blocks(df)
+    facts = get("parcels").selectExpr("parcel_id as plot_id", "siht1 as kyc_operator_name", "land_use as prop_operator", "land_use as kyc_type", "case when pos % 4 = 0 then 'EE' end as kyc_country", "'LV' as prop_country", "case when pos % 5 = 0 then 'no' end as detected", "case when pos % 2 = 0 then mets end as summary_loss_ha", "mets_ha as metric_loss_ha", "array(land_use) as evidence_maps")
+    out = P.plot_report_blocks(facts)
+    return out.select("plot_id", "operator", "address", "commodity_type", "country_of_production", "cutoff_date", "deforestation_detected", F.col("evidence_maps")[0].alias("evidence"))
 
 
 @query("a19_merge_properties", "SELECT doc, key, arg_min(value, pos) AS value FROM (SELECT aoi_id AS doc, pos, 'siht1' AS key, siht1 AS value FROM parcels UNION ALL SELECT aoi_id, pos, 'land_use', land_use FROM parcels) t WHERE trim(value) <> '' GROUP BY 1, 2")
@@ -470,12 +519,16 @@ def _(get):
     return E.declared_paths(both, "bundle_id", "relpath", "pos")
 
 
-@query("s6_inventory_hashes", "SELECT relpath, sha256(content) AS sha256, strlen(content) AS size_bytes FROM artifacts")
+@query("s6_inventory_hashes", "SELECT bundle_id, sha256(concat(body, chr(10))) AS sha256, strlen(body) + 1 AS size_bytes, CAST(NULL AS string) AS content_type FROM (SELECT bundle_id, string_agg(relpath, chr(10) ORDER BY relpath) AS body FROM artifacts WHERE bundle_id IS NOT NULL GROUP BY 1) t")
 def _(get):
-    return get("artifacts").select("relpath", F.sha2("content", 256).alias("sha256"), F.octet_length("content").cast("bigint").alias("size_bytes"))
+    a = get("artifacts").where("bundle_id is not null")
+    path = sources.scratch(a.sparkSession)
+    a.groupBy("bundle_id").agg(F.array_join(F.array_sort(F.collect_list("relpath")), "\n").alias("value")).write.partitionBy("bundle_id").text(path)
+    files = sources.file_inventory(a.sparkSession, path)
+    return files.select(F.regexp_extract("relpath", "^bundle_id=([^/]*)/", 1).alias("bundle_id"), "sha256", "size_bytes", C.content_type(F.concat("relpath", F.lit(".bin"))).alias("content_type"))
 
 
-_TYPE = "CASE WHEN relpath LIKE '%.geojson' THEN 'application/geo+json' WHEN relpath LIKE '%.json' THEN 'application/json' WHEN relpath LIKE '%.csv' THEN 'text/csv' ELSE 'application/octet-stream' END"
+_TYPE = "CASE WHEN relpath LIKE '%.geojson' THEN 'application/geo+json' WHEN relpath LIKE '%.json' THEN 'application/json' WHEN relpath LIKE '%.csv' THEN 'text/csv' END"
 
 
 @query("f6_content_type", f"SELECT relpath, {_TYPE} AS content_type FROM artifacts")
@@ -483,9 +536,15 @@ def _(get):
     return get("artifacts").select("relpath", C.content_type(F.col("relpath")).alias("content_type"))
 
 
-@query("f7_artifact_role", "SELECT relpath, CASE WHEN relpath LIKE '%.geojson' THEN 'geometry' WHEN relpath LIKE '%.json' THEN 'report' WHEN relpath LIKE '%.csv' THEN 'table' ELSE 'other' END AS role FROM artifacts")
+_PATHS = {**E.ROLES, "/x.json": "report_json", "/x.html": "report_html", "geo.json": "aoi_geometry", "x.bin": None}
+_CASE_ROLE = " ".join(f"WHEN {i} THEN {'NULL' if v is None else chr(39) + v + chr(39)}" for i, v in enumerate(_PATHS.values()))
+
+
+@query("f7_artifact_role", f"SELECT artifact_no, CASE cast(artifact_no % {len(_PATHS)} AS int) {_CASE_ROLE} END AS role FROM artifacts")
 def _(get):
-    return get("artifacts").select("relpath", E.artifact_role(F.col("relpath")).alias("role"))
+    ends = F.array(*[F.lit(k if k.startswith("/") else f"/{k}") for k in _PATHS])
+    path = F.concat(F.lit("out"), F.element_at(ends, (F.col("artifact_no") % len(_PATHS)).cast("int") + 1))
+    return get("artifacts").select("artifact_no", E.artifact_role(path, F.lit("x"), F.lit("out/geo.json")).alias("role"))
 
 
 @query("f12_row_hash", """SELECT relpath, sha256(concat('{"bundle_id":"', bundle_id, '","relpath":"', relpath, '"}')) AS row_sha FROM artifacts""")
@@ -498,19 +557,38 @@ def _(get):
     return get("artifacts").select(F.concat_ws("::", "bundle_id", "relpath").alias("report_id"))
 
 
-@query("f14_relative_path", "SELECT relpath, CASE WHEN relpath LIKE 'reports/en/%' THEN substr(relpath, 12) ELSE concat('../../', relpath) END AS href FROM artifacts")
+@query("f14_relative_path", "SELECT relpath, CASE WHEN relpath LIKE 'reports/en/%' THEN substr(relpath, 12) ELSE concat('../', substr(relpath, 9)) END AS href FROM artifacts")
 def _(get):
     return get("artifacts").select("relpath", E.relative_path(F.col("relpath"), F.lit("reports/en")).alias("href"))
 
 
-@query("p23_exclude_paths", "SELECT relpath FROM artifacts WHERE relpath NOT LIKE '%.bin' AND NOT list_contains(string_split(relpath, '/'), 'node_modules')")
+@query("p23_exclude_paths", "SELECT artifact_no FROM artifacts WHERE artifact_no % 9 IN (3, 5, 7, 8)")
+def _(get):
+    kinds = ["audit/x.json", "outputs/a/b.csv", "conf/keys.yml", "node_modules/x.js", "src/A.PYC", ".envrc", "conf/.env.local", "audits/x", "x/keys.yml.txt"]
+    path = F.element_at(F.array(*map(F.lit, kinds)), (F.col("artifact_no") % 9).cast("int") + 1)
+    return E.exclude_paths(get("artifacts").withColumn("relpath", path)).select("artifact_no")
+
+
+def _yearly(get) -> DataFrame:
+    return get("runs").select(F.make_date(F.year("bundle_date"), F.lit(1), F.lit(1)).alias("bundle_date"), F.col("site_id").alias("bundle_id"), F.col("run_name").alias("relpath"))
+
+
+@query("s7_read_evidence", "SELECT bundle_id, relpath FROM (SELECT date_trunc('year', bundle_date) AS y, site_id AS bundle_id, run_name AS relpath FROM runs) t WHERE y BETWEEN DATE '1994-01-01' AND DATE '1995-03-31'")
 def _(get):
-    return E.exclude_paths(get("artifacts"), (".bin",)).select("relpath")
+    rows = _yearly(get)
+    path = sources.scratch(rows.sparkSession)
+    sources.write_evidence(rows, path)
+    return sources.read_evidence(rows.sparkSession, path, "1994-01-01", "1995-03-31").select("bundle_id", "relpath")
 
 
-@query("s7_read_evidence", "SELECT site_id, run_name FROM runs WHERE bundle_date BETWEEN DATE '1995-01-01' AND DATE '1995-03-31'")
+@query("s11_write_evidence", "SELECT site_id AS bundle_id, count(*) AS n, count(*) FILTER (WHERE site_id = 'site3' AND year(bundle_date) = 1995) AS n_new FROM runs WHERE NOT (site_id = 'site3' AND year(bundle_date) = 1995 AND run_name LIKE '%1') GROUP BY 1")
 def _(get):
-    return get("runs").where(F.col("bundle_date").between(F.lit("1995-01-01").cast("date"), F.lit("1995-03-31").cast("date"))).select("site_id", "run_name")
+    rows = _yearly(get)
+    path = sources.scratch(rows.sparkSession)
+    sources.write_evidence(rows.withColumn("v", F.lit(1)), path)
+    again = rows.where("bundle_id = 'site3' and bundle_date = date'1995-01-01' and relpath not like '%1'").withColumn("v", F.lit(2))
+    sources.write_evidence(again, path)  # replaces one bundle, leaves the others
+    return rows.sparkSession.read.parquet(path).groupBy("bundle_id").agg(F.count("*").alias("n"), F.count_if(F.col("v") == 2).alias("n_new"))
 
 
 @query("w3_latest_runs", "SELECT site_id, run_name, cast(k AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY bundle_date DESC, run_name DESC) AS k FROM runs) t WHERE k <= 2")
@@ -523,14 +601,29 @@ def _(get):
     return E.ordered(get("runs").select(F.col("bundle_date").cast("string").alias("bundle_date"), F.col("site_id").alias("bundle_id"), F.col("run_name").alias("relpath")), "bundles")
 
 
-@query("f11_run_timestamp", "SELECT run_name, cast(substr(run_name, 5, 10) AS timestamp) AS run_at FROM runs")
+@query("f11_run_timestamp", "SELECT run_name, cast(substr(run_name, 5, 10) AS timestamp) + CASE WHEN k = 1 THEN INTERVAL 11045 SECOND ELSE INTERVAL 0 SECOND END AS run_at FROM (SELECT *, cast(right(run_name, 1) AS int) % 3 AS k FROM runs) t WHERE k < 2 UNION ALL SELECT run_name, CASE WHEN has_report = 1 THEN cast(bundle_date AS timestamp) ELSE TIMESTAMP '1970-01-01 00:00:00' END FROM runs WHERE cast(right(run_name, 1) AS int) % 3 = 2")
 def _(get):
-    return get("runs").select("run_name", C.run_timestamp(F.col("run_name")).alias("run_at"))
+    k = F.substring("run_name", -1, 1).cast("int") % 3
+    day = F.substring("run_name", 5, 10)
+    name = F.when(k == 0, F.col("run_name")).when(k == 1, F.concat(F.lit("x-"), F.replace(day, F.lit("-"), F.lit("")), F.lit("-030405"))).otherwise("run")
+    modified = F.when(F.col("has_report") == 1, F.col("bundle_date").cast("timestamp"))
+    return get("runs").select("run_name", C.run_timestamp(name, modified, F.lit("none")).alias("run_at"))
 
 
-@query("v12_publishable", "SELECT site_id, count(*) AS n_runs, count(*) FILTER (WHERE has_report = 0) AS n_without, count(*) = 1500 AND count(*) FILTER (WHERE has_report = 0) = 0 AS ok FROM runs GROUP BY 1")
+_LATEST = "(SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY bundle_date DESC, run_name DESC) AS k FROM runs)"
+
+
+def _files(get) -> tuple[DataFrame, DataFrame]:
+    """Files of runs and links of the index: every run has a page, those with a report its JSON too; links of every tenth lack."""
+    runs = get("runs")
+    names = F.when(F.col("has_report") == 1, F.array(*map(F.lit, E.RUN_FILES))).otherwise(F.array(F.lit(E.RUN_FILES[0])))
+    links = runs.where("run_name not like '%7'").select("site_id", F.format_string("../runs/%s/report.html", "run_name").alias("href"))
+    return runs.select("site_id", "run_name", F.explode(names).alias("file")), links
+
+
+@query("v12_publishable", f"SELECT site_id, count(*) AS n_runs, count(*) FILTER (WHERE has_report = 0) AS n_without, count(*) FILTER (WHERE run_name LIKE '%7') AS n_unlinked, count(*) = 2 AND count(*) FILTER (WHERE has_report = 0 OR run_name LIKE '%7') = 0 AS ok FROM {_LATEST} t WHERE k <= 2 GROUP BY 1")
 def _(get):
-    return E.publishable(get("runs"), 1500)
+    return E.publishable(E.latest_runs(get("runs")), *_files(get))
 
 
 _METRIC = "SELECT event_id, split_part(raw, '=', 1) AS variable, cast(split_part(split_part(raw, '=', 2), ':', 1) AS double) AS value, split_part(raw, ':', 2) AS unit, split_part(raw, ':', 3) AS source, 'note a:b' AS notes FROM metric_text WHERE event_id % 50 <> 0"
@@ -543,7 +636,17 @@ def _(get):
 
 @query("a15_metrics_map", f"SELECT variable, arg_max(value, event_id) AS value, arg_max(unit, event_id) AS unit, arg_max(notes, event_id) AS notes FROM ({_METRIC}) m GROUP BY 1")
 def _(get):
-    return E.metrics_last(E.metric_rows(get("metric_text"))[0], "event_id")
+    one = E.metrics_map(E.metric_rows(get("metric_text"))[0], "event_id")
+    return one.select(F.explode("metrics").alias("variable", "m")).select("variable", "m.*")
+
+
+@query("s10_write_metrics", f"SELECT variable, count(*) AS n, round(sum(value), 2) AS total, max(notes) AS notes FROM ({_METRIC}) m GROUP BY 1")
+def _(get):
+    rows = E.metric_rows(get("metric_text"))[0]
+    path = sources.scratch(rows.sparkSession)
+    sources.write_metrics(rows, path)
+    back = rows.sparkSession.read.option("header", True).csv(path)
+    return back.groupBy("variable").agg(F.count("*").alias("n"), F.round(F.sum(F.col("value").cast("double")), 2).alias("total"), F.max("notes").alias("notes"))
 
 
 @query("s10_metric_rejects", "SELECT event_id, raw FROM metric_text WHERE event_id % 50 = 0")
@@ -562,9 +665,13 @@ def _(get):
     return get("events").select("event_id", C.number(text).alias("value"))
 
 
-@query("f4_end_year", "SELECT dependency_id, cast(substr(url, 25, 4) AS int) AS end_year FROM links")
+@query("f4_end_year", "WITH l AS (SELECT *, split_part(dependency_id, '/', 1) AS family, cast(substr(url, 25, 4) AS int) AS y FROM links) SELECT l.dependency_id, CASE WHEN probe % 3 = 0 THEN 2024 WHEN probe % 3 = 1 THEN l.y ELSE m.y END AS end_year FROM l JOIN (SELECT family, max(y) AS y FROM l GROUP BY 1) m ON l.family = m.family")
 def _(get):
-    return get("links").select("dependency_id", C.end_year(F.lit("v1"), F.col("url")).alias("end_year"))
+    links = get("links").withColumn("family", C.link_family(F.col("dependency_id")))
+    folders = links.groupBy("family").agg(C.latest_year(F.col("url")).alias("latest"))
+    version = F.when(F.col("probe") % 3 == 0, "2024-v1.12").otherwise("v1")
+    path = F.when(F.col("probe") % 3 == 1, F.col("url")).otherwise("/data/x")
+    return links.join(folders, "family").select("dependency_id", F.coalesce(C.end_year(version, path), "latest").alias("end_year"))
 
 
 @query("f5_tile_of_path", "SELECT box_id, concat('N', lpad(cast(r0 % 90 AS string), 2, '0'), '_E', lpad(cast(c0 AS string), 3, '0')) AS tile_id FROM boxes")
@@ -594,7 +701,82 @@ def _(get):
 
 @query("s4_seed_rows", "SELECT dataset_id, name FROM catalogue")
 def _(get):
-    return get("catalogue").select("dataset_id", "name")
+    rows = get("catalogue")
+    path = sources.scratch(rows.sparkSession)
+    rows.write.option("header", True).csv(path)
+    return sources.read_seed_csv(rows.sparkSession, path)
+
+
+@query("s5_link_registry", "SELECT dependency_id, url, expected_content_type, CAST(NULL AS string) AS update_policy, 10 AS n_columns FROM links WHERE probe % 4 <> 0")
+def _(get):
+    rows = get("links")
+    path = sources.scratch(rows.sparkSession)
+    note = F.when(F.col("probe") % 4 == 0, F.concat(F.lit("# "), "dependency_id")).otherwise(F.col("dependency_id"))
+    rows.select(note.alias("dependency_id"), "url", "expected_content_type").write.option("header", True).csv(path)
+    out = sources.read_link_registry(rows.sparkSession, path)
+    return out.select("dependency_id", "url", "expected_content_type", "update_policy", F.lit(len(out.columns)).alias("n_columns"))
+
+
+@query("s12_export_catalogue", "SELECT c.dataset_id, c.name, f.family FROM catalogue c LEFT JOIN families f ON c.dataset_id = f.dataset_id")
+def _(get):
+    out = E.join_families(get("catalogue"), get("families"))
+    path = sources.scratch(out.sparkSession)
+    sources.export_catalogue(out, path)
+    return sources.read_seed_csv(out.sparkSession, path)
+
+
+def _features(get) -> DataFrame:
+    """A GeoJSON document for each area, and one bare geometry for each box of area A0."""
+    ring = F.array(*[F.array(F.col(x).cast("double"), F.col(y).cast("double")) for x, y in (("c0", "r0"), ("c1", "r0"), ("c1", "r1"), ("c0", "r1"), ("c0", "r0"))])
+    shape = F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates"))
+    one = F.struct(F.lit("Feature").alias("type"), F.struct("box_id", "aoi_id").alias("properties"), shape.alias("geometry"))
+    whole = get("boxes").groupBy("aoi_id").agg(F.array_sort(F.collect_list(F.struct("box_id", one.alias("f")))).alias("s"))
+    return whole.select("aoi_id", F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.transform("s", lambda x: x["f"]).alias("features"))).alias("value"))
+
+
+@query("s1_read_features", "SELECT box_id, aoi_id, row_number() OVER (PARTITION BY aoi_id ORDER BY box_id) AS pos, cast((c1 - c0) * (r1 - r0) AS double) AS area FROM boxes")
+def _(get):
+    documents = _features(get)
+    path = sources.scratch(documents.sparkSession)
+    documents.write.partitionBy("aoi_id").text(path)
+    rows = sources.read_features(documents.sparkSession, path)
+    zones = sources.zones_of_features(rows).select("zone_id", "properties", F.abs(R.polygon_area(F.col("polygons"))).alias("area"))
+    places = rows.select(F.concat_ws("#", "doc", "pos").alias("zone_id"), F.col("pos").cast("bigint").alias("pos"))
+    return zones.join(places, "zone_id").select(F.col("properties")["box_id"].alias("box_id"), F.col("properties")["aoi_id"].alias("aoi_id"), "pos", "area")
+
+
+@query("s2_read_parcels", "SELECT parcel_id, forest_area_ha, CASE WHEN forest_area_ha IS NULL THEN 'missing' ELSE 'register' END AS reference_source, fmt FROM parcels, (SELECT unnest(['csv', 'json']) AS fmt) t")
+def _(get):
+    p = get("parcels")
+    rows = p.select("parcel_id", F.coalesce(F.col("forest_area_ha").cast("string"), F.lit(" ")).alias("forest_area_ha"), F.lit("register").alias("reference_source"), F.lit("m").alias("reference_method"))
+    path = sources.scratch(p.sparkSession)
+    rows.write.option("header", True).csv(f"{path}/csv")
+    rows.write.json(f"{path}/json")
+    read = lambda fmt: sources.read_parcels(p.sparkSession, f"{path}/{fmt}", fmt).select("parcel_id", "forest_area_ha", "reference_source", F.lit(fmt).alias("fmt"))
+    return read("csv").union(read("json"))
+
+
+@query("s8_read_reports", "SELECT aoi_id, count(*) AS n_metrics, cast(1 AS bigint) AS n_bad FROM parcels GROUP BY 1")
+def _(get):
+    p = get("parcels")
+    path = sources.scratch(p.sparkSession)
+    whole = p.groupBy("aoi_id").agg(F.collect_list("parcel_id").alias("ids"))
+    good = whole.select("aoi_id", F.to_json(F.struct("aoi_id", "ids")).alias("value"))
+    bad = whole.select(F.lit("broken").alias("aoi_id"), F.lit('{"aoi_id": ').alias("value")).limit(1)
+    good.union(bad).write.partitionBy("aoi_id").text(path)
+    rows, broken = sources.read_reports(p.sparkSession, path, "aoi_id string, ids array<string>")
+    return rows.select("aoi_id", F.size("ids").cast("bigint").alias("n_metrics")).crossJoin(broken.agg(F.count("*").alias("n_bad")))
+
+
+@query("s9_write_parcels", "SELECT parcel_id, aoi_id, 'POINT' AS geometry FROM parcels")
+def _(get):
+    p = get("parcels").withColumn("geometry", F.lit("POINT"))
+    path = sources.scratch(p.sparkSession)
+    sources.write_parcels(p, path, ["parcel_id", "aoi_id"])
+    table = p.sparkSession.read.option("header", True).csv(f"{path}/table")
+    kind = "type string, properties struct<parcel_id:string,aoi_id:string>, geometry string"
+    rows = p.sparkSession.read.schema(kind).json(f"{path}/features").select("properties.parcel_id", "geometry")
+    return table.join(rows, "parcel_id").select("parcel_id", "aoi_id", "geometry")
 
 
 _SCORE = "CASE WHEN http_status BETWEEN 200 AND 399 THEN 1.0 ELSE 0.0 END + CASE WHEN starts_with(content_type, expected_content_type) THEN 0.5 ELSE 0.0 END + CASE WHEN http_status BETWEEN 200 AND 299 THEN 0.2 ELSE 0.0 END"
@@ -609,9 +791,11 @@ _Y = "cast(substr(url, 25, 4) AS int)"
 _V = "cast(regexp_extract(url, 'v1\\.(\\d+)', 1) AS int)"
 
 
-@query("f8_link_candidates", f"SELECT dependency_id, unnest([replace(url, concat('GFC-', cast({_Y} AS string)), concat('GFC-', cast({_Y} + 1 AS string))), replace(url, concat('v1.', cast({_V} AS string)), concat('v1.', cast({_V} + 1 AS string)))]) AS candidate FROM links")
+@query("f8_link_candidates", f"SELECT dependency_id, replace(url, concat('GFC-', cast({_Y} AS string)), concat('GFC-', cast({_Y} + 1 AS string))) AS candidate, 'year_bump_probe' AS method FROM links UNION ALL SELECT dependency_id, replace(url, concat('v1.', cast({_V} AS string), '/'), concat('v1.', cast({_V} + 1 AS string), '/')), 'version_probe' FROM links")
 def _(get):
-    return get("links").select("dependency_id", F.explode(C.link_candidates(F.col("url"))).alias("candidate"))
+    twice = F.concat("url", F.lit("?v9.1"))  # only the first version and year count
+    rows = get("links").select("dependency_id", F.explode(C.link_candidates(twice)).alias("c"))
+    return rows.select("dependency_id", F.replace("c.url", F.lit("?v9.1"), F.lit("")).alias("candidate"), "c.method")
 
 
 @query("f15_normalised_links", "SELECT dependency_id, url FROM links WHERE contains(dependency_id, 'fam3')")
@@ -683,10 +867,17 @@ def _(get):
     return E.unflagged_results(r, r.select("report_id", "result_id", (F.col("assumption_id") != 0).alias("testable")))
 
 
-@query("v7_missing_blocks", "SELECT parcel_id AS report_id, 'missing_block' AS rule, 'siht1' AS detail FROM parcels WHERE mets IS NOT NULL AND trim(siht1) = '' UNION ALL SELECT parcel_id, 'missing_block', 'pindala' FROM parcels WHERE mets IS NOT NULL AND pindala IS NULL")
+@query("v7_missing_blocks", "SELECT parcel_id AS report_id, 'missing_block' AS rule, 'siht1' AS detail FROM parcels WHERE mets IS NOT NULL AND trim(siht1) = '' UNION ALL SELECT parcel_id, 'missing_block', 'pindala' FROM parcels WHERE mets IS NOT NULL AND pindala IS NULL UNION ALL SELECT parcel_id, 'placeholder_methodology', 'is_placeholder' FROM parcels WHERE mets IS NOT NULL AND pos % 4 <> 0")
+def _(get):
+    df = get("parcels").select(F.col("parcel_id").alias("report_id"), F.col("mets").isNotNull().alias("has_loss"), "siht1", "pindala", F.when(F.col("pos") % 4 == 0, False).when(F.col("pos") % 4 == 1, True).alias("placeholder"))
+    return E.missing_blocks(df, ["siht1", "pindala"], F.col("placeholder"))
+
+
+@query("v9_missing_dependency", "SELECT parcel_id AS report_id, 'missing_dependency' AS rule, CASE WHEN pos % 3 = 0 THEN 'none' ELSE 'hansen_gfc_2024_v1_12' END AS detail FROM parcels WHERE mets IS NOT NULL AND pos % 3 <> 1")
 def _(get):
-    df = get("parcels").select(F.col("parcel_id").alias("report_id"), F.col("mets").isNotNull().alias("has_loss"), "siht1", "pindala")
-    return E.missing_blocks(df, ["siht1", "pindala"])
+    p = get("parcels").withColumn("report_id", F.col("parcel_id")).withColumn("has_loss", F.col("mets").isNotNull())
+    deps = p.where("pos % 3 <> 0").select("report_id", F.when(F.col("pos") % 3 == 1, "hansen_gfc_2024_v1_12").otherwise("other").alias("dependency_id"))
+    return E.reports_without_dependency(p, deps.union(deps))
 
 
 @query("v8_unlisted_paths", "SELECT DISTINCT bundle_id AS report_id, 'unlisted_path' AS rule, relpath AS detail FROM artifacts WHERE published = 1 AND local = 0")
@@ -714,10 +905,29 @@ def _(get):
     return E.class_status(classes, a.where("published = 1"))
 
 
-@query("v1_contract_errors", "SELECT parcel_id AS report_id, 'required' AS rule, 'mets' AS detail FROM parcels WHERE mets IS NULL UNION ALL SELECT parcel_id, 'minimum', 'pindala' FROM parcels WHERE pindala < 200000 UNION ALL SELECT parcel_id, 'enum', 'aoi_id' FROM parcels WHERE aoi_id NOT IN ('A0', 'A1', 'A2')")
+_BAD = {
+    "('required', 'aoi_id')": "pos % 11 = 0", "('required', 'map')": None, "('enum', 'report_version')": "pos % 5 = 0", "('sha256', 'evidence_artifacts[].sha256')": "pos % 7 = 0",
+    "('minimum', 'evidence_artifacts[].size_bytes')": "pos % 3 = 0", "('min_length', 'bundle_id')": "pos % 2 = 0", "('min_items', 'datasets')": "pos % 13 = 0", "('enum', 'policy_mapping[].status')": "pos % 17 = 0",
+}
+_LACKING = ["inputs", "metrics", "evidence_registry", "acceptance_criteria", "regulatory_traceability", "assumptions", "policy_mapping_refs", "parameters", "results_summary"]
+_V1 = " UNION ALL ".join([f"SELECT parcel_id AS report_id, {k[1:-1].split(', ')[0]} AS rule, {k[1:-1].split(', ')[1]} AS detail FROM parcels WHERE {w}" for k, w in _BAD.items() if w] + [f"SELECT parcel_id, 'required', '{k}' FROM parcels" for k in _LACKING])
+
+
+@query("v1_contract_errors", _V1)
 def _(get):
-    df = get("parcels").withColumn("report_id", F.col("parcel_id"))
-    return E.contract_errors(df, ["mets"], {"aoi_id": ["A0", "A1", "A2"]}, [], {"pindala": 200000.0})
+    when = lambda n, bad, good: F.when(F.col("pos") % n == 0, bad).otherwise(good)
+    artifact = F.struct(F.lit("a").alias("relpath"), when(7, F.lit("xyz"), F.sha2("parcel_id", 256)).alias("sha256"), when(3, F.lit(-1), F.lit(5)).alias("size_bytes"))
+    whole = F.struct(F.lit("a").alias("relpath"), F.sha2("parcel_id", 256).alias("sha256"), F.lit(0).alias("size_bytes"))
+    dataset = F.struct(F.lit("d").alias("dataset_id"), F.lit("2024").alias("retrieved_at_utc"), F.lit("free").alias("license"))
+    mapping = F.struct(F.lit("a").alias("article_ref"), F.lit("r").alias("requirement"), F.array(F.lit("f")).alias("evidence_fields"), F.array(F.lit("p")).alias("artifact_relpaths"), when(17, F.lit("maybe"), F.lit("pass")).alias("status"))
+    meta = F.struct(F.lit("test").alias("report_type"), F.lit("EUDR").alias("regulatory_context"), F.lit("assessable").alias("assessment_capability"))
+    geometry = F.struct(F.lit("wkt").alias("kind"), F.lit("POINT").alias("value"))
+    reports = get("parcels").select(
+        F.col("parcel_id").alias("report_id"), when(5, F.lit("v1"), F.lit("aoi_report_v2")).alias("report_version"), F.lit("2024").alias("generated_at_utc"), when(2, F.lit(""), F.lit("b")).alias("bundle_id"), meta.alias("report_metadata"),
+        F.when(F.col("pos") % 11 != 0, F.col("aoi_id")).alias("aoi_id"), geometry.alias("aoi_geometry_ref"), F.array(whole, artifact).alias("evidence_artifacts"),
+        when(13, F.array().cast("array<struct<dataset_id:string,retrieved_at_utc:string,license:string>>"), F.array(dataset)).alias("datasets"), F.array(mapping).alias("policy_mapping"),
+    )
+    return E.report_errors(reports)
 
 
 # --- regions and regridding -----------------------------------------------------------------------
@@ -750,53 +960,89 @@ def _(get):
 
 # --- jobs that chain the operators ----------------------------------------------------------------
 
-_ZONED = f"SELECT b.box_id AS zone_id, {', '.join(f'count(p.prow) FILTER (WHERE {OK} AND {w}) * {PIXEL_HA} AS {k}_ha' for k, w in _CASES.items())}, (b.c1 - b.c0) * (b.r1 - b.r0) * {PIXEL_HA} AS aoi_ha FROM boxes b LEFT JOIN pixels p ON {_IN} GROUP BY b.box_id, b.c0, b.c1, b.r0, b.r1"
+_ZONED = f"SELECT b.box_id AS zone_id, {', '.join(f'count(p.prow) FILTER (WHERE {OK} AND {w}) * {PIXEL_HA} AS {k}_ha' for k, w in _CASES.items())}, count(p.prow) FILTER (WHERE {OK} AND {FOREST}) AS n_reference, count(p.prow) FILTER (WHERE tree_valid = 0) AS n_tree_missing, (b.c1 - b.c0) * (b.r1 - b.r0) * {PIXEL_HA} AS aoi_ha FROM boxes b LEFT JOIN {_PLACED} p ON {_IN} GROUP BY b.box_id, b.c0, b.c1, b.r0, b.r1"
+_REACHED = "SELECT b.box_id AS zone_id, string_agg(t.tile_id, '|' ORDER BY t.tile_id) AS tile_ids FROM boxes b JOIN tiles t ON b.c0 < t.x0 + 200 AND b.c1 > t.x0 AND b.r0 < t.y0 AND b.r1 > t.y0 - 200 GROUP BY 1"
 
 
-@query("q1_aoi_evidence", f"SELECT zone_id, round(aoi_ha, 4) AS aoi_ha, {', '.join(f'round({k}_ha, 4) AS {k}_ha' for k in _CASES)}, round(loss_after_ha / aoi_ha * 100, 4) AS loss_pct_of_aoi, CASE WHEN loss_after_ha <= 0 THEN 'pass' ELSE 'fail' END AS status FROM ({_ZONED}) z")
+@query("q1_aoi_evidence", f"SELECT z.zone_id, round(aoi_ha, 4) AS aoi_ha, {', '.join(f'round({k}_ha, 4) AS {k}_ha' for k in _CASES)}, n_reference, n_tree_missing, tile_ids, round(loss_after_ha / aoi_ha * 100, 4) AS loss_pct_of_aoi, CASE WHEN loss_after_ha <= 0 THEN 'pass' ELSE 'fail' END AS status FROM ({_ZONED}) z LEFT JOIN ({_REACHED}) r ON z.zone_id = r.zone_id")
 def _(get):
     zones = _zones(get)
     areas = zones.select("zone_id", (R.polygon_area(F.col("polygons")) * PIXEL_HA).alias("aoi_ha"))
-    out = jobs.aoi_evidence(zones, get("pixels").drop("zone_id"), areas, T, CUTOFF, END, F.lit(PIXEL_HA * 10000))
-    return out.select("zone_id", *[r4(c) for c in out.columns if c not in ("zone_id", "status")], "status")
+    out = jobs.aoi_evidence(zones, get("pixels").drop("zone_id"), get("tiles"), areas, T, CUTOFF, END, F.lit(PIXEL_HA * 10000))
+    return out.select("zone_id", "n_reference", "n_tree_missing", "tile_ids", "status", *[r4(c) for c in ("aoi_ha", *[f"{k}_ha" for k in _CASES], "loss_pct_of_aoi")])
+
 
+def _parcels(get) -> DataFrame:
+    stats = get("parcels").where("pos % 2 = 0").select("parcel_id", (F.col("geodesic_area_ha") * 0.9).alias("raster_land_ha"), (F.col("geodesic_area_ha") * 0.4).alias("raster_forest_ha"), F.lit(0.0).alias("raster_loss_ha"))
+    return jobs.parcels(_forest(get).drop("land_ha", "forest_ha", "key_used", "reference_source", "method"), _label(), stats)
 
-@query("q2_parcels", f"SELECT aoi_id, parcel_id, {_LABEL} AS designation, round(land_ha, 4) AS land_ha, round(forest_ha, 4) AS forest_ha, key_used, method, coalesce(row_number() OVER (PARTITION BY aoi_id ORDER BY forest_ha DESC NULLS LAST, coalesce(pindala, geodesic_area_ha * 10000) DESC NULLS LAST, parcel_id) <= 10, false) AS top FROM {_F} f")
+
+_STATS = f"(SELECT *, {_LABEL} AS designation, CASE WHEN pos % 2 = 0 THEN geodesic_area_ha * 0.9 END AS raster_land_ha, CASE WHEN pos % 2 = 0 THEN geodesic_area_ha * 0.4 END AS raster_forest_ha FROM {_F} f)"
+
+
+@query("q2_parcels", f"SELECT aoi_id, parcel_id, designation, round(land_ha, 4) AS land_ha, round(forest_ha, 4) AS forest_ha, round(raster_forest_ha, 4) AS raster_forest_ha, key_used, method, row_number() OVER (PARTITION BY aoi_id ORDER BY coalesce(raster_forest_ha, forest_ha, 0) DESC, CASE WHEN pindala > 0 THEN pindala ELSE coalesce(geodesic_area_ha, 0) * 10000 END DESC, parcel_id) <= 10 AS top FROM {_STATS} s")
+def _(get):
+    return _parcels(get).select("aoi_id", "parcel_id", "designation", r4("land_ha"), r4("forest_ha"), r4("raster_forest_ha"), "key_used", "method", "top")
+
+
+@query("q2_parcel_summary", f"SELECT aoi_id, count(*) AS parcel_count, count(DISTINCT designation) AS n_designations, concat('forest_area_key_used:', string_agg(DISTINCT coalesce(key_used, 'geometry'), '|' ORDER BY coalesce(key_used, 'geometry'))) AS summary, round(sum(raster_land_ha) - sum(land_ha), 2) AS diff_ha FROM {_STATS} s GROUP BY 1")
 def _(get):
-    out = jobs.parcels(get("parcels"), _label())
-    return out.select("aoi_id", "parcel_id", "designation", r4("land_ha"), r4("forest_ha"), "key_used", "method", "top")
+    out = jobs.parcel_summary(_parcels(get))
+    return out.select("aoi_id", "parcel_count", F.size("designation_counts").cast("bigint").alias("n_designations"), "summary", F.round("diff_ha", 2).alias("diff_ha"))
 
 
-@query("q3_crosscheck", f"SELECT p.aoi_id, p.parcel_id, round(p.forest_ha, 4) AS forest_ha, round(t.computed, 4) AS computed_ha, CASE WHEN p.forest_ha IS NULL OR p.forest_ha = 0 THEN 'not_comparable' WHEN abs(t.computed - p.forest_ha) / p.forest_ha <= 0.05 THEN 'pass' ELSE 'fail' END AS outcome, CASE WHEN t.r IS NULL OR t.computed IS NULL THEN 'not_comparable' WHEN abs(t.computed - t.r) / t.r <= 0.05 THEN 'pass' ELSE 'fail' END AS total_outcome, t.source FROM {_F} p JOIN (SELECT aoi_id, sum(CASE WHEN forest_ha > 0 THEN forest_ha END) AS r, sum(land_ha) * 0.5 AS computed, CASE WHEN min(key_used) = max(key_used) THEN min(key_used) ELSE 'mixed' END AS source FROM {_F} g GROUP BY 1) t ON p.aoi_id = t.aoi_id")
+@query("q3_crosscheck", f"SELECT p.aoi_id, p.parcel_id, round(p.forest_ha, 4) AS forest_ha, round(t.computed, 4) AS computed_ha, CASE WHEN p.forest_ha > 0 THEN 'comparable' ELSE 'not_comparable' END AS outcome, CASE WHEN abs(t.computed - t.r) / t.r <= 0.05 THEN 'pass' ELSE 'fail' END AS total_outcome, t.source AS total_reference_source FROM {_F} p JOIN (SELECT aoi_id, sum(forest_ha) AS r, sum(land_ha) * 0.5 AS computed, CASE WHEN min(reference_source) = max(reference_source) THEN min(reference_source) ELSE 'mixed' END AS source FROM {_F} g GROUP BY 1) t ON p.aoi_id = t.aoi_id")
 def _(get):
     own = _forest(get)
     computed = own.groupBy("aoi_id").agg((F.sum("land_ha") * 0.5).alias("computed_ha"))
-    return jobs.crosscheck(own, computed).select("aoi_id", "parcel_id", r4("forest_ha"), r4("computed_ha"), "outcome", "total_outcome", "source")
+    return jobs.crosscheck(own, computed).select("aoi_id", "parcel_id", r4("forest_ha"), r4("computed_ha"), "outcome", "total_outcome", "total_reference_source")
 
 
-@query("q4_reports", f"SELECT zone_id AS aoi_id, 'report::' || zone_id AS report_id, {len(_CASES) + 1} AS n_metrics, round(loss_after_ha, 4) AS loss_after_ha, CASE WHEN loss_after_ha <= 60 THEN 'pass' ELSE 'fail' END AS outcome FROM ({_METRICS}) m")
+@query("q4_reports", f"SELECT zone_id AS aoi_id, 'report::' || zone_id AS report_id, {len(_CASES) + 1} AS n_metrics, round(loss_after_ha, 4) AS loss_after_ha, CASE WHEN loss_after_ha <= 60 THEN 'pass' ELSE 'fail' END AS outcome, CASE WHEN zone_id = 'A1' THEN 'mask=missing|summary=present' ELSE 'mask=present|summary=present' END AS classes, CASE WHEN zone_id = 'A1' THEN 'inspectable_only' ELSE 'assessable' END AS assessment_capability, (SELECT count(DISTINCT p_brand) FROM part) AS n_mapped FROM ({_METRICS}) m")
 def _(get):
-    out = jobs.reports(P.loss_status(_metrics(get), F.lit(10000.0), F.col("loss_after_ha"), 60.0).withColumnRenamed("zone_id", "aoi_id"), "report")
-    return out.select("aoi_id", "report_id", F.size("metrics").alias("n_metrics"), F.round(F.col("metrics")["loss_after_ha"]["value"], 4).alias("loss_after_ha"), F.col("results")[0]["outcome"].alias("outcome"))
+    status = P.loss_status(_metrics(get), F.lit(10000.0), F.col("loss_after_ha"), 60.0).withColumnRenamed("zone_id", "aoi_id")
+    ids = status.select("aoi_id")
+    artifacts = ids.select("aoi_id", F.lit("summary").alias("class_id"), F.concat("aoi_id", F.lit("/summary.json")).alias("relpath"))
+    artifacts = artifacts.union(ids.where("aoi_id <> 'A1'").select("aoi_id", F.lit("mask"), F.concat("aoi_id", F.lit("/mask.geojson"))))
+    out = jobs.reports(status, artifacts, E.policy_refs(get("part").select(F.col("p_brand").alias("ref")), get("part").select(F.concat(F.lit("#"), "p_type").alias("ref"))), "report")
+    classes = F.array_join(F.transform("evidence_classes", lambda c: F.concat(c["class_id"], F.lit("="), c["status"])), "|")
+    return out.select("aoi_id", "report_id", F.size("metrics").alias("n_metrics"), F.round(F.col("metrics")["loss_after_ha"]["value"], 4).alias("loss_after_ha"), F.col("results")[0]["outcome"].alias("outcome"), classes.alias("classes"), "assessment_capability", F.size("policy_mapping").cast("bigint").alias("n_mapped"))
 
 
-@query("q5_plot_reports", "SELECT concat('run::', box_id) AS report_id, box_id AS plot_id, round((c0 + c1) / 200.0, 8) AS lon, round((r0 + r1) / 200.0, 8) AS lat, 1 AS n_polygons FROM boxes")
+@query("q5_plot_reports", "SELECT concat('run::', box_id) AS report_id, box_id AS plot_id, round((c0 + c1) / 200.0, 8) AS lon, round((r0 + r1) / 200.0, 8) AS lat, 1 AS n_polygons, CASE WHEN r0 % 2 = 0 THEN aoi_id ELSE 'N/A' END AS operator, CASE WHEN r0 % 2 = 0 AND c0 % 3 = 0 THEN 'Yes' WHEN r0 % 2 = 0 AND c0 % 3 = 1 THEN 'No' ELSE 'N/A' END AS deforestation_detected FROM boxes")
 def _(get):
-    return jobs.plot_reports(_zones(get, 0.01), "run").select("report_id", "plot_id", "lon", "lat", "n_polygons")
+    boxes = get("boxes")
+    props = F.create_map(F.lit("operator"), F.col("aoi_id"), F.lit("blank"), F.lit(" "))
+    merged = P.merge_properties(boxes.where("r0 % 2 = 0").select(F.col("box_id").alias("doc"), F.lit(1).alias("pos"), props.alias("properties")))
+    facts = merged.where("key = 'operator'").select(F.col("doc").alias("plot_id"), F.col("value").alias("prop_operator"))
+    loss = boxes.select(F.col("box_id").alias("plot_id"), F.when(F.col("c0") % 3 == 0, 2.5).when(F.col("c0") % 3 == 1, 0.0).alias("metric_loss_ha"))
+    out = jobs.plot_reports(_zones(get, 0.01), facts.join(loss, "plot_id"), "run")
+    return out.select("report_id", "plot_id", "lon", "lat", "n_polygons", "operator", "deforestation_detected")
 
 
-@query("q6_publish", "SELECT site_id, run_name, cast(rank AS int) AS rank, has_report = 1 AS ok FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY bundle_date DESC, run_name DESC) AS rank FROM runs) t WHERE rank <= 2")
+@query("q6_publish", f"WITH l AS (SELECT * FROM {_LATEST} t WHERE k <= 2), s AS (SELECT site_id, count(*) = 2 AND count(*) FILTER (WHERE has_report = 0 OR run_name LIKE '%7') = 0 AS ok FROM l GROUP BY 1) SELECT l.site_id, l.run_name, cast(l.k AS int) AS rank, cast(1 + has_report AS bigint) AS n_files, s.ok FROM l JOIN s ON l.site_id = s.site_id")
 def _(get):
-    return jobs.publish(get("runs"), 2).select("site_id", "run_name", "rank", "ok")
+    return jobs.publish(get("runs"), *_files(get), 2).select("site_id", "run_name", "rank", "n_files", "ok")
 
 
 @query("q7_catalogue", "SELECT c.dataset_id, c.name, f.family, f.family IS NOT NULL AS has_family FROM catalogue c LEFT JOIN families f ON c.dataset_id = f.dataset_id")
 def _(get):
-    return jobs.catalogue(get("catalogue"), get("families"))
+    spark, paths = get("catalogue").sparkSession, []
+    for name in ("catalogue", "families"):
+        paths.append(sources.scratch(spark))
+        get(name).write.option("header", True).csv(paths[-1])
+    out = jobs.catalogue(*[sources.read_seed_csv(spark, p) for p in paths])
+    where = sources.scratch(spark)
+    sources.export_catalogue(out, where)
+    return sources.read_seed_csv(spark, where).withColumn("has_family", F.col("has_family").cast("boolean"))
+
+
+_BEST = f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY family ORDER BY score DESC, probe) AS k FROM (SELECT *, split_part(dependency_id, '/', 1) AS family, {_SCORE} AS score FROM links) s WHERE score > 1.0) t WHERE k = 1)"
 
 
-@query("q8_link_review", f"SELECT family, dependency_id, url, round(cast(score AS double), 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY family ORDER BY score DESC, probe) AS k FROM (SELECT *, split_part(dependency_id, '/', 1) AS family, {_SCORE} AS score FROM links) s WHERE score > 1.0) t WHERE k = 1 AND dependency_id NOT LIKE 'fam1/%'")
+@query("q8_link_review", f"SELECT dependency_id, url, discovery_method, (SELECT count(*) FROM links) AS checked, (SELECT count(*) FROM links WHERE NOT coalesce(http_status BETWEEN 200 AND 399, false)) AS broken FROM (SELECT dependency_id, url, 'probe' AS discovery_method FROM {_BEST} b UNION SELECT dependency_id, url, 'probe' FROM links WHERE dependency_id LIKE 'fam1/%') h")
 def _(get):
     links = get("links")
     known = links.where("dependency_id like 'fam1/%'").select("dependency_id", "url", F.lit("tool").alias("discovered_by"), F.lit("probe").alias("discovery_method"))
-    return jobs.link_review(links, known, 1.0).select("family", "dependency_id", "url", r4("score"))
+    registry, history, summary = jobs.link_review(links, known, 1.0)
+    return history.join(registry.select("dependency_id").distinct(), "dependency_id", "left_semi").select("dependency_id", "url", "discovery_method").crossJoin(F.broadcast(summary))

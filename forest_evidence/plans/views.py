@@ -18,6 +18,10 @@ FROM (SELECT concat('T', cast(l_suppkey % 8 AS int)) AS tile_id, cast(l_orderkey
              CASE WHEN l_tax > 0.07 THEN 0 ELSE 1 END AS tree_valid, CASE WHEN l_discount > 0.095 THEN 0 ELSE 1 END AS loss_valid
       FROM lineitem) t
 GROUP BY tile_id, prow, pcol""",
+    "tiles": """
+SELECT concat('T', cast(k AS int)) AS tile_id, cast(k % 4 * 50 AS double) AS x0, cast(100 + 100 * ((k - k % 4) / 4) AS double) AS y0,
+       cast(1 AS double) AS step, 200 AS width, 200 AS height
+FROM (SELECT DISTINCT s_suppkey % 8 AS k FROM supplier) t""",
     "boxes": """
 SELECT concat('B', cast(s_suppkey AS int)) AS box_id, concat('A', cast(s_suppkey % 4 AS int)) AS aoi_id,
        cast(s_suppkey * 37 % 180 AS int) AS r0, cast(s_suppkey * 37 % 180 + 5 + s_suppkey % 15 AS int) AS r1,

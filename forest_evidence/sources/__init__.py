@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +12,17 @@ from ..functions import columns as C
 from ..operators.evidence import ordered
 
 FEATURE = "struct<type:string,properties:map<string,string>,geometry:struct<type:string,coordinates:string>>"
-LINK_COLUMNS = ["dependency_id", "url", "role", "expected_content_type", "status", "verified_at", "notes", "owner", "discovered_by", "discovery_method"]
+LINK_COLUMNS = ["dependency_id", "url", "expected_content_type", "server_audit_path", "description", "family_or_tag", "used_by", "update_policy", "version_pattern", "last_verified_utc"]
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new place in the folder that all executors share; a temporary one in a local session without it."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="spark-")
+    return f"{root}/{uuid.uuid4().hex}"
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
@@ -62,7 +75,8 @@ def read_link_registry(spark: SparkSession, path: str) -> DataFrame:
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     """relpath, sha256, size_bytes, content_type of all files below a folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    rel = F.regexp_replace("path", r"^[a-z]+:/*" + root.lstrip("/").rstrip("/") + "/", "")
+    bare = root.split(":", 1)[-1].strip("/")
+    rel = F.substring_index("path", f"/{bare}/", -1)
     return files.select(rel.alias("relpath"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size_bytes"), C.content_type(F.col("path")).alias("content_type"))
 
 

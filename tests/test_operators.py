@@ -3,6 +3,8 @@
 import math
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from forest_evidence import sources
@@ -66,21 +68,25 @@ def test_parcel_rules(spark):
     rows = [("a", "x", 100000.0, 20000.0, None, None, 5.0), ("b", "x", 886903.0, None, None, None, 90.0), ("c", "x", None, None, 30000.0, None, 4.0)]
     df = spark.createDataFrame(rows, "parcel_id string, aoi_id string, pindala double, mets double, mets_ha double, forest_area_ha double, geodesic_area_ha double")
     got = {r.parcel_id: (r.forest_ha, r.method) for r in P.with_forest_area(df).collect()}
-    assert got == {"a": (2.0, "m2"), "b": (88.6903, "geodesic_capped"), "c": (3.0, "m2_inferred")}
+    assert got == {"a": (2.0, "reported_m2"), "b": (88.6903, "capped_to_land_area"), "c": (3.0, "reported_m2_inferred")}
     assert P.top_parcels(P.with_forest_area(df.limit(0))).count() == 0
 
 
 def test_crosscheck(spark):
     df = spark.createDataFrame([("p", 10.0, 10.0), ("f", 10.0, 20.0), ("n", None, 10.0), ("z", 0.0, 1.0)], "parcel_id string, forest_ha double, c double")
     got = {r.parcel_id: r.outcome for r in P.crosscheck_rows(df, F.col("c")).collect()}
-    assert got == {"p": "pass", "f": "fail", "n": "not_comparable", "z": "not_comparable"}
+    assert got == {"p": "comparable", "f": "comparable", "n": "not_comparable", "z": "not_comparable"}
+    rows = {r.parcel_id: (r.diff_pct, r.reason) for r in P.crosscheck_rows(df, F.col("c")).collect()}
+    assert rows == {"p": (0.0, None), "f": (100.0, None), "n": (None, "missing_reference_forest_area"), "z": (None, None)}
+    total = P.crosscheck_total(df.withColumn("aoi_id", F.lit("A")), F.max("c")).first()
+    assert (total.reference_ha, total.outcome, total.reason) == (20.0, "pass", None)
 
 
 def test_numbers_and_timestamps(spark):
     df = spark.createDataFrame([("1_000",), ("5d",), (" 2.5 ",), ("1e3",), ("",)], "t string")
     assert [r[0] for r in df.select(C.number(F.col("t"))).collect()] == [None, None, 2.5, 1000.0, None]
-    names = spark.createDataFrame([("run_20240102T030405Z",), ("2024-01-02",), ("none",)], "t string")
-    assert [str(r[0]) for r in names.select(C.run_timestamp(F.col("t")).cast("string")).collect()] == ["2024-01-02 03:04:05", "2024-01-02 00:00:00", "None"]
+    names = spark.createDataFrame([("run_20240102T030405Z",), ("2024-01-02",), ("none",), ("r-20240102-030405",)], "t string")
+    assert [str(r[0]) for r in names.select(C.run_timestamp(F.col("t")).cast("string")).collect()] == ["2024-01-02 03:04:05", "2024-01-02 00:00:00", "1970-01-01 00:00:00", "2024-01-02 03:04:05"]
 
 
 def test_history_twice_is_once_and_diff_of_itself_is_empty(spark):
@@ -136,3 +142,48 @@ def test_regridding_keeps_area(spark):
     truth = spark.range(100).select(F.sum(C.cell_area_m2(60 - F.col("id") * 0.01, 60 - (F.col("id") + 1) * 0.01, F.lit(0.01))) * 100).first()[0]
     size = C.WGS84_A * math.cos(math.radians(30)) / math.sqrt(1 - C.WGS84_E2 * 0.25) * math.radians(0.01)
     assert abs(cells * size**2 / truth - 1) < 0.02
+
+
+def test_a_zone_meets_only_its_own_tile(spark):
+    tiles = spark.createDataFrame([("N60_E020", 20.0, 60.0, 0.1, 100, 100), ("S10_W070", -70.0, -10.0, 0.1, 100, 100)], "tile_id string, x0 double, y0 double, step double, width int, height int")
+    pixels = spark.range(2 * 100 * 100).select(F.when(F.col("id") < 10000, "N60_E020").otherwise("S10_W070").alias("tile_id"), (F.col("id") % 10000 / 100).cast("int").alias("prow"), (F.col("id") % 100).cast("int").alias("pcol"))
+    box = spark.createDataFrame([("z", 20.0, 59.8, 20.2, 60.0)], "id string, x0 double, y0 double, x1 double, y1 double")
+    zones = S.boxes_to_zones(box, "id", F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
+    got = {(r.tile_id, r.prow, r.pcol) for r in S.zone_pixels(zones, pixels, tiles).collect()}
+    assert got == {("N60_E020", r, c) for r in (0, 1) for c in (0, 1)}
+    far = S.boxes_to_zones(box, "id", F.lit(100.0), F.lit(0.0), F.lit(101.0), F.lit(1.0))
+    assert S.zone_pixels(far, pixels, tiles).count() == 0
+
+
+def test_zone_pixels_read_only_what_they_need(spark, tmp_path):
+    tiles = spark.createDataFrame([(f"T{k}", 10.0 * k, 10.0, 1.0, 10, 10) for k in range(4)], "tile_id string, x0 double, y0 double, step double, width int, height int")
+    pixels = spark.range(400).select(F.concat(F.lit("T"), (F.col("id") / 100).cast("int")).alias("tile_id"), (F.col("id") % 100 / 10).cast("int").alias("prow"), (F.col("id") % 10).cast("int").alias("pcol"))
+    pixels.write.partitionBy("tile_id").parquet(str(tmp_path / "p"))
+    box = spark.createDataFrame([("z",)], "id string")
+    zones = S.boxes_to_zones(box, "id", F.lit(18.0), F.lit(2.0), F.lit(22.0), F.lit(4.0))
+    out = S.zone_pixels(zones, sources.read_pixels(spark, str(tmp_path / "p")), tiles)
+    plan = out._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "tile_id" in plan.split("PartitionFilters: [")[1].split("]")[0] and "GreaterThanOrEqual(prow" in plan
+    assert {(r.tile_id, r.prow, r.pcol) for r in out.collect()} == {(t, r, c) for t, cs in (("T1", (8, 9)), ("T2", (0, 1))) for c in cs for r in (6, 7)}
+
+
+def test_tile_pairs(spark):
+    paths = lambda *p: spark.createDataFrame([(x,) for x in p], "path string")
+    pairs = lambda a, b: {tuple(r) for r in S.pair_tiles(a, b).collect()}
+    assert pairs(paths("/a/cover.tif"), paths("/b/loss.tif")) == {("/a/cover.tif", "/b/loss.tif")}
+    assert pairs(paths("/c/1.tif", "/c/2.tif"), paths("/l/2.tif", "/l/1.tif", "/l/3.tif")) == {("/c/1.tif", "/l/1.tif"), ("/c/2.tif", "/l/2.tif")}
+    assert pairs(paths("/N1/c.tif", "/N2/c.tif"), paths("/x/N2/l.tif", "/x/N1/l.tif")) == {("/N1/c.tif", "/x/N1/l.tif"), ("/N2/c.tif", "/x/N2/l.tif")}
+    with pytest.raises(Exception, match="no loss tile"):
+        pairs(paths("/c/1.tif", "/c/2.tif"), paths("/l/2.tif", "/l/3.tif"))
+
+
+def test_path_rules(spark):
+    df = spark.createDataFrame([("audit/x",), ("outputs/x",), ("keys.yml",), ("A.PYC",), (".envrc",), ("node_modules/x",), (".env.a",)], "relpath string")
+    assert {r.relpath for r in E.exclude_paths(df).collect()} == {".envrc", "node_modules/x"}
+    at = spark.createDataFrame([("reports/de/1.json", "reports/en"), ("reports/en/1.json", "reports/en"), ("a.json", ""), ("x/en", "x/en"), ("y/a.json", "x/en")], "p string, b string")
+    assert [r[0] for r in at.select(E.relative_path(F.col("p"), F.col("b"))).collect()] == ["../de/1.json", "1.json", "a.json", "../en", "../../y/a.json"]
+    url = spark.createDataFrame([("https://x/2023/v1.2/2023-v1.2",), ("v3/x",), ("plain",)], "u string")
+    got = [[tuple(c) for c in r[0]] for r in url.select(C.link_candidates(F.col("u"))).collect()]
+    assert got == [[("https://x/2024/v1.2/2023-v1.2", "year_bump_probe"), ("https://x/2023/v1.3/2023-v1.2", "version_probe")], [], []]
+    names = spark.createDataFrame([("pindala",), ("forest_ha_total",), ("omanik",), ("metsaha",)], "n string")
+    assert [tuple(r) for r in names.select(C.is_forest_field(F.col("n")), C.is_forest_ha_field(F.col("n"))).collect()] == [(True, False), (True, True), (False, False), (True, True)]
