@@ -196,9 +196,10 @@ def group_links(members: DataFrame, key: str, block: int, comparer: Comparer) ->
     all links of the key reach.
 
     A key of up to ``block`` rows is one group. In a larger one every row is compared with the same few leads,
-    block by block, and the lead with the most links is taken: its rows are linked through it, so that
-    comparisons are left only for the others, each with all rows of the key. These are done in pairs of
-    blocks. No group holds more than two blocks; a row is copied once for each block of others.
+    block by block. Leads that share a row are linked through it; of the clusters of leads, that around the lead
+    with the most rows is taken. Its rows are linked already, so that comparisons are left only for the others,
+    each with all rows of the key. These are done in pairs of blocks. No group holds more than two blocks; a row
+    is copied once for each block of others.
     """
     kind = members.schema["id"].dataType.simpleString()
     links = f"a {kind}, b {kind}"
@@ -219,9 +220,9 @@ def group_links(members: DataFrame, key: str, block: int, comparer: Comparer) ->
             lead = group["lead"].to_numpy()
             leads, rows = np.flatnonzero(lead >= 0), np.flatnonzero(lead < 0)
             x, y = comparer(group)(np.repeat(leads, len(rows)), np.tile(rows, len(leads)), False)
-            met = np.zeros((len(group), LEADS), bool)
-            met[y, lead[x]] = True
-            yield pd.DataFrame({key: group[key].to_numpy()[rows], "id": group["id"].to_numpy()[rows], "met": met[rows].tolist()})
+            met = np.zeros(len(group), np.int32)
+            np.bitwise_or.at(met, y, 1 << lead[x])
+            yield pd.DataFrame({key: group[key].to_numpy()[rows], "id": group["id"].to_numpy()[rows], "met": met[rows]})
 
     def others(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in by_group(batches, [key, "p", "q"]):
@@ -243,17 +244,25 @@ def group_links(members: DataFrame, key: str, block: int, comparer: Comparer) ->
     leads = staged(large.groupBy(key, number).agg(F.min(F.struct(*columns)).alias("s")).select("lead", "s.*"))
     first = large.withColumn("lead", F.lit(-1)).withColumn("q", own_block(blocks))
     first = first.unionByName(leads.withColumn("q", F.explode(F.sequence(F.lit(0), blocks - 1))))
-    met = staged(in_frames(dealt(first.drop("n_key"), "q"), with_leads, f"{key} {large.schema[key].dataType.simpleString()}, id {kind}, met array<boolean>"))
-    counts = F.array(*[F.count_if(F.col("met")[k]) for k in range(LEADS)])
-    best = met.groupBy(key).agg(counts.alias("c"), F.count("*").alias("n")).select(key, "n", F.expr("int(array_position(c, array_max(c)) - 1)").alias("best"), F.array_max("c").alias("n_met"))
-    best = staged(best)
-    known = hub_join(met, best, [key], met.count())
-    lead_ids = leads.select(key, F.col("lead").alias("best"), F.col("id").alias("b"))
-    near = known.where(F.col("met")[F.col("best")]).join(best.join(lead_ids, [key, "best"]).select(key, "b"), key).select(F.col("id").alias("a"), "b")
-    lone = staged(known.where(~F.col("met")[F.col("best")]).select(key, "id", F.col("n").alias("n_all"), (F.col("n") - F.col("n_met")).alias("n_lone")))
+    met = staged(in_frames(dealt(first.drop("n_key"), "q"), with_leads, f"{key} {large.schema[key].dataType.simpleString()}, id {kind}, met int"))
+    has = lambda bits, k: F.shiftright(bits, k).bitwiseAND(1) == 1
+    rows_of = F.array(*[F.count_if(has(F.col("met"), k)) for k in range(LEADS)])
+    beside = F.array(*[F.coalesce(F.bit_or(F.when(has(F.col("met"), k), F.col("met"))), F.lit(0)) for k in range(LEADS)])
+    best = met.groupBy(key).agg(F.count("*").alias("n"), rows_of.alias("c"), beside.alias("beside"))
+    start = F.pow(F.lit(2), F.array_position("c", F.array_max("c")) - 1).cast("int")
+    step = "aggregate(sequence(0, {n}), {m}, (a, i) -> a | IF((shiftright({m}, i) & 1) = 1, beside[i], 0))"
+    best = best.withColumn("start", start)
+    best = best.withColumn("mask", F.expr(f"aggregate(sequence(1, {LEADS}), start, (m, r) -> {step.format(n=LEADS - 1, m='m')})"))
+    best = staged(best.select(key, "n", "mask"))
+    known = hub_join(met, best, [key], met.count()).withColumn("own", F.col("met").bitwiseAND(F.col("mask")))
+    lead_ids = leads.select(key, "lead", F.col("id").alias("b"))
+    near = known.where("own <> 0").select(key, F.col("id").alias("a"), F.explode(F.expr(f"filter(sequence(0, {LEADS - 1}), k -> (shiftright(own, k) & 1) = 1)")).alias("lead"))
+    near = near.join(size_checked(lead_ids, 64), [key, "lead"]).select("a", "b")
+    lone = staged(known.where("own = 0").select(key, "id", F.col("n").alias("n_all")))
+    sized = staged(lone.groupBy(key).agg(F.count("*").alias("n_lone"), F.max("n_all").alias("n")))
+    lone = lone.join(sized.select(key, "n_lone"), key)
     sides = F.ceil(F.col("n_lone") / block).cast("int")
     ours = large.join(lone, [key, "id"]).withColumn("p", own_block(sides)).withColumn("q", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("lone", F.lit(True))
-    sized = staged(lone.groupBy(key).agg(F.max("n_lone").alias("n_lone"), F.max("n_all").alias("n")))
     all_ = hub_join(large, sized, [key], met.count()).withColumn("q", own_block(blocks)).withColumn("p", F.explode(F.sequence(F.lit(0), sides - 1))).withColumn("lone", F.lit(False))
     picked = [*[c for c in large.columns if c != "n_key"], "p", "q", "lone"]
     rest = dealt(ours.select(*picked).unionByName(all_.select(*picked)), "p", "q")

@@ -113,17 +113,49 @@ def _by_sketch(group: pd.DataFrame):
     return lambda x, y, some: _likely(regs, size, x, y)[:2]
 
 
+def shared(own: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray | None:
+    """Intersection sizes of the pairs of sets, as a product of incidence matrices over the values that two sets
+    have; None where that takes longer than pair by pair. Both are exact."""
+    rows = np.unique(np.concatenate([x, y]))
+    flat = np.concatenate([own[r] for r in rows])
+    values, at, n = np.unique(flat, return_inverse=True, return_counts=True)
+    often = n > 1
+    width = int(often.sum())
+    left, right = np.unique(x), np.unique(y)
+    if len(left) * len(right) * width > len(x) * 200_000:
+        return None
+    place, line = np.cumsum(often) - 1, np.repeat(np.arange(len(rows)), [len(own[r]) for r in rows])
+    keep = often[at]
+    column, line = place[at[keep]], line[keep]
+    out = np.zeros((len(left), len(right)), np.float32)
+    u, v = np.searchsorted(rows, left), np.searchsorted(rows, right)
+    for a in range(0, width, 4096):
+        here = (column >= a) & (column < a + 4096)
+        m = np.zeros((len(rows), min(4096, width - a)), np.float32)
+        m[line[here], column[here] - a] = 1
+        out += m[u] @ m[v].T
+    return out[np.searchsorted(left, x), np.searchsorted(right, y)].astype(np.int64)
+
+
 def _by_sets(threshold: int):
-    """Pairs confirmed on full sets; estimates choose the order, so that few pairs of one class are compared."""
+    """Pairs confirmed on full sets; where they are taken one by one, estimates choose the order, so that few pairs of
+    one class are compared."""
 
     def comparer(group: pd.DataFrame):
         own = list(shingle_sets(group["text"].tolist()))
-        size = np.array([len(s) for s in own], float)
-        regs = np.stack([registers(s) for s in own]) if len(group) > 8 else None
+        size = np.array([len(s) for s in own])
+        regs: list[np.ndarray] = []
 
         def linked(x: np.ndarray, y: np.ndarray, some: bool) -> tuple[np.ndarray, np.ndarray]:
-            if regs is not None:
-                x, y, e = _likely(regs, size, x, y)
+            near = 100 * np.minimum(size[x], size[y]) >= threshold * np.maximum(size[x], size[y])
+            x, y = x[near], y[near]
+            if len(x) and (both := shared(own, x, y)) is not None:
+                good = 100 * both >= threshold * (size[x] + size[y] - both)
+                return x[good], y[good]
+            if len(x) > 30:
+                if not regs:
+                    regs.append(np.stack([registers(s) for s in own]))
+                x, y, e = _likely(regs[0], size.astype(float), x, y)
                 order = np.argsort(-e, kind="stable")
                 x, y = x[order], y[order]
             sets, keep = DisjointSets(len(own)), []
