@@ -712,7 +712,7 @@ def _(get):
     rows = get("links")
     path = sources.scratch(rows.sparkSession)
     note = F.when(F.col("probe") % 4 == 0, F.concat(F.lit("# "), "dependency_id")).otherwise(F.col("dependency_id"))
-    rows.select(note.alias("dependency_id"), "url", "expected_content_type").write.option("header", True).csv(path)
+    rows.select(note.alias("dependency_id"), "url", "expected_content_type").write.option("header", True).option("comment", "~").csv(path)  # else the writer quotes what begins with #
     out = sources.read_link_registry(rows.sparkSession, path)
     return out.select("dependency_id", "url", "expected_content_type", "update_policy", F.lit(len(out.columns)).alias("n_columns"))
 
