@@ -175,6 +175,26 @@ def page_artifacts(pages: DataFrame) -> DataFrame:
     return each.groupBy("page_id", "href").agg(F.min("pos").alias("pos"))
 
 
+def generated_utc(html: Column) -> Column:
+    """The time that follows ``Generated (UTC)`` in a code element, else in a table cell; null without either."""
+    found = [F.regexp_extract(html, rf"(?is)Generated \(UTC\).*?<{tag}>([^<]+)</{tag}>", 1) for tag in ("code", "td")]
+    return F.coalesce(*[F.when(v != "", F.regexp_replace(v, r"^\s+|\s+$", "")) for v in found])
+
+
+def declared_artifacts(pages: DataFrame) -> DataFrame:
+    """page_id, generated_utc, href, pos: links of each page's artifact lists, first-seen order, distinct.
+
+    A list begins after a heading ``Artifacts`` or one with ``Declared evidence artifacts``, without inner
+    tags, and goes on to the list's end. Pages without such a list have no row.
+    """
+    section = r"(?is)<h2\b[^>]*>(?:[^<]*declared evidence artifacts[^<]*|\s*artifacts\s*)</h2>(.*?)</ul>"
+    lists = F.array_join(F.regexp_extract_all("html", F.lit(section), F.lit(1)), "\n")
+    links = F.regexp_extract_all(lists, F.lit(r"""(?i)<a\s(?:[^>]*?\s)??href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""), F.lit(1))
+    each = pages.select("page_id", generated_utc(F.col("html")).alias("generated_utc"), F.posexplode(links).alias("pos", "href"))
+    each = each.withColumn("href", F.regexp_replace("href", r"""^["'\s]+|["'\s]+$""", "")).where("href <> ''")
+    return each.groupBy("page_id", "generated_utc", "href").agg(F.min("pos").alias("pos"))
+
+
 # --- integrity rules: rows (report_id, rule, detail) ----------------------------------------------
 
 

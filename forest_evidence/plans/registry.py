@@ -831,6 +831,15 @@ def _(get):
     return E.page_artifacts(get("pages")).select("page_id", "href", F.col("pos").cast("bigint").alias("pos"))
 
 
+# pages as reports: every third has its time in a cell, every fifth no list
+_REPORT_PAGES = "SELECT page_id, concat('<p>Generated (UTC)', CASE WHEN page_id % 3 = 0 THEN '</p><table><td> ' ELSE ': <code> ' END, page_id, CASE WHEN page_id % 3 = 0 THEN ' </td></table>' ELSE ' </code></p>' END, '<a href=\"before\">x</a>', CASE WHEN page_id % 5 = 0 THEN '<h2>Other</h2>' WHEN page_id % 2 = 0 THEN '<h2>Artifacts</h2>' ELSE '<h2 id=\"a\">Declared evidence artifacts (2)</h2>' END, '<ul><li><a href=\" ', url, ' \">x</a></li><li><a class=\"c\" href=\"r', page_id, '.json\">x</a></li>', html, '</ul>') AS html FROM pages"
+
+
+@query("q9_declared_artifacts", f"""SELECT page_id, generated_utc, href, min(pos) AS pos FROM (SELECT page_id, trim(coalesce(nullif(regexp_extract(html, '(?is)Generated \\(UTC\\).*?<code>([^<]+)</code>', 1), ''), regexp_extract(html, '(?is)Generated \\(UTC\\).*?<td>([^<]+)</td>', 1))) AS generated_utc, trim(unnest(hrefs), ' \"''') AS href, generate_subscripts(hrefs, 1) - 1 AS pos FROM (SELECT page_id, html, regexp_extract_all(array_to_string(regexp_extract_all(html, '(?is)<h2\\b[^>]*>(?:[^<]*declared evidence artifacts[^<]*|\\s*artifacts\\s*)</h2>(.*?)</ul>', 1), chr(10)), '(?i)<a\\s(?:[^>]*?\\s)??href\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s>"'']+)', 1) AS hrefs FROM ({_REPORT_PAGES}) r) a) t WHERE href <> '' GROUP BY 1, 2, 3""")
+def _(get):
+    return E.declared_artifacts(get(_REPORT_PAGES)).select("page_id", "generated_utc", "href", F.col("pos").cast("bigint").alias("pos"))
+
+
 # --- integrity rules: orders stand for reports, their items for results ----------------------------
 
 _RESULTS = "SELECT cast(l_orderkey AS bigint) AS report_id, cast(l_linenumber AS bigint) AS result_id, cast(l_suppkey % 7 AS bigint) AS assumption_id, l_returnflag = 'R' AS flagged FROM lineitem"

@@ -187,3 +187,10 @@ def test_path_rules(spark):
     assert got == [[("https://x/2024/v1.2/2023-v1.2", "year_bump_probe"), ("https://x/2023/v1.3/2023-v1.2", "version_probe")], [], []]
     names = spark.createDataFrame([("pindala",), ("forest_ha_total",), ("omanik",), ("metsaha",)], "n string")
     assert [tuple(r) for r in names.select(C.is_forest_field(F.col("n")), C.is_forest_ha_field(F.col("n"))).collect()] == [(True, False), (True, True), (False, False), (True, True)]
+
+
+def test_declared_artifacts(spark):
+    html = '<a href="no">x</a><dl>GENERATED (UTC)\n<dd><code> 2026-02-20T00:00:00Z\n</code></dl><h2>Map</h2><ul><a href="no">x</a></ul><h2 class="c">Declared evidence artifacts</h2><p><a href=" a.json ">a</a><ul><li><a class=c href=\'b/c.csv\'>b</a><li><a href="a.json">a</a><a href="">none</a></ul><a href="no">x</a>'
+    pages = spark.createDataFrame([(1, html), (2, "<h2>Artifacts</h2><ul></ul>"), (3, None), (4, "<h2>Artifacts</h2><ul><a href=x>x</a><a href='y'>y</a></ul>")], "page_id int, html string")
+    got = sorted((r.page_id, r.pos, r.href, r.generated_utc) for r in E.declared_artifacts(pages).collect())
+    assert got == [(1, 0, "a.json", "2026-02-20T00:00:00Z"), (1, 1, "b/c.csv", "2026-02-20T00:00:00Z"), (4, 0, "x", None), (4, 1, "y", None)]
