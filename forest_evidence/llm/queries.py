@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, edit_print, html_text, langid, licences, packing, pii, recompression, setsketch, toxicity
+from . import decontaminate, edit_print, html_text, langid, licences, packing, phrases, pii, recompression, setsketch, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(docs, licences.train(spark, docs))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def edit_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of near texts by banded edit fingerprints, beside operator 7's query, whose contract has no pairs."""
     return edit_print.near_classes(table(spark, sf_dir, "documents"))
@@ -92,7 +96,24 @@ e AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM
 q AS (SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.i) AS kept, count(*) AS n FROM e LEFT JOIN g ON e.doc_id = g.doc_id AND e.i = g.i WHERE g.i IS NULL GROUP BY 1)
 SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(q.n, 0) AS n_removed, sha256(coalesce(q.kept, '')) AS kept_sha256 FROM w LEFT JOIN q ON w.doc_id = q.doc_id"""
 
+#: Phrases at their weakest cut: every run of one to four words of a piece is counted by language.
+COLLOCATIONS = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\n-\\r]')) AS piece FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, doc_id, ws FROM (SELECT lang, doc_id, regexp_extract_all(piece, '[^ \\t]+') AS ws FROM p) t WHERE len(ws) > 0),
+t AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY 1),
+g AS (SELECT lang, doc_id, m, array_to_string(ws[i : i + m - 1], ' ') AS phrase FROM (SELECT lang, doc_id, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM w, (SELECT unnest(range(1, 5)) AS m) s WHERE len(ws) >= m) u),
+f AS (SELECT lang, phrase, m, count(*) AS f, min(doc_id) AS first_doc_id FROM g GROUP BY 1, 2, 3 HAVING count(*) >= 30),
+c AS (SELECT lang, phrase, m, f AS a, first_doc_id, string_split(phrase, ' ') AS ws FROM f WHERE m > 1),
+k AS (SELECT lang, phrase, a, first_doc_id, k, array_to_string(ws[1 : k], ' ') AS left_part, array_to_string(ws[k + 1 : m], ' ') AS right_part FROM (SELECT *, unnest(range(1, m)) AS k FROM c) u),
+s AS (SELECT k.lang, k.phrase, k.a, k.first_doc_id, k.k, x.f AS l, y.f AS r, (2000000 * k.a::HUGEINT // (x.f + y.f))::BIGINT AS score
+  FROM k JOIN f x ON x.lang = k.lang AND x.phrase = k.left_part JOIN f y ON y.lang = k.lang AND y.phrase = k.right_part),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+h AS (SELECT lang, a, array_to_string(ws[i : i + j - 1], ' ') AS phrase FROM (SELECT *, unnest(range(1, m - j + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS j FROM c) u) v),
+d AS (SELECT b.* FROM b LEFT JOIN (SELECT lang, phrase, max(a) AS longer FROM h GROUP BY 1, 2) h ON h.lang = b.lang AND h.phrase = b.phrase WHERE longer IS NULL OR 100 * longer < 80 * b.a),
+q AS (SELECT d.*, row_number() OVER (PARTITION BY d.lang ORDER BY score DESC, a DESC, phrase) AS rank FROM d)
+SELECT q.lang, rank, phrase, a, l, r, n, score, first_doc_id FROM q JOIN t ON t.lang = q.lang WHERE rank <= 2000"""
+
 
 def oracle_sql() -> dict[str, str]:
     """The queries whose rows are determined by their contract; the others learn, sketch or choose."""
-    return {"op5_near_duplicates": NEAR_DUPLICATES, "op9_substring_dedup": WITHOUT_REPEATS}
+    return {"op5_near_duplicates": NEAR_DUPLICATES, "op9_substring_dedup": WITHOUT_REPEATS, "op11_collocations": COLLOCATIONS}
