@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, decontaminate, edit_print, html_text, langid, licences, packing, phrases, pii, recompression, setsketch, toxicity
+from . import alignment, decontaminate, edit_print, html_text, langid, licences, packing, phrases, pii, recompression, secret_scan, setsketch, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,11 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.train(docs))
+
+
 def edit_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of near texts by banded edit fingerprints, beside operator 7's query, whose contract has no pairs."""
     return edit_print.near_classes(table(spark, sf_dir, "documents"))
