@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 from collections.abc import Iterator
 from itertools import chain
 
@@ -14,23 +13,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from .spatial import POLYGONS, equal_area_xy
+from .spatial import POLYGONS, cut_lineage, equal_area_xy
 
 #: Column numbers stay below this, so that row and column make one number.
 WIDTH = 1 << 20
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder of the session; a temporary one only where none is set."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not where and not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
-
-
 def runs(masked: DataFrame) -> DataFrame:
     """tile_id, prow, c0, c1, run: unbroken runs of masked pixels in a row."""
     order = W.partitionBy("tile_id", "prow").orderBy("pcol")
@@ -46,16 +34,16 @@ def region_labels(masked: DataFrame) -> DataFrame:
     neighbours and then the name of the run so named, so that names travel in doubling steps; it ends
     when none changes.
     """
-    own = _cut(runs(masked))
+    own = cut_lineage(runs(masked))
     below = own.select("tile_id", (F.col("prow") - 1).alias("prow"), F.col("c0").alias("d0"), F.col("c1").alias("d1"), F.col("run").alias("b"))
     meet = own.join(below, ["tile_id", "prow"]).where("c0 <= d1 and d0 <= c1").select("tile_id", F.col("run").alias("a"), "b")
-    links = _cut(meet.union(meet.select("tile_id", F.col("b").alias("a"), F.col("a").alias("b"))))
+    links = cut_lineage(meet.union(meet.select("tile_id", F.col("b").alias("a"), F.col("a").alias("b"))))
     names = own.select("tile_id", "run", F.col("run").alias("region"))
     while True:
         least = links.join(names.select("tile_id", F.col("run").alias("b"), "region"), ["tile_id", "b"]).groupBy("tile_id", F.col("a").alias("run")).agg(F.min("region").alias("least"))
         near = names.join(least, ["tile_id", "run"], "left").select("tile_id", "run", "region", F.least("region", "least").alias("least"))
         root = names.select("tile_id", F.col("run").alias("least"), F.col("region").alias("root"))
-        new = _cut(near.join(root, ["tile_id", "least"]).select("tile_id", "run", F.least("least", "root").alias("region"), (F.least("least", "root") < F.col("region")).alias("moved")))
+        new = cut_lineage(near.join(root, ["tile_id", "least"]).select("tile_id", "run", F.least("least", "root").alias("region"), (F.least("least", "root") < F.col("region")).alias("moved")))
         names = new.drop("moved")
         if new.where("moved").isEmpty():
             return own.join(names, ["tile_id", "run"]).drop("run")

@@ -3,12 +3,25 @@
 from __future__ import annotations
 
 import math
+import tempfile
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint to the shared folder of the session; a temporary one only where none is set."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not where and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="spark-"))
+    return df.checkpoint()
+
+
 #: polygons: array (polygons) of array (rings) of array (vertices) of struct(x, y)
 POLYGONS = "array<array<array<struct<x:double,y:double>>>>"
 
@@ -19,12 +32,18 @@ def boxes_to_zones(boxes: DataFrame, key: str, x0: Column, y0: Column, x1: Colum
     return boxes.select(F.col(key).alias("zone_id"), F.array(F.array(ring)).alias("polygons"))
 
 
-def segments(zones: DataFrame) -> DataFrame:
-    """zone_id, poly, ring, seq, x1, y1, x2, y2 of every edge; rings that aren't closed are."""
+def segments(zones: DataFrame, sided: bool = False) -> DataFrame:
+    """zone_id, poly, ring, seq, x1, y1, x2, y2 of every edge; rings that aren't closed are. If ``sided``, also
+    whether the zone lies on the left of it, whichever way round the ring goes."""
     rings = zones.select("zone_id", F.posexplode("polygons").alias("poly", "rings")).select("zone_id", "poly", F.posexplode("rings").alias("ring", "v"))
     n = F.size("v")
     edges = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(i.alias("seq"), F.col("v")[i]["x"].alias("x1"), F.col("v")[i]["y"].alias("y1"), F.col("v")[F.pmod(i + 1, n)]["x"].alias("x2"), F.col("v")[F.pmod(i + 1, n)]["y"].alias("y2")))
-    return rings.where(n > 0).select("zone_id", "poly", "ring", F.explode(edges).alias("e")).select("zone_id", "poly", "ring", "e.*").where("x1 <> x2 or y1 <> y2")
+    kept = ["zone_id", "poly", "ring"]
+    if sided:
+        away = lambda i, c: F.col("v")[F.pmod(i, n)][c] - F.col("v")[0][c]
+        area = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), lambda s, i: s + away(i, "x") * away(i + 1, "y") - away(i + 1, "x") * away(i, "y"))
+        rings, kept = rings.where(n > 0).withColumn("left", (area > 0) != (F.col("ring") > 0)), [*kept, "left"]
+    return rings.where(n > 0).select(*kept, F.explode(edges).alias("e")).select(*kept, "e.*").where("x1 <> x2 or y1 <> y2")
 
 
 def polygon_count(zones: DataFrame) -> DataFrame:
@@ -146,41 +165,163 @@ def zone_union(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.select(keys).union(b.select(keys)).distinct()
 
 
+#: Sizes of grid cells are powers of this times the finest one asked for; boxes far smaller share the level LOWEST.
+LEVEL_STEP, LOWEST = 4, -12
+
+
+def _level(cell: float) -> Column:
+    """The level whose cells are the smallest not smaller than the box x0, y0, x1, y1, which reaches four of them at most."""
+    size = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
+    level = F.ceil(F.log(size / cell) / math.log(LEVEL_STEP)).cast("int")
+    # a logarithm may round down across a power
+    level = level + F.when(F.lit(cell) * F.pow(F.lit(float(LEVEL_STEP)), level) < size, 1).otherwise(0)
+    return F.when(size > 0, F.greatest(level, F.lit(LOWEST))).otherwise(LOWEST)
+
+
+def boxes_that_meet(a: DataFrame, b: DataFrame, cell: float, on: list[str]) -> DataFrame:
+    """Pairs of rows with equal ``on`` whose boxes (x0, y0, x1, y1) overlap or touch; other columns get a_ and b_.
+
+    A box lies in at most four cells of the level of its own size; a smaller one meets it there. So each row is
+    copied to its own cells and, for each larger level that the other side has, to at most four more; the number
+    of levels is that of the sizes' orders, whatever the sizes are.
+    """
+    sides = [df.withColumn("level", _level(cell)) for df in (a, b)]
+    found = sides[0].select(F.lit(0).alias("side"), "level").union(sides[1].select(F.lit(1).alias("side"), "level")).where("level is not null").distinct().collect()
+    levels = [sorted(r["level"] for r in found if r["side"] == k) for k in (0, 1)]
+
+    def dealt(side: int, wanted: Column, p: str) -> DataFrame:
+        df = sides[side].withColumn("at", F.explode(wanted)).withColumn("size", F.lit(cell) * F.pow(F.lit(float(LEVEL_STEP)), F.col("at")))
+        cells = lambda k: F.explode(F.sequence(F.floor(F.col(f"{k}0") / F.col("size")), F.floor(F.col(f"{k}1") / F.col("size"))))
+        df = df.withColumn("gx", cells("x")).withColumn("gy", cells("y"))
+        return df.select(*on, "at", "gx", "gy", *[F.col(c).alias(f"{p}_{c}") for c in [*sides[side].columns] if c not in (*on, "level")])
+
+    own = F.array("level")
+    above = lambda found, equal: F.filter(F.array(*map(F.lit, found)).cast("array<int>"), lambda x: x >= F.col("level") if equal else x > F.col("level"))
+    met = dealt(0, own, "a").join(dealt(1, above(levels[0], True), "b"), [*on, "at", "gx", "gy"])
+    met = met.unionByName(dealt(0, above(levels[1], False), "a").join(dealt(1, own, "b"), [*on, "at", "gx", "gy"]))
+    meet = (F.col("a_x0") <= F.col("b_x1")) & (F.col("b_x0") <= F.col("a_x1")) & (F.col("a_y0") <= F.col("b_y1")) & (F.col("b_y0") <= F.col("a_y1"))
+    size = F.lit(cell) * F.pow(F.lit(float(LEVEL_STEP)), F.col("at"))
+    once = (F.col("gx") == F.floor(F.greatest("a_x0", "b_x0") / size)) & (F.col("gy") == F.floor(F.greatest("a_y0", "b_y0") / size))
+    return met.where(meet & once).drop("at", "gx", "gy")
+
+
 def bbox_join(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
     """Pairs of boxes (a_id.., b_id..) that overlap or touch; columns id, x0, y0, x1, y1 on both sides.
 
-    Both sides meet in grid cells; a pair that meets in several is taken in the first they share.
+    Boxes of any sizes meet in grid cells of their own size, ``cell`` and its powers; a pair that meets in several
+    is taken in the first they share.
     """
-    def dealt(df: DataFrame, p: str) -> DataFrame:
-        out = df.select(*[F.col(c).alias(f"{p}_{c}") for c in ("id", "x0", "y0", "x1", "y1")])
-        cells = lambda lo, hi: F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell))
-        return out.withColumn("gx", F.explode(cells(f"{p}_x0", f"{p}_x1"))).withColumn("gy", F.explode(cells(f"{p}_y0", f"{p}_y1")))
-
-    both = dealt(a, "a").join(dealt(b, "b"), ["gx", "gy"])
-    meet = (F.col("a_x0") <= F.col("b_x1")) & (F.col("b_x0") <= F.col("a_x1")) & (F.col("a_y0") <= F.col("b_y1")) & (F.col("b_y0") <= F.col("a_y1"))
-    once = (F.col("gx") == F.floor(F.greatest("a_x0", "b_x0") / cell)) & (F.col("gy") == F.floor(F.greatest("a_y0", "b_y0") / cell))
-    return both.where(meet & once).drop("gx", "gy")
+    columns = ["id", "x0", "y0", "x1", "y1"]
+    return boxes_that_meet(a.select(columns), b.select(columns), cell, [])
+
+
+#: Coordinates that differ by less than this share of their size are taken for equal.
+NOISE = 1e-12
+#: Shorter pieces of an edge (shares of it) are what rounding leaves between two contacts.
+PIECE = 1e-10
+
+
+def _boxed(edges: DataFrame) -> DataFrame:
+    """Edges with their end points as ax, ay, bx, by and their boxes."""
+    ends = {"ax": "x1", "ay": "y1", "bx": "x2", "by": "y2"}
+    kept = [c for c in edges.columns if c not in ends.values()]
+    box = [f("x1", "x2").alias(x) for f, x in ((F.least, "x0"), (F.greatest, "x9"))] + [f("y1", "y2").alias(y) for f, y in ((F.least, "y0"), (F.greatest, "y9"))]
+    out = edges.select(*kept, *[F.col(v).alias(k) for k, v in ends.items()], *box)
+    return out.withColumnsRenamed({"x9": "x1", "y9": "y1"})
+
+
+def _contacts(met: DataFrame) -> DataFrame:
+    """Of edges that may meet (a_.., b_..), those that do: t0, t1 on a and u0, u1 on b (shares of the edge; equal
+    where they meet in a point), and whether they run along each other."""
+    c = lambda n: F.col(n)
+    dx, dy, ex, ey = c("a_bx") - c("a_ax"), c("a_by") - c("a_ay"), c("b_bx") - c("b_ax"), c("b_by") - c("b_ay")
+    wx, wy = c("b_ax") - c("a_ax"), c("b_ay") - c("a_ay")
+    scale = F.greatest(*[F.abs(c(f"{p}_{q}")) for p in "ab" for q in ("ax", "ay", "bx", "by")])
+    long_a, long_b = F.hypot(dx, dy), F.hypot(ex, ey)
+    off = lambda vx, vy, ux, uy, n: F.abs(vx * uy - vy * ux) / n <= scale * NOISE
+    along = off(wx, wy, dx, dy, long_a) & off(c("b_bx") - c("a_ax"), c("b_by") - c("a_ay"), dx, dy, long_a)
+    along = along | (off(-wx, -wy, ex, ey, long_b) & off(c("a_bx") - c("b_ax"), c("a_by") - c("b_ay"), ex, ey, long_b))
+    on_a = lambda x, y: ((x - c("a_ax")) * dx + (y - c("a_ay")) * dy) / (long_a * long_a)
+    on_b = lambda x, y: ((x - c("b_ax")) * ex + (y - c("b_ay")) * ey) / (long_b * long_b)
+    clip = lambda v: F.greatest(F.lit(0.0), F.least(F.lit(1.0), v))
+    t = [clip(on_a(c(f"b_{e}x"), c(f"b_{e}y"))) for e in "ab"]
+    u = [clip(on_b(c(f"a_{e}x"), c(f"a_{e}y"))) for e in "ab"]
+    cross = F.nullif(dx * ey - dy * ex, F.lit(0.0))
+    ti, ui = (wx * ey - wy * ex) / cross, (wx * dy - wy * dx) / cross
+    slack_a, slack_b = scale * NOISE / long_a, scale * NOISE / long_b
+    at = ti.between(-slack_a, 1 + slack_a) & ui.between(-slack_b, 1 + slack_b)
+    lies = F.struct(F.least(*t).alias("t0"), F.greatest(*t).alias("t1"), F.least(*u).alias("u0"), F.greatest(*u).alias("u1"), F.lit(True).alias("along"))
+    point = F.struct(clip(ti).alias("t0"), clip(ti).alias("t1"), clip(ui).alias("u0"), clip(ui).alias("u1"), F.lit(False).alias("along"))
+    return met.withColumn("m", F.when(along, lies).when(at, point)).where("m is not null")
+
+
+def _pieces(edges: DataFrame, by: list[str]) -> DataFrame:
+    """Middle points (x, y) of the pieces of each contacted edge that don't run along an edge of the other side;
+    ``edges`` has a row for each contact, with ends ax, ay, bx, by and t0, t1, along."""
+    own = edges.groupBy(*by, "ax", "ay", "bx", "by").agg(F.collect_set("t0").alias("p"), F.collect_set("t1").alias("q"), F.collect_set(F.when(F.col("along"), F.struct("t0", "t1"))).alias("lies"))
+    cuts = F.array_sort(F.array_union(F.array_union("p", "q"), F.array(F.lit(0.0), F.lit(1.0))))
+    both = own.withColumn("c", cuts).withColumn("k", F.explode(F.expr("sequence(0, size(c) - 2)")))
+    t0, t1 = F.col("c")[F.col("k")], F.col("c")[F.col("k") + 1]
+    both = both.withColumn("t", (t0 + t1) / 2).where(t1 - t0 > PIECE)
+    both = both.where(~F.exists("lies", lambda s: (F.col("t") >= s["t0"]) & (F.col("t") <= s["t1"])))
+    return both.select(*by, (F.col("ax") + F.col("t") * (F.col("bx") - F.col("ax"))).alias("x"), (F.col("ay") + F.col("t") * (F.col("by") - F.col("ay"))).alias("y"))
+
+
+def _inside(points: DataFrame, edges: DataFrame, on: list[str], cell: float) -> DataFrame:
+    """``points`` (.., x, y, none on an edge) with ``inside``: by parity of the edges with the same ``on`` to their right,
+    met by the level and band of the edges' heights."""
+    named = cut_lineage(points.withColumn("point", F.monotonically_increasing_id()))
+    line = named.select(*on, "point", F.lit(0.0).alias("x0"), F.lit(0.0).alias("x1"), F.col("y").alias("y0"), F.col("y").alias("y1"), "x")
+    band = edges.where("ay <> by").select(*on, "ax", "ay", "bx", "by", F.lit(0.0).alias("x0"), F.lit(0.0).alias("x1"), "y0", "y1")
+    met = boxes_that_meet(line, band, cell, on)
+    hit = (F.col("b_ay") <= F.col("a_y0")) != (F.col("b_by") <= F.col("a_y0"))
+    hit &= F.col("a_x") < F.col("b_ax") + (F.col("a_y0") - F.col("b_ay")) * (F.col("b_bx") - F.col("b_ax")) / (F.col("b_by") - F.col("b_ay"))
+    odd = met.where(hit).groupBy("a_point").agg((F.count("*") % 2 == 1).alias("odd"))
+    out = named.join(odd, named["point"] == odd["a_point"], "left")
+    return out.select(*points.columns, F.coalesce("odd", F.lit(False)).alias("inside"))
 
 
 def covered_by(inner: DataFrame, outer: DataFrame, cell: float) -> DataFrame:
-    """(inner_id, outer_id) for simple polygons in full inside one of ``outer``, boundary allowed.
-
-    Candidates by boxes; a pair goes if a vertex of the inner lies outside or two edges cross properly.
+    """(inner_id, outer_id) of zones in full inside one of ``outer``, boundary allowed: concave ones, holes, several parts.
+
+    Candidates come from boxes. Edges of both sides of a candidate meet in grid cells of their own size. Where
+    an inner edge meets the outer boundary it is cut; pieces that don't run along it are inside or outside as
+    their middle is, and so is what follows up to the next contact, so edges without contact need no test,
+    but for one point of each ring. An outer zone covers an inner one if no inner piece is outside, no piece
+    of the outer boundary, which is cut by the inner edges likewise, is within the inner zone (holes and gaps),
+    and both zones lie on the same side where edges run along each other.
+    Zones must be valid: rings that don't cross, parts that meet in points at most. Null or empty polygons
+    are covered by nothing and cover nothing; ids that repeat are taken for one zone.
     """
+    whole = lambda z: z.where("size(polygons) > 0")
+    inner, outer = whole(inner), whole(outer)
     box = lambda z: bounding_box(z).select(F.col("zone_id").alias("id"), F.col("min_x").alias("x0"), F.col("min_y").alias("y0"), F.col("max_x").alias("x1"), F.col("max_y").alias("y1"))
-    inside = (F.col("a_x0") >= F.col("b_x0")) & (F.col("a_x1") <= F.col("b_x1")) & (F.col("a_y0") >= F.col("b_y0")) & (F.col("a_y1") <= F.col("b_y1"))
-    pairs = bbox_join(box(inner), box(outer), cell).where(inside).select(F.col("a_id").alias("inner_id"), F.col("b_id").alias("outer_id"))
-    edges = lambda z, p: segments(z).select(F.col("zone_id").alias(f"{p}_id"), *[F.col(c).alias(f"{p}_{c}") for c in ("x1", "y1", "x2", "y2")])
-    both = pairs.join(edges(inner, "inner"), "inner_id").join(edges(outer, "outer"), "outer_id")
-    side = lambda px, py, ax, ay, bx, by: F.signum((F.col(bx) - F.col(ax)) * (F.col(py) - F.col(ay)) - (F.col(by) - F.col(ay)) * (F.col(px) - F.col(ax)))
-    o, i = ("outer_x1", "outer_y1", "outer_x2", "outer_y2"), ("inner_x1", "inner_y1", "inner_x2", "inner_y2")
-    cross = (side(*i[:2], *o) * side(*i[2:], *o) < 0) & (side(*o[:2], *i) * side(*o[2:], *i) < 0)
-    y, x = F.col("inner_y1"), F.col("inner_x1")
-    on_line = (side(*i[:2], *o) == 0) & x.between(F.least("outer_x1", "outer_x2"), F.greatest("outer_x1", "outer_x2")) & y.between(F.least("outer_y1", "outer_y2"), F.greatest("outer_y1", "outer_y2"))
-    hit = ((F.col("outer_y1") <= y) != (F.col("outer_y2") <= y)) & (x < F.col("outer_x1") + (y - F.col("outer_y1")) * (F.col("outer_x2") - F.col("outer_x1")) / (F.col("outer_y2") - F.col("outer_y1")))
-    per_vertex = both.groupBy("inner_id", "outer_id", "inner_x1", "inner_y1").agg(F.count_if(hit).alias("n"), F.max(on_line).alias("edge"), F.max(cross).alias("cross"))
-    good = per_vertex.groupBy("inner_id", "outer_id").agg(F.every((F.col("n") % 2 == 1) | F.col("edge")).alias("inside"), F.max("cross").alias("cross"))
-    return good.where("inside and not cross").select("inner_id", "outer_id")
+    fits = (F.col("a_x0") >= F.col("b_x0")) & (F.col("a_x1") <= F.col("b_x1")) & (F.col("a_y0") >= F.col("b_y0")) & (F.col("a_y1") <= F.col("b_y1"))
+    pairs = cut_lineage(bbox_join(box(inner), box(outer), cell).where(fits).select(F.col("a_id").alias("inner_id"), F.col("b_id").alias("outer_id")))
+    both = ["inner_id", "outer_id"]
+    ring = F.struct("poly", "ring").alias("ring")
+    edges = lambda z, p: _boxed(segments(z, sided=True).select(F.col("zone_id").alias(p), ring, "left", "seq", "x1", "y1", "x2", "y2"))
+    mine = cut_lineage(edges(inner, "inner_id").join(pairs, "inner_id"))
+    theirs = cut_lineage(edges(outer, "outer_id").join(pairs, "outer_id", "left_semi"))
+    met = cut_lineage(_contacts(boxes_that_meet(mine, theirs, cell, ["outer_id"])).select("outer_id", F.col("a_inner_id").alias("inner_id"), *[F.col(f"{p}_{c}") for p in "ab" for c in ("ring", "left", "ax", "ay", "bx", "by")], "m.*"))
+    same_way = (F.col("a_bx") - F.col("a_ax")) * (F.col("b_bx") - F.col("b_ax")) + (F.col("a_by") - F.col("a_ay")) * (F.col("b_by") - F.col("b_ay")) > 0
+    beyond = met.where(F.col("along") & (F.col("t1") - F.col("t0") > PIECE) & (same_way != (F.col("a_left") == F.col("b_left")))).select(both)
+    ends = lambda p: [F.col(f"{p}_{c}").alias(c) for c in ("ring", "ax", "ay", "bx", "by")]
+    cut_inner = _pieces(met.select(*both, *ends("a"), "t0", "t1", "along"), [*both, "ring"])
+    cut_outer = _pieces(met.select(*both, *ends("b"), F.col("u0").alias("t0"), F.col("u1").alias("t1"), "along"), [*both, "ring"])
+    lone = lambda rings, seen: rings.join(seen, [*both, "ring"], "left_anti")
+    middle = [((F.col("ax") + F.col("bx")) / 2).alias("x"), ((F.col("ay") + F.col("by")) / 2).alias("y")]
+    first = lambda e, keys: e.groupBy(*keys).agg(F.min(F.struct("seq", "ax", "ay", "bx", "by")).alias("e")).select(*keys, "e.*").select(*keys, *middle)
+    free_inner = lone(first(mine, [*both, "ring"]), met.select(*both, F.col("a_ring").alias("ring")))
+    seen = _inside(cut_inner.unionByName(free_inner), theirs, ["outer_id"], cell)
+    outside = seen.where("not inside").select(both)
+    # rings of the outer zone that don't touch the inner one: holes or parts within it, by their boxes
+    rings = first(theirs, ["outer_id", "ring"]).select("outer_id", "ring", "x", "y", *[F.col(c).alias(d) for c, d in (("x", "x0"), ("y", "y0"), ("x", "x1"), ("y", "y1"))])
+    own = bounding_box(inner).select(F.col("zone_id").alias("inner_id"), F.col("min_x").alias("x0"), F.col("min_y").alias("y0"), F.col("max_x").alias("x1"), F.col("max_y").alias("y1")).join(pairs, "inner_id")
+    near = boxes_that_meet(own, rings, cell, ["outer_id"]).select(F.col("a_inner_id").alias("inner_id"), "outer_id", F.col("b_ring").alias("ring"), F.col("b_x").alias("x"), F.col("b_y").alias("y"))
+    free_outer = lone(near, met.select(*both, F.col("b_ring").alias("ring")))
+    held = _inside(cut_outer.unionByName(free_outer), mine.drop("outer_id").distinct(), ["inner_id"], cell).where("inside").select(both)
+    return pairs.join(outside.union(held).union(beyond).distinct(), both, "left_anti")
 
 
 def tiles_of_boxes(boxes: DataFrame, anchor: str = "upper_left", degrees: int = 10) -> DataFrame:

@@ -203,11 +203,50 @@ def _(get):
     return S.bbox_join(_bbox(get, "aoi_id in ('A0', 'A1')"), _bbox(get, "aoi_id in ('A2', 'A3')"), 16.0).select("a_id", "b_id")
 
 
+@query("j6_boxes_of_all_sizes", "SELECT a.box_id AS a_id, b.box_id AS b_id FROM boxes a JOIN (SELECT box_id, r0 - w AS r0, r1 + w AS r1, c0 - w AS c0, c1 + w AS c1 FROM (SELECT *, CASE WHEN r0 % 9 = 0 THEN 100000 WHEN r0 % 9 < 3 THEN 40 ELSE 0 END AS w FROM boxes) t) b ON a.c0 <= b.c1 AND b.c0 <= a.c1 AND a.r0 <= b.r1 AND b.r0 <= a.r1")
+def _(get):
+    wide = _bbox(get, "true").withColumn("w", F.expr("CASE WHEN y0 % 9 = 0 THEN 100000 WHEN y0 % 9 < 3 THEN 40 ELSE 0 END"))
+    wide = wide.selectExpr("id", "x0 - w AS x0", "y0 - w AS y0", "x1 + w AS x1", "y1 + w AS y1")
+    return S.bbox_join(_bbox(get, "true"), wide, 0.5).select("a_id", "b_id")
+
+
 @query("j7_covered_by", "SELECT a.box_id AS inner_id, b.box_id AS outer_id FROM boxes a JOIN boxes b ON a.c0 >= b.c0 AND a.c1 <= b.c1 AND a.r0 >= b.r0 AND a.r1 <= b.r1")
 def _(get):
     return S.covered_by(_zones(get), _zones(get), 16.0)
 
 
+#: Shapes of three times a box's size: a square notch, a hole, a notch with sloped sides, two parts with a gap.
+_SHAPES = """SELECT box_id, cast(substr(box_id, 2) AS int) % 4 AS shape, cast(c0 AS double) AS x0, cast(r0 AS double) AS y0,
+       cast(c1 - c0 AS double) AS w, cast(r1 - r0 AS double) AS h FROM boxes"""
+_SMALL = """SELECT concat('P', cast(p_partkey AS int)) AS box_id, cast(p_partkey * 53 % 240 AS double) AS x0, cast(p_partkey * 37 % 230 AS double) AS y0,
+       cast(p_partkey * 53 % 240 + 1 + p_partkey % 3 AS double) AS x1, cast(p_partkey * 37 % 230 + 1 + p_partkey % 2 AS double) AS y1 FROM part"""
+
+
+def _shaped(get) -> DataFrame:
+    corner = lambda i, j: F.struct((F.col("x0") + i * F.col("w")).alias("x"), (F.col("y0") + j * F.col("h")).alias("y"))
+    ring = lambda *at: F.array(*[corner(i, j) for i, j in at])
+    full = [(0, 0), (3, 0), (3, 3), (0, 3)]
+    notch = F.array(F.array(ring(*full[:3], (2, 3), (2, 1), (1, 1), (1, 3), (0, 3))))
+    hole = F.array(F.array(ring(*full), ring((1, 1), (1, 2), (2, 2), (2, 1))))
+    sloped = F.array(F.array(ring((0, 0), (3, 0), (3, 3), (1.5, 1), (0, 3))))
+    parts = F.array(F.array(ring((0, 0), (1, 0), (1, 3), (0, 3))), F.array(ring((2, 0), (3, 0), (3, 3), (2, 3))))
+    own = get("boxes").selectExpr("box_id", "cast(substr(box_id, 2) AS int) % 4 AS shape", "cast(c0 AS double) AS x0", "cast(r0 AS double) AS y0", "cast(c1 - c0 AS double) AS w", "cast(r1 - r0 AS double) AS h")
+    chosen = F.when(F.col("shape") == 0, notch).when(F.col("shape") == 1, hole).when(F.col("shape") == 2, sloped).otherwise(parts)
+    return own.select(F.col("box_id").alias("zone_id"), chosen.alias("polygons"))
+
+
+@query("j7_concave_zones", f"""
+SELECT a.box_id AS inner_id, b.box_id AS outer_id FROM ({_SMALL}) a JOIN ({_SHAPES}) b
+  ON a.x0 >= b.x0 AND a.x1 <= b.x0 + 3 * w AND a.y0 >= b.y0 AND a.y1 <= b.y0 + 3 * h
+WHERE CASE shape WHEN 0 THEN a.x1 <= b.x0 + w OR a.x0 >= b.x0 + 2 * w OR a.y1 <= b.y0 + h
+                 WHEN 1 THEN a.x1 <= b.x0 + w OR a.x0 >= b.x0 + 2 * w OR a.y1 <= b.y0 + h OR a.y0 >= b.y0 + 2 * h
+                 WHEN 2 THEN a.y1 <= b.y0 + h OR greatest(0, a.x0 - b.x0 - 1.5 * w, b.x0 + 1.5 * w - a.x1) * 2 * h >= 1.5 * w * (a.y1 - b.y0 - h)
+                 ELSE a.x1 <= b.x0 + w OR a.x0 >= b.x0 + 2 * w END""")
+def _(get):
+    inner = S.boxes_to_zones(get(_SMALL), "box_id", *map(F.col, ("x0", "y0", "x1", "y1")))
+    return S.covered_by(inner, _shaped(get), 4.0)
+
+
 _TILE = "concat('N', lpad(cast(cast(floor(b.r0 / 10) + y + 1 AS int) * 10 AS string), 2, '0'), '_E', lpad(cast(cast(floor(b.c0 / 10) + x AS int) * 10 AS string), 3, '0'))"
 
 
@@ -404,7 +443,7 @@ def _computed() -> Column:
     return F.when(F.col("pos") % 7 != 0, F.col("land_ha") * 0.5)
 
 
-@query("a11_crosscheck_rows", f"SELECT parcel_id, round({_PCT}, 2) AS diff_pct, CASE WHEN {_PCT} IS NULL THEN 'not_comparable' ELSE 'comparable' END AS outcome, CASE WHEN forest_ha IS NULL THEN 'missing_reference_forest_area' WHEN {_NONE} THEN 'missing_computed_forest_area' END AS reason FROM {_F} f")
+@query("a11_crosscheck_rows", f"SELECT parcel_id, round(round({_PCT}, 6), 2) AS diff_pct, CASE WHEN {_PCT} IS NULL THEN 'not_comparable' ELSE 'comparable' END AS outcome, CASE WHEN forest_ha IS NULL THEN 'missing_reference_forest_area' WHEN {_NONE} THEN 'missing_computed_forest_area' END AS reason FROM {_F} f")
 def _(get):
     return P.crosscheck_rows(_forest(get), _computed()).select("parcel_id", F.round("diff_pct", 2).alias("diff_pct"), "outcome", "reason")
 

@@ -194,3 +194,78 @@ def test_declared_artifacts(spark):
     pages = spark.createDataFrame([(1, html), (2, "<h2>Artifacts</h2><ul></ul>"), (3, None), (4, "<h2>Artifacts</h2><ul><a href=x>x</a><a href='y'>y</a></ul>")], "page_id int, html string")
     got = sorted((r.page_id, r.pos, r.href, r.generated_utc) for r in E.declared_artifacts(pages).collect())
     assert got == [(1, 0, "a.json", "2026-02-20T00:00:00Z"), (1, 1, "b/c.csv", "2026-02-20T00:00:00Z"), (4, 0, "x", None), (4, 1, "y", None)]
+
+
+def traced(cells):
+    """Polygons (outer ring first) of a set of unit cells, the cells on the right hand, turning right in corners."""
+    ahead = {}
+    for x, y in cells:
+        for (ax, ay), (bx, by), beside in (((x, y), (x + 1, y), (x, y - 1)), ((x + 1, y), (x + 1, y + 1), (x + 1, y)), ((x + 1, y + 1), (x, y + 1), (x, y + 1)), ((x, y + 1), (x, y), (x - 1, y))):
+            if beside not in cells:
+                ahead.setdefault((ax, ay), []).append((bx, by))
+    rings = []
+    while ahead:
+        at = start = min(ahead)
+        ring, step = [], None
+        while True:
+            ways = ahead[at]
+            right = (at[0] - step[1], at[1] + step[0]) if step else None
+            to = right if right in ways else ways[0]
+            ways.remove(to)
+            if not ways:
+                del ahead[at]
+            new = (to[0] - at[0], to[1] - at[1])
+            if new != step:
+                ring.append(at)
+            at, step = to, new
+            if at == start:
+                break
+        rings.append(ring)
+    area = lambda r: sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:] + r[:1]))
+    outer, holes = [r for r in rings if area(r) > 0], [r for r in rings if area(r) < 0]
+    polygons = [[r] for r in outer]
+    for h in holes:
+        x, y = min(h)  # the least corner has a hole's cell below right of it and a cell of the zone to its left
+        least = min((p for p in polygons if inside(x - 0.5, y + 0.5, [p[0]])), key=lambda p: area(p[0]))
+        least.append(h)
+    return polygons
+
+
+def test_covered_by_equals_brute_force_on_cells(spark):
+    """Random sets of cells, concave, with holes, in parts, sharing edges and corners, sheared and of two scales."""
+    rng = random.Random(12)
+    kinds = f"zone_id long, polygons {S.POLYGONS}"
+    grown = lambda n, w: {(rng.randrange(w), rng.randrange(w)) for _ in range(n)}
+    for shear, scale in ((0.0, 1.0), (1 / 3, 0.1)):
+        outer = [grown(n, 6) for n in (10, 20, 40, 60, 100) for _ in range(5)]
+        inner = [{(x, y) for x, y in rng.choice(outer) if rng.random() < rng.choice([0.1, 0.9, 1])} | (grown(1, 6) if rng.random() < 0.4 else set()) for _ in range(50)]
+        inner = [c for c in inner if c]
+        place = lambda cells: [[[(scale * (x + shear * y), scale * (y - shear * x)) for x, y in r] for r in p] for p in traced(cells)]  # noqa: E731, B023
+        a = spark.createDataFrame([(i, place(c)) for i, c in enumerate(inner)], kinds)
+        b = spark.createDataFrame([(i, place(c)) for i, c in enumerate(outer)], kinds)
+        got = {(r.inner_id, r.outer_id) for r in S.covered_by(a, b, 0.5).collect()}
+        assert got == {(i, j) for i, x in enumerate(inner) for j, y in enumerate(outer) if x <= y}
+
+
+def test_covered_by_without_polygons(spark):
+    kinds = f"zone_id string, polygons {S.POLYGONS}"
+    some = polygon(spark, [(0, 0), (4, 0), (4, 4)])
+    none = spark.createDataFrame([("n", None), ("e", [])], kinds)
+    assert S.covered_by(none, some, 1.0).count() == S.covered_by(some, none, 1.0).count() == S.covered_by(none.where("false"), some, 1.0).count() == 0
+
+
+def test_boxes_of_all_sizes_meet(spark):
+    rng = random.Random(3)
+    boxes = []
+    for i in range(400):
+        size = 10 ** rng.uniform(-6, 3) if i else 4e4
+        x, y = (rng.uniform(-1, 1) * 10 ** rng.uniform(-3, 3) for _ in "xy")
+        boxes.append((i, x, y, x + size * rng.choice([0, 1, 0.01]), y + size))
+    boxes += [(400, 0.0, 0.0, 0.0, 0.0), (401, 0.0, 0.0, 1.0, 0.0), (402, -4e4, -4e4, 4e4, 4e4)]
+    df = spark.createDataFrame(boxes, "id int, x0 double, y0 double, x1 double, y1 double")
+    rows = S.bbox_join(df, df, 1e-3).select("a_id", "b_id").collect()
+    meet = lambda a, b: a[1] <= b[3] and b[1] <= a[3] and a[2] <= b[4] and b[2] <= a[4]
+    assert sorted((r.a_id, r.b_id) for r in rows) == sorted((a[0], b[0]) for a in boxes for b in boxes if meet(a, b))
+    cells = df.withColumn("level", S._level(1e-3)).withColumn("s", 1e-3 * F.pow(F.lit(4.0), F.col("level")))
+    own = cells.selectExpr("(floor(x1 / s) - floor(x0 / s) + 1) * (floor(y1 / s) - floor(y0 / s) + 1) AS n").agg(F.max("n")).first()[0]
+    assert own <= 4
