@@ -59,7 +59,8 @@ def with_forest_area(df: DataFrame) -> DataFrame:
     text = lambda v: F.lit(v).cast("string")
     rung = lambda area, source, method: F.struct(area.alias("area"), text(None).alias("key"), text(source).alias("source"), text(method).alias("method"))
     shape = F.when(F.col("geodesic_area_ha").isNotNull(), rung(F.col("geodesic_area_ha"), "geometry", "geodesic_wgs84_pyproj"))
-    df = df.withColumn("f", F.coalesce(*rungs, shape, rung(F.lit(None).cast("double"), "missing", "missing")))
+    found = F.coalesce(*rungs, shape, rung(F.lit(None).cast("double"), "missing", "missing"))
+    df = df.select("*", F.explode(F.array(found)).alias("f"))  # one row; keeps the ladder from being copied into each of its uses
     over = F.coalesce(F.col("f.area") > F.col("land_ha"), F.lit(False))
     capped = F.round(F.when(over, F.col("land_ha")).otherwise(F.col("f.area")), 6)
     method = F.when(over, "capped_to_land_area").otherwise(F.col("f.method"))

@@ -6,6 +6,7 @@ import math
 import tempfile
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -37,7 +38,7 @@ def segments(zones: DataFrame, sided: bool = False) -> DataFrame:
     whether the zone lies on the left of it, whichever way round the ring goes."""
     rings = zones.select("zone_id", F.posexplode("polygons").alias("poly", "rings")).select("zone_id", "poly", F.posexplode("rings").alias("ring", "v"))
     n = F.size("v")
-    edges = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(i.alias("seq"), F.col("v")[i]["x"].alias("x1"), F.col("v")[i]["y"].alias("y1"), F.col("v")[F.pmod(i + 1, n)]["x"].alias("x2"), F.col("v")[F.pmod(i + 1, n)]["y"].alias("y2")))
+    edges = F.expr("transform(sequence(0, size(v) - 1), i -> struct(i AS seq, v[i].x AS x1, v[i].y AS y1, v[pmod(i + 1, size(v))].x AS x2, v[pmod(i + 1, size(v))].y AS y2))")
     kept = ["zone_id", "poly", "ring"]
     if sided:
         away = lambda i, c: F.col("v")[F.pmod(i, n)][c] - F.col("v")[0][c]
@@ -95,7 +96,7 @@ def zone_spans(zones: DataFrame) -> DataFrame:
     rows = segments(zones).where(first <= last).withColumn("prow", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
     x = F.col("x1") + (F.col("prow") + 0.5 - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
     crossed = rows.select("zone_id", "prow", x.alias("x")).groupBy("zone_id", "prow").agg(F.array_sort(F.collect_list("x")).alias("xs"))
-    pair = F.transform(F.sequence(F.lit(0), (F.size("xs") / 2).cast("int") - 1), lambda i: F.struct(F.ceil(F.col("xs")[i * 2] - 0.5).cast("int").alias("c0"), (F.ceil(F.col("xs")[i * 2 + 1] - 0.5) - 1).cast("int").alias("c1")))
+    pair = F.expr("transform(sequence(0, cast(size(xs) / 2 AS int) - 1), i -> struct(cast(ceil(xs[i * 2] - 0.5) AS int) AS c0, cast(ceil(xs[i * 2 + 1] - 0.5) AS int) - 1 AS c1))")
     return crossed.where("size(xs) > 1").select("zone_id", "prow", F.explode(pair).alias("s")).select("zone_id", "prow", "s.c0", "s.c1").where("c0 <= c1")
 
 
@@ -120,23 +121,44 @@ def touched_spans(zones: DataFrame) -> DataFrame:
 BROADCAST_BYTES = 24 << 20
 
 
+def tiles_reached(zones: DataFrame, tiles: DataFrame) -> DataFrame:
+    """Each zone with each tile that its box reaches. Tiles are some hundreds to a globe, so their boxes are broadcast."""
+    corners = "transform(flatten(flatten(transform(polygons, p -> slice(p, 1, 1)))), v -> v.{})"
+    box = [f"array_{f}({corners.format(c)}) AS {f}_{c}" for c in "xy" for f in ("min", "max")]
+    boxed = zones.where("size(polygons) > 0").selectExpr("*", *box)
+    reach = (F.col("min_x") <= F.col("x0") + F.col("width") * F.col("step")) & (F.col("max_x") >= F.col("x0"))
+    reach &= (F.col("min_y") <= F.col("y0")) & (F.col("max_y") >= F.col("y0") - F.col("height") * F.col("step"))
+    return boxed.join(F.broadcast(tiles), reach)
+
+
+def pixels_near(pixels: DataFrame, zones: DataFrame, tiles: DataFrame) -> DataFrame:
+    """Pixels of the tiles that zones reach; where tiles are partitions, only theirs are read."""
+    return pixels.join(F.broadcast(tiles_reached(zones, tiles).select("tile_id").distinct()), "tile_id", "left_semi")
+
+
 def tile_spans(zones: DataFrame, tiles: DataFrame, rule: str = "center") -> DataFrame:
     """zone_id, tile_id, prow, c0, c1: the pixels of each zone in each tile that it reaches.
 
     ``zones`` are in the tiles' coordinates; a tile (tile_id, x0, y0, step, width, height) has its upper left
-    corner at (x0, y0) and rows that run down. Tiles are some hundreds to a globe, so their boxes are broadcast.
+    corner at (x0, y0) and rows that run down.
     """
-    box = bounding_box(zones)
-    reach = (F.col("min_x") <= F.col("x0") + F.col("width") * F.col("step")) & (F.col("max_x") >= F.col("x0"))
-    reach &= (F.col("min_y") <= F.col("y0")) & (F.col("max_y") >= F.col("y0") - F.col("height") * F.col("step"))
-    met = zones.join(box, "zone_id").join(F.broadcast(tiles), reach)
-    own = lambda v: F.struct(((v["x"] - F.col("x0")) / F.col("step")).alias("x"), ((F.col("y0") - v["y"]) / F.col("step")).alias("y"))
-    moved = F.transform("polygons", lambda p: F.transform(p, lambda r: F.transform(r, own)))
+    met = tiles_reached(zones, tiles)
+    moved = F.expr("transform(polygons, p -> transform(p, r -> transform(r, v -> struct((v.x - x0) / step AS x, (y0 - v.y) / step AS y))))")
     inner = met.select(F.struct("zone_id", "tile_id", "width", "height").alias("zone_id"), moved.alias("polygons"))
     spans = zone_spans(inner) if rule == "center" else touched_spans(inner)
     out = spans.where((F.col("prow") >= 0) & (F.col("prow") < F.col("zone_id.height")))
     out = out.select("zone_id.zone_id", "zone_id.tile_id", "prow", F.greatest("c0", F.lit(0)).alias("c0"), F.least("c1", F.col("zone_id.width") - 1).cast("int").alias("c1"))
-    return out.where("c0 <= c1")
+    return out.where("c0 <= c1") if rule == "center" else merged_spans(out.where("c0 <= c1"))
+
+
+def merged_spans(spans: DataFrame) -> DataFrame:
+    """The union of the spans of each zone, tile and row as spans that neither overlap nor touch."""
+    row = ["zone_id", "tile_id", "prow"]
+    ahead = W.partitionBy(*row).orderBy("c0", "c1")
+    reach = F.max("c1").over(ahead.rowsBetween(W.unboundedPreceding, -1))
+    marked = spans.withColumn("new", F.when(reach.isNull() | (F.col("c0") > reach + 1), 1).otherwise(0))
+    numbered = marked.withColumn("k", F.sum("new").over(ahead.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    return numbered.groupBy(*row, "k").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1")).drop("k")
 
 
 def zone_pixels(zones: DataFrame, pixels: DataFrame, tiles: DataFrame, rule: str = "center") -> DataFrame:
@@ -144,16 +166,16 @@ def zone_pixels(zones: DataFrame, pixels: DataFrame, tiles: DataFrame, rule: str
 
     Only the partitions of tiles that a zone reaches are read, and of these only rows between the first and the
     last reached one: the tile ids, bounded by the tiles, and two numbers come from the spans first. Spans of a
-    checked size are broadcast, others meet the pixels in a shuffle.
+    checked size are broadcast, others meet the pixels in a shuffle. A zone's spans don't overlap, so no pixel
+    comes twice.
     """
-    spans = tile_spans(zones, tiles, rule)
+    spans = cut_lineage(tile_spans(zones, tiles, rule))
     found = spans.groupBy("tile_id").agg(F.min("prow").alias("low"), F.max("prow").alias("high"), F.count("*").alias("n")).collect()
     if not found:
         return pixels.where(F.lit(False)).withColumn("zone_id", F.lit(None).cast(zones.schema["zone_id"].dataType))
     needed = F.col("tile_id").isin([r["tile_id"] for r in found]) & F.col("prow").between(min(r["low"] for r in found), max(r["high"] for r in found))
     side = F.broadcast(spans) if sum(r["n"] for r in found) * 64 <= BROADCAST_BYTES else spans
-    joined = pixels.where(needed).join(side, ["tile_id", "prow"]).where(F.col("pcol").between(F.col("c0"), F.col("c1"))).drop("c0", "c1")
-    return joined if rule == "center" else joined.dropDuplicates(["zone_id", "tile_id", "prow", "pcol"])
+    return pixels.where(needed).join(side, ["tile_id", "prow"]).where(F.col("pcol").between(F.col("c0"), F.col("c1"))).drop("c0", "c1")
 
 
 def zone_intersection(a: DataFrame, b: DataFrame) -> DataFrame:

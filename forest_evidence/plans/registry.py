@@ -270,11 +270,40 @@ def _(get):
 
 @query("a5_parcel_stats", f"SELECT b.box_id AS zone_id, round(coalesce(count(p.prow) FILTER (WHERE {OK}), 0) * {PIXEL_HA}, 4) AS land_ha, round(coalesce(count(p.prow) FILTER (WHERE {OK} AND {FOREST} AND (lossyear = 0 OR lossyear > 18)), 0) * {PIXEL_HA}, 4) AS forest_ha, round(coalesce(count(p.prow) FILTER (WHERE {OK} AND {FOREST} AND lossyear > 12), 0) * {PIXEL_HA}, 4) AS loss_ha FROM boxes b LEFT JOIN {_PLACED} p ON {_IN} GROUP BY 1")
 def _(get):
-    zoned = S.zone_pixels(_zones(get), get("pixels").drop("zone_id"), get("tiles"))
-    out = Z.parcel_stats(zoned, _zones(get).select("zone_id"), T, CUTOFF, END, F.lit(PIXEL_HA * 10000), ["zone_id"])
+    zones = _zones(get)
+    spans = S.tile_spans(zones, get("tiles"))
+    out = Z.parcel_stats(S.pixels_near(get("pixels").drop("zone_id"), zones, get("tiles")), zones.select("zone_id"), T, CUTOFF, END, F.lit(PIXEL_HA * 10000), ["zone_id"], spans)
     return out.select("zone_id", r4("land_ha"), r4("forest_ha"), r4("loss_ha"))
 
 
+_SLOPED = "p.x > b.c0 AND p.y > b.r0 AND (p.x - b.c0) / (b.c1 - b.c0) + (p.y - b.r0) / (b.r1 + 0.3 - b.r0) < 1"
+_SPAN_SUMS = ", ".join(f"round(count(*) FILTER (WHERE {OK} AND {w}) * {PIXEL_HA}, 4) AS {k}_ha" for k, w in _CASES.items())
+
+
+def _sloped(get) -> DataFrame:
+    corner = lambda x, y: F.struct(F.col(x).cast("double").alias("x"), (F.col(y) + F.lit(0.3 if y == "r1" else 0.0)).cast("double").alias("y"))
+    ring = F.array(corner("c0", "r0"), corner("c1", "r0"), corner("c0", "r1"))
+    return get("boxes").select(F.col("box_id").alias("zone_id"), F.array(F.array(ring)).alias("polygons"))
+
+
+@query("a2_sloped_zones", f"SELECT b.box_id AS zone_id, {_SPAN_SUMS} FROM boxes b JOIN {_PLACED} p ON {_SLOPED} GROUP BY 1")
+def _(get):
+    spans = S.tile_spans(_sloped(get), get("tiles"))
+    m = Z.forest_metrics(get("pixels").drop("zone_id"), T, CUTOFF, END, F.lit(PIXEL_HA * 10000), spans=spans)
+    reached = spans.join(get("pixels").select("tile_id", "prow", "pcol"), ["tile_id", "prow"]).where("pcol between c0 and c1").select("zone_id").distinct()
+    return m.join(reached, "zone_id").select("zone_id", *[r4(f"{k}_ha") for k in _CASES])
+
+
+@query("a1_touched_zones", f"SELECT b.box_id AS zone_id, round(sum(CASE WHEN {FOREST} THEN {AREA} ELSE 0 END) / 10000, 2) AS reference_ha FROM boxes b JOIN {_PLACED} p ON p.prow BETWEEN p.top - b.r1 - 1 AND p.top - b.r0 - 1 AND p.pcol BETWEEN b.c0 - p.side AND b.c1 - p.side WHERE {OK} GROUP BY 1")
+def _(get):
+    half = lambda c, d: F.col(c) + F.lit(d)
+    zones = S.boxes_to_zones(get("boxes"), "box_id", half("c0", 0.75), half("r0", 0.75), half("c1", 0.25), half("r1", 0.25))
+    masks = {"valid": F.lit(True), "reference": C.reference_forest(T)}
+    spans = S.tile_spans(zones, get("tiles"), "touched")
+    out = Z.zonal_area(get("pixels").drop("zone_id"), masks, ["zone_id"], Z.row_area(Y0, STEP), spans)
+    return out.where("valid_ha > 0").select("zone_id", F.round("reference_ha", 2).alias("reference_ha"))
+
+
 @query("a17_bounding_box", "SELECT box_id AS zone_id, cast(c0 AS double) AS min_x, cast(r0 AS double) AS min_y, cast(c1 AS double) AS max_x, cast(r1 AS double) AS max_y FROM boxes")
 def _(get):
     return S.bounding_box(_zones(get))

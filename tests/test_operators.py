@@ -269,3 +269,35 @@ def test_boxes_of_all_sizes_meet(spark):
     cells = df.withColumn("level", S._level(1e-3)).withColumn("s", 1e-3 * F.pow(F.lit(4.0), F.col("level")))
     own = cells.selectExpr("(floor(x1 / s) - floor(x0 / s) + 1) * (floor(y1 / s) - floor(y0 / s) + 1) AS n").agg(F.max("n")).first()[0]
     assert own <= 4
+
+
+def test_span_counts_equal_counts_of_zoned_pixels(spark):
+    """Rows of several blocks of 64 columns, with gaps, invalid pixels, long spans, ends on block edges, empty zones."""
+    rng = random.Random(6)
+    pixels = [(f"t{t}", r, c, rng.randrange(100), rng.randrange(0, 24), int(rng.random() < 0.9), 1) for t in range(2) for r in range(3) for c in sorted(rng.sample(range(400), 250)) if not (128 <= c < 192 and r == 1)]
+    px = spark.createDataFrame(pixels, "tile_id string, prow int, pcol int, treecover int, lossyear int, tree_valid int, loss_valid int")
+    spans = [(z, f"t{rng.randrange(2)}", rng.randrange(4), c0, c0 + rng.choice([0, 1, 63, 64, 200])) for z in range(30) for c0 in (rng.choice([0, 1, 63, 64, 65, 127, 128, 190, 191, 192, 320, 399]),)]
+    spans = [s for s in spans if s[4] < 600]
+    own = spark.createDataFrame(spans, "zone_id int, tile_id string, prow int, c0 int, c1 int")
+    masks = {"all_": F.lit(True), "loss": C.loss_total(30)}
+    got = {(r.zone_id, r.tile_id, r.prow): (r.all_, r.loss) for r in Z.span_counts(own, px, masks).collect()}
+    want = {}
+    for z, t, row, c0, c1 in spans:
+        inside_ = [p for p in pixels if p[0] == t and p[1] == row and c0 <= p[2] <= c1 and p[5]]
+        a, b = want.get((z, t, row), (0, 0))
+        want[z, t, row] = (a + len(inside_), b + sum(p[3] >= 30 and p[4] > 0 for p in inside_))
+    assert got == want
+    assert Z.span_counts(own.where("false"), px, masks).count() == 0
+    assert {tuple(r)[3:] for r in Z.span_counts(own, px.where("false"), masks).collect()} == {(0, 0)}
+
+
+def test_touched_spans_are_merged(spark):
+    zones = polygon(spark, [(1.2, 1.1), (9.4, 1.3), (9.2, 8.8), (5, 3.2), (1.5, 8.7)])
+    tiles = spark.createDataFrame([("t", 0.0, 10.0, 1.0, 12, 10)], "tile_id string, x0 double, y0 double, step double, width int, height int")
+    spans = S.tile_spans(zones, tiles, "touched").collect()
+    cells = [(r.prow, c) for r in spans for c in range(r.c0, r.c1 + 1)]
+    assert len(cells) == len(set(cells))
+    pixels = spark.createDataFrame([("t", r, c) for r in range(10) for c in range(12)], "tile_id string, prow int, pcol int")
+    met = S.zone_pixels(zones, pixels, tiles, "touched")
+    assert sorted((r.prow, r.pcol) for r in met.collect()) == sorted(cells)
+    assert "deduplicate" not in met._jdf.queryExecution().toString().lower()
