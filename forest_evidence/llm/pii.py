@@ -6,7 +6,7 @@ draws the surrogate: each digit becomes a digit, each letter a letter of its scr
 gender and script; card numbers keep their check digit valid, account numbers theirs.
 All surrogates of the corpus are checked: none may equal another's or a real entity of its type; those
 that do are drawn again, names and addresses with a syllable more. Each mention is then written in the form
-it had; a family name that a document mentions is replaced where it stands alone too.
+it had; names that a document mentions are replaced where they stand alone too.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ from .common import BROADCAST_BYTES, free_name, staged
 
 #: Session setting with the secret key of the surrogates, and what stands for it in tests.
 KEY_SETTING, TEST_KEY = "spark.forest_evidence.surrogateKey", "not a secret"
-#: Draws after which what is left is looked through for forms that can't have a surrogate.
-DRAWS = 12
+#: Draws at which a surrogate keeps its form's length; after them numbers get a digit more at each draw. Short
+#: addresses of the sixth version, which have few spellings, are drawn as whole ones from draw WHOLE on.
+DRAWS, WHOLE = 12, 2
 
 # Forms of address by gender, and given names that mark a name without one.
 MALE_TITLES = "Mr Mister Herr Monsieur Señor Sr г-н".split()
@@ -36,6 +37,9 @@ CYRILLIC_SYLLABLES = "ба бе бо да де до фа фе фи га ге к
 _WORD = r"\p{Lu}(?:[\p{L}-]|['’](?=\p{L})(?![sS](?![\p{L}\p{N}])))+"
 _ALONE = rf"(?<![\p{{L}}\p{{N}}]){_WORD}"
 _TITLES = "|".join([*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES])
+#: In capitals, a title needs its full stop ("MISS" is a word of shouted prose), a given name a word in capitals behind it.
+_CAPITAL_TITLES = "|".join(t.upper() for t in [*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES])
+_GIVEN = "|".join([*MALE_NAMES, *FEMALE_NAMES]) + "|(?:" + "|".join(n.upper() for n in [*MALE_NAMES, *FEMALE_NAMES]) + r")(?= \p{Lu}{2})"
 #: type -> pattern; the first that matches at a place counts.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
@@ -47,11 +51,11 @@ PATTERNS = {
     "card": r"(?<![\p{L}\p{N}+.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\p{L}\p{N}]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\d.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{3})[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.])\+\d{1,3}(?:[ .-]?\d{2,4}){3,4}(?!\d)",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLES})\.?(?: {_WORD}){{1,2}}|(?:{'|'.join([*MALE_NAMES, *FEMALE_NAMES])}) {_WORD})",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?:(?:(?:{_TITLES})\.?|(?:{_CAPITAL_TITLES})\.)(?: {_WORD}){{1,2}}|(?:{_GIVEN}) {_WORD})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Texts without a match of this can't hold an entity.
-HINT = rf"[@\d:]|{_TITLES}|{'|'.join([*MALE_NAMES, *FEMALE_NAMES])}"
+HINT = rf"[@\d:]|{_TITLES}|(?:{_CAPITAL_TITLES})\.|{_GIVEN}"
 
 
 def _type(m: Column) -> Column:
@@ -66,14 +70,15 @@ def _parts(m: Column) -> Column:
     title; a given name's gender is that of the listed name, else its title's."""
     kind = _type(m)
     words = F.split(m, " ")
-    first = F.regexp_replace(words[0], r"\.$", "")
+    plain = lambda w: F.when((F.upper(w) == w) & (F.length(w) > 1), F.initcap(w)).otherwise(w)
+    first = plain(F.regexp_replace(words[0], r"\.$", ""))
     of_title = F.when(first.isin(*MALE_TITLES), "male").when(first.isin(*FEMALE_TITLES), "female")
     title = first.isin(*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES)
     size = F.size(words)
 
     def one(w: Column, i: Column) -> Column:
         role = F.when((i == 0) & title, "title").when(i == size - 1, "family").otherwise("given")
-        gender = F.when(w.isin(*MALE_NAMES), "male").when(w.isin(*FEMALE_NAMES), "female").otherwise(of_title)
+        gender = F.when(plain(w).isin(*MALE_NAMES), "male").when(plain(w).isin(*FEMALE_NAMES), "female").otherwise(of_title)
         return F.struct(role.alias("kind"), F.lower(w).alias("form"), F.when(role == "given", gender).alias("gender"))
 
     digits = F.regexp_replace(m, r"\D", "")
@@ -93,8 +98,8 @@ def _draws(key: str, kind: Column, form: Column, draw: Column) -> Column:
 
 
 def _number(stream: Column, i: Column) -> Column:
-    """A number below 65536 for place i (from 0) of a stream; a place past its end begins again."""
-    return F.conv(F.substr(stream, F.pmod(i * 4, F.lit(252)) + 1, F.lit(4)), 16, 10).cast("int")
+    """A number below 65536 for place i (from 0) of a stream; each time round it is read from one digit further on."""
+    return F.conv(F.substr(stream, F.pmod(i * 4 + F.floor(i / 63).cast("int"), F.lit(252)) + 1, F.lit(4)), 16, 10).cast("int")
 
 
 def _like(form: Column, stream: Column, kept: Column) -> Column:
@@ -140,13 +145,16 @@ def _kept(kind: Column, form: Column) -> Column:
 
 def surrogate(key: str, kind: Column, form: Column, gender: Column, draw: Column) -> Column:
     """The surrogate of an identity at a draw, in canonical form. Each draw has a syllable more in names and
-    addresses, so that there are more spellings than identities from some draw on."""
+    addresses, numbers have a digit more at each draw from DRAWS on, and addresses of the sixth version have
+    all their groups from WHOLE on, so that there are more spellings than identities from some draw on."""
     stream = _draws(key, kind, form, draw)
     octets = F.array_join(F.array(*[(_number(stream, F.lit(i)) % 254 + 1).cast("string") for i in range(4)]), ".")
     n = F.length(form)
     blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / 128).cast("int")), lambda i: F.sha2(F.concat_ws("\x1f", stream, i.cast("string")), 512))
     hexes = F.when(n > 0, F.substr(F.array_join(blocks, ""), F.lit(1), n))
     ip6 = F.array_join(F.transform(_characters(form), lambda c, i: F.when(c == ":", c).otherwise(F.substr(stream, F.pmod(i, F.lit(256)) + 1, F.lit(1)))), "")
+    groups = [F.concat(F.lit("fd"), F.substr(stream, F.lit(1), F.lit(2))), *[F.substr(stream, F.lit(4 * k), F.lit(4)) for k in range(1, 8)]]
+    ip6 = F.when(draw < WHOLE, ip6).otherwise(F.concat_ws(":", *groups))
     cyrillic = form.rlike(r"\p{IsCyrillic}")
 
     def syllables(table: list[str], least: int) -> Column:
@@ -157,8 +165,10 @@ def surrogate(key: str, kind: Column, form: Column, gender: Column, draw: Column
     name = F.when(cyrillic, syllables(CYRILLIC_SYLLABLES, 4)).otherwise(syllables(LATIN_SYLLABLES, 4))
     name = F.concat(name, F.when(gender == "female", woman).when(gender == "male", man).otherwise(""))
     mail = F.concat(_like(F.substring_index(form, "@", 1), stream, F.lit(0)), F.lit("@"), syllables(LATIN_SYLLABLES, 3), F.lit(".example."), F.substring_index(form, ".", -1))
+    more = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), draw - DRAWS + 1)), lambda i: (_number(stream, n + i) % 10).cast("string"))
     like = _like(form, stream, _kept(kind, form))
-    body = F.substr(like, F.lit(1), n - 1)
+    like = F.when((draw >= DRAWS) & kind.isin("card", "phone", "ssn", "iban", "token"), F.concat(like, F.array_join(more, ""))).otherwise(like)
+    body = F.substr(like, F.lit(1), F.length(like) - 1)
     account = F.substr(like, F.lit(5))
     country = F.substr(form, F.lit(1), F.lit(2))
     return (
@@ -168,29 +178,17 @@ def surrogate(key: str, kind: Column, form: Column, gender: Column, draw: Column
     )
 
 
-def _crowded(real: DataFrame) -> DataFrame:
-    """Kinds and kept digits of forms of digits, of which the corpus has more than half of all that there are:
-    as many others don't exist."""
-    n = F.length("form")
-    given = _kept(F.col("kind"), F.col("form")) + (F.col("kind") == "card").cast("int")  # a card's last digit follows from the others
-    digits = real.where(F.col("kind").isin("card", "phone", "ssn")).select("kind", n.alias("n"), _kept(F.col("kind"), F.col("form")).alias("kept"), given.alias("given"), "form")
-    sized = digits.groupBy("kind", "n", F.substring("form", F.lit(1), F.col("kept")).alias("begin"), "given").count()
-    return sized.where(2 * F.col("count") > F.pow(F.lit(10.0), F.greatest(F.lit(0), F.col("n") - F.col("given"))))
-
-
 def assigned(found: DataFrame, key: str) -> DataFrame:
     """kind, form, surrogate for the distinct identities in ``found(kind, form, gender)``. A name that is given
     two genders has the first by name.
 
     No two identities of a kind share a surrogate and none is a real form of its kind. In a clash the
-    smallest form keeps the surrogate and the others draw again, until all have one. Raises only if none
-    is possible: when more than half of all numbers of a length (and of the digits kept) are real ones.
+    smallest form keeps the surrogate and the others draw again, until all have one; as each kind's room
+    grows with the draws, that comes to an end whatever the forms are.
     """
     real = staged(found.where("kind <> 'title'").groupBy("kind", "form").agg(F.min("gender").alias("gender")))
     left, taken = real, None
     for draw in count():
-        if draw == DRAWS and (full := _crowded(real).first()):
-            raise ValueError(f"more than half of all {full['kind']} numbers of {full['n']} digits from {full['begin']!r} on are real: no distinct surrogates exist")
         drawn = left.withColumn("surrogate", surrogate(key, F.col("kind"), F.col("form"), F.col("gender"), F.lit(draw)))
         used = real.select("kind", F.col("form").alias("surrogate"))
         if taken is not None:
@@ -215,7 +213,7 @@ def _as_written(m: Column, get) -> Column:
     parts = _parts(m)
     new = get(parts[0])
     signs = F.regexp_replace(m, "[^A-Z0-9]", "")
-    padded = F.concat(F.substr(signs, F.lit(1), F.length(signs) - F.length(new)), new)  # a country code stays
+    padded = F.concat(F.substr(signs, F.lit(1), F.greatest(F.lit(0), F.length(signs) - F.length(parts[0]["form"]))), new)  # a country code stays
     digits = F.array_join(
         F.transform(
             F.sequence(F.lit(1), F.length(m)),
@@ -224,6 +222,7 @@ def _as_written(m: Column, get) -> Column:
         "",
     )
     words = F.split(m, " ")
+    digits = F.concat(digits, F.substr(padded, F.length(signs) + 1))  # of a surrogate that is longer than its form
     names = F.array_join(F.zip_with(words, parts, lambda w, p: F.when(p["kind"] == "title", w).otherwise(_written_name(w, get(p)))), " ")
     cased = F.when((F.upper(m) == m) & m.rlike(r"\p{L}"), F.upper(new)).otherwise(new)
     return F.when(kind.isin("card", "ssn", "phone", "iban"), digits).when(kind == "name", names).when(kind == "token", new).otherwise(cased)
@@ -256,16 +255,17 @@ def with_surrogates(docs: DataFrame, key: str) -> DataFrame:
     both = docs.drop("n_entities").join(own, F.col("doc_id").eqNullSafe(F.col(id_)), "left")
     look = lambda kind, form: F.element_at(F.col(mine), F.concat_ws(":", kind, form))
     mentions = F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
-    family = F.exists(F.map_keys(mine), lambda k: k.startswith("family:"))
+    named = F.exists(F.map_keys(mine), lambda k: k.startswith("family:") | k.startswith("given:"))
 
     def alone(piece: Column) -> Column:
-        """Family names of the document's own people where they stand alone."""
+        """Names of the document's own people where they stand alone."""
         words = F.regexp_extract_all(piece, F.lit(_ALONE), F.lit(0))
-        new = F.transform(words, lambda w: F.coalesce(_written_name(w, look(F.lit("family"), F.lower(w))), w))
+        known = lambda w: F.coalesce(look(F.lit("family"), F.lower(w)), look(F.lit("given"), F.lower(w)))
+        new = F.transform(words, lambda w: F.coalesce(_written_name(w, known(w)), w))
         return F.array_join(F.zip_with(F.split(piece, _ALONE, -1), new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
 
     between = F.split("text", ANY, -1)
-    between = F.when(family, F.transform(between, alone)).otherwise(between)
+    between = F.when(named, F.transform(between, alone)).otherwise(between)
     text = F.array_join(F.zip_with(between, F.transform(F.col(hits_), lambda m: _as_written(m, lambda p: look(p["kind"], p["form"]))), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     both = both.withColumn(hits_, F.when(F.col(mine).isNotNull(), mentions))
     changed = F.coalesce(F.size(hits_), F.lit(0)) > 0

@@ -383,9 +383,31 @@ def test_more_identities_than_spellings_of_a_draw(spark, monkeypatch):
     assert len(made) == len(rows) and not made & set(rows)
 
 
-def test_numbers_without_enough_others_are_named(spark):
-    with pytest.raises(ValueError, match="ssn numbers of 1 digits"):
-        pii.assigned(spark.createDataFrame([("ssn", str(i), None) for i in range(6)], "kind string, form string, gender string"), "k")
+def test_crowded_kinds_get_longer_surrogates(spark):
+    """All numbers of a length, and more short addresses than there are: all rows get surrogates, none is real."""
+    rows = [("ssn", str(i)) for i in range(10)] + [("card", f"4{i}") for i in range(10)] + [("ip6", f"{i:x}::{j:x}") for i in range(16) for j in range(16)] + [("ip6", f"{i:x}::{j:x}") for i in range(16, 30) for j in range(4)]
+    got = pii.assigned(spark.createDataFrame([(*r, None) for r in rows], "kind string, form string, gender string"), "k").collect()
+    assert sorted((r.kind, r.form) for r in got) == sorted(rows)
+    made = {(r.kind, r.surrogate) for r in got}
+    assert len(made) == len(rows) and not made & set(rows)
+    assert all(r.surrogate.count(":") >= 2 for r in got if r.kind == "ip6") and all(r.surrogate.isdigit() for r in got if r.kind != "ip6")
+
+
+def test_short_addresses_and_crowded_numbers_in_texts(spark):
+    rows = [(i, f"see {i // 20:x}::{i % 20:x} end") for i in range(300)] + [(1000, "call +1 559 555-3817 now")]
+    out = {r.doc_id: r.text for r in pii.with_surrogates(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    forms = {t.split()[1] for i, t in rows[:300]}
+    made = [out[i].split()[1] for i in range(300)]
+    assert len(set(made)) == 300 and not forms & set(made) and all(out[i].startswith("see ") and out[i].endswith(" end") for i in range(300))
+    assert out[1000].startswith("call +1 ") and out[1000].endswith(" now")
+
+
+def test_names_alone_and_in_capitals(spark):
+    rows = [(1, "Мария Иванова came; later Мария left."), (2, "DR. JOHN BROWN met KAREN. Brown stayed. MISS THE BUS"), (3, "ANNA KARENINA and Anna")]
+    out = {r.doc_id: r.text for r in pii.with_surrogates(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    assert "Мария" not in out[1] and "Иванова" not in out[1] and out[1].split()[0] == out[1].split()[4]
+    assert "BROWN" not in out[2] and "Brown" not in out[2] and "JOHN" not in out[2] and out[2].startswith("DR. ") and out[2].endswith("MISS THE BUS")
+    assert not any(x in out[3] for x in ("ANNA", "Anna", "KARENINA"))
 
 
 def test_language(spark):
