@@ -3,11 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from itertools import chain
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,8 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from .spatial import POLYGONS, cut_lineage, equal_area_xy
 
-#: Column numbers stay below this, so that row and column make one number.
-WIDTH = 1 << 20
+#: Column numbers stay below this, those of a globe of 30 m pixels too, so that row and column make one number.
+WIDTH = 1 << 22
 
 
 def runs(masked: DataFrame) -> DataFrame:
@@ -62,68 +57,88 @@ def boundary(labels: DataFrame) -> DataFrame:
     return edges.groupBy("tile_id", *same).agg(F.count("*").alias("n"), first).where("n = 1").select("tile_id", "e.*")
 
 
-def rings_of(edges: list[tuple[int, int, int, int]]) -> list[list[tuple[int, int]]]:
-    """Closed rings from directed unit edges; where two meet in a corner the walk turns right, so that
-    pixels that touch in a corner alone stay apart. Corners only."""
-    ahead: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for x1, y1, x2, y2 in sorted(edges, key=lambda e: (e[1], e[0], e[3], e[2])):
-        ahead.setdefault((x1, y1), []).append((x2, y2))
-    out = []
-    for start in list(ahead):
-        while ahead[start]:
-            here, ring = start, [start]
-            step = None
-            while True:
-                ways = ahead[here]
-                turn = 0
-                if len(ways) > 1 and step is not None:
-                    right = (here[0] - step[1], here[1] + step[0])
-                    turn = ways.index(right) if right in ways else 0
-                there = ways.pop(turn)
-                new = (there[0] - here[0], there[1] - here[1])
-                if new == step:
-                    ring[-1] = there
-                else:
-                    ring.append(there)
-                here, step = there, new
-                if here == start and (not ahead[here] or (here[0] - step[1], here[1] + step[0]) not in ahead[here]):
-                    break
-            out.append(ring)
-    return out
+def corner_runs(edges: DataFrame) -> DataFrame:
+    """tile_id, region, id, x, y, following: straight pieces of the outlines from corner to corner, named by where
+    and which way they begin, each with the piece that follows it.
+
+    Directions 0 to 3 turn right. Where two pixels of a region touch in a corner alone two pieces begin there,
+    and the outline turns right, so that they stay apart.
+    """
+    way = F.when(F.col("x2") > F.col("x1"), 0).when(F.col("y2") > F.col("y1"), 1).when(F.col("x2") < F.col("x1"), 2).otherwise(3)
+    e = edges.withColumn("way", way)
+    e = e.withColumn("ways", F.count("*").over(W.partitionBy("tile_id", "region", "x1", "y1")))
+    along = F.when(F.col("way") == 0, F.col("x1")).when(F.col("way") == 1, F.col("y1")).when(F.col("way") == 2, -F.col("x1")).otherwise(-F.col("y1"))
+    e = e.withColumn("line", F.when(F.col("way") % 2 == 0, F.col("y1")).otherwise(F.col("x1"))).withColumn("at", along)
+    line = ["tile_id", "region", "way", "line"]
+    order = W.partitionBy(*line).orderBy("at")
+    begins = F.lag("at").over(order).isNull() | (F.lag("at").over(order) != F.col("at") - 1) | (F.col("ways") > 1)
+    e = e.withColumn("begins", begins.cast("int")).withColumn("piece", F.sum("begins").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    ends = [F.min_by(F.struct("x1", "y1"), "at").alias("a"), F.max_by(F.struct("x2", "y2"), "at").alias("b"), F.min_by("ways", "at").alias("ways")]
+    pieces = e.groupBy(*line, "piece").agg(*ends)
+    name = ((F.col("a.y1").cast("long") * WIDTH + F.col("a.x1")) * 4 + F.col("way")).alias("id")
+    pieces = pieces.select("tile_id", "region", "way", "ways", name, F.col("a.x1").alias("x"), F.col("a.y1").alias("y"), F.col("b.x2").alias("ex"), F.col("b.y2").alias("ey"))
+    after = pieces.select("tile_id", "region", F.col("x").alias("ex"), F.col("y").alias("ey"), F.col("id").alias("following"), F.col("way").alias("next_way"), F.col("ways").alias("next_ways"))
+    both = pieces.join(after, ["tile_id", "region", "ex", "ey"]).where("next_ways = 1 or next_way = (way + 1) % 4")
+    return both.select("tile_id", "region", "id", "x", "y", "following")
+
+
+def ranked(pieces: DataFrame) -> DataFrame:
+    """``pieces`` with ``ring``, the least id of its ring, and ``ahead``, the pieces from it to that one.
+
+    Pointer doubling: after round k a piece knows the least id among the 2**k pieces that follow it, itself
+    included, and how far away that is. When a round changes none, all know that of their ring. The number of rounds is the
+    logarithm of the longest ring's pieces; each is one join on all pieces.
+    """
+    now = cut_lineage(pieces.select("tile_id", "region", "id", "x", "y", F.col("following").alias("to"), F.col("id").alias("ring"), F.lit(0).cast("long").alias("ahead")))
+    step = 1
+    while True:
+        far = now.select("tile_id", F.col("id").alias("to"), F.col("to").alias("then"), F.col("ring").alias("far_ring"), F.col("ahead").alias("far_ahead"))
+        met = now.join(far, ["tile_id", "to"])
+        less = F.col("far_ring") < F.col("ring")
+        new = met.select(
+            "tile_id", "region", "id", "x", "y", F.col("then").alias("to"), F.least("ring", "far_ring").alias("ring"),
+            F.when(less, F.col("far_ahead") + step).otherwise(F.col("ahead")).alias("ahead"), less.alias("moved"),
+        )
+        new = cut_lineage(new)
+        now, step = new.drop("moved"), step * 2
+        if new.where("moved").isEmpty():
+            return now.drop("to")
 
 
 def mask_regions(masked: DataFrame) -> DataFrame:
     """tile_id, region, polygons of every 4-connected region of the rows of ``masked`` (tile_id, prow, pcol).
 
-    x is the column, y the row; the outer ring comes first. Regions end at their tile's edge, so that the
-    ring order, made by one task for a region, is bounded by a tile. No rows give no regions.
+    x is the column, y the row; the outer ring comes first, each ring begins in its first corner by rows and is closed. Rings are ordered
+    on Spark: an outline's pieces between corners find the pieces that follow and then their rank, by doubling.
+    Regions end at their tile's edge; ``regions_over_tiles`` joins them. No rows give no regions.
     """
-
-    area = lambda r: sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:]))
-
-    def ordered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None  # the last region of a batch may go on in the next
-        for batch in chain(batches, [None]):
-            if batch is None:
-                if rest is None or not len(rest):
-                    return
-                whole, rest = rest, None
-            else:
-                whole = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-                last = (whole["tile_id"] == whole["tile_id"].iat[-1]) & (whole["region"] == whole["region"].iat[-1]) if len(whole) else []
-                whole, rest = whole[~last] if len(whole) else whole, whole[last] if len(whole) else whole
-            if not len(whole):
-                continue
-            tile, region = whole["tile_id"].to_numpy(), whole["region"].to_numpy()
-            cuts = [0, *((np.flatnonzero((tile[1:] != tile[:-1]) | (region[1:] != region[:-1])) + 1).tolist()), len(whole)]
-            edges = list(zip(*(whole[c].tolist() for c in ("x1", "y1", "x2", "y2"))))
-            polygons = [[[[{"x": float(x), "y": float(y)} for x, y in r] for r in sorted(rings_of(edges[i:j]), key=area, reverse=True)]] for i, j in zip(cuts[:-1], cuts[1:])]
-            yield pd.DataFrame({"tile_id": tile[cuts[:-1]], "region": region[cuts[:-1]], "polygons": polygons})
-
-    kind = masked.schema["tile_id"].dataType.simpleString()
-    labels = region_labels(masked)
-    edges = boundary(labels).repartition("tile_id", "region").sortWithinPartitions("tile_id", "region")
-    return edges.mapInPandas(ordered, f"tile_id {kind}, region long, polygons {POLYGONS}")
+    pieces = ranked(corner_runs(boundary(region_labels(masked))))
+    own = F.struct((-F.col("ahead")).alias("back"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    rings = pieces.groupBy("tile_id", "region", "ring").agg(F.array_sort(F.collect_list(own)).alias("p"))
+    # the piece before the first one is nearest to it: sorted by -ahead, the ring's order but for its first piece, which comes last
+    rings = rings.select("tile_id", "region", "ring", F.expr("transform(concat(slice(p, size(p), 1), p), v -> struct(v.x, v.y))").alias("r"))
+    area = F.expr("aggregate(sequence(1, size(r) - 1), 0D, (s, i) -> s + r[i - 1].x * r[i].y - r[i].x * r[i - 1].y)")
+    sized = rings.select("tile_id", "region", F.struct((-area).alias("a"), "ring", "r").alias("s"))
+    out = sized.groupBy("tile_id", "region").agg(F.array_sort(F.collect_list("s")).alias("s"))
+    return out.select("tile_id", "region", F.expr("array(transform(s, v -> v.r))").cast(POLYGONS).alias("polygons"))
+
+
+def regions_over_tiles(masked: DataFrame, tiles: DataFrame) -> DataFrame:
+    """region, polygons of the regions of all tiles together, in the tiles' coordinates.
+
+    Tiles (tile_id, x0, y0, step) share one grid: their corners lie whole pixels apart. Pixels are placed on it, so
+    that a region goes on over any number of seams; where tiles overlap a pixel counts once. Tiles are some
+    hundreds to a globe, so they are broadcast; work is dealt by rows of the grid and, later, by piece.
+    """
+    first = tiles.agg(F.min("x0").alias("x"), F.max("y0").alias("y"), F.min("step").alias("s"), F.max("step").alias("t")).first()
+    if first["s"] is None:
+        return mask_regions(masked.where(F.lit(False))).drop("tile_id")
+    if first["s"] != first["t"]:
+        raise ValueError("tiles have pixels of several sizes")
+    off = tiles.select("tile_id", F.round((F.lit(first["y"]) - F.col("y0")) / first["s"]).cast("int").alias("row0"), F.round((F.col("x0") - first["x"]) / first["s"]).cast("int").alias("col0"))
+    cells = masked.join(F.broadcast(off), "tile_id").select(F.lit(0).alias("tile_id"), (F.col("prow") + F.col("row0")).alias("prow"), (F.col("pcol") + F.col("col0")).alias("pcol"))
+    placed = f"transform(polygons, p -> transform(p, r -> transform(r, v -> struct({first['x']!r}D + v.x * {first['s']!r}D AS x, {first['y']!r}D - v.y * {first['s']!r}D AS y))))"
+    return mask_regions(cells).select("region", F.expr(placed).cast(POLYGONS).alias("polygons"))
 
 
 def equal_area_maps(pixels: DataFrame, x0: float, y0: float, step: float, width: int, height: int, cell_m: float | None = None) -> tuple[DataFrame, DataFrame]:

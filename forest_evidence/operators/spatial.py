@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -13,14 +14,20 @@ from ..functions import columns as C
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder of the session; a temporary one only where none is set."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not where and not sc.master.startswith("local"):
+    """``df`` written to the shared folder of the session and read back; a temporary one only where none is set.
+
+    A written table, as a checkpoint keeps what the optimizer has inferred about its rows, which grows from
+    round to round, and computes them twice.
+    """
+    spark = df.sparkSession
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not where:
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
+        where = tempfile.mkdtemp(prefix="spark-")
+    path = f"{where}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 #: polygons: array (polygons) of array (rings) of array (vertices) of struct(x, y)

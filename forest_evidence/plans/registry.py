@@ -1019,6 +1019,19 @@ def _(get):
     return R.mask_regions(mask).select("tile_id", "region", R.polygon_area(F.col("polygons")).alias("n_pixels"), R.polygon_outline(F.col("polygons")).alias("outline"))
 
 
+_GRID_MASK = f"SELECT DISTINCT prow, pcol, cast(prow AS bigint) * {R.WIDTH} + pcol AS id FROM (SELECT cast((SELECT max(y0) FROM tiles) - t.y0 + p.prow AS int) AS prow, cast(t.x0 - (SELECT min(x0) FROM tiles) + p.pcol AS int) AS pcol FROM pixels p JOIN tiles t ON p.tile_id = t.tile_id WHERE {OK} AND {FOREST} AND lossyear > 12) g"
+
+
+@query(
+    "g10_regions_over_tiles",
+    f"WITH RECURSIVE m AS ({_GRID_MASK}), e AS (SELECT a.id AS x, b.id AS y FROM m a JOIN m b ON a.prow = b.prow AND b.pcol = a.pcol + 1 UNION ALL SELECT a.id, b.id FROM m a JOIN m b ON a.pcol = b.pcol AND b.prow = a.prow + 1), l AS (SELECT * FROM e UNION ALL SELECT y, x FROM e), t AS (SELECT id, id AS other FROM m UNION SELECT t.id, l.y FROM t JOIN l ON t.other = l.x), k AS (SELECT id, min(other) AS region FROM t GROUP BY 1), d AS (SELECT x, count(*) AS n FROM l GROUP BY 1) SELECT k.region, cast(count(*) AS double) AS n_pixels, cast(sum(4 - coalesce(d.n, 0)) AS double) AS outline FROM k LEFT JOIN d ON k.id = d.x GROUP BY 1",
+)
+def _(get):
+    mask = get("pixels").where(C.valid() & C.loss_after(T, CUTOFF))
+    polygons = F.col("polygons")
+    return R.regions_over_tiles(mask, get("tiles")).select("region", F.abs(R.polygon_area(polygons)).alias("n_pixels"), R.polygon_outline(polygons).alias("outline"))
+
+
 _K0 = f"(cos(radians(30)) / sqrt(1 - {C.WGS84_E2} * 0.25))"
 _SIZE = f"({C.WGS84_A} * {_K0} * radians({STEP}))"
 _YOF = f"({C.WGS84_A} * {_Q} / (2 * {_K0}))"

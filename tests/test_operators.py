@@ -131,6 +131,35 @@ def test_regions_equal_flood_fill(spark):
     assert got == want
 
 
+def test_rings_equal_traced_ones(spark):
+    """Random cells over four tiles, by tile and joined over the seams: the same rings as tracing them one by one."""
+    rng = random.Random(21)
+    cells = {(x, y) for x in range(24) for y in range(20) if rng.random() < 0.6} | {(x, 10) for x in range(24)}
+    tile = lambda x, y: f"{x // 12}{y // 10}"
+    df = spark.createDataFrame([(tile(x, y), y % 10, x % 12) for x, y in cells] * 2, "tile_id string, prow int, pcol int")
+    tiles = spark.createDataFrame([(f"{a}{b}", 5.0 + 6 * a, 40.0 - 5 * b, 0.5) for a in range(2) for b in range(2)], "tile_id string, x0 double, y0 double, step double")
+
+    def turned(ring):
+        k = ring.index(min(ring, key=lambda v: (v[1], v[0])))
+        return tuple(ring[k:] + ring[:k])
+
+    area = lambda r: sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:] + r[:1]))
+    whole = sorted(tuple(sorted((turned(r) for r in p), key=lambda r: (-area(r), r))) for p in traced(cells))
+    got = []
+    for r in R.regions_over_tiles(df, tiles).collect():
+        (rings,) = r.polygons
+        own = [[((v.x - 5) / 0.5, (40 - v.y) / 0.5) for v in ring] for ring in rings]
+        assert all(o[0] == o[-1] for o in own) and area(own[0]) > 0 and all(area(o) < 0 for o in own[1:])
+        got.append(tuple(sorted((tuple(o[:-1]) for o in own), key=lambda r: (-area(list(r)), r))))
+    assert sorted(got) == whole
+    parts = {t: {(x % 12, y % 10) for x, y in cells if tile(x, y) == t} for t in ("00", "01", "10", "11")}
+    by_tile = sorted((t, tuple(sorted((turned(r) for r in p), key=lambda r: (-area(r), r)))) for t, own in parts.items() for p in traced(own))
+    found = R.mask_regions(df)
+    assert sorted((r.tile_id, tuple(sorted((tuple((v.x, v.y) for v in ring[:-1]) for ring in r.polygons[0]), key=lambda r: (-area(list(r)), r)))) for r in found.collect()) == by_tile
+    plan = found._jdf.queryExecution().toString()
+    assert "Pandas" not in plan and "Python" not in plan
+
+
 def test_no_pixels_make_no_regions(spark):
     assert R.mask_regions(spark.createDataFrame([], "tile_id string, prow int, pcol int")).count() == 0
 
