@@ -49,17 +49,20 @@ _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "
 _CONTAINER = frozenset("html body main article section div td th ul ol dl table blockquote figure".split())
 #: Where siblings of the best container are kept: points from this share of the best container's.
 SIBLING_SHARE = 0.2
+#: Where a part beside the best container is a list of links: their share of its text.
+LINKED = 0.5
+_TOP = frozenset(["html", "body"])
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "out", "article", "length", "linked", "points", "kept")
+    __slots__ = ("tag", "parent", "items", "out", "article", "length", "linked", "points", "kept", "own_kept")
 
     def __init__(self, tag: str, parent: Node | None, out: bool, article: bool):
         self.tag, self.parent, self.out, self.article = tag, parent, out, article
         self.items: list[Node | str] = []
         self.length = self.linked = 0
         self.points: float | None = None
-        self.kept = False
+        self.kept = self.own_kept = False
 
 
 def excluded(tag: str, attributes: str, article: bool) -> bool:
@@ -176,7 +179,12 @@ def blocks(root: Node) -> list[tuple[Node, str, int]]:
 
 
 def main_text(page: str | None) -> str:
-    """The blocks of the best container and its like siblings, one to a line."""
+    """The blocks of the article around the best container, one to a line.
+
+    The best container lies in an article or main element, or in the largest element below the body whose other
+    parts aren't mostly links; all of that is kept but for parts that are lists of links. Right below the
+    body, siblings are kept that score like the best one.
+    """
     if not page:
         return ""
     nodes = tree(page)
@@ -201,15 +209,30 @@ def main_text(page: str | None) -> str:
     scored = [n for n in nodes if n.points is not None and n.length]
     best = max(scored, key=score)
     best.kept = True
-    if best.parent is not None:
-        least = max(10.0, SIBLING_SHARE * score(best))
+    # Up to the article: whatever its sections are worth alone, they are kept with the best one, but for lists of links.
+    top, up = best, [best]
+    while up[-1].parent is not None:
+        up.append(up[-1].parent)
+    whole = next((n for n in reversed(up) if n.tag in ("article", "main")), None)
+    while best.parent is not None and best is not whole and best.parent.tag not in _TOP:
+        rest, linked = best.parent.length - best.length, best.parent.linked - best.linked
+        if not whole and (not rest or linked >= LINKED * rest):
+            if rest:
+                break
+        for x in best.parent.items:
+            if isinstance(x, Node) and x is not best and x.length and x.linked < LINKED * x.length:
+                x.kept = True
+        best.parent.own_kept = True
+        best = best.parent
+    if best.parent is not None and best is not whole:
+        least = max(10.0, SIBLING_SHARE * score(top))
         for x in best.parent.items:
             if isinstance(x, Node) and x is not best and x.length:
                 if x.points is not None and score(x) >= least or x.tag == "p" and x.linked < 0.25 * x.length and x.length > 80:
                     x.kept = True
     for n in nodes[1:]:
         n.kept |= n.parent.kept
-    return "\n".join(t for holder, t, _ in found if holder.kept)
+    return "\n".join(t for holder, t, _ in found if holder.kept or holder.own_kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:

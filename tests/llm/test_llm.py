@@ -438,6 +438,30 @@ def test_forward_pass_sums_all_segmentations():
     assert np.isclose(own[pieces.index("▁ab")], 0.1 / ways) and np.isclose(own[pieces.index("b")], (0.1 * 0.1 + 0.2 * 0.3 * 0.1) / ways)
 
 
+def test_whole_articles_of_many_sections():
+    """Pages made of sections of any length: every block of the article comes, menus beside it don't."""
+    rng = random.Random(31)
+    words = "river station harbour machine window garden letter".split()
+    line = lambda n: " ".join(rng.choice(words) for _ in range(n)) + rng.choice([".", ", too.", ""])
+    menu = "<div class=x><ul>" + "".join(f"<li><a href={i}>{line(2)}</a></li>" for i in range(6)) + "</ul></div>"
+    for k in range(60):
+        want, body = [], ""
+        for _ in range(rng.randrange(1, 7)):
+            own = []
+            for _ in range(rng.randrange(1, 4)):
+                text = line(rng.choice([1, 3, 30, 200]))
+                own.append(f"<p>{text}</p>")
+                want.append(text)
+            head = line(2)
+            tag = rng.choice(["section", "div", "div class=row"])
+            body += f"<{tag}><h2>{head}</h2>{''.join(own)}</{tag.split()[0]}>"
+            want.insert(len(want) - len(own), head)
+        wrap = rng.choice(["main", "article", "div id=content"])
+        page = f"<html><body>{menu}<{wrap}>{body}</{wrap.split()[0]}>{menu}<footer>f</footer></body></html>"
+        if sum(map(len, want)) > 400:
+            assert html_text.main_text(page) == "\n".join(want), k
+
+
 PAGE = """<html><head><title>t</title><script>var a="</p>";</script></head><body><header>Site</header><nav><a href=1>Home</a></nav>
 <div class="ad">Buy, now, please</div><div id=content><article><h1>Title</h1><p>One &amp; two, <b>three</b>,
 four.<br><p>Second   paragraph, with text.<ul><li>item</ul></article></div><div class="comments"><p>First, comment, of, a, reader</div>
