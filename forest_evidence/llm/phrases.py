@@ -36,7 +36,7 @@ MOST = 2000
 #: Most bits of a bitmap of frequent fingerprints, which is broadcast: 64 MiB.
 SLOTS = 1 << 29
 #: Characters of a slice, whose fingerprints are added up before Spark sees them.
-SLICE = 8_000_000
+SLICE = 6_000_000
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -69,10 +69,11 @@ class Runs:
         begins = starts[:-1][starts[:-1] < starts[1:]]
         first[begins] = inside[begins]
         at = np.flatnonzero(first)
+        final = inside.copy()
+        final[:-1] &= ~inside[1:] | first[1:]
         self.doc = np.searchsorted(starts, at, "right") - 1
-        self.piece = np.cumsum(kind == 2)[at] + self.doc if len(at) else np.zeros(0, np.int64)
-        ahead = np.concatenate([[0], np.cumsum(inside)])
-        offsets = np.append(ahead[at], ahead[-1])
+        self.piece = np.searchsorted(np.flatnonzero(kind == 2), at) + self.doc
+        offsets = np.concatenate([[0], np.cumsum(np.flatnonzero(final) - at + 1)])
         words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw[inside])])
         coded = words.dictionary_encode()
         self.distinct, self.codes = coded.dictionary, coded.indices.to_numpy()
@@ -161,6 +162,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, lis
             if n >= SLICE:
                 yield tuple(held)
                 held, n = [[], [], []], 0
+                pa.default_memory_pool().release_unused()
     if held[0]:
         yield tuple(held)
 
@@ -182,7 +184,8 @@ def _counted(docs: DataFrame, columns: list[str], runs: Callable[[Runs], Iterato
 
 
 def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> DataFrame:
-    """(lang, length, phrase, f, first_doc_id) for every run of 1 to 4 words with LEAST or more occurrences.
+    """(lang, length, phrase, f, first_doc_id) for every run of 1 to 4 words with LEAST or more occurrences, and
+    a row of length 0 with the number of all words of a language.
 
     Null languages count as ``und``; first_doc_id is the least id of a document with the phrase.
     """
@@ -221,6 +224,8 @@ def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: st
         order = sorted(range(len(ids)), key=lambda k: (ids[k] is None, ids[k] if ids[k] is not None else 0))
         place = np.zeros(len(ids), np.int64)
         place[order] = numbers
+        words = np.bincount(own.lang[own.doc], minlength=len(own.langs))
+        yield {"lang": own.langs, "length": np.zeros(len(words), np.int32), "phrase": [""] * len(words), "f": words, "first_doc_id": [None] * len(words)}
         for length in range(1, LONGEST + 1):
             at = np.flatnonzero(own.places(length))
             keys = own.prints(at, length)
@@ -244,13 +249,6 @@ def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: st
     return staged(out.where(F.col("f") >= LEAST))
 
 
-def word_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, n): all words of a language."""
-    piece = F.translate(F.col(text), ".,;:!?\n\x0b\x0c\r\t", " " * 11)
-    n = F.size(F.filter(F.split(piece, " "), lambda w: w != ""))
-    return docs.groupBy(F.coalesce(lang, F.lit("und")).alias("lang")).agg(F.sum(F.when(F.col(text).isNull(), 0).otherwise(n)).cast("long").alias("n"))
-
-
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", most: int | None = MOST) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score, first_doc_id): the ``most`` best phrases of each language, or all.
 
@@ -261,7 +259,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id
     table gives no rows.
     """
     found = frequent(docs, text, lang, doc_id)
-    sizes = word_counts(docs, text, lang)
+    sizes = found.where("length = 0").select("lang", F.col("f").alias("n"))
     split = F.split("phrase", " ")
     big = found.where("length > 1").select("lang", "phrase", "length", F.col("f").alias("a"), "first_doc_id", split.alias("ws"))
     joined = lambda a, n: F.array_join(F.slice("ws", a, n), " ")
