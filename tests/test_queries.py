@@ -27,3 +27,12 @@ def test_same_rows(spark, duck, name):
     ours, theirs = plans.queries()[name](spark, SF).toPandas(), duck.sql(plans.oracle_sql()[name]).df()
     assert sorted(ours.columns) == sorted(theirs.columns)
     assert rows(ours) == rows(theirs)
+
+
+@pytest.mark.parametrize("name", ["a11_crosscheck_rows", "j7_concave_zones", "j6_boxes_of_all_sizes", "a2_sloped_zones"])
+def test_same_rows_on_larger_tables(spark, name):
+    con, sf = duckdb.connect(), "/root/testdata/sf0.01"
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
+    ours, theirs = plans.queries()[name](spark, sf).toPandas(), con.sql(plans.oracle_sql()[name]).df()
+    assert rows(ours) == rows(theirs)
