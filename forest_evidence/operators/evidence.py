@@ -315,16 +315,14 @@ def _any_at(value: Column, names: list[str], bad) -> Column:
     return F.coalesce(bad(value), F.lit(False))
 
 
-def contract_errors(reports: DataFrame, required: list[str], enums: dict[str, list[str]], sha: list[str], minimums: dict[str, float], filled: list[str] = (), items: list[str] = ()) -> DataFrame:
-    """report_id, rule, detail: missing values, values outside enumerations, hashes that aren't SHA-256 hex, numbers
-    under a minimum, empty texts and empty lists, by path. A field that the schema of ``reports`` lacks is missing
-    in all of them if required, and right otherwise; what hangs on an absent optional block isn't missing."""
+def _contract_found(schema, required: list[str], enums: dict[str, list[str]], sha: list[str], minimums: dict[str, float], filled: list[str] = (), items: list[str] = ()) -> Column:
+    """An array of (rule, detail) of a row; see ``contract_errors``."""
     found = []
 
     def add(rule: str, path: str, bad) -> None:
         first, *names = path.replace("[]", ".[]").split(".")
         detail = F.struct(F.lit(rule).alias("rule"), F.lit(path).alias("detail"))
-        if _type_at(reports.schema, path) is None:
+        if _type_at(schema, path) is None:
             if rule == "required" and "." not in path and "[]" not in path:
                 found.append(detail)
             return
@@ -342,9 +340,22 @@ def contract_errors(reports: DataFrame, required: list[str], enums: dict[str, li
         add("min_length", p, lambda v: v == "")
     for p in items:
         add("min_items", p, lambda v: F.size(v) == 0)
-    return reports.select("report_id", F.explode(F.array_compact(F.array(*found))).alias("e")).select("report_id", "e.*")
+    return F.array_compact(F.array(*found))
+
+
+def contract_errors(reports: DataFrame, required: list[str], enums: dict[str, list[str]], sha: list[str], minimums: dict[str, float], filled: list[str] = (), items: list[str] = ()) -> DataFrame:
+    """report_id, rule, detail: missing values, values outside enumerations, hashes that aren't SHA-256 hex, numbers
+    under a minimum, empty texts and empty lists, by path. A field that the schema of ``reports`` lacks is missing
+    in all of them if required, and right otherwise; what hangs on an absent optional block isn't missing."""
+    found = _contract_found(reports.schema, required, enums, sha, minimums, filled, items)
+    return reports.select("report_id", F.explode(found).alias("e")).select("report_id", "e.*")
+
+
+def contract_column(schema) -> Column:
+    """An array of (rule, detail): what a report of this schema breaks of the report contract."""
+    return _contract_found(schema, [*REPORT_KEYS, *REPORT_REQUIRED], REPORT_ENUMS, REPORT_SHA, REPORT_MINIMUMS, REPORT_FILLED, REPORT_ITEMS)
 
 
 def report_errors(reports: DataFrame) -> DataFrame:
     """``contract_errors`` of the report contract; reports as ``read_reports`` gives them, with a report_id."""
-    return contract_errors(reports, [*REPORT_KEYS, *REPORT_REQUIRED], REPORT_ENUMS, REPORT_SHA, REPORT_MINIMUMS, REPORT_FILLED, REPORT_ITEMS)
+    return reports.select("report_id", F.explode(contract_column(reports.schema)).alias("e")).select("report_id", "e.*")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,29 +49,82 @@ def crosscheck(parcels: DataFrame, computed: DataFrame, tolerance_percent: float
     return P.crosscheck_rows(both, F.col("computed_ha")).join(total, "aoi_id").join(parcels.groupBy("aoi_id").agg(*one), "aoi_id")
 
 
-def reports(metrics: DataFrame, artifacts: DataFrame, refs: DataFrame, run_id: str, key: str = "aoi_id") -> DataFrame:
-    """A nested report for each row of ``metrics``: a map of its numbers, evidence classes by its artifacts (key,
-    class_id, relpath), acceptance criteria, its result, what that rests on, and the policy mapping.
+#: The criterion of reports where no others are given: outcome by the row's own status.
+NO_LOSS = ("no_loss_after_cutoff", "no loss of forest after the cutoff", "loss_after_ha")
+
+
+def _listed(rows: DataFrame | None, name: str, kind: str) -> Callable[[DataFrame], DataFrame]:
+    """Adds a short list that all reports share as an array (one row, broadcast); empty without ``rows``."""
+    if rows is None:
+        return lambda df: df.withColumn(name, F.array().cast(f"array<{kind}>"))
+    fields = [f.split(":")[0] for f in kind[7:-1].split(",")]
+    one = rows.agg(F.array_sort(F.collect_set(F.struct(*fields).cast(kind))).alias(name))
+    return lambda df: df.crossJoin(F.broadcast(one))
 
-    ``refs`` (ref) are the policy references of the run, a short list that is broadcast."""
+
+def reports(
+    metrics: DataFrame, artifacts: DataFrame, refs: DataFrame, run_id: str, key: str = "aoi_id", criteria: DataFrame | None = None, assumptions: DataFrame | None = None,
+    datasets: DataFrame | None = None, tiles: DataFrame | None = None, geometry: Column | None = None, generated_at: str = "1970-01-01T00:00:00Z", regulation: str = "EUDR",
+) -> DataFrame:
+    """A nested report of the contract for each row of ``metrics`` (its numbers, the status, aoi_ha where known).
+
+    ``artifacts``: key, class_id, relpath and where known sha256, size_bytes. ``criteria``: criteria_id, description,
+    class_id, metric, most (a result passes up to there). ``assumptions``: assumption_id, testable, result_id.
+    ``refs`` (ref), criteria, assumptions and ``datasets`` (dataset_id, retrieved_at_utc, license) belong to the run:
+    short lists that are broadcast. ``tiles``: key, dependency_id, tile_source, tile_id, source_url.
+    """
     names = [c for c, kind in metrics.dtypes if kind == "double"]
     unit = lambda c: F.lit("percent" if "_pct" in c else "ha")
     entries = F.array(*[F.struct(F.lit(c).alias("key"), F.struct(F.col(c).alias("value"), unit(c).alias("unit"), F.lit("").alias("notes")).alias("value")) for c in names])
     ids = metrics.select(F.col(key).alias("report_id")).crossJoin(F.broadcast(artifacts.select("class_id").distinct()))
     status = E.class_status(ids, artifacts.withColumnRenamed(key, "report_id"))
     classes = status.groupBy(F.col("report_id").alias(key)).agg(F.array_sort(F.collect_list(F.struct("class_id", F.lit(True).alias("mandatory"), "status"))).alias("evidence_classes"))
-    paths = artifacts.groupBy(key).agg(F.array_sort(F.collect_set("relpath")).alias("artifact_relpaths"))
-    result = F.struct(F.lit("loss_after_cutoff").alias("result_id"), F.array(F.lit("no_loss_after_cutoff")).alias("criteria_ids"), F.col("status").alias("outcome"), F.array().cast("array<string>").alias("assumptions"))
-    trace = F.struct(F.lit("loss_after_cutoff").alias("result_id"), F.lit("no_loss_after_cutoff").alias("acceptance_criteria"), F.lit("loss_after_ha").alias("metric"))
-    criterion = F.struct(F.lit("no_loss_after_cutoff").alias("criteria_id"), F.lit("no loss of forest after the cutoff").alias("description"), F.transform("evidence_classes", lambda c: c["class_id"]).alias("evidence_classes"), F.lit("threshold").alias("decision_type"))
-    listed = refs.agg(F.array_sort(F.collect_set("ref")).alias("policy_mapping_refs"))
-    both = metrics.join(classes, key, "left").join(paths, key, "left").crossJoin(F.broadcast(listed))
-    mapping = F.transform("policy_mapping_refs", lambda r: F.struct(r.alias("article_ref"), F.col("artifact_relpaths"), F.col("status").alias("status")))
+    known = lambda c, kind: F.col(c) if c in artifacts.columns else F.lit(None).cast(kind).alias(c)
+    files = artifacts.groupBy(key).agg(F.array_sort(F.collect_set(F.struct("relpath", known("sha256", "string"), known("size_bytes", "bigint"), "class_id"))).alias("files"))
+    both = metrics.join(classes, key, "left").join(files, key, "left")
+    if tiles is not None:
+        used = tiles.groupBy(key, "dependency_id", "tile_source").agg(F.array_sort(F.collect_set(F.struct("tile_id", "source_url"))).alias("tiles_used"))
+        both = both.join(used.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("dependency_id", "tile_source", "tiles_used"))).alias("external_dependencies")), key, "left")
+    both = both.crossJoin(F.broadcast(refs.agg(F.array_sort(F.collect_set("ref")).alias("policy_mapping_refs"))))
+    for rows, name, kind in [
+        (criteria, "asked", "struct<criteria_id:string,description:string,class_id:string,metric:string,most:double>"),
+        (assumptions, "assumed", "struct<assumption_id:string,testable:boolean,result_id:string>"),
+        (datasets, "datasets", "struct<dataset_id:string,retrieved_at_utc:string,license:string>"),
+    ]:
+        both = _listed(rows, name, kind)(both)
+    texts = lambda values: F.coalesce(values, F.array().cast("array<string>"))
+    both = both.withColumn("metrics", F.map_from_entries(entries)).withColumn("artifact_relpaths", texts(F.array_distinct(F.transform("files", lambda f: f["relpath"]))))
+    if criteria is None:
+        every = F.transform("evidence_classes", lambda c: c["class_id"])
+        plain = F.struct(F.lit(NO_LOSS[0]).alias("criteria_id"), F.lit(NO_LOSS[1]).alias("description"), every.alias("classes"), F.lit(NO_LOSS[2]).alias("metric"), F.col("status").alias("outcome"))
+        both = both.withColumn("tried", F.array(plain))
+    else:
+        outcome = lambda c: F.when(F.col("metrics")[c["metric"]]["value"] <= c["most"], "pass").when(F.col("metrics")[c["metric"]]["value"].isNull(), "na").otherwise("fail")
+        both = both.withColumn("tried", F.transform("asked", lambda c: F.struct(c["criteria_id"].alias("criteria_id"), c["description"].alias("description"), F.array_compact(F.array(c["class_id"])).alias("classes"), c["metric"].alias("metric"), outcome(c).alias("outcome"))))
+    of = lambda r: F.filter("assumed", lambda a: a["result_id"] == r)
+    result = lambda c: F.struct(
+        c["criteria_id"].alias("result_id"), F.array(c["criteria_id"]).alias("criteria_ids"), c["outcome"].alias("outcome"), c["classes"].alias("evidence_classes"),
+        F.array_distinct(F.transform(of(c["criteria_id"]), lambda a: a["assumption_id"])).alias("assumption_refs"), F.exists(of(c["criteria_id"]), lambda a: ~a["testable"]).alias("non_testable_due_to_assumptions"),
+    )
+    trace = lambda c: F.struct(F.lit(regulation).alias("regulation"), F.try_element_at(c["classes"], F.lit(1)).alias("evidence_class"), c["criteria_id"].alias("acceptance_criteria"), c["criteria_id"].alias("result_ref"), c["metric"].alias("metric"))
+    criterion = lambda c: F.struct(c["criteria_id"].alias("criteria_id"), c["description"].alias("description"), c["classes"].alias("evidence_classes"), F.lit("threshold").alias("decision_type"))
+    shared = F.transform(F.array_distinct(F.transform("assumed", lambda a: F.struct(a["assumption_id"], a["testable"]))), lambda u: F.struct(u["assumption_id"].alias("assumption_id"), u["testable"].alias("testable"), F.transform(F.filter("assumed", lambda a: a["assumption_id"] == u["assumption_id"]), lambda a: a["result_id"]).alias("affects_results")))
+    mapping = F.transform("policy_mapping_refs", lambda r: F.struct(r.alias("article_ref"), r.alias("requirement"), F.transform("tried", lambda c: F.concat(F.lit("metrics."), c["metric"])).alias("evidence_fields"), F.col("artifact_relpaths"), F.col("status").alias("status")))
     assessable = F.when(F.exists("evidence_classes", lambda c: c["status"] == "missing"), "inspectable_only").otherwise("assessable")
-    return both.select(
-        key, F.concat_ws("::", F.lit(run_id), key).alias("report_id"), F.map_from_entries(entries).alias("metrics"), assessable.alias("assessment_capability"), "evidence_classes",
-        F.array(criterion).alias("acceptance_criteria"), F.array(result).alias("results"), F.array(trace).alias("traceability"), "policy_mapping_refs", mapping.alias("policy_mapping"),
+    area = F.col("aoi_ha") if "aoi_ha" in metrics.columns else F.lit(None).cast("double")
+    where = geometry if geometry is not None else F.concat_ws("/", F.lit(run_id), key)
+    out = both.select(
+        F.col(key).alias("aoi_id"), F.concat_ws("::", F.lit(run_id), key).alias("report_id"), F.lit("aoi_report_v2").alias("report_version"), F.lit(generated_at).alias("generated_at_utc"), F.lit(run_id).alias("bundle_id"),
+        F.struct(F.lit("production").alias("report_type"), F.lit(regulation).alias("regulatory_context"), assessable.alias("assessment_capability")).alias("report_metadata"),
+        F.struct(F.lit("uri" if geometry is None else "wkt").alias("kind"), where.alias("value")).alias("aoi_geometry_ref"),
+        F.struct(F.transform("datasets", lambda d: F.struct(d["dataset_id"].alias("source_id"))).alias("sources")).alias("inputs"), "metrics",
+        F.transform("files", lambda f: f.dropFields("class_id")).alias("evidence_artifacts"), F.struct("evidence_classes").alias("evidence_registry"),
+        F.transform("tried", criterion).alias("acceptance_criteria"), F.transform("tried", result).alias("results"), F.transform("tried", trace).alias("regulatory_traceability"),
+        shared.alias("assumptions"), "policy_mapping_refs", F.create_map(F.lit("run_id"), F.lit(run_id)).alias("parameters"), "datasets", mapping.alias("policy_mapping"),
+        F.struct(F.struct(area.alias("area_ha"), F.lit("geodesic").alias("method")).alias("aoi_area"), F.struct(F.col("status").alias("status")).alias("deforestation_free_post_2020")).alias("results_summary"),
+        *(["external_dependencies"] if tiles is not None else []),
     )
+    return out if key == "aoi_id" else out.withColumnRenamed("aoi_id", key).withColumn("aoi_id", F.col(key))
 
 
 def plot_reports(zones: DataFrame, facts: DataFrame, run_id: str) -> DataFrame:

@@ -12,6 +12,7 @@ from ..functions import columns as C
 from ..operators import evidence as E
 from ..operators import parcels as P
 from ..operators import regions as R
+from ..operators import report_rules as V
 from ..operators import spatial as S
 from ..operators import zonal as Z
 from . import jobs
@@ -1007,6 +1008,75 @@ def _(get):
     return E.report_errors(reports)
 
 
+_LINES = "SELECT cast(l_orderkey AS bigint) AS k, cast(l_linenumber AS int) AS ln, cast(l_partkey AS int) AS pk, cast(l_suppkey AS int) AS sk, l_returnflag = 'R' AS rf, l_quantity > 10 AS listed FROM lineitem"
+#: What the reports of ``_nested`` break, by rule; ``loss`` holds the orders whose report speaks of loss.
+_BROKEN = {
+    "unknown_evidence_class": "'c4' FROM l WHERE ln <= 4 AND pk % 5 = 4",
+    "unknown_acceptance_criteria": "'k2' FROM l WHERE ln = 2",
+    "unknown_result_ref": "concat('x', ln) FROM l WHERE ln <= 4 AND pk % 7 = 0",
+    "untraced_result": "concat('r', ln) FROM l WHERE NOT EXISTS (SELECT 1 FROM l AS o WHERE o.k = l.k AND o.ln = l.ln AND o.ln <= 4 AND o.pk % 7 <> 0)",
+    "unknown_result": "concat('r', ln + 1) FROM l WHERE NOT EXISTS (SELECT 1 FROM l AS o WHERE o.k = l.k AND o.ln = l.ln + 1)",
+    "unknown_assumption": "concat('a', pk % 5) FROM l WHERE NOT EXISTS (SELECT 1 FROM l AS o WHERE o.k = l.k AND o.sk % 5 = l.pk % 5)",
+    "unflagged_result": "concat('r', ln) FROM l WHERE NOT rf AND EXISTS (SELECT 1 FROM l AS o WHERE o.k = l.k AND o.ln = l.ln - 1 AND o.sk % 5 = 0)",
+    "missing_block": "unnest([CASE WHEN k % 4 = 0 THEN 'computed.forest_loss_post_2020' END, CASE WHEN k % 5 = 0 THEN 'methodology.forest_loss_post_2020' END, CASE WHEN k % 6 = 0 THEN 'computed_outputs.forest_loss_post_2020' END]) FROM loss",
+    "placeholder_methodology": "'is_placeholder' FROM loss WHERE k % 5 <> 0 AND k % 7 = 0",
+    "unlisted_path": "unnest([CASE WHEN NOT EXISTS (SELECT 1 FROM l AS o WHERE o.k = l.k AND o.ln = l.ln AND o.listed) THEN concat('p', ln) END, CASE WHEN k IN (SELECT k FROM loss) AND k % 6 <> 0 THEN concat('m', k) END]) FROM l",
+    "missing_dependency": "CASE WHEN k % 8 = 0 OR NOT EXISTS (SELECT 1 FROM l WHERE l.k = loss.k AND ln <= 2) THEN 'none' WHEN NOT EXISTS (SELECT 1 FROM l WHERE l.k = loss.k AND ln <= 2 AND pk % 2 = 0) THEN 'hansen_gfc_2024_v1_12' END FROM loss",
+    "tile_without_source": "concat('t', ln) FROM l WHERE k IN (SELECT k FROM loss) AND k % 8 <> 0 AND ln <= 2 AND pk % 3 = 0 AND sk % 2 = 0",
+    "missing_outcome": "'validation.forest_area_crosscheck.outcome' FROM loss WHERE k % 18 = 0",
+    "assessable_with_missing_class": "'' FROM l WHERE k % 10 = 0",
+}
+_BROKEN_SQL = " UNION ALL ".join(f"SELECT DISTINCT k, '{rule}' AS rule, {rest.replace(' FROM ', ' AS detail FROM ', 1) if not rest.startswith(('unnest', 'CASE')) else ' AS detail FROM '.join(rest.rsplit(' FROM ', 1))}" for rule, rest in _BROKEN.items())
+
+
+def _nested(get) -> DataFrame:
+    """A report in JSON for each order, with its lines as results, assumptions, artifacts and dependencies."""
+    named = lambda letter, c: F.concat(F.lit(letter), F.col(c) if isinstance(c, str) else c)
+    every = lambda c: F.array_sort(F.collect_set(c))
+    some = lambda where, c: every(F.when(where, c))
+    pk, sk, ln, k = map(F.col, ("pk", "sk", "ln", "k"))
+    ref = F.concat(F.when(pk % 7 == 0, "x").otherwise("r"), "ln")
+    trace = F.struct(named("c", pk % 5).alias("evidence_class"), named("k", ln % 3).alias("acceptance_criteria"), ref.alias("result_ref"))
+    kind = F.when(F.col("rf"), "forest_loss_post_2020").otherwise("other")
+    result = F.struct(named("r", "ln").alias("result_id"), F.array(named("a", pk % 5)).alias("assumption_refs"), F.array(kind).alias("evidence_classes"), F.col("rf").alias("non_testable_due_to_assumptions"))
+    assumption = F.struct(named("a", sk % 5).alias("assumption_id"), (sk % 5 != 0).alias("testable"), F.array(named("r", ln + 1)).alias("affects_results"))
+    tile = F.struct(named("t", "ln").alias("tile_id"), F.when(sk % 2 == 0, " ").otherwise("u").alias("source_url"))
+    source = F.struct(F.when(pk % 2 == 0, V.WANTED).otherwise("other").alias("dependency_id"), F.when(pk % 3 == 0, "local").otherwise("url").alias("tile_source"), F.array(tile).alias("tiles_used"))
+    path = F.struct(named("p", "ln").alias("relpath"))
+    orders = get(_LINES).groupBy("k").agg(
+        some(ln <= 4, trace).alias("regulatory_traceability"), every(result).alias("results"), every(assumption).alias("assumptions"), some((ln <= 2) & (k % 8 != 0), source).alias("external_dependencies"),
+        some(F.col("listed"), path).alias("evidence_artifacts"), every(F.struct(named("x", "ln").alias("article_ref"), F.array(named("p", "ln")).alias("artifact_relpaths"))).alias("policy_mapping"),
+    )
+    block = lambda n, inner: F.when(k % n != 0, F.struct(inner.alias("forest_loss_post_2020")))
+    classes = F.array(*[F.struct(F.lit(f"c{i}").alias("class_id"), F.lit(i == 0).alias("mandatory"), F.when(k % 10 == 0, "missing").otherwise("present").alias("status")) for i in range(4)])
+    return orders.select(
+        named("R", "k").alias("report_id"), "regulatory_traceability", "results", "assumptions", "external_dependencies", "evidence_artifacts", "policy_mapping",
+        F.struct(classes.alias("evidence_classes")).alias("evidence_registry"), F.array(*[F.struct(F.lit(c).alias("criteria_id")) for c in ("k0", "k1")]).alias("acceptance_criteria"),
+        F.struct(F.lit("assessable").alias("assessment_capability")).alias("report_metadata"),
+        F.when(k % 3 == 0, F.create_map(F.lit(V.LOSS_METRIC), F.struct(F.lit(1.0).alias("value")))).alias("metrics"),
+        block(4, F.create_map(F.lit("area"), F.lit("1"))).alias("computed"), block(5, F.struct((k % 7 == 0).alias("is_placeholder"))).alias("methodology"),
+        block(6, F.struct(F.struct(named("m", "k").alias("relpath")).alias("mask_geojson_ref"))).alias("computed_outputs"),
+        F.when(k % 9 == 0, F.struct(F.struct(F.when(k % 2 == 0, "").otherwise("pass").alias("outcome")).alias("forest_area_crosscheck"))).alias("validation"),
+    )
+
+
+def _read_nested(get) -> DataFrame:
+    rows = _nested(get)
+    path = sources.scratch(rows.sparkSession)
+    rows.select(F.to_json(F.struct("*")).alias("value")).write.text(path)
+    return sources.read_reports(rows.sparkSession, path, whole=False)[0]
+
+
+@query("v2_to_v10_nested_reports", f"WITH l AS ({_LINES}), loss AS (SELECT DISTINCT k FROM l WHERE k % 3 = 0 OR rf) SELECT concat('R', k) AS report_id, rule, detail FROM ({_BROKEN_SQL}) b WHERE detail IS NOT NULL")
+def _(get):
+    return V.integrity_errors(_read_nested(get))
+
+
+@query("s8_report_values", f"WITH l AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY 'p' || ln) - 1 AS i FROM (SELECT DISTINCT k, ln FROM ({_LINES}) x WHERE listed) y) SELECT concat('R', k) AS report_id, concat('/evidence_artifacts/', i, '/relpath') AS pointer, concat('p', ln) AS value FROM l UNION ALL SELECT DISTINCT concat('R', k), concat('/metrics/', '{V.LOSS_METRIC}', '/value'), '1.0' FROM ({_LINES}) x WHERE k % 3 = 0")
+def _(get):
+    return V.report_values(_read_nested(get)).where("pointer like '/evidence_artifacts/%' or pointer like '/metrics/%'")
+
+
 # --- regions and regridding -----------------------------------------------------------------------
 
 _MASK = f"SELECT tile_id, prow, pcol, cast(prow AS bigint) * {R.WIDTH} + pcol AS id FROM pixels WHERE {OK} AND {FOREST} AND lossyear > 12"
@@ -1095,8 +1165,8 @@ def _(get):
     artifacts = ids.select("aoi_id", F.lit("summary").alias("class_id"), F.concat("aoi_id", F.lit("/summary.json")).alias("relpath"))
     artifacts = artifacts.union(ids.where("aoi_id <> 'A1'").select("aoi_id", F.lit("mask"), F.concat("aoi_id", F.lit("/mask.geojson"))))
     out = jobs.reports(status, artifacts, E.policy_refs(get("part").select(F.col("p_brand").alias("ref")), get("part").select(F.concat(F.lit("#"), "p_type").alias("ref"))), "report")
-    classes = F.array_join(F.transform("evidence_classes", lambda c: F.concat(c["class_id"], F.lit("="), c["status"])), "|")
-    return out.select("aoi_id", "report_id", F.size("metrics").alias("n_metrics"), F.round(F.col("metrics")["loss_after_ha"]["value"], 4).alias("loss_after_ha"), F.col("results")[0]["outcome"].alias("outcome"), classes.alias("classes"), "assessment_capability", F.size("policy_mapping").cast("bigint").alias("n_mapped"))
+    classes = F.array_join(F.transform("evidence_registry.evidence_classes", lambda c: F.concat(c["class_id"], F.lit("="), c["status"])), "|")
+    return out.select("aoi_id", "report_id", F.size("metrics").alias("n_metrics"), F.round(F.col("metrics")["loss_after_ha"]["value"], 4).alias("loss_after_ha"), F.col("results")[0]["outcome"].alias("outcome"), classes.alias("classes"), "report_metadata.assessment_capability", F.size("policy_mapping").cast("bigint").alias("n_mapped"))
 
 
 @query("q5_plot_reports", "SELECT concat('run::', box_id) AS report_id, box_id AS plot_id, round((c0 + c1) / 200.0, 8) AS lon, round((r0 + r1) / 200.0, 8) AS lat, 1 AS n_polygons, CASE WHEN r0 % 2 = 0 THEN aoi_id ELSE 'N/A' END AS operator, CASE WHEN r0 % 2 = 0 AND c0 % 3 = 0 THEN 'Yes' WHEN r0 % 2 = 0 AND c0 % 3 = 1 THEN 'No' ELSE 'N/A' END AS deforestation_detected FROM boxes")

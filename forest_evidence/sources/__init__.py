@@ -88,9 +88,31 @@ def read_evidence(spark: SparkSession, root: str, start: str, end: str) -> DataF
     return ordered(rows, "bundles")
 
 
-def read_reports(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """Reports with the contract's schema, and the documents that aren't JSON."""
-    raw = spark.read.text(path, wholetext=True)
+#: The fields of a report that its contract and integrity rules look at.
+REPORT_SCHEMA = """
+report_id string, report_version string, generated_at_utc string, bundle_id string, aoi_id string,
+report_metadata struct<report_type:string,regulatory_context:string,assessment_capability:string>,
+aoi_geometry_ref struct<kind:string,value:string,sha256:string>, inputs struct<sources:array<struct<source_id:string,sha256:string>>>,
+metrics map<string,struct<value:double,unit:string,notes:string>>,
+evidence_artifacts array<struct<relpath:string,sha256:string,size_bytes:bigint,content_type:string>>,
+evidence_registry struct<evidence_classes:array<struct<class_id:string,mandatory:boolean,status:string>>>,
+acceptance_criteria array<struct<criteria_id:string,description:string,evidence_classes:array<string>,decision_type:string>>,
+results array<struct<result_id:string,criteria_ids:array<string>,outcome:string,assumption_refs:array<string>,evidence_classes:array<string>,non_testable_due_to_assumptions:boolean>>,
+regulatory_traceability array<struct<regulation:string,evidence_class:string,acceptance_criteria:string,result_ref:string>>,
+assumptions array<struct<assumption_id:string,testable:boolean,affects_results:array<string>>>,
+policy_mapping_refs array<string>, parameters map<string,string>, datasets array<struct<dataset_id:string,retrieved_at_utc:string,license:string>>,
+policy_mapping array<struct<article_ref:string,requirement:string,evidence_fields:array<string>,artifact_relpaths:array<string>,status:string>>,
+results_summary struct<aoi_area:struct<area_ha:double,method:string>,deforestation_free_post_2020:struct<status:string>>,
+computed struct<forest_loss_post_2020:map<string,string>>, methodology struct<forest_loss_post_2020:struct<is_placeholder:boolean>>,
+computed_outputs struct<forest_loss_post_2020:struct<mask_geojson_ref:struct<relpath:string>,tiles_manifest_ref:struct<relpath:string>>>,
+external_dependencies array<struct<dependency_id:string,tile_source:string,tiles_used:array<struct<tile_id:string,source_url:string>>,tiles_manifest:struct<relpath:string>>>,
+validation struct<forest_area_crosscheck:struct<outcome:string,csv_ref:struct<relpath:string>,summary_ref:struct<relpath:string>>>
+""".replace("\n", " ")
+
+
+def read_reports(spark: SparkSession, path: str, schema: str = REPORT_SCHEMA, whole: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Reports with the contract's schema, and the documents that aren't JSON: whole files, or else one a line."""
+    raw = spark.read.text(path, wholetext=whole)
     parsed = raw.select("value", F.from_json("value", f"{schema}, __bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}).alias("r"))
     return parsed.where("r.__bad is null").select("r.*").drop("__bad"), parsed.where("r.__bad is not null").select("value")
 
