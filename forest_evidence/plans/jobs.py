@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evidence as E
 from ..operators import parcels as P
+from ..operators import report_rules as V
 from ..operators import spatial as S
 from ..operators import zonal as Z
 
@@ -113,6 +114,7 @@ def reports(
     assessable = F.when(F.exists("evidence_classes", lambda c: c["status"] == "missing"), "inspectable_only").otherwise("assessable")
     area = F.col("aoi_ha") if "aoi_ha" in metrics.columns else F.lit(None).cast("double")
     where = geometry if geometry is not None else F.concat_ws("/", F.lit(run_id), key)
+    mask = F.try_element_at(F.transform(F.filter("files", lambda f: f["class_id"] == V.LOSS), lambda f: f["relpath"]), F.lit(1))
     out = both.select(
         F.col(key).alias("aoi_id"), F.concat_ws("::", F.lit(run_id), key).alias("report_id"), F.lit("aoi_report_v2").alias("report_version"), F.lit(generated_at).alias("generated_at_utc"), F.lit(run_id).alias("bundle_id"),
         F.struct(F.lit("production").alias("report_type"), F.lit(regulation).alias("regulatory_context"), assessable.alias("assessment_capability")).alias("report_metadata"),
@@ -122,7 +124,8 @@ def reports(
         F.transform("tried", criterion).alias("acceptance_criteria"), F.transform("tried", result).alias("results"), F.transform("tried", trace).alias("regulatory_traceability"),
         shared.alias("assumptions"), "policy_mapping_refs", F.create_map(F.lit("run_id"), F.lit(run_id)).alias("parameters"), "datasets", mapping.alias("policy_mapping"),
         F.struct(F.struct(area.alias("area_ha"), F.lit("geodesic").alias("method")).alias("aoi_area"), F.struct(F.col("status").alias("status")).alias("deforestation_free_post_2020")).alias("results_summary"),
-        *(["external_dependencies"] if tiles is not None else []),
+        F.struct(F.transform_values("metrics", lambda _, m: m["value"]).alias(V.LOSS)).alias("computed"), F.struct(F.struct(F.lit(False).alias("is_placeholder")).alias(V.LOSS)).alias("methodology"),
+        F.struct(F.struct(F.struct(mask.alias("relpath")).alias("mask_geojson_ref")).alias(V.LOSS)).alias("computed_outputs"), *(["external_dependencies"] if tiles is not None else []),
     )
     return out if key == "aoi_id" else out.withColumnRenamed("aoi_id", key).withColumn("aoi_id", F.col(key))
 

@@ -1169,6 +1169,33 @@ def _(get):
     return out.select("aoi_id", "report_id", F.size("metrics").alias("n_metrics"), F.round(F.col("metrics")["loss_after_ha"]["value"], 4).alias("loss_after_ha"), F.col("results")[0]["outcome"].alias("outcome"), classes.alias("classes"), "report_metadata.assessment_capability", F.size("policy_mapping").cast("bigint").alias("n_mapped"))
 
 
+_RULED = " UNION ALL ".join(f"SELECT 'run::' || z.zone_id AS report_id, {v}" for v in [
+    "'sha256' AS rule, 'evidence_artifacts[].sha256' AS detail FROM z WHERE zone_id = 'A0'",
+    "'tile_without_source', t.tile_id FROM z JOIN tiles t ON z.zone_id = 'A2' AND t.tile_id >= 'T4'",
+    "'missing_dependency', 'hansen_gfc_2024_v1_12' FROM z WHERE zone_id = 'A3'",
+    "'unknown_result', 'gone' FROM z",
+    "'min_length', 'policy_mapping[].article_ref' FROM z WHERE EXISTS (SELECT 1 FROM part WHERE p_size = 50)",
+    "'min_length', 'policy_mapping[].requirement' FROM z WHERE EXISTS (SELECT 1 FROM part WHERE p_size = 50)",
+])
+
+
+@query("q4_report_rules", f"WITH z AS (SELECT DISTINCT zone_id FROM pixels) {_RULED}")
+def _(get):
+    status = P.loss_status(_metrics(get), F.lit(10000.0), F.col("loss_after_ha"), 60.0).withColumnRenamed("zone_id", "aoi_id").withColumn("aoi_ha", F.lit(900.0))
+    one = lambda c, path: status.select("aoi_id", F.lit(c).alias("class_id"), F.concat("aoi_id", F.lit(path)).alias("relpath"))
+    artifacts = one("summary", "/summary.json").union(one(V.LOSS, "/mask.geojson"))
+    artifacts = artifacts.withColumn("sha256", F.when(F.col("aoi_id") == "A0", "none").otherwise(F.sha2("relpath", 256))).withColumn("size_bytes", F.lit(10).cast("bigint"))
+    spark = status.sparkSession
+    criteria = spark.createDataFrame([("loss", "loss after the cutoff", V.LOSS, "loss_after_ha", 60.0), ("cover", "cover at the start", "summary", "reference_ha", 1e9)], "criteria_id string, description string, class_id string, metric string, most double")
+    assumptions = spark.createDataFrame([("tiles", False, "loss"), ("tiles", False, "gone"), ("grid", True, "cover")], "assumption_id string, testable boolean, result_id string")
+    datasets = get("catalogue").select("dataset_id", F.lit("2024-01-01").alias("retrieved_at_utc"), F.lit("free").alias("license"))
+    dependency = F.when(F.col("aoi_id") == "A3", "other").otherwise(V.WANTED).alias("dependency_id")
+    source = F.when((F.col("aoi_id") == "A2") & (F.col("tile_id") >= "T4"), " ").otherwise(F.concat(F.lit("https://example.org/"), "tile_id")).alias("source_url")
+    tiles = status.select("aoi_id").join(F.broadcast(get("tiles").select("tile_id"))).select("aoi_id", dependency, F.lit("local").alias("tile_source"), "tile_id", source)
+    refs = get("part").select(F.when(F.col("p_size") == 50, "").otherwise(F.col("p_brand")).alias("ref"))
+    return V.all_errors(jobs.reports(status, artifacts, refs, "run", criteria=criteria, assumptions=assumptions, datasets=datasets, tiles=tiles))
+
+
 @query("q5_plot_reports", "SELECT concat('run::', box_id) AS report_id, box_id AS plot_id, round((c0 + c1) / 200.0, 8) AS lon, round((r0 + r1) / 200.0, 8) AS lat, 1 AS n_polygons, CASE WHEN r0 % 2 = 0 THEN aoi_id ELSE 'N/A' END AS operator, CASE WHEN r0 % 2 = 0 AND c0 % 3 = 0 THEN 'Yes' WHEN r0 % 2 = 0 AND c0 % 3 = 1 THEN 'No' ELSE 'N/A' END AS deforestation_detected FROM boxes")
 def _(get):
     boxes = get("boxes")
