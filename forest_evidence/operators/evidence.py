@@ -15,7 +15,7 @@ EXCLUDED_PARTS = [".git", "audit", "outputs", ".venv", "__pycache__"]
 EXCLUDED_NAMES = ["keys.yml"]
 EXCLUDED_SUFFIXES = [".pyc"]
 HISTORY_KEY = ["dependency_id", "url", "discovered_by", "discovery_method"]
-ORDERS = {"metrics": ["variable"], "tiles": ["tile_id", "layer", "local_path"], "artifacts": ["relpath"], "history": [*HISTORY_KEY, "status"], "bundles": ["bundle_date", "bundle_id", "relpath"]}
+ORDERS = {"metrics": ["variable"], "tiles": ["tile_id", "layer", "local_path"], "artifacts": ["relpath"], "history": [*HISTORY_KEY, "status"], "bundles": ["bundle_date", "bundle_id", "relpath"], "index": ["bundle_date", "site_id", "run_name"]}
 #: suffix -> role, in order
 ROLES = {
     "/metrics.csv": "metrics_csv",
@@ -51,6 +51,36 @@ def diff_signatures(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return diff_artifacts(known(a), known(b), keys).where("state <> 'same'")
 
 
+def folder_signatures(files: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, folder, n_files, size_bytes, signature of every folder (the top one is ''), with all that lies below it.
+
+    A signature adds up the hashes of (path below the folder, content hash) in four parts of 60 bits, so files are
+    combined before the shuffle in any order, a file counts in each folder above it without rounds over levels, and
+    equal subtrees have equal signatures wherever they lie. ``files``: keys, relpath, sha256, where known size_bytes;
+    a missing hash counts as an empty text."""
+    parts = F.split("relpath", "/")
+    size = F.col("size_bytes").cast("bigint") if "size_bytes" in files.columns else F.lit(None).cast("bigint")
+    above = files.select(*keys, parts.alias("parts"), "sha256", size.alias("size_bytes"), F.explode(F.sequence(F.lit(0), F.size(parts) - 1)).alias("depth"))
+    folder = F.array_join(F.slice("parts", 1, F.col("depth")), "/")
+    below = F.array_join(F.slice("parts", F.col("depth") + 1, F.size("parts")), "/")
+    own = F.sha2(F.concat(below, F.lit("\0"), F.coalesce(F.col("sha256"), F.lit(""))), 256)
+    each = above.select(*keys, folder.alias("folder"), "size_bytes", *[F.conv(F.substring(own, 15 * i + 1, 15), 16, 10).cast("decimal(19,0)").alias(f"h{i}") for i in range(4)])
+    sums = [F.sum(f"h{i}").cast("string") for i in range(4)]
+    return each.groupBy(*keys, "folder").agg(F.count("*").alias("n_files"), F.sum("size_bytes").alias("size_bytes"), F.concat_ws("-", *sums).alias("signature"))
+
+
+def diff_by_folders(published: DataFrame, local: DataFrame, keys: list[str]) -> DataFrame:
+    """What ``diff_signatures`` gives by keys and relpath, but files of folders that are equal on both sides leave
+    before the two sides are joined. Paths are distinct within the keys of a side."""
+    known = lambda df: reduce(lambda d, c: d.where(F.col(c).isNotNull()), [*keys, "relpath", "sha256"], df)
+    a, b = known(published), known(local)
+    inside = lambda df: df.withColumn("folder", F.when(F.contains("relpath", F.lit("/")), F.regexp_replace("relpath", "/[^/]*$", "")).otherwise(""))
+    direct = lambda df: folder_signatures(inside(df).select(*keys, "folder", F.element_at(F.split("relpath", "/"), -1).alias("relpath"), "sha256").withColumnRenamed("folder", "direct"), [*keys, "direct"])
+    equal = direct(a).join(direct(b), [*keys, "direct", "signature", "n_files"]).select(*keys, F.col("direct").alias("folder"))
+    left = lambda df: inside(df).join(equal, [*keys, "folder"], "left_anti").drop("folder")
+    return diff_signatures(left(a), left(b), [*keys, "relpath"])
+
+
 def exclude_paths(df: DataFrame) -> DataFrame:
     """Rows whose path no rule of inventories leaves out."""
     parts = F.split("relpath", "/")

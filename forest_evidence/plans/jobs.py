@@ -146,6 +146,28 @@ def publish(runs: DataFrame, files: DataFrame, links: DataFrame, keep: int = 2)
     return latest.join(inventory, ["site_id", "run_name"], "left").fillna(0, ["n_files"]).join(ok, "site_id")
 
 
+def publish_changes(runs: DataFrame, files: DataFrame, published: DataFrame, keep: int = 2) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The index of the latest runs, what changed in them, and the published runs' files that are to go.
+
+    ``files`` and ``published``: site_id, run_name, relpath, sha256, size_bytes; what inventories leave out doesn't count.
+    The index has for each run its rank, count, size and signature of files, its state against what is published
+    (added, changed, same) and how many files differ. Changes are (site_id, run_name, relpath, state) of runs that
+    are published already and whose signatures differ; only their files are compared."""
+    keys = ["site_id", "run_name"]
+    latest = E.latest_runs(runs, keep).select(*keys, "bundle_date", "rank")
+    files, published = [E.exclude_paths(d) for d in (files, published)]
+    whole = lambda df: E.folder_signatures(df, keys).where("folder = ''").drop("folder")
+    mine = whole(files.join(latest.select(*keys), keys, "left_semi"))
+    there = whole(published).select(*keys, F.col("signature").alias("published_signature"))
+    state = F.when(F.col("published_signature").isNull(), "added").when(F.col("signature") == F.col("published_signature"), "same").otherwise("changed")
+    index = latest.join(mine, keys, "left").join(there, keys, "left").withColumn("state", state).drop("published_signature")
+    touched = index.where("state = 'changed'").select(*keys)
+    changes = E.diff_by_folders(published.join(touched, keys, "left_semi"), files.join(touched, keys, "left_semi"), keys)
+    counts = changes.groupBy(*keys).agg(F.count("*").alias("n_changes"))
+    index = E.ordered(index.join(counts, keys, "left").fillna(0, ["n_changes", "n_files", "size_bytes"]), "index")
+    return index, changes, published.join(latest, keys, "left_anti").select(*keys, "relpath")
+
+
 def catalogue(datasets: DataFrame, families: DataFrame) -> DataFrame:
     """Datasets with their family, and whether they have one."""
     out = E.join_families(datasets, families)

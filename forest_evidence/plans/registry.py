@@ -569,6 +569,17 @@ def _(get):
     return E.diff_signatures(*_sides(get), ["bundle_id", "relpath"])
 
 
+@query("j12_diff_by_folders", f"SELECT bundle_id, relpath, {_STATE} AS state FROM artifacts WHERE bundle_id IS NOT NULL AND (published = 1 OR local = 1) AND {_STATE} <> 'same'")
+def _(get):
+    return E.diff_by_folders(*_sides(get), ["bundle_id"])
+
+
+@query("s6_folder_sizes", """SELECT bundle_id, unnest(['', 'reports', regexp_replace(relpath, '/[^/]*$', '')]) AS folder, count(*) AS n_files, cast(sum(size_bytes) AS bigint) AS size_bytes FROM artifacts GROUP BY 1, 2""")
+def _(get):
+    files = get("artifacts").select("bundle_id", "relpath", F.sha2("content", 256).alias("sha256"), "size_bytes")
+    return E.folder_signatures(files, ["bundle_id"]).drop("signature")
+
+
 @query("u3_only_published", "SELECT relpath FROM artifacts WHERE published = 1 AND local = 0")
 def _(get):
     a, b = _sides(get)
@@ -1212,6 +1223,36 @@ def _(get):
     return jobs.publish(get("runs"), *_files(get), 2).select("site_id", "run_name", "rank", "n_files", "ok")
 
 
+_RUN_FILES = "SELECT site_id, concat('run_', cast(cast(o_orderdate AS date) AS string), '_', cast(o_orderkey AS int)) AS run_name, concat('maps/', cast(l_linenumber AS int), '/', CASE WHEN l_linenumber = 6 THEN '.env' WHEN l_linenumber % 2 = 0 THEN 'tile.json' ELSE 'mask.geojson' END) AS relpath, cast(l_partkey AS bigint) AS size_bytes, cast(l_linenumber AS int) AS ln, cast(o_orderkey AS int) AS k FROM (SELECT *, concat('site', cast(o_custkey % 10 AS int)) AS site_id FROM orders) o JOIN (SELECT l_orderkey, l_linenumber, max(l_partkey) AS l_partkey FROM lineitem GROUP BY 1, 2) l ON o_orderkey = l_orderkey"
+_PUBLISHED = "k % 3 <> 0 AND (k % 3 <> 1 OR ln <> 1)"
+
+
+def _run_files(get) -> tuple[DataFrame, DataFrame]:
+    """A file for each line of a run; of the runs, a third isn't published, in another the first line's file lacks and
+    the second's differs. What inventories leave out always differs."""
+    files = get(_RUN_FILES)
+    named = files.select("site_id", "run_name", "relpath", "size_bytes", "ln", "k")
+    sha = lambda extra: F.sha2(F.concat("relpath", extra), 256).alias("sha256")
+    keys = ["site_id", "run_name", "relpath", "size_bytes"]
+    other = F.when((F.col("ln") == 6) | ((F.col("k") % 3 == 1) & (F.col("ln") == 2)), "old").otherwise("")
+    return named.select(*keys, sha(F.lit(""))), named.where(_PUBLISHED).select(*keys, sha(other))
+
+
+_KEPT_FILES = f"(SELECT f.*, k3.rank, k3.bundle_date FROM ({_RUN_FILES}) f JOIN (SELECT site_id, run_name, bundle_date, cast(k AS int) AS rank FROM {_LATEST} t WHERE k <= 2) k3 USING (site_id, run_name) WHERE ln <> 6)"
+
+
+@query("q6_bundle_index", f"SELECT site_id, run_name, rank, count(*) AS n_files, cast(sum(size_bytes) AS bigint) AS size_bytes, CASE WHEN count(*) FILTER (WHERE {_PUBLISHED}) = 0 THEN 'added' WHEN count(*) FILTER (WHERE k % 3 = 1 AND ln <= 2) = 0 THEN 'same' ELSE 'changed' END AS state, CASE WHEN count(*) FILTER (WHERE {_PUBLISHED}) > 0 THEN count(*) FILTER (WHERE k % 3 = 1 AND ln <= 2) ELSE 0 END AS n_changes FROM {_KEPT_FILES} f GROUP BY 1, 2, 3")
+def _(get):
+    index, _, _ = jobs.publish_changes(get("runs"), *_run_files(get))
+    return index.where("n_files > 0").select("site_id", "run_name", "rank", "n_files", "size_bytes", "state", "n_changes")
+
+
+@query("q6_bundle_changes", f"SELECT site_id, run_name, relpath, CASE WHEN ln = 1 THEN 'added' ELSE 'changed' END AS state FROM {_KEPT_FILES} f WHERE k % 3 = 1 AND ln <= 2 AND EXISTS (SELECT 1 FROM {_KEPT_FILES} o WHERE o.k = f.k AND o.ln <> 1) UNION ALL SELECT site_id, run_name, relpath, 'to_go' FROM ({_RUN_FILES}) f WHERE ln <> 6 AND {_PUBLISHED} AND k NOT IN (SELECT k FROM {_KEPT_FILES} o)")
+def _(get):
+    _, changes, old = jobs.publish_changes(get("runs"), *_run_files(get))
+    return changes.union(old.withColumn("state", F.lit("to_go")))
+
+
 @query("q7_catalogue", "SELECT c.dataset_id, c.name, f.family, f.family IS NOT NULL AS has_family FROM catalogue c LEFT JOIN families f ON c.dataset_id = f.dataset_id")
 def _(get):
     spark, paths = get("catalogue").sparkSession, []

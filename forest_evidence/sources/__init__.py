@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,12 +75,51 @@ def read_link_registry(spark: SparkSession, path: str) -> DataFrame:
     return empty.unionByName(raw, allowMissingColumns=True)
 
 
-def file_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """relpath, sha256, size_bytes, content_type of all files below a folder."""
+#: Files up to this size are hashed as one value; Spark's binary source can't hold more than 2 GB in one.
+WHOLE_BYTES = 64 << 20
+BLOCK_BYTES = 4 << 20
+
+
+def _streamed_sha256(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """path, sha256 of files read block by block."""
+    import hashlib
+
+    from pyarrow import fs
+
+    for batch in batches:
+        hashes = []
+        for path in batch["path"].to_pylist():
+            # Spark writes local paths as file:/a, with % for special characters left as they are in the name
+            local = path.startswith("file:")
+            where, name = (fs.LocalFileSystem(), f"/{path[5:].lstrip('/')}") if local else fs.FileSystem.from_uri(path)
+            digest = hashlib.sha256()
+            with where.open_input_stream(name) as f:
+                while block := f.read(BLOCK_BYTES):
+                    digest.update(block)
+            hashes.append(digest.hexdigest())
+        yield pa.RecordBatch.from_pydict({"path": batch["path"], "sha256": pa.array(hashes, pa.string())})
+
+
+def file_inventory(spark: SparkSession, root: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """relpath, sha256, size_bytes, content_type of all files below a folder, of any size.
+
+    Files up to ``whole_bytes`` are hashed by Spark as values. Larger ones are listed without their content, dealt to
+    tasks by path and hashed block by block, so that a task holds one block. The list of paths is Spark's, on the driver,
+    which bounds the number of files below one root."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    small = files.where(F.col("length") <= whole_bytes).select("path", F.sha2("content", 256).alias("sha256"), "length")
+    large = files.where(F.col("length") > whole_bytes).select("path", "length")
+    dealt = large.select("path").repartition("path")
+    hashed = large.join(dealt.mapInArrow(_streamed_sha256, "path string, sha256 string"), "path").select("path", "sha256", "length")
     bare = root.split(":", 1)[-1].strip("/")
-    rel = F.substring_index("path", f"/{bare}/", -1)
-    return files.select(rel.alias("relpath"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size_bytes"), C.content_type(F.col("path")).alias("content_type"))
+    rel = F.substring_index("path", f"/{bare}/", -1).alias("relpath")
+    found = small.union(hashed)
+    # scans leave empty files out; Spark's own listing has them, as escaped addresses
+    listed = spark.createDataFrame(pa.table({"path": pa.array([unquote(p) for p in files.inputFiles()], pa.string())}))
+    empty = listed.select(rel).join(files.select(rel), "relpath", "left_anti")
+    empty = empty.select("relpath", F.sha2(F.lit(b""), 256).alias("sha256"), F.lit(0).cast("bigint").alias("size_bytes"))
+    rows = found.select(rel, "sha256", F.col("length").alias("size_bytes")).union(empty)
+    return rows.withColumn("content_type", C.content_type(F.col("relpath")))
 
 
 def read_evidence(spark: SparkSession, root: str, start: str, end: str) -> DataFrame:
