@@ -169,6 +169,83 @@ def regrid(pixels: DataFrame, x0: float, y0: float, step: float, width: int, hei
     return pixels.join(F.broadcast(rows), "prow").join(F.broadcast(columns), "pcol").drop("prow", "pcol")
 
 
+#: Grids that ``regrid_tiles`` knows, as source and target: degrees, equal areas, and Mercator on a sphere.
+DEGREES, EQUAL_AREA, MERCATOR = "EPSG:4326", "EPSG:6933", "EPSG:3857"
+
+
+def _move_lines(df: DataFrame, crs: Column, to_crs: Column, xs: dict[str, Column], ys: dict[str, Column]) -> DataFrame:
+    """``df`` with coordinates of lines of a grid on another one: longitude is linear in all of them, latitude goes
+    through degrees (also kept, as name_lat). Each step is a projection of its own, so that no expression holds
+    another one several times over."""
+    e2, k0 = C.WGS84_E2, math.cos(math.radians(30)) / math.sqrt(1 - C.WGS84_E2 * 0.25)
+    per_degree = lambda c: F.when(c == EQUAL_AREA, C.WGS84_A * k0 * math.pi / 180).when(c == MERCATOR, C.WGS84_A * math.pi / 180).otherwise(1.0)
+    df = df.withColumns({k: x / per_degree(crs) * per_degree(to_crs) for k, x in xs.items()} | {f"{k}_b": y for k, y in ys.items()})
+    ratio = 2 * k0 / (C.WGS84_A * C.Q_POLE)
+    df = df.withColumns({f"{k}_b": F.when(crs == EQUAL_AREA, F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col(f"{k}_b") * ratio)))).otherwise(F.col(f"{k}_b")) for k in ys})
+    series = lambda b: b + (e2 / 3 + 31 * e2**2 / 180 + 517 * e2**3 / 5040) * F.sin(2 * b) + (23 * e2**2 / 360 + 251 * e2**3 / 3780) * F.sin(4 * b) + 761 * e2**3 / 45360 * F.sin(6 * b)
+    lat = lambda b: F.when(crs == EQUAL_AREA, F.degrees(series(b))).when(crs == MERCATOR, F.degrees(2 * F.atan(F.exp(b / C.WGS84_A)) - math.pi / 2)).otherwise(b)
+    df = df.withColumns({f"{k}_lat": lat(F.col(f"{k}_b")) for k in ys})
+    df = df.withColumns({f"{k}_b": F.sin(F.radians(f"{k}_lat")) for k in ys})
+    mercator = lambda k: C.WGS84_A * F.ln(F.tan(math.pi / 4 + F.radians(f"{k}_lat") / 2))
+    equal = lambda k: C.WGS84_A * C.authalic_q(F.col(f"{k}_b")) / (2 * k0)
+    return df.withColumns({k: F.when(to_crs == EQUAL_AREA, equal(k)).when(to_crs == MERCATOR, mercator(k)).otherwise(F.col(f"{k}_lat")) for k in ys}).drop(*[f"{k}_b" for k in ys])
+
+
+def pixel_area_m2(crs: Column, y0: Column, step: Column) -> Column:
+    """A pixel's area in square metres: by its row in degrees, the same for all in a plane grid."""
+    top, low = y0 - F.col("prow") * step, y0 - (F.col("prow") + 1) * step
+    return F.when(F.coalesce(crs, F.lit(DEGREES)) == DEGREES, C.cell_area_m2(top, low, step)).otherwise(F.abs(step * step))
+
+
+def target_grids(tiles: DataFrame, target: str = EQUAL_AREA, cell: float | None = None) -> DataFrame:
+    """``tiles`` (tile_id, x0, y0, step, width, height, crs) with the grid that each goes to: to_crs, to_x0, to_y0,
+    to_step, to_width, to_height.
+
+    A tile of the target's own grid goes to EPSG:3857, one of that grid, without a grid, or where the target has no
+    finite coordinates (the poles in EPSG:3857) stays as it is. Cells are square, ``cell`` wide or such that the
+    diagonal has as many of them as the tile's has pixels."""
+    known = [DEGREES, EQUAL_AREA, MERCATOR]
+    if target not in known:
+        raise ValueError(f"the target must be one of {known}")
+    crs = F.col("crs")
+    right, low = F.col("x0") + F.col("width") * F.col("step"), F.col("y0") - F.col("height") * F.col("step")
+    wanted = F.when(~crs.isin(known), None).when(crs != target, F.lit(target)).when(crs != MERCATOR, F.lit(MERCATOR))
+    out = tiles.withColumn("to_crs", wanted)
+    out = _move_lines(out, crs, F.col("to_crs"), {"to_x0": F.col("x0"), "to_x1": right}, {"to_y0": F.col("y0"), "to_y1": low})
+    polar = F.greatest(F.abs("to_y0_lat"), F.abs("to_y1_lat")) >= 90
+    out = out.withColumn("to_crs", F.when(~((F.col("to_crs") == MERCATOR) & polar), F.col("to_crs")))
+    x0, y0, x1, y1 = [F.col(f"to_{c}") for c in ("x0", "y0", "x1", "y1")]
+    moved = F.col("to_crs").isNotNull()
+    w, h = x1 - x0, y0 - y1
+    size = F.lit(cell) if cell else F.sqrt(w * w + h * h) / F.sqrt(F.col("width").cast("double") * F.col("width") + F.col("height").cast("double") * F.col("height"))
+    out = out.withColumn("to_step", F.when(moved, size).otherwise(F.col("step")))
+    lines = lambda extent, n: F.when(moved, F.ceil(extent / F.col("to_step"))).otherwise(F.col(n)).cast("int")
+    out = out.withColumn("to_width", lines(w, "width")).withColumn("to_height", lines(h, "height"))
+    out = out.withColumn("to_x0", F.when(moved, x0).otherwise(F.col("x0"))).withColumn("to_y0", F.when(moved, y0).otherwise(F.col("y0")))
+    return out.withColumn("to_crs", F.coalesce("to_crs", "crs")).drop("to_x1", "to_y1", "to_y0_lat", "to_y1_lat")
+
+
+def regrid_tiles(pixels: DataFrame, tiles: DataFrame, target: str = EQUAL_AREA, cell: float | None = None) -> DataFrame:
+    """Nearest-neighbour values of the pixels of many tiles, each on the grid that ``target_grids`` gives it, with
+    drow and dcol for prow and pcol, and to_crs and to_step.
+
+    The grids are cylindrical, so a source row becomes the target rows whose centres lie between its two edges, and
+    columns likewise: each pixel gives its own target cells, without a map of cells or a shuffle. Tiles are some
+    hundreds to a globe; they are broadcast. Cells whose centre lies outside the tile have no row."""
+    grid = target_grids(tiles, target, cell).select("tile_id", "crs", "x0", "y0", "step", "to_crs", "to_x0", "to_y0", "to_step")
+    both = pixels.join(F.broadcast(grid.select("tile_id", *[F.col(c).alias(f"__{c}") for c in grid.columns[1:]])), "tile_id")
+    g = {c: F.col(f"__{c}") for c in grid.columns[1:]}
+    line = lambda n, more: (F.col(n) + more).cast("double") * g["step"]
+    both = _move_lines(both, g["crs"], g["to_crs"], {f"__x_{i}": g["x0"] + line("pcol", i) for i in (0, 1)}, {f"__y_{i}": g["y0"] - line("prow", i) for i in (0, 1)})
+    x0, x1, y0, y1 = map(F.col, ("__x_0", "__x_1", "__y_0", "__y_1"))
+    first = lambda d: F.ceil(d / g["to_step"] - 0.5).cast("int")
+    same = (g["to_crs"] == g["crs"]) | g["crs"].isNull()
+    spread = lambda a, b, n: F.when(same, F.array(F.col(n).cast("int"))).when(first(b) > first(a), F.sequence(first(a), first(b) - 1)).otherwise(F.array().cast("array<int>"))
+    rows = both.select("*", F.explode(spread(g["to_y0"] - y0, g["to_y0"] - y1, "prow")).alias("drow"))
+    cells = rows.select("*", F.explode(spread(x0 - g["to_x0"], x1 - g["to_x0"], "pcol")).alias("dcol"))
+    return cells.select(*[c for c in pixels.columns if c not in ("prow", "pcol")], "drow", "dcol", g["to_crs"].alias("to_crs"), g["to_step"].alias("to_step"))
+
+
 def polygon_area(polygons: Column) -> Column:
     """Area of plane polygons in square units; holes run the other way round and count against it."""
     ring = lambda r: F.aggregate(F.sequence(F.lit(1), F.size(r) - 1), F.lit(0.0), lambda s, i: s + r[i - 1]["x"] * r[i]["y"] - r[i]["x"] * r[i - 1]["y"])

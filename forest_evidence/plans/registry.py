@@ -1129,6 +1129,45 @@ def _(get):
     return R.regrid(get("pixels"), 30.0, Y0, STEP, 200, 200).groupBy("tile_id", "drow").agg(F.count("*").alias("n"), F.sum("treecover").alias("cover"))
 
 
+#: Eight tiles of two pixel sizes: six in degrees, one in metres of equal area, one without a grid.
+_GRIDS = "SELECT tile_id, CASE WHEN k = 6 THEN 1000000e0 ELSE 10.3e0 + 7 * k END AS x0, CASE WHEN k = 6 THEN 4000000e0 ELSE 61.7e0 - 13 * k END AS y0, CASE WHEN k = 6 THEN 2500e0 WHEN k % 2 = 0 THEN 0.02e0 ELSE 0.05e0 END AS step, 200 AS width, 200 AS height, CASE WHEN k < 6 THEN 'EPSG:4326' WHEN k = 6 THEN 'EPSG:6933' END AS crs FROM (SELECT tile_id, cast(substr(tile_id, 2) AS int) AS k FROM tiles) t"
+
+
+@query("g8_area_of_any_grid", f"SELECT g.tile_id, prow, round(CASE WHEN crs = 'EPSG:6933' THEN step * step ELSE {C.WGS84_A}e0 ^ 2 / 2 * radians(step) * abs({_Q % (('(y0 - prow * step)',) * 4)} - {_Q % (('(y0 - (prow + 1) * step)',) * 4)}) END, 1) AS area_m2 FROM (SELECT DISTINCT tile_id, prow FROM pixels) p JOIN ({_GRIDS}) g ON p.tile_id = g.tile_id")
+def _(get):
+    rows = get("pixels").select("tile_id", "prow").distinct().join(F.broadcast(_grids(get)), "tile_id")
+    return rows.select("tile_id", "prow", F.round(R.pixel_area_m2(F.col("crs"), F.col("y0"), F.col("step")), 1).alias("area_m2"))
+
+
+def _grids(get) -> DataFrame:
+    tiles = get("tiles").withColumn("k", F.substring("tile_id", 2, 9).cast("int"))
+    k, plane = F.col("k"), F.col("k") == 6
+    return tiles.select(
+        "tile_id", F.when(plane, 1000000.0).otherwise(10.3 + 7 * k).alias("x0"), F.when(plane, 4000000.0).otherwise(61.7 - 13 * k).alias("y0"),
+        F.when(plane, 2500.0).when(k % 2 == 0, 0.02).otherwise(0.05).alias("step"), F.lit(200).alias("width"), F.lit(200).alias("height"), F.when(k < 6, R.DEGREES).when(plane, R.EQUAL_AREA).alias("crs"),
+    )
+
+
+_AK = f"({C.WGS84_A}e0 * {_K0})"
+_MERCATOR_Y = f"({C.WGS84_A}e0 * ln(tan(pi() / 4 + radians(%s) / 2)))"
+_BETA = f"asin((%s) * 2 * {_K0} / ({C.WGS84_A}e0 * {C.Q_POLE!r}e0))"
+_SOURCE_LAT = f"CASE WHEN crs = 'EPSG:6933' THEN {_latitude('(' + _BETA + ')')} ELSE %s END"
+_TARGET = f"""g AS (SELECT * FROM ({_GRIDS}) x),
+e AS (SELECT *, {_SOURCE_LAT % (('y0',) * 5)} AS la, {_SOURCE_LAT % (('(y0 - height * step)',) * 5)} AS lb, CASE WHEN crs = 'EPSG:6933' THEN degrees(x0 / {_AK}) ELSE x0 END AS oa, CASE WHEN crs = 'EPSG:6933' THEN degrees((x0 + width * step) / {_AK}) ELSE x0 + width * step END AS ob FROM g WHERE crs IS NOT NULL),
+f AS (SELECT *, CASE WHEN crs = 'EPSG:6933' THEN {_MERCATOR_Y % 'la'} ELSE {_YOF % (('la',) * 4)} END AS ya, CASE WHEN crs = 'EPSG:6933' THEN {_MERCATOR_Y % 'lb'} ELSE {_YOF % (('lb',) * 4)} END AS yb, CASE WHEN crs = 'EPSG:6933' THEN {C.WGS84_A}e0 ELSE {_AK} END AS k FROM e),
+h AS (SELECT *, sqrt((k * radians(ob - oa)) ^ 2 + (ya - yb) ^ 2) / sqrt(width ^ 2 + height ^ 2) AS size FROM f),
+r AS (SELECT *, ya - (i + 0.5) * size AS y FROM (SELECT *, unnest(range(cast(ceil((ya - yb) / size) AS bigint))) AS i FROM h) u),
+rr AS (SELECT tile_id, cast(i AS int) AS drow, cast(floor(CASE WHEN crs = 'EPSG:6933' THEN (y0 - {_YOF % (('degrees(2 * atan(exp(y / ' + str(C.WGS84_A) + 'e0)) - pi() / 2)',) * 4)}) / step ELSE (y0 - {_latitude('(' + _BETA % 'y' + ')')}) / step END) AS int) AS prow FROM r),
+c AS (SELECT *, degrees(radians(oa) + (i + 0.5) * size / k) AS lon FROM (SELECT *, unnest(range(cast(ceil(k * radians(ob - oa) / size) AS bigint))) AS i FROM h) u),
+cc AS (SELECT tile_id, cast(i AS int) AS dcol, cast(floor(CASE WHEN crs = 'EPSG:6933' THEN ({_AK} * radians(lon) - x0) / step ELSE (lon - x0) / step END) AS int) AS pcol FROM c)"""
+
+
+@query("g9_regrid_tiles", f"WITH {_TARGET} SELECT p.tile_id, drow, count(*) AS n, cast(sum(dcol) AS bigint) AS columns, cast(sum(treecover) AS bigint) AS cover FROM pixels p JOIN rr USING (tile_id, prow) JOIN cc USING (tile_id, pcol) GROUP BY 1, 2 UNION ALL SELECT tile_id, prow, count(*), cast(sum(pcol) AS bigint), cast(sum(treecover) AS bigint) FROM pixels JOIN g USING (tile_id) WHERE crs IS NULL GROUP BY 1, 2")
+def _(get):
+    out = R.regrid_tiles(get("pixels").drop("zone_id"), _grids(get))
+    return out.groupBy("tile_id", "drow").agg(F.count("*").alias("n"), F.sum("dcol").alias("columns"), F.sum("treecover").alias("cover"))
+
+
 # --- jobs that chain the operators ----------------------------------------------------------------
 
 _ZONED = f"SELECT b.box_id AS zone_id, {', '.join(f'count(p.prow) FILTER (WHERE {OK} AND {w}) * {PIXEL_HA} AS {k}_ha' for k, w in _CASES.items())}, count(p.prow) FILTER (WHERE {OK} AND {FOREST}) AS n_reference, count(p.prow) FILTER (WHERE tree_valid = 0) AS n_tree_missing, (b.c1 - b.c0) * (b.r1 - b.r0) * {PIXEL_HA} AS aoi_ha FROM boxes b LEFT JOIN {_PLACED} p ON {_IN} GROUP BY b.box_id, b.c0, b.c1, b.r0, b.r1"
