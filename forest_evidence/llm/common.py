@@ -22,12 +22,12 @@ BROADCAST_BYTES = 24 << 20
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share. Only a local session, which has one machine, gets a temporary one."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_forest_evidence_shared", None)
     if not path:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        # the setting itself can't be changed in a running session
+        path = spark._forest_evidence_shared = tempfile.mkdtemp(prefix="spark-")
     return path
 
 

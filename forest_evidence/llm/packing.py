@@ -235,11 +235,12 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUN
     if not left:
         return whole
     step = max(1, capacity // CLASSES)
+    room = capacity // step
     groups: dict[int, list[int]] = {}
     for n in sorted(left, reverse=True):
-        groups.setdefault(-(-n // step), []).append(n)
+        # beyond the last whole step a piece fills the room alone, whatever is left of ``capacity``
+        groups.setdefault(min(-(-n // step), room), []).append(n)
     sizes = np.array(sorted(groups))
-    room = capacity // step
 
     def counts() -> np.ndarray:
         return np.array([float(sum(left.get(n, 0) for n in groups[s])) for s in sizes.tolist()])

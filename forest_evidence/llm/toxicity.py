@@ -61,7 +61,8 @@ class Model:
 
 
 def fit(texts: list[str], grades: np.ndarray) -> Model:
-    """Fit on texts with grades 0, 1, ...; a grade never seen still has its threshold."""
+    """Fit on texts with grades 0, 1, ... up to the highest one given, which sets the severity's range; a lower grade
+    that no text has still has its threshold."""
     ids: dict[str, int] = {}
     own, values = [], []
     for t in texts:

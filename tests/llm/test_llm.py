@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from forest_evidence.llm import decontaminate, edit_print, html_text, langid, licences, packing, pii, queries, recompression, setsketch, toxicity
+from forest_evidence.llm import common, decontaminate, edit_print, html_text, langid, licences, packing, pii, queries, recompression, setsketch, toxicity
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, n_chars long, id long, a string, b string, key string, pos int"
@@ -123,6 +123,24 @@ def test_repeats_equal_brute_force(spark, mixed, monkeypatch, block):
     assert got == kept_by_brute_force(mixed)
 
 
+@pytest.mark.parametrize("capacity", [7, 100, 511, 1000, 1001, 4097])
+def test_plans_of_any_capacity_hold_every_piece_once(capacity):
+    draw = random.Random(capacity)
+    for histogram in ({capacity - 1: 3}, {capacity: 2, 1: 5}, Counter(draw.randint(1, capacity) for _ in range(800))):
+        planned = packing.plan(dict(histogram), capacity, 20)
+        held: Counter = Counter()
+        for content, often in planned:
+            assert often > 0 and sum(n * k for n, k in content) <= capacity
+            for n, k in content:
+                held[n] += k * often
+        assert held == Counter(histogram)
+
+
+def test_a_local_session_without_a_shared_folder_gets_one(spark):
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        assert common.shared_dir(spark) == common.shared_dir(spark)
+
+
 def test_packing_round_trip(spark, mixed):
     from tokenizers import Tokenizer
 
