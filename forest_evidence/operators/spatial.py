@@ -234,14 +234,33 @@ def boxes_that_meet(a: DataFrame, b: DataFrame, cell: float, on: list[str]) -> D
     return met.where(meet & once).drop("at", "gx", "gy")
 
 
-def bbox_join(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
+#: Pairs of ids that a task makes of pairs of distinct boxes or zones.
+PAIRS_PER_TASK = 4_000_000
+
+
+def _expanded(pairs: DataFrame, a: DataFrame, b: DataFrame, on: tuple[list[str], list[str]]) -> DataFrame:
+    """Pairs of distinct things (on[0], on[1], a_n and b_n: how many rows are alike) with each row of ``a`` and ``b``.
+
+    Rows of ``a`` come in first and are dealt anew, so that the pairs of one large group are made by many tasks.
+    """
+    pairs = cut_lineage(pairs)
+    n = pairs.agg(F.sum(F.col("a_n") * F.col("b_n")).alias("n")).first()["n"] or 0
+    parts = max(pairs.sparkSession.sparkContext.defaultParallelism, min(20000, n // PAIRS_PER_TASK))
+    one = pairs.drop("a_n", "b_n").repartition(parts).join(a, on[0])
+    return one.repartition(parts).join(b, on[1])
+
+
+def bbox_join(a: DataFrame, b: DataFrame, cell: float, where: Column | None = None) -> DataFrame:
     """Pairs of boxes (a_id.., b_id..) that overlap or touch; columns id, x0, y0, x1, y1 on both sides.
 
     Boxes of any sizes meet in grid cells of their own size, ``cell`` and its powers; a pair that meets in several
-    is taken in the first they share.
+    is taken in the first they share. Equal boxes meet others once, whatever their number, and take on their ids
+    afterwards. ``where`` (a_x0.., b_x0..) is what pairs must fulfil besides.
     """
-    columns = ["id", "x0", "y0", "x1", "y1"]
-    return boxes_that_meet(a.select(columns), b.select(columns), cell, [])
+    box = ["x0", "y0", "x1", "y1"]
+    met = boxes_that_meet(*[df.groupBy(*box).agg(F.count("*").alias("n")) for df in (a, b)], cell, [])
+    sides = [df.select(*[F.col(c).alias(f"{p}_{c}") for c in ["id", *box]]) for p, df in (("a", a), ("b", b))]
+    return _expanded(met if where is None else met.where(where), *sides, ([f"a_{c}" for c in box], [f"b_{c}" for c in box]))
 
 
 #: Coordinates that differ by less than this share of their size are taken for equal.
@@ -310,9 +329,29 @@ def _inside(points: DataFrame, edges: DataFrame, on: list[str], cell: float) ->
     return out.select(*points.columns, F.coalesce("odd", F.lit(False)).alias("inside"))
 
 
+def _shapes(zones: DataFrame, p: str) -> tuple[DataFrame, DataFrame]:
+    """The distinct polygons of zones as zone_id (the smallest id that has them), polygons; and (shape, ``p``_id) of all."""
+    one = zones.where("size(polygons) > 0").groupBy("zone_id").agg(F.flatten(F.array_sort(F.collect_set("polygons"))).alias("polygons"))
+    one = cut_lineage(one)
+    shapes = cut_lineage(one.groupBy("polygons").agg(F.min("zone_id").alias("zone_id"), F.count("*").alias("n")))
+    ids = one.join(shapes.select("polygons", F.col("zone_id").alias(f"{p}_shape")), "polygons").select(f"{p}_shape", F.col("zone_id").alias(f"{p}_id"))
+    return shapes, cut_lineage(ids)
+
+
 def covered_by(inner: DataFrame, outer: DataFrame, cell: float) -> DataFrame:
     """(inner_id, outer_id) of zones in full inside one of ``outer``, boundary allowed: concave ones, holes, several parts.
 
+    Zones of equal polygons are tested once, whatever their number, and take on their ids afterwards.
+    """
+    (a, a_ids), (b, b_ids) = _shapes(inner, "inner"), _shapes(outer, "outer")
+    found = covered_shapes(a.select("zone_id", "polygons"), b.select("zone_id", "polygons"), cell).withColumnsRenamed({"inner_id": "inner_shape", "outer_id": "outer_shape"})
+    counted = found.join(a.select(F.col("zone_id").alias("inner_shape"), F.col("n").alias("a_n")), "inner_shape").join(b.select(F.col("zone_id").alias("outer_shape"), F.col("n").alias("b_n")), "outer_shape")
+    return _expanded(counted, a_ids, b_ids, (["inner_shape"], ["outer_shape"])).select("inner_id", "outer_id")
+
+
+def covered_shapes(inner: DataFrame, outer: DataFrame, cell: float) -> DataFrame:
+    """``covered_by`` zone by zone.
+
     Candidates come from boxes. Edges of both sides of a candidate meet in grid cells of their own size. Where
     an inner edge meets the outer boundary it is cut; pieces that don't run along it are inside or outside as
     their middle is, and so is what follows up to the next contact, so edges without contact need no test,
@@ -326,7 +365,7 @@ def covered_by(inner: DataFrame, outer: DataFrame, cell: float) -> DataFrame:
     inner, outer = whole(inner), whole(outer)
     box = lambda z: bounding_box(z).select(F.col("zone_id").alias("id"), F.col("min_x").alias("x0"), F.col("min_y").alias("y0"), F.col("max_x").alias("x1"), F.col("max_y").alias("y1"))
     fits = (F.col("a_x0") >= F.col("b_x0")) & (F.col("a_x1") <= F.col("b_x1")) & (F.col("a_y0") >= F.col("b_y0")) & (F.col("a_y1") <= F.col("b_y1"))
-    pairs = cut_lineage(bbox_join(box(inner), box(outer), cell).where(fits).select(F.col("a_id").alias("inner_id"), F.col("b_id").alias("outer_id")))
+    pairs = cut_lineage(bbox_join(box(inner), box(outer), cell, fits).select(F.col("a_id").alias("inner_id"), F.col("b_id").alias("outer_id")))
     both = ["inner_id", "outer_id"]
     ring = F.struct("poly", "ring").alias("ring")
     edges = lambda z, p: _boxed(segments(z, sided=True).select(F.col("zone_id").alias(p), ring, "left", "seq", "x1", "y1", "x2", "y2"))

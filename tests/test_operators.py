@@ -300,6 +300,29 @@ def test_boxes_of_all_sizes_meet(spark):
     assert own <= 4
 
 
+def test_equal_boxes_and_zones_are_tested_once(spark, monkeypatch):
+    """Many ids of few boxes: what meets in cells is bounded by the distinct ones, and every pair of ids is there."""
+    shapes = [(0, 0, 9, 9), (1, 1, 3, 3), (2, 2, 5, 12), (20, 20, 21, 21)]
+    boxes = [(i, *map(float, shapes[i % 4])) for i in range(120)]
+    df = spark.createDataFrame(boxes, "id int, x0 double, y0 double, x1 double, y1 double")
+    seen, plain = [], S.boxes_that_meet
+
+    def counted(a, b, cell, on):
+        seen.append((a.count(), b.count()))
+        return plain(a, b, cell, on)
+
+    monkeypatch.setattr(S, "boxes_that_meet", counted)
+    meet = lambda a, b: a[1] <= b[3] and b[1] <= a[3] and a[2] <= b[4] and b[2] <= a[4]
+    got = sorted((r.a_id, r.b_id) for r in S.bbox_join(df, df, 1.0).collect())
+    assert got == [(a[0], b[0]) for a in boxes for b in boxes if meet(a, b)]
+    zones = S.boxes_to_zones(df, "id", *map(F.col, ("x0", "y0", "x1", "y1")))
+    zones = zones.union(zones.where("zone_id < 7"))  # ids that repeat are one zone
+    got = sorted((r.inner_id, r.outer_id) for r in S.covered_by(zones, zones, 1.0).collect())
+    within = lambda a, b: a[1] >= b[1] and a[2] >= b[2] and a[3] <= b[3] and a[4] <= b[4]
+    assert got == [(a[0], b[0]) for a in boxes for b in boxes if within(a, b)]
+    assert max(max(n) for n in seen) < 60
+
+
 def test_span_counts_equal_counts_of_zoned_pixels(spark):
     """Rows of several blocks of 64 columns, with gaps, invalid pixels, long spans, ends on block edges, empty zones."""
     rng = random.Random(6)
