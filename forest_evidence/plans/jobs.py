@@ -65,11 +65,12 @@ def _listed(rows: DataFrame | None, name: str, kind: str) -> Callable[[DataFrame
 
 def reports(
     metrics: DataFrame, artifacts: DataFrame, refs: DataFrame, run_id: str, key: str = "aoi_id", criteria: DataFrame | None = None, assumptions: DataFrame | None = None,
-    datasets: DataFrame | None = None, tiles: DataFrame | None = None, geometry: Column | None = None, generated_at: str = "1970-01-01T00:00:00Z", regulation: str = "EUDR",
+    datasets: DataFrame | None = None, tiles: DataFrame | None = None, classes: DataFrame | None = None, geometry: Column | None = None, generated_at: str = "1970-01-01T00:00:00Z", regulation: str = "EUDR",
 ) -> DataFrame:
     """A nested report of the contract for each row of ``metrics`` (its numbers, the status, aoi_ha where known).
 
-    ``artifacts``: key, class_id, relpath and where known sha256, size_bytes. ``criteria``: criteria_id, description,
+    ``artifacts``: key, class_id, relpath and where known sha256, size_bytes. ``classes`` (class_id): those that every
+    report has an entry for, if no report has an artifact of one, too; else those that artifacts have. ``criteria``: criteria_id, description,
     class_id, metric, most (a result passes up to there). ``assumptions``: assumption_id, testable, result_id.
     ``refs`` (ref), criteria, assumptions and ``datasets`` (dataset_id, retrieved_at_utc, license) belong to the run:
     short lists that are broadcast. ``tiles``: key, dependency_id, tile_source, tile_id, source_url.
@@ -77,7 +78,8 @@ def reports(
     names = [c for c, kind in metrics.dtypes if kind == "double"]
     unit = lambda c: F.lit("percent" if "_pct" in c else "ha")
     entries = F.array(*[F.struct(F.lit(c).alias("key"), F.struct(F.col(c).alias("value"), unit(c).alias("unit"), F.lit("").alias("notes")).alias("value")) for c in names])
-    ids = metrics.select(F.col(key).alias("report_id")).crossJoin(F.broadcast(artifacts.select("class_id").distinct()))
+    declared = (artifacts if classes is None else classes).select("class_id").distinct()
+    ids = metrics.select(F.col(key).alias("report_id")).crossJoin(F.broadcast(declared))
     status = E.class_status(ids, artifacts.withColumnRenamed(key, "report_id"))
     classes = status.groupBy(F.col("report_id").alias(key)).agg(F.array_sort(F.collect_list(F.struct("class_id", F.lit(True).alias("mandatory"), "status"))).alias("evidence_classes"))
     known = lambda c, kind: F.col(c) if c in artifacts.columns else F.lit(None).cast(kind).alias(c)
