@@ -113,3 +113,14 @@ def test_values_have_pointers(reports):
                 yield f"{pointer}/{k}", str(v).lower() if isinstance(v, bool) else str(v)
 
     assert got == {(p, v) for p, v in walk(GOOD, "") if p != "/report_id"}
+
+
+def test_reports_are_parsed_once(spark, tmp_path, monkeypatch):
+    """One from_json for the filter and the fields, one evaluation of the rules; wanted fields alone are walked."""
+    (tmp_path / "r.json").write_text('{"report_id": "a", "metrics": {"m": {"value": 1.0}}, "results": [{"result_id": "r"}]}\n{"report_id": \n')
+    rows, broken = sources.read_reports(spark, str(tmp_path), whole=False)
+    plan = V.integrity_errors(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and plan.count("unknown_result_ref") == 1
+    assert broken.count() == 1
+    assert [tuple(r) for r in V.report_values(rows, ["metrics"]).collect()] == [("a", "/metrics/m/value", "1.0")]
+    assert {r.pointer for r in V.report_values(rows).collect()} == {"/metrics/m/value", "/results/0/result_id"}
