@@ -51,16 +51,17 @@ def diff_signatures(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return diff_artifacts(known(a), known(b), keys).where("state <> 'same'")
 
 
-def folder_signatures(files: DataFrame, keys: list[str]) -> DataFrame:
+def folder_signatures(files: DataFrame, keys: list[str], top: bool = False) -> DataFrame:
     """keys, folder, n_files, size_bytes, signature of every folder (the top one is ''), with all that lies below it.
 
     A signature adds up the hashes of (path below the folder, content hash) in four parts of 60 bits, so files are
     combined before the shuffle in any order, a file counts in each folder above it without rounds over levels, and
     equal subtrees have equal signatures wherever they lie. ``files``: keys, relpath, sha256, where known size_bytes;
-    a missing hash counts as an empty text."""
+    a missing hash counts as an empty text. ``top``: the top folder alone."""
     parts = F.split("relpath", "/")
+    depths = F.array(F.lit(0)) if top else F.sequence(F.lit(0), F.size(parts) - 1)
     size = F.col("size_bytes").cast("bigint") if "size_bytes" in files.columns else F.lit(None).cast("bigint")
-    above = files.select(*keys, parts.alias("parts"), "sha256", size.alias("size_bytes"), F.explode(F.sequence(F.lit(0), F.size(parts) - 1)).alias("depth"))
+    above = files.select(*keys, parts.alias("parts"), "sha256", size.alias("size_bytes"), F.explode(depths).alias("depth"))
     folder = F.array_join(F.slice("parts", 1, F.col("depth")), "/")
     below = F.array_join(F.slice("parts", F.col("depth") + 1, F.size("parts")), "/")
     own = F.sha2(F.concat(below, F.lit("\0"), F.coalesce(F.col("sha256"), F.lit(""))), 256)

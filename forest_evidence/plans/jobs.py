@@ -156,15 +156,20 @@ def publish_changes(runs: DataFrame, files: DataFrame, published: DataFrame, kee
     (added, changed, same) and how many files differ. Changes are (site_id, run_name, relpath, state) of runs that
     are published already and whose signatures differ; only their files are compared."""
     keys = ["site_id", "run_name"]
-    latest = E.latest_runs(runs, keep).select(*keys, "bundle_date", "rank")
+    latest = S.cut_lineage(E.latest_runs(runs, keep).select(*keys, "bundle_date", "rank"))
     files, published = [E.exclude_paths(d) for d in (files, published)]
-    whole = lambda df: E.folder_signatures(df, keys).where("folder = ''").drop("folder")
-    mine = whole(files.join(latest.select(*keys), keys, "left_semi"))
-    there = whole(published).select(*keys, F.col("signature").alias("published_signature"))
+    # files of other runs than the latest leave before anything is hashed or shuffled; the latest are written, as
+    # Spark takes them for as large as all runs otherwise and shuffles every file to meet them
+    of_latest = lambda df: S.cut_lineage(df.join(latest.select(*keys), keys, "left_semi"))
+    own, known = of_latest(files), of_latest(published)
+    whole = lambda df: E.folder_signatures(df, keys, top=True).drop("folder")
+    mine = whole(own)
+    there = whole(known).select(*keys, F.col("signature").alias("published_signature"))
     state = F.when(F.col("published_signature").isNull(), "added").when(F.col("signature") == F.col("published_signature"), "same").otherwise("changed")
     index = latest.join(mine, keys, "left").join(there, keys, "left").withColumn("state", state).drop("published_signature")
+    index = S.cut_lineage(index)
     touched = index.where("state = 'changed'").select(*keys)
-    changes = E.diff_by_folders(published.join(touched, keys, "left_semi"), files.join(touched, keys, "left_semi"), keys)
+    changes = E.diff_by_folders(known.join(touched, keys, "left_semi"), own.join(touched, keys, "left_semi"), keys)
     counts = changes.groupBy(*keys).agg(F.count("*").alias("n_changes"))
     index = E.ordered(index.join(counts, keys, "left").fillna(0, ["n_changes", "n_files", "size_bytes"]), "index")
     return index, changes, published.join(latest, keys, "left_anti").select(*keys, "relpath")

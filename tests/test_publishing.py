@@ -63,3 +63,21 @@ def test_publishing_twice_changes_nothing(spark):
     index, changes, old = jobs.publish_changes(runs, mine, mine)
     assert {r.state for r in index.collect()} == {"same"} and changes.count() == 0
     assert sorted((r.run_name, r.relpath) for r in old.collect()) == [("r0", "a/1"), ("r0", "a/2"), ("r0", "b/1")]
+
+
+def test_files_of_the_latest_runs_alone_are_hashed(spark, monkeypatch):
+    runs = spark.createDataFrame([("s", f"r{i}", i) for i in range(9)], "site_id string, run_name string, bundle_date int")
+    kind = "site_id string, run_name string, relpath string, sha256 string, size_bytes bigint"
+    mine = spark.createDataFrame([("s", f"r{i}", p, p, 2) for i in range(9) for p in ("a/1", "b")], kind)
+    there = spark.createDataFrame([("s", f"r{i}", p, p if i < 8 else "old", 2) for i in range(9) for p in ("a/1", "b")], kind)
+    seen, plain = set(), jobs.E.folder_signatures
+
+    def watched(files, keys, **how):
+        seen.update(r.run_name for r in files.select("run_name").distinct().collect())
+        return plain(files, keys, **how)
+
+    monkeypatch.setattr(jobs.E, "folder_signatures", watched)
+    index, changes, old = jobs.publish_changes(runs, mine, there)
+    assert {(r.run_name, r.state, r.n_changes) for r in index.collect()} == {("r7", "same", 0), ("r8", "changed", 2)}
+    assert changes.count() == 2 and old.count() == 14
+    assert seen == {"r7", "r8"}
