@@ -300,6 +300,17 @@ def test_boxes_of_all_sizes_meet(spark):
     assert own <= 4
 
 
+def test_features_are_read_as_whole_texts(spark, tmp_path):
+    """No JSON scan, which reads the file again for each feature's coordinates; marks and blank files do no harm."""
+    one = '{"type": "Feature", "properties": {"a": "%d"}, "geometry": {"type": "Point", "coordinates": [%d, 2.50]}}'
+    (tmp_path / "a.json").write_text('\ufeff{"type": "FeatureCollection",\n"features": [' + ",\n".join(one % (i, i) for i in range(3)) + "]}", "utf-8")
+    (tmp_path / "b.json").write_text('{"type": "Point",\n "coordinates": [7, 8]}')
+    (tmp_path / "c.json").write_text("\n")
+    rows = sources.read_features(spark, str(tmp_path))
+    assert sorted((r.doc[-6:], r.pos, r.coordinates) for r in rows.collect()) == [("a.json", i + 1, f"[{i},2.5]") for i in range(3)] + [("b.json", 1, "[7,8]")]
+    assert "Format: Text" in rows._jdf.queryExecution().executedPlan().toString()
+
+
 def test_equal_boxes_and_zones_are_tested_once(spark, monkeypatch):
     """Many ids of few boxes: what meets in cells is bounded by the distinct ones, and every pair of ids is there."""
     shapes = [(0, 0, 9, 9), (1, 1, 3, 3), (2, 2, 5, 12), (20, 20, 21, 21)]
