@@ -189,13 +189,18 @@ Comparer = Callable[[pd.DataFrame], Callable[[np.ndarray, np.ndarray, bool], tup
 
 #: Rows of a large group that all others are compared with first.
 LEADS = 8
+#: Rows of a small group, whose pairs are all compared at once.
+PAIRED = 8
 
 
-def group_links(members: DataFrame, key: str, block: int, comparer: Comparer) -> DataFrame:
+def group_links(members: DataFrame, key: str, block: int, comparer: Comparer, together: int = 1) -> DataFrame:
     """Links (a, b) between rows (``id``, ``n_key`` of them to a ``key``) of one key, so many that they reach what
     all links of the key reach.
 
-    A key of up to ``block`` rows is one group. In a larger one every row is compared with the same few leads,
+    ``members`` is written once, as it is read again for the large keys. A key of up to ``block`` rows is one group,
+    in which rows meet all that they aren't reached from yet, so that a key of near copies takes about as many
+    comparisons as it has rows; small groups are handed to ``comparer`` together until they have ``together`` rows.
+    In a larger one every row is compared with the same few leads,
     block by block. Leads that share a row are linked through it; of the clusters of leads, that around the lead
     with the most rows is taken. Its rows are linked already, so that comparisons are left only for the others,
     each with all rows of the key. These are done in pairs of blocks. No group holds more than two blocks; a row
@@ -204,16 +209,51 @@ def group_links(members: DataFrame, key: str, block: int, comparer: Comparer) ->
     kind = members.schema["id"].dataType.simpleString()
     links = f"a {kind}, b {kind}"
 
+    members = staged(members)
+    pairs_of = [np.triu_indices(n, 1) for n in range(PAIRED + 1)]
+
     def forest(group: pd.DataFrame, x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
         ids, sets = group["id"].to_numpy(), DisjointSets(len(group))
         x, y = comparer(group)(x, y, True)
         keep = [(a, b) for a, b in zip(x.tolist(), y.tolist()) if sets.join(a, b)]
         return pd.DataFrame({"a": ids[[a for a, _ in keep]], "b": ids[[b for _, b in keep]]})
 
+    def by_reach(group: pd.DataFrame) -> pd.DataFrame:
+        """``forest`` of all pairs: 1, 2, 4, ... rows meet those behind them that aren't reached from them yet."""
+        n, ids, linked = len(group), group["id"].to_numpy(), comparer(group)
+        sets, root, keep, first, many = DisjointSets(n), np.arange(n), [], 0, 1
+        while first < n - 1:
+            x, y = np.divmod(np.arange(min(many, n - 1 - first) * n), n)
+            x += first
+            apart = (y > x) & (root[x] != root[y])
+            first, many = first + many, 2 * many
+            if apart.any():
+                x, y = linked(x[apart], y[apart], True)
+                keep += [(a, b) for a, b in zip(x.tolist(), y.tolist()) if sets.join(a, b)]
+                root = np.array([sets.find(i) for i in range(n)])
+                if not root.any():  # all are reached from the first
+                    break
+        return pd.DataFrame({"a": ids[[a for a, _ in keep]], "b": ids[[b for _, b in keep]]})
+
+    def side_by_side(groups: list[pd.DataFrame]) -> pd.DataFrame:
+        """``forest`` of all pairs inside each of some small groups, compared in one go."""
+        ends = np.cumsum([len(g) for g in groups]).tolist()
+        pairs = np.concatenate([np.array(pairs_of[len(g)]) + end - len(g) for g, end in zip(groups, ends)], 1)
+        return forest(pd.concat(groups, ignore_index=True), *pairs)
+
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        few, rows = [], 0
         for group in by_group(batches, [key]):
-            if len(group) > 1:
-                yield forest(group, *np.triu_indices(len(group), 1))
+            if len(group) > PAIRED:
+                yield by_reach(group)
+            elif len(group) > 1:
+                few.append(group)
+                rows += len(group)
+                if rows >= together:
+                    yield side_by_side(few)
+                    few, rows = [], 0
+        if few:
+            yield side_by_side(few)
 
     def with_leads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in by_group(batches, [key, "q"]):

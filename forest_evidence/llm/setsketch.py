@@ -196,7 +196,7 @@ def _judged(docs: DataFrame, threshold: int) -> DataFrame:
     bands = nodes.select("id", key.alias("band"))
     shared = bands.groupBy("band").agg(F.count("*").alias("n_key")).where("n_key > 1")
     members = bands.join(shared, "band").join(nodes.select("id", "n_shingles", "registers"), "id")
-    pairs = staged(group_links(members, "band", BLOCK, _by_sketch).distinct())
+    pairs = staged(group_links(members, "band", BLOCK, _by_sketch, 4 * BLOCK).distinct())
 
     family = staged(components(pairs).select("id", F.col("component").alias("family")))
     sized = family.join(family.groupBy("family").agg(F.count("*").alias("n_key")), "family")

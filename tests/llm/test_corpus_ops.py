@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from forest_evidence.llm import alignment, phrases, queries, secret_scan
+from forest_evidence.llm import alignment, common, phrases, queries, secret_scan
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, key long, a string, n int, phrase string, slice long, kind string, start int"
@@ -228,3 +228,34 @@ def test_threshold_keeps_recall():
     y = (np.arange(400) % 2).astype(float)
     t = secret_scan.threshold(p, y)
     assert (p[y == 1] >= t).mean() >= secret_scan.RECALL > (p[y == 1] >= t + 0.06).mean()
+
+
+def test_group_links_reads_members_once_and_skips_reached_pairs(spark):
+    read, compared = (spark.sparkContext.accumulator(0) for _ in range(2))
+    sizes = {1: 2, 2: 5, 3: 40, 4: 60, 5: 130}  # key 5 is beyond the block
+    rows = [(k, 1000 * k + i, i % (2 if k == 4 else 1), n) for k, n in sizes.items() for i in range(n)]
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    def comparer(group):
+        kind = group["kind"].to_numpy()
+
+        def linked(x, y, some):
+            compared.add(len(x))
+            near = kind[x] == kind[y]
+            return x[near], y[near]
+
+        return linked
+
+    members = common.in_frames(spark.createDataFrame(rows, "k int, id long, kind int, n_key int"), counted, "k int, id long, kind int, n_key int")
+    links = common.group_links(members, "k", 100, comparer, 6).collect()
+    assert read.value == len(rows)  # six times as many when every use of a large key read them anew
+    assert compared.value < 2561  # all pairs of the small keys and 1040 with leads came to 3601
+    sets = common.DisjointSets(6000)
+    for a, b in links:
+        sets.join(a, b)
+    root = {i: sets.find(i) for _, i, _, _ in rows}
+    assert all(root[i] == 1000 * k + (kind if k == 4 else 0) for k, i, kind, _ in rows)
