@@ -182,10 +182,13 @@ def edited_prints(docs: DataFrame) -> DataFrame:
     return done.where("first is null").select(*_COLUMNS).union(in_frames(waiting, finish, digest))
 
 
+#: The value of each hexadecimal digit's character.
+_VALUE = np.array([int(chr(c), 16) if chr(c) in "0123456789abcdef" else 0 for c in range(128)])
+
+
 def likenesses(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """``likeness`` of the rows of two matrices of fingerprints' characters, row by row."""
-    digits = np.array([int(chr(c), 16) if chr(c) in "0123456789abcdef" else 0 for c in range(128)])
-    sa, sb = (digits[m[:, 0]] * 16 + digits[m[:, 1]] for m in (a, b))
+    sa, sb = (_VALUE[m[:, 0]] * 16 + _VALUE[m[:, 1]] for m in (a, b))
     s, places = np.maximum(sa, sb), np.arange(SAMPLES)
     reach = np.abs(sa - sb) <= 1
 
@@ -257,6 +260,6 @@ def near_classes(docs: DataFrame, least: float = LEAST_LIKENESS) -> DataFrame:
     keys = staged(in_frames(nodes, keyed, f"id {kind}, band long"))
     shared = keys.groupBy("band").agg(F.count("*").alias("n_key")).where("n_key > 1")
     members = keys.join(shared, "band").join(nodes, "id")
-    classes = components(group_links(members, "band", BLOCK, comparer))
+    classes = components(group_links(members, "band", BLOCK, comparer, 4 * BLOCK))
     out = rows.join(nodes, "print", "left").join(classes, "id", "left")
     return out.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id")).alias("class_id"))
