@@ -94,9 +94,13 @@ class Words:
         coded = words.dictionary_encode()
         self.distinct, self.codes, self.starts = coded.dictionary, coded.indices.to_numpy(), starts.astype(np.int64)
 
+    def spelled(self) -> list[str]:
+        """The distinct words; by way of numpy, which makes no Arrow scalar of each."""
+        return self.distinct.to_numpy(zero_copy_only=False).tolist()
+
     def hashes(self) -> np.ndarray:
         """A 64-bit hash for each word."""
-        own = np.fromiter(map(xxhash.xxh64_intdigest, self.distinct.to_pylist()), np.uint64, len(self.distinct))
+        own = np.fromiter(map(xxhash.xxh64_intdigest, self.spelled()), np.uint64, len(self.distinct))
         return own[self.codes] if len(own) else np.zeros(0, np.uint64)
 
 

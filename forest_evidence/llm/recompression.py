@@ -202,7 +202,7 @@ def _repeated_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
             hot = np.isin(place + 1, wanted)
             keep = np.flatnonzero(hot | np.isin(place, wanted))
             begin = words.starts[doc[keep]] + first[keep]
-            plain = words.distinct.to_pylist()
+            plain = words.spelled()
             spelled = [" ".join([plain[c] for c in words.codes[x : x + k + WINDOW - 1].tolist()]) for x, k in zip(begin.tolist(), n[keep].tolist())]
             yield pd.DataFrame({"key": key[keep], "doc_id": ids[a + doc[keep]], "pos": first[keep], "hot": hot[keep], "words": spelled})
 
@@ -213,8 +213,10 @@ def first_equal(words: Words, starts: np.ndarray) -> np.ndarray:
     Hashes find it and the words confirm it; should hashes of different words be equal, words alone decide.
     """
     h = window_hashes(words.hashes())[starts]
-    _, at, of = np.unique(h, return_index=True, return_inverse=True)
-    least = at[of]
+    of, values = pd.factorize(h)
+    first = np.zeros(len(values), np.int64)
+    first[of[::-1]] = np.arange(len(h) - 1, -1, -1)  # the last one written is the first start
+    least = first[of]
     late = np.flatnonzero(least != np.arange(len(starts)))
     same = np.ones(len(late), bool)
     for j in range(WINDOW):
@@ -245,7 +247,7 @@ def _not_first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, start = words.starts[row] + step, pos[row] + step
         least = first_equal(words, at)
         again = (doc[row] != doc[row[least]]) | (start != start[least])
-        spelled = words.distinct.to_pylist() if key[0] == last or key[-1] != last else []
+        spelled = words.spelled() if key[0] == last or key[-1] != last else []
 
         def window(i: int, at=at, words=words, spelled=spelled) -> bytes:
             return b" ".join([spelled[c].encode() for c in words.codes[at[i] : at[i] + WINDOW].tolist()])

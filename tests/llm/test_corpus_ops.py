@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from forest_evidence.llm import alignment, common, phrases, queries, secret_scan
+from forest_evidence.llm import alignment, common, phrases, queries, recompression, secret_scan
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, key long, a string, n int, phrase string, slice long, kind string, start int"
@@ -259,3 +259,14 @@ def test_group_links_reads_members_once_and_skips_reached_pairs(spark):
         sets.join(a, b)
     root = {i: sets.find(i) for _, i, _, _ in rows}
     assert all(root[i] == 1000 * k + (kind if k == 4 else 0) for k, i, kind, _ in rows)
+
+
+def test_first_equal_of_windows_and_spelled_words():
+    rng = random.Random(4)
+    words = common.Words([" ".join(rng.choice(["a", "é", "日本", "\U0001f600", "x" * 90]) for _ in range(24)) * 2 for _ in range(30)] * 2)
+    assert words.spelled() == words.distinct.to_pylist()
+    starts = np.concatenate([np.arange(a, b - recompression.WINDOW + 1) for a, b in zip(words.starts[:-1], words.starts[1:])])
+    plain = [tuple(words.codes[s : s + recompression.WINDOW].tolist()) for s in starts.tolist()]
+    seen = {}
+    assert recompression.first_equal(words, starts).tolist() == [seen.setdefault(w, i) for i, w in enumerate(plain)]
+    assert len(recompression.first_equal(words, starts[:0])) == 0
