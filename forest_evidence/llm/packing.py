@@ -12,6 +12,7 @@ place from their rank within their length.
 from __future__ import annotations
 
 import functools
+import os
 import re
 import zlib
 from bisect import bisect_right
@@ -50,15 +51,20 @@ class Encoder:
 
     Letters with trailing punctuation split between the two, so that a word is encoded once for all its
     cases and endings; such parts go to the tokenizer's model many at a time. Any other chunk is encoded
-    as it is. Chunks and parts are kept, up to LIMIT of each.
+    as it is. Chunks and parts are kept until they take about LIMIT bytes. A Python worker outlives its
+    task, so a task drops them at its end.
     """
 
-    LIMIT = 400_000
+    LIMIT = 80 << 20
+    #: Bytes that a chunk and its parts take beside their characters and ids, about.
+    EACH = 320
     AT_ONCE = 200
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
+        # a task has one core; threads of the tokenizer's own would each keep memory
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.encoder = Tokenizer.from_file(path)
         self.plain = Tokenizer(self.encoder.model)
         self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
@@ -72,6 +78,7 @@ class Encoder:
         self.chunk: dict[str, int] = {}
         self.part: dict[str, bytes] = {"": b""}
         self.flat, self.starts = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+        self.held = 0
 
     def learn_words(self, words: list[str]) -> None:
         """Encode words of letters: each ends with the one token that bears the word's end."""
@@ -89,7 +96,7 @@ class Encoder:
 
     def chunks(self, texts: list[str]) -> np.ndarray:
         """The place of each chunk in ``starts``; its ids are flat[starts[k]:starts[k + 1]]."""
-        if len(self.chunk) > self.LIMIT or len(self.part) > self.LIMIT:
+        if self.held > self.LIMIT:
             self.reset()
         got = list(map(self.chunk.get, texts))
         new = [t for t, k in zip(texts, got) if k is None]
@@ -108,6 +115,7 @@ class Encoder:
             self.part[t] = np.array(e.ids, "<u4").tobytes()
         raw = [self.part[a] + self.part[b] for a, b in split]
         sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        self.held += self.EACH * len(new) + 2 * sum(map(len, new)) + 8 * int(sizes.sum())
         first = len(self.starts) - 1
         self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(raw), "<u4")])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
@@ -123,10 +131,10 @@ def _encoder(path: str) -> Encoder:
 
 def token_ids(texts: list[str | None], path: str) -> Iterator[np.ndarray]:
     """Each text's token ids, without the end id."""
-    for a, b in in_slices(texts, 4_000_000):
+    for a, b in in_slices(texts, 1_000_000):
         words = Words(texts[a:b])
         known = _encoder(path)
-        place = known.chunks(words.distinct.to_pylist())
+        place = known.chunks(words.spelled())
         where, ids = known.starts, known.flat
         first, size = where[place][words.codes], np.diff(where)[place][words.codes]
         ends = np.cumsum(size)
@@ -141,15 +149,20 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for doc, ids in zip(batch["doc_id"].tolist(), token_ids(batch["text"].tolist(), tokenizer)):
-                b = ids.tobytes() + end
-                n = len(b) // 4
-                for k, s in enumerate(range(0, n, capacity)):
-                    e = min(n, s + capacity)
-                    rows.append((doc, k, s, e - s, zlib.crc32(b[4 * s : 4 * e])))
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"], dtype=object)
+        try:
+            yield from map(cut, batches)
+        finally:
+            _encoder(tokenizer).reset()
+
+    def cut(batch: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for doc, ids in zip(batch["doc_id"].tolist(), token_ids(batch["text"].tolist(), tokenizer)):
+            b = ids.tobytes() + end
+            n = len(b) // 4
+            for k, s in enumerate(range(0, n, capacity)):
+                e = min(n, s + capacity)
+                rows.append((doc, k, s, e - s, zlib.crc32(b[4 * s : 4 * e])))
+        return pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"], dtype=object)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return in_frames(docs.select("doc_id", "text"), run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")

@@ -8,9 +8,10 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from forest_evidence.llm import alignment, common, phrases, queries, recompression, secret_scan
+from forest_evidence.llm import alignment, common, packing, phrases, queries, recompression, secret_scan
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, key long, a string, n int, phrase string, slice long, kind string, start int"
@@ -270,3 +271,28 @@ def test_first_equal_of_windows_and_spelled_words():
     seen = {}
     assert recompression.first_equal(words, starts).tolist() == [seen.setdefault(w, i) for i, w in enumerate(plain)]
     assert len(recompression.first_equal(words, starts[:0])) == 0
+
+
+def test_packing_memory(spark):
+    """The encoder's cache is bounded by bytes, and no task leaves it to the worker's next one."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain = packing.Encoder(path).encoder
+    texts = [" ".join(f"w{i}x{j}y" * 40 for j in range(40)) for i in range(30)] + ["", None, "Naïve: 12% of U.S. users’ data"]
+    known = packing._encoder(path)
+    known.reset()
+    known.LIMIT, most = 1 << 20, 0
+    try:
+        for t, ids in zip(texts * 4, (x for _ in range(4) for t in texts for x in packing.token_ids([t], path))):
+            assert ids.tolist() == plain.encode(t or "", add_special_tokens=False).ids
+            most = max(most, len(known.chunk))
+    finally:
+        del known.LIMIT
+    assert 40 < most < 1200  # of 1200 chunks
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+
+    def held(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(packing._encoder(path).chunk)]})
+
+    assert packing.pieces(docs, path).count() >= len(texts)
+    assert {r.n for r in docs.select("doc_id").mapInArrow(held, "n long").collect()} == {0}
