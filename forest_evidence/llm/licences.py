@@ -2,7 +2,8 @@
 
 A multinomial logistic regression over word one- and two-grams is trained on licence notices that are
 made from the rules below, on parts of licence texts, on notices of licences outside the known families
-(class ``unknown``), and on sentences and paragraphs of other kinds (class ``none``). Its probabilities are
+(class ``unknown``), and on sentences of other kinds and all lines of documents without a licence hint
+(class ``none``). Its probabilities are
 tempered on notices held back, and the bound from which a known family is believed is chosen there too,
 against licences that training never saw. Neighbouring lines of one predicted family are one paragraph,
 whose word order is compared with the family's templates; what isn't confirmed is ``unknown``.
@@ -13,15 +14,19 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import staged
 
-#: Lines of other texts to train on, on average at most.
-NONE_SAMPLE = 1500
-PENALTY, ROUNDS = 1e-3, 400
+PENALTY, ROUNDS = 1e-3, 100
+#: Temperatures to choose from.
+TEMPERATURES = [0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0]
 #: A template is found if so large a share of its neighbouring words is in the paragraph.
 CONFIRMED = 0.75
 #: Words of a licence text in a training example, and the fewest of a paragraph that may be found inside a template.
@@ -121,52 +126,60 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(1)[:, None]
 
 
-def train(spark: SparkSession, docs: DataFrame, none_sample: int = NONE_SAMPLE) -> Model:
-    """Fit on the made notices and a line of each of about ``none_sample`` documents without a licence hint.
+def train(spark: SparkSession, docs: DataFrame) -> Model:
+    """Fit on the made notices and on every line of all documents without a licence hint.
 
-    On the notices held back the temperature is chosen, and the bound that best parts known families from
-    unknown licences. Features are bounded by the notices; of other lines, only features reach the driver.
+    On what is held back (every fifth notice, whole names of unknown licences, the lines of a fifth of the documents)
+    the temperature is chosen, and on the notices the bound that best parts known families from unknown licences.
+    In both steps each class weighs the same, and made sentences of class none as much as all lines of documents.
+    Features are bounded by the notices. Lines stay in Spark: the driver gets counts and sums by feature and class.
     """
     made = notices()
     rows = spark.createDataFrame([(i, k, t, h) for i, (k, t, h) in enumerate(made)], "i int, family string, text string, held boolean")
-    got = rows.select("i", "family", "held", grams_of(words_of(F.col("text"))).alias("grams")).orderBy("i").collect()
+    grams = grams_of(F.col("words")).alias("grams")
+    rows = rows.select("i", "family", "held", words_of(F.col("text")).alias("words")).select("i", "family", "held", grams)
+    got = rows.orderBy("i").collect()
     features = sorted({g for r in got for g in r["grams"]})
     place = {g: i for i, g in enumerate(features)}
-    # documents by the hash of their id, about so many and on average at most; a line of each
-    line = F.split("text", "\n")
-    share = F.lit(float(none_sample) / max(1, docs.count()))
-    uniform = F.crc32(F.concat(F.lit("none"), F.col("doc_id").cast("string")).cast("binary"))
-    other = docs.where(uniform / F.lit(2.0**32) < share).where(F.col("text").isNotNull() & ~F.col("text").rlike(HINT))
-    other = other.select(F.monotonically_increasing_id().alias("n"), grams_of(words_of(F.element_at(line, (F.pmod(uniform, F.size(line)) + 1).cast("int")))).alias("grams"))
-    other = staged(other)
-    held_features = F.broadcast(spark.createDataFrame(list(enumerate(features)), "feature int, gram string"))
-    seen = other.select("n", F.explode("grams").alias("gram")).join(held_features, "gram").groupBy("n").agg(F.collect_list("feature").alias("own"))
-    lines = [r["own"] for r in seen.collect()]
-    lines += [[]] * (other.count() - len(lines))
     classes = ["none", "unknown", *NAMES]
-    x = np.zeros((len(got) + len(lines), len(features)), np.float32)
-    for i, own in enumerate([[place[g] for g in r["grams"]] for r in got] + lines):
-        x[i, own] = 1
-    truth = np.array([classes.index(r["family"]) for r in got] + [0] * len(lines))
-    y = np.eye(len(classes), dtype=np.float32)[truth]
-    held = np.array([r["held"] for r in got] + [i % 5 == 4 for i in range(len(lines))])
-    fit = ~held
-    # made sentences of class none weigh as much as all lines of other texts
-    kind = np.where((truth == 0) & (np.arange(len(truth)) < len(got)), len(classes), truth)[fit]
-    each = (1 / np.bincount(kind, minlength=len(classes) + 1))[kind]
-    each = (each / each.sum()).astype(np.float32)
-    w, b = np.zeros((len(features), len(classes)), np.float32), np.zeros(len(classes), np.float32)
-    vw, vb, step = w.copy(), b.copy(), np.float32(4.0)
-    xs, ys = x[fit], y[fit]
-    for _ in range(ROUNDS):
-        error = (_softmax(xs @ w + b) - ys) * each[:, None]
-        vw = 0.9 * vw - step * 0.1 * (xs.T @ error + PENALTY * w)
-        vb = 0.9 * vb - step * 0.1 * error.sum(0)
-        w, b = w + vw, b + vb
-    z = (x[held] @ w + b).astype(float)
-    grid = [0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0]
-    own = truth[held]
-    temperature = min(grid, key=lambda t: -np.log(np.maximum(_softmax(z / t)[np.arange(len(own)), own], 1e-12)).mean())
+    truth = np.array([classes.index(r["family"]) for r in got])
+    held = np.array([r["held"] for r in got])
+    x = np.zeros((len(got), len(features)))
+    for i, r in enumerate(got):
+        x[i, [place[g] for g in r["grams"]]] = 1
+
+    vectors = CountVectorizerModel.from_vocabulary(features, "grams", "features").setBinary(True)
+    back = F.coalesce(F.pmod(F.crc32(F.concat(F.lit("none"), F.col("doc_id").cast("string")).cast("binary")), F.lit(5)) == 4, F.lit(False))
+    other = docs.where(F.col("text").isNotNull() & ~F.col("text").rlike(HINT)).select(back.alias("held"), F.explode(F.split("text", "\n")).alias("line"))
+    other = other.select("held", words_of(F.col("line")).alias("words")).select("held", grams)
+    other = staged(vectors.transform(other).select("held", "features"))
+    n_lines, seen = 0, np.zeros(len(features))
+    counts = {False: 0, True: 0}
+    for r in other.groupBy("held").agg(F.count("*").alias("n"), Summarizer.numNonZeros(F.col("features")).alias("seen")).collect():
+        counts[r["held"]] = r["n"]
+        n_lines, seen = n_lines + r["n"], seen + r["seen"].toArray()
+
+    # made sentences of class none are a kind of their own
+    kind = np.where(truth == 0, len(classes), truth)
+    size = np.bincount(kind[~held], minlength=len(classes) + 1)
+    weights = spark.createDataFrame([(i, float(truth[i]), 1 / float(size[kind[i]])) for i in np.flatnonzero(~held).tolist()], "i int, label double, weight double")
+    fitted = vectors.transform(rows.join(F.broadcast(weights), "i")).select("features", "label", "weight")
+    fitted = fitted.union(other.where("not held").select("features", F.lit(0.0), F.lit(1 / max(1, counts[False]))))
+    regression = LogisticRegression(family="multinomial", regParam=PENALTY, standardization=False, maxIter=ROUNDS, tol=1e-6, weightCol="weight")
+    learned = regression.fit(fitted)
+    w, b = learned.coefficientMatrix.toArray().T, learned.interceptVector.toArray()
+
+    z, own, kind = x[held] @ w + b, truth[held], kind[held]
+    loss = []  # of each temperature, by kind
+    for t in TEMPERATURES:
+        each = -np.log(np.maximum(_softmax(z / t)[np.arange(len(own)), own], 1e-12))
+        loss.append([each[kind == k].mean() for k in np.unique(kind)])
+    if counts[True]:
+        raw = learned.transform(other.where("held")).select(vector_to_array("rawPrediction").alias("z")).select("z", F.array_max("z").alias("top"))
+        scaled = lambda t: F.aggregate("z", F.lit(0.0), lambda a, v: a + F.exp((v - F.col("top")) / t))
+        means = raw.agg(*[F.avg(F.least(F.log(scaled(t)) + (F.col("top") - F.col("z")[0]) / t, F.lit(float(-np.log(1e-12))))) for t in TEMPERATURES]).first()
+        loss = [v + [m] for v, m in zip(loss, means)]
+    temperature = TEMPERATURES[int(np.argmin([np.mean(v) for v in loss]))]
     p = _softmax(z / temperature)
     guess, sure = p.argmax(1), p.max(1)
     known, strange = own > 1, own == 1
@@ -179,10 +192,10 @@ def train(spark: SparkSession, docs: DataFrame, none_sample: int = NONE_SAMPLE)
     bounds = np.linspace(0.3, 0.95, 66)
     worths = np.array([worth(v) for v in bounds])
     bound = np.median(bounds[worths >= worths.max() - 1e-9])
-    rare = x[len(got) :].mean(0) <= COMMON if lines else np.ones(len(features), bool)
+    rare = seen <= COMMON * n_lines
     speaks = (w[:, 1:].max(1) > w[:, 0]) & rare
     triggers = [g for i, g in enumerate(features) if speaks[i] and " " not in g and any(c.isalpha() for c in g)]
-    return Model(classes, features, w.astype(float), b.astype(float), temperature, float(bound), triggers)
+    return Model(classes, features, w, b, temperature, float(bound), triggers)
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:

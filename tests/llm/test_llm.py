@@ -511,6 +511,18 @@ def test_licences(spark):
     assert licences.scan(documents(spark, [(1, "x")]).limit(0), model).count() == 0 and 0.3 <= model.bound <= 0.95
 
 
+def test_licences_learn_from_all_lines(spark):
+    """A word's share is that of all lines, wherever they stand; documents with a hint of a licence are no source."""
+    rows = [(i, "plain words and nothing else") for i in range(2000)]
+    rows += [(5000 + i, "\n".join(["they agreed on that"] * 100)) for i in range(15)]
+    rows += [(6000, None), (6001, ""), (6002, "\n".join(["copyright mozilla"] * 3000))]
+    model = licences.train(spark, documents(spark, rows))
+    assert "agreed" not in model.triggers and "mozilla" in model.triggers
+    got = licences.scan(documents(spark, [(1, "They agreed on that.\nReleased under the MIT License.")]), model).collect()
+    assert [(r.paragraph, r.family, r.confirmed) for r in got] == [(1, "mit", True)]
+    assert licences.train(spark, documents(spark, rows).limit(0)).triggers
+
+
 def test_empty_tables(spark, mixed):
     none = documents(spark, mixed).limit(0)
     path = public_tokenizers.path("word_bpe_49k.json")
