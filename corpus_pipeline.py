@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forest_evidence.llm import decontaminate, packing, pii, setsketch, toxicity
-from forest_evidence.llm.common import shared_dir
+from forest_evidence.llm.common import shared_dir, small_batches
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,6 +60,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _, stage in STAGES:
         out = stage(spark, docs, sf_dir)
         path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-        out.write.parquet(path)
+        with small_batches(spark):
+            out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
     return docs

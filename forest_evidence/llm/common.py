@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -18,6 +19,8 @@ from pyspark.sql.types import StructType
 
 #: A side of at most this many bytes is broadcast; beyond it the join shuffles.
 BROADCAST_BYTES = 24 << 20
+#: Bytes of rows, about, that go to a Python worker at a time and that it takes up at a time.
+BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,11 +34,26 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What is planned inside hands Python workers batches of BATCH_BYTES, unless the session has less: executors
+    and workers hold several copies of a batch."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    own = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before)
+    spark.conf.set(name, str(min(own, BATCH_BYTES) if own > 0 else BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def written(df: DataFrame) -> tuple[DataFrame, str]:
     """``df`` written once to the shared folder and read back, and where it is."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -51,13 +69,31 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def halved(batch: pa.RecordBatch, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch's rows in order, in parts of at most ``limit`` bytes or one row."""
+    if batch.nbytes <= limit or batch.num_rows < 2:
+        yield batch
+    else:
+        half = batch.num_rows // 2
+        yield from halved(batch.slice(0, half), limit)
+        yield from halved(batch.slice(half), limit)
+
+
+def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All rows of a partition's batches, in parts of about BATCH_BYTES. A Python worker outlives its task, so at the
+    end it gives back what Arrow holds for later batches."""
+    for batch in batches:
+        yield from halved(batch)
+    pa.default_memory_pool().release_unused()
+
+
 def in_frames(df: DataFrame, f: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
     """``f`` over a partition's rows as pandas frames, in which integers stay whole beside nulls (such a
     column holds Python integers and None), with rows of ``schema`` out."""
     kind = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for out in f(b.to_pandas(integer_object_nulls=True) for b in batches):
+        for out in f(b.to_pandas(integer_object_nulls=True) for b in in_parts(batches)):
             if not len(out):
                 continue
             arrays = [pa.array(out[x.name], x.type, from_pandas=True) for x in kind]
@@ -331,7 +367,7 @@ class DisjointSets:
         return a != b
 
 
-def in_slices(texts: list, limit: int = 3_000_000) -> Iterator[tuple[int, int]]:
+def in_slices(texts: list, limit: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """(from, to) of consecutive texts of about ``limit`` characters, to bound a task's arrays."""
     a, n = 0, 0
     for i, t in enumerate(texts):
@@ -347,7 +383,7 @@ def in_batches(df: DataFrame, keep: Callable[[list[str | None]], np.ndarray], co
     """The rows of ``df``, all columns as they are, for whose texts in ``column`` ``keep`` is true."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             yield batch.filter(pa.array(keep(batch.column(batch.schema.get_field_index(column)).to_pylist()), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

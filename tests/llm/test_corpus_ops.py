@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -296,3 +297,29 @@ def test_packing_memory(spark):
 
     assert packing.pieces(docs, path).count() >= len(texts)
     assert {r.n for r in docs.select("doc_id").mapInArrow(held, "n long").collect()} == {0}
+
+
+def test_batch_memory(spark):
+    """Python workers take up a few MB of rows at a time, whatever a batch holds; rows, order and the session stay."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id doc_id", "if(id % 7 = 0, null, repeat(cast(id as string), 1500)) text")
+    docs = docs.unionByName(spark.range(1).selectExpr("-1L doc_id", "repeat('x', 9000000) text")).coalesce(1)
+
+    def sizes(frames):
+        for f in frames:
+            yield pd.DataFrame({"rows": [len(f)], "chars": [int(f["text"].str.len().sum())], "first": [f["doc_id"].iloc[0]]})
+
+    def whole(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    for own in (lambda df: df, common.staged):
+        got = [r for r in own(common.in_frames(docs, sizes, "rows long, chars long, first long")).collect()]
+        assert sum(r.rows for r in got) == 3001 and [r.first for r in got[:-1]] == sorted(r.first for r in got[:-1])
+        assert max(r.chars for r in got if r.rows > 1) <= common.BATCH_BYTES
+    kept = common.in_batches(docs, lambda texts: np.array([t is not None for t in texts]), "text")
+    assert [r.doc_id for r in kept.select("doc_id").collect()] == [*(i for i in range(3000) if i % 7), -1]
+    assert max(r.n for r in common.staged(docs.where("doc_id >= 0").mapInArrow(whole, "n long")).collect()) < 2 * common.BATCH_BYTES
+    assert spark.conf.get(name) == before
+    assert [b - a for a, b in common.in_slices(["x" * 400_000] * 6)] == [3, 3]
