@@ -5,7 +5,7 @@ import json
 
 import pytest
 
-from forest_evidence import sources
+from forest_evidence import plans, sources
 from forest_evidence.operators import report_rules as V
 
 GOOD = {
@@ -124,3 +124,17 @@ def test_reports_are_parsed_once(spark, tmp_path, monkeypatch):
     assert broken.count() == 1
     assert [tuple(r) for r in V.report_values(rows, ["metrics"]).collect()] == [("a", "/metrics/m/value", "1.0")]
     assert {r.pointer for r in V.report_values(rows).collect()} == {"/metrics/m/value", "/results/0/result_id"}
+
+
+@pytest.mark.parametrize("name", ["v2_to_v10_nested_reports", "s8_report_values"])
+def test_staged_reports_are_small(spark, tmp_path, monkeypatch, name):
+    """Reports spell the names of their fields over and over, so what is staged is a small part of the JSON, in files of a few reports."""
+    monkeypatch.setattr(sources, "REPORTS_PER_FILE", 1000, raising=False)
+    monkeypatch.setattr(sources, "scratch", lambda _: f"{tmp_path}/staged")
+    lines = spark.range(20_000).selectExpr("id % 5000 AS l_orderkey", "id * 7919 % 2003 AS l_partkey", "id * 31 % 101 AS l_suppkey", "cast(id % 7 AS int) + 1 AS l_linenumber", "substr('RAN', cast(id % 3 AS int) + 1, 1) AS l_returnflag", "cast(id % 50 AS double) AS l_quantity")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert plans.queries()[name](spark, str(tmp_path)).select("report_id").distinct().count() > 1000
+    files, text = [*(tmp_path / "staged").glob("part-*")], spark.read.text(f"{tmp_path}/staged")
+    assert text.count() == 5000
+    assert sum(f.stat().st_size for f in files) * 8 < text.selectExpr("sum(length(value))").first()[0]
+    assert all(spark.read.text(str(f)).count() <= 1000 for f in files)
