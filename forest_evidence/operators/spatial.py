@@ -236,18 +236,48 @@ def boxes_that_meet(a: DataFrame, b: DataFrame, cell: float, on: list[str]) -> D
 
 #: Pairs of ids that a task makes of pairs of distinct boxes or zones.
 PAIRS_PER_TASK = 4_000_000
+#: Ids in a list of one box or zone, about; pairs of ids, and boxes or zones that a list meets, in a piece of work, whose
+#: pairs Spark's generated code holds together before it hands them on.
+LIST, PIECE_PAIRS, PARTNERS = 200, 200_000, 20_000
+
+
+def _lists(rows: DataFrame, on: list[str]) -> tuple[DataFrame, int]:
+    """The ids of rows with equal ``on`` in lists of about LIST (on.., part, their column's name), and the bytes of all."""
+    own = next(c for c in rows.columns if c not in on)
+    known = rows.where(" and ".join(f"{c} is not null" for c in on))
+    named = cut_lineage(known.select(*on, own, F.monotonically_increasing_id().alias("k")))
+    size = named.agg(F.sum(F.coalesce(F.octet_length(F.col(own).cast("string")), F.lit(0)) + 24)).first()[0] or 0
+    large = named.groupBy(*on).agg(F.count("*").alias("n")).where(F.col("n") > LIST)
+    part = F.coalesce(F.pmod(F.xxhash64("k"), F.ceil(F.col("n") / LIST)), F.lit(0))
+    dealt = named.join(large, on, "left").groupBy(*on, part.alias("part"))
+    # structs, as collect_list leaves nulls out
+    return dealt.agg(F.transform(F.collect_list(F.struct(own)), lambda x: x[own]).alias(own)), size
 
 
 def _expanded(pairs: DataFrame, a: DataFrame, b: DataFrame, on: tuple[list[str], list[str]]) -> DataFrame:
-    """Pairs of distinct things (on[0], on[1], a_n and b_n: how many rows are alike) with each row of ``a`` and ``b``.
+    """Pairs of distinct things (on[0], on[1], a_n and b_n: how many rows are alike) with each row's id of ``a`` and ``b``.
 
-    Rows of ``a`` come in first and are dealt anew, so that the pairs of one large group are made by many tasks.
+    Ids travel in lists, once for each piece of work: a list of one side with what it meets on the other. So what is
+    shuffled besides the tables and the distinct pairs is an id for about a thousand pairs of ids, which only come up in
+    the last step. The other side, that of fewer bytes, is broadcast if it is small, else joined.
     """
     pairs = cut_lineage(pairs)
-    n = pairs.agg(F.sum(F.col("a_n") * F.col("b_n")).alias("n")).first()["n"] or 0
+    (a, size_a), (b, size_b), n_a, n_b = _lists(a, on[0]), _lists(b, on[1]), F.col("a_n"), F.col("b_n")
+    if size_a < size_b:
+        a, b, on, size_b, n_a, n_b = b, a, (on[1], on[0]), size_a, n_b, n_a
+    n = pairs.agg(F.sum(n_a * n_b).alias("n")).first()["n"] or 0
     parts = max(pairs.sparkSession.sparkContext.defaultParallelism, min(20000, n // PAIRS_PER_TASK))
-    one = pairs.drop("a_n", "b_n").repartition(parts).join(a, on[0])
-    return one.repartition(parts).join(b, on[1])
+    each = pairs.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(n_b / LIST) - 1)))
+    weight = F.greatest(F.least(n_a, F.lit(LIST)) * F.least(n_b, F.lit(LIST)), F.lit(PIECE_PAIRS // PARTNERS))
+    before = F.sum(weight).over(W.partitionBy(*on[0]).orderBy(*on[1], "part").rowsBetween(W.unboundedPreceding, -1))
+    work = each.withColumn("piece", F.coalesce(F.floor(before / PIECE_PAIRS), F.lit(0)))
+    work = work.groupBy(*on[0], "piece").agg(F.collect_list(F.struct(*on[1], "part")).alias("partners"))
+    work = a.drop("part").join(work, on[0]).drop("piece").repartition(parts)
+    met = work.withColumn("p", F.explode("partners")).drop("partners").select("*", "p.*").drop("p")
+    met = met.join(F.broadcast(b) if size_b <= BROADCAST_BYTES else b, [*on[1], "part"]).drop("part")
+    for ids in (next(c for c in df.columns if c not in (*keys, "part")) for df, keys in ((a, on[0]), (b, on[1]))):
+        met = met.withColumn(ids, F.explode(ids))
+    return met
 
 
 def bbox_join(a: DataFrame, b: DataFrame, cell: float, where: Column | None = None) -> DataFrame:

@@ -364,3 +364,36 @@ def test_touched_spans_are_merged(spark):
     met = S.zone_pixels(zones, pixels, tiles, "touched")
     assert sorted((r.prow, r.pcol) for r in met.collect()) == sorted(cells)
     assert "deduplicate" not in met._jdf.queryExecution().toString().lower()
+
+
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_equal_boxes_in_lists(spark, monkeypatch, most):
+    """Groups of more and fewer ids than a list, ids that repeat and null ones, broadcast or not, either side the larger."""
+    monkeypatch.setattr(S, "BROADCAST_BYTES", most)
+    monkeypatch.setattr(S, "LIST", 7)
+    monkeypatch.setattr(S, "PIECE_PAIRS", 50)
+    monkeypatch.setattr(S, "PARTNERS", 10)
+    at = random.Random(5)
+    box = [(float(x := at.randrange(30)), float(y := at.randrange(30)), x + at.choice([0.0, 1.0, 9.0]), y + at.choice([1.0, 4.0, 20.0])) for _ in range(40)]
+    made = lambda n, p: [(None if k % 50 == 0 else f"{p}{k % 300}", *box[min(at.randrange(40), at.randrange(40)) if k % 4 else 3]) for k in range(n)]
+    few, many = made(60, "f"), made(400, "m") + [("n", None, 0.0, 1.0, 1.0)] * 9
+    kind = "id string, x0 double, y0 double, x1 double, y1 double"
+    text = lambda pairs: sorted(map(str, pairs))
+    for a, b in ((few, many), (many, few)):
+        got = S.bbox_join(spark.createDataFrame(a, kind), spark.createDataFrame(b, kind), 1.0).collect()
+        known = lambda rows: [r for r in rows if r[1] is not None]
+        want = [(r, s) for r in known(a) for s in known(b) if r[1] <= s[3] and s[1] <= r[3] and r[2] <= s[4] and s[2] <= r[4]]
+        assert len(want) > 1000
+        assert text(((r.a_id, r.a_x0, r.a_y0, r.a_x1, r.a_y1), (r.b_id, r.b_x0, r.b_y0, r.b_x1, r.b_y1)) for r in got) == text(want)
+
+
+def test_ids_of_equal_boxes_are_not_shuffled_for_each_pair(spark):
+    """60 boxes that all meet, 100 times each: 36 million pairs of ids, which no shuffle may hold on either side."""
+    from pathlib import Path
+
+    files = lambda: {f: f.stat().st_size for f in Path(spark.sparkContext.getConf().get("spark.local.dir")).rglob("shuffle_*.data")}
+    df = spark.range(6000).selectExpr("concat('B', id) AS id", "0.0D AS x0", "0.0D AS y0", "1.0D + id % 60 AS x1", "1.0D AS y1")
+    before = files()
+    S.bbox_join(df, df, 1.0).select("a_id", "b_id").write.format("noop").mode("overwrite").save()
+    new = sum(size for f, size in files().items() if f not in before)
+    assert 0 < new < 1_000_000
